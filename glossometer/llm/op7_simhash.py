@@ -2,7 +2,7 @@
 
 The trie's upper part is traversed by Spark: pairs of nodes descend together, eight bits a level, and a pair goes
 as soon as its prefixes differ in more bits than the budget. A pair whose two nodes are small enough leaves the
-traversal and becomes one group, in which numpy goes on in the same way down to the last bit. So a node never has
+traversal; what one small node has to meet becomes one group, in which numpy goes on in the same way down to the last bit. So a node never has
 to fit in memory because of its popularity: it is divided as deep as it takes.
 """
 
@@ -64,9 +64,9 @@ def close_pairs(a: np.ndarray, b: np.ndarray, depth: int, budget: int = BUDGET,
         above, first, n = np.unique(nodes >> np.uint64(to - at) if at else np.zeros(len(nodes), np.uint64), return_index=True, return_counts=True)
         return nodes, first, n
 
-    left, right, at = np.zeros(1, np.int64), np.zeros(1, np.int64), depth
+    left, right, at, single = np.zeros(1, np.int64), np.zeros(1, np.int64), depth, False
     while at < 64:
-        to = min(64, at + step)
+        to = 64 if single else min(64, at + step)
         nodes_a, first_a, n_a = down(a, at, to)
         nodes_b, first_b, n_b = down(b, at, to)
         kept_a, kept_b, combos = [], [], np.cumsum(n_a[left] * n_b[right])
@@ -85,20 +85,22 @@ def close_pairs(a: np.ndarray, b: np.ndarray, depth: int, budget: int = BUDGET,
             kept_b.append(j[keep])
             start = end
         left, right, at = np.concatenate(kept_a), np.concatenate(kept_b), to
+        single = len(nodes_a) == len(a) and len(nodes_b) == len(b)  # every node holds one value: what is left is compared at once
         if not len(left):
             break
     x, y = a[left], b[right]
     return (np.minimum(x, y)[x != y], np.maximum(x, y)[x != y]) if len(left) else (a[:0], a[:0])
 
 
-def _leaf_pair(group: pd.DataFrame) -> pd.DataFrame:
-    own, other = (np.unique(group.loc[group["other"] == side, "fp"].to_numpy(np.int64).view(np.uint64)) for side in (False, True))
-    x, y = close_pairs(own, own if group["a"].iloc[0] == group["b"].iloc[0] else other, int(group["depth"].iloc[0]))
-    return pd.DataFrame({"x": x.view(np.int64), "y": y.view(np.int64)})
+def _leaf(group: pd.DataFrame) -> pd.DataFrame:
+    """Links between one node's own fingerprints and those of all nodes that it is paired with."""
+    own = np.unique(group.loc[~group["other"], "fp"].to_numpy(np.int64).view(np.uint64))
+    x, y = close_pairs(own, np.unique(group["fp"].to_numpy(np.int64).view(np.uint64)), 0)
+    return pd.DataFrame({"x": x.view(np.int64), "y": y.view(np.int64)}).drop_duplicates()
 
 
 def close_fingerprints(distinct: DataFrame, budget: int = BUDGET, leaf: int = LEAF) -> DataFrame:
-    """(x, y): every pair of the distinct fingerprints (column fp) that differs in 1 to budget bits, once."""
+    """(x, y): every pair of the distinct fingerprints (column fp) that differs in 1 to budget bits, once or twice."""
     pairs, leaves, depth = None, None, 0
     while True:
         depth = min(64, depth + STEP)
@@ -118,9 +120,9 @@ def close_fingerprints(distinct: DataFrame, budget: int = BUDGET, leaf: int = LE
             break
     at = [d for d in range(STEP, depth + 1, STEP)]
     placed = distinct.select("fp", F.explode(F.array(*(F.struct(F.lit(d).alias("depth"), prefix(F.col("fp"), d).alias("node")) for d in at))).alias("p")).select("fp", "p.*")
-    left = leaves.join(placed.withColumnRenamed("node", "a"), ["depth", "a"]).select("depth", "a", "b", "fp", F.lit(False).alias("other"))
-    right = leaves.where("a <> b").join(placed.withColumnRenamed("node", "b"), ["depth", "b"]).select("depth", "a", "b", "fp", F.lit(True).alias("other"))
-    return left.unionByName(right).groupBy("depth", "a", "b").applyInPandas(_leaf_pair, "x long, y long")
+    left = leaves.select("depth", "a").distinct().join(placed.withColumnRenamed("node", "a"), ["depth", "a"]).select("depth", "a", "fp", F.lit(False).alias("other"))
+    right = leaves.where("a <> b").join(placed.withColumnRenamed("node", "b"), ["depth", "b"]).select("depth", "a", "fp", F.lit(True).alias("other"))
+    return left.unionByName(right).groupBy("depth", "a").applyInPandas(_leaf, "x long, y long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
