@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from . import op7_simhash
+from . import op4_lines, op7_simhash, op8_decontaminate
 
 QUERIES = {
+    "op4_line_dedup": op4_lines.query,
     "op7_simhash": op7_simhash.query,
+    "op8_decontaminate": op8_decontaminate.query,
+}
+ORACLES: dict[str, str] = {
+    "op4_line_dedup": op4_lines.ORACLE,
+    "op8_decontaminate": op8_decontaminate.ORACLE,
 }
-ORACLES: dict[str, str] = {}
