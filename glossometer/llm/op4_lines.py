@@ -47,9 +47,10 @@ class LineRuns:
         self.spark, self.fanout = spark, fanout
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.name, self.made = f"line_runs_{uuid.uuid4().hex}", 0
-        #: Tables by level; keys of the runs are disjoint, those of the increments are not.
+        #: Tables by level; keys of the runs are disjoint.
         self.runs: dict[int, list[str]] = {}
-        self.increments: list[str] = []
+        #: Small and not disjoint: plain files, since Spark 4.1.2 loses rows' partitioning in an aggregate over a union of bucketed tables.
+        self.increments: list[DataFrame] = []
 
     def _write(self, rows: DataFrame) -> str:
         self.made += 1
@@ -71,7 +72,7 @@ class LineRuns:
             new = new.join(self.spark.table(run).select(*KEY), KEY, "left_anti")
         first, fresh = not self.all_runs(), self._write(new)
         if not first:
-            self.increments.append(self._write(batch.join(self.spark.table(fresh).select(*KEY), KEY, "left_anti")))
+            self.increments.append(written(batch.join(self.spark.table(fresh).select(*KEY), KEY, "left_anti").select(*KEY, "n_docs", "keeper")))
         self.runs.setdefault(0, []).append(fresh)
         level = 0
         while len(self.runs.get(level, [])) >= self.fanout:
@@ -89,14 +90,12 @@ class LineRuns:
 
     def common(self, min_docs: int) -> DataFrame:
         """(h1, h2, keeper) of the keys found in at least min_docs documents, written to shared storage."""
-        more = None
-        for name in self.increments:
-            rows = self.spark.table(name)
+        more, summed = None, []
+        for rows in self.increments:
             more = rows if more is None else more.unionByName(rows)
         if more is not None:
-            more = more.groupBy(*KEY).agg(F.sum("n_docs").alias("more_docs"), F.max("keeper").alias("more_keeper"))
-            self_more = self._write(more.select(*KEY, F.col("more_docs").alias("n_docs"), F.col("more_keeper").alias("keeper")))
-            more = self.spark.table(self_more).select(*KEY, F.col("n_docs").alias("more_docs"), F.col("keeper").alias("more_keeper"))
+            summed = [self._write(more.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper")))]
+            more = self.spark.table(summed[0]).select(*KEY, F.col("n_docs").alias("more_docs"), F.col("keeper").alias("more_keeper"))
         found = None
         for run in self.all_runs():
             rows = self.spark.table(run)
@@ -105,7 +104,7 @@ class LineRuns:
             rows = rows.where(F.col("n_docs") >= min_docs).select(*KEY, "keeper")
             found = rows if found is None else found.unionByName(rows)
         out = written(found)
-        self._drop([*self.all_runs(), *self.increments, *([self_more] if more is not None else [])])
+        self._drop([*self.all_runs(), *summed])
         self.runs, self.increments = {}, []
         return out
 
