@@ -108,8 +108,9 @@ def close_fingerprints(distinct: DataFrame, budget: int = BUDGET, leaf: int = LE
         a = nodes.select(F.col("up").alias("a_up"), F.col("node").alias("a"), F.col("n").alias("a_n"))
         b = nodes.select(F.col("up").alias("b_up"), F.col("node").alias("b"), F.col("n").alias("b_n"))
         near = (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= budget) & ((F.col("a_up") < F.col("b_up")) | (F.col("a") <= F.col("b")))
-        if pairs is None:
-            found = a.join(b, (F.col("a_up") == F.col("b_up")) & near)
+        if pairs is None:  # all nodes hang below the root: each meets those that it becomes by changing up to budget bits
+            masks = [m for m in range(1 << STEP) if m.bit_count() <= budget]
+            found = a.withColumn("b", F.explode(F.array(*(F.col("a").bitwiseXOR(F.lit(m).cast("long")) for m in masks)))).where("a <= b").join(b, "b")
         else:
             found = pairs.join(a, "a_up").join(b, (pairs["b_up"] == b["b_up"]) & near).drop(pairs["b_up"])
         found = written(found.select("a", "b", (F.greatest("a_n", "b_n") > leaf).alias("large") if depth < 64 else F.lit(False).alias("large")))
