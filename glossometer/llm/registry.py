@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import op4_lines, op7_simhash, op8_decontaminate
+from . import op4_lines, op6_sentencepiece, op7_simhash, op8_decontaminate, op9_toxicity
 
 QUERIES = {
     "op4_line_dedup": op4_lines.query,
+    "op6_sentencepiece": op6_sentencepiece.query,
     "op7_simhash": op7_simhash.query,
     "op8_decontaminate": op8_decontaminate.query,
+    "op9_toxicity": op9_toxicity.query,
 }
 ORACLES: dict[str, str] = {
     "op4_line_dedup": op4_lines.ORACLE,
