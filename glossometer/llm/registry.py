@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from . import op4_lines, op6_sentencepiece, op7_simhash, op8_decontaminate, op9_toxicity
+from . import op2_licenses, op10_shards, op4_lines, op6_sentencepiece, op7_simhash, op8_decontaminate, op9_toxicity
 
 QUERIES = {
+    "op2_licenses": op2_licenses.query,
     "op4_line_dedup": op4_lines.query,
     "op6_sentencepiece": op6_sentencepiece.query,
     "op7_simhash": op7_simhash.query,
     "op8_decontaminate": op8_decontaminate.query,
     "op9_toxicity": op9_toxicity.query,
+    "op10_shards": op10_shards.query,
 }
 ORACLES: dict[str, str] = {
+    "op2_licenses": op2_licenses.ORACLE,
     "op4_line_dedup": op4_lines.ORACLE,
     "op8_decontaminate": op8_decontaminate.ORACLE,
 }
