@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import op2_licenses, op10_shards, op4_lines, op6_sentencepiece, op7_simhash, op8_decontaminate, op9_toxicity
+from . import op2_licenses, op3_warc, op4_lines, op6_sentencepiece, op7_simhash, op8_decontaminate, op9_toxicity, op10_shards
 
 QUERIES = {
     "op2_licenses": op2_licenses.query,
+    "op3_warc": op3_warc.query,
     "op4_line_dedup": op4_lines.query,
     "op6_sentencepiece": op6_sentencepiece.query,
     "op7_simhash": op7_simhash.query,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 ORACLES: dict[str, str] = {
     "op2_licenses": op2_licenses.ORACLE,
+    "op3_warc": op3_warc.ORACLE,
     "op4_line_dedup": op4_lines.ORACLE,
     "op8_decontaminate": op8_decontaminate.ORACLE,
 }
