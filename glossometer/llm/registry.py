@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import op2_licenses, op3_warc, op4_lines, op6_sentencepiece, op7_simhash, op8_decontaminate, op9_toxicity, op10_shards
+from . import op1_embeddings, op2_licenses, op3_warc, op4_lines, op6_sentencepiece, op7_simhash, op8_decontaminate, op9_toxicity, op10_shards
 
 QUERIES = {
+    "op1_near_vectors": op1_embeddings.query,
     "op2_licenses": op2_licenses.query,
     "op3_warc": op3_warc.query,
     "op4_line_dedup": op4_lines.query,
@@ -15,6 +16,7 @@ QUERIES = {
     "op10_shards": op10_shards.query,
 }
 ORACLES: dict[str, str] = {
+    "op1_near_vectors": op1_embeddings.ORACLE,
     "op2_licenses": op2_licenses.ORACLE,
     "op3_warc": op3_warc.ORACLE,
     "op4_line_dedup": op4_lines.ORACLE,
