@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from . import op1_embeddings, op2_licenses, op3_warc, op4_lines, op6_sentencepiece, op7_simhash, op8_decontaminate, op9_toxicity, op10_shards
+import corpus_pipeline
+
+from . import op1_embeddings, op2_licenses, op3_warc, op4_lines, op5_pii, op6_sentencepiece, op7_simhash, op8_decontaminate, op9_toxicity, op10_shards
 
 QUERIES = {
     "op1_near_vectors": op1_embeddings.query,
     "op2_licenses": op2_licenses.query,
     "op3_warc": op3_warc.query,
     "op4_line_dedup": op4_lines.query,
+    "op5_pii": op5_pii.query,
     "op6_sentencepiece": op6_sentencepiece.query,
     "op7_simhash": op7_simhash.query,
     "op8_decontaminate": op8_decontaminate.query,
     "op9_toxicity": op9_toxicity.query,
     "op10_shards": op10_shards.query,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
     "op1_near_vectors": op1_embeddings.ORACLE,
