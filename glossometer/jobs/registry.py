@@ -1,6 +1,323 @@
-"""Every relational query by name, with the SQL that gives the same rows."""
+"""Every relational query by name, with the SQL that gives the same rows.
+
+Limits are those of the test tables' size: 1000 events an actor, 100 issues a repository.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.scalars import normalize_repo, year_month_from_name
+from ..functions.values import AUTOMATION, METRIC_COLUMNS, METRICS
+from ..operators import events, filters, languages, pack, ratings
+from ..sources import readers
+from . import adapters
+from .adapters import ARCHIVE_SQL, EXTRACTED_SQL, LANGUAGES_SQL, MONTHLY_SQL, SLUGS_SQL, archive
+
+ACTORS, ISSUES = 1000, 100
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    """Register a query, and its SQL if there is any."""
+
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
+# ---- sources and scalars
+
+def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
+@query(
+    "s2_missing_hours",
+    """
+WITH e AS (SELECT date_trunc('month', min(ts)) AS first FROM events), h AS (SELECT unnest(range(first, first + INTERVAL 1 MONTH, INTERVAL 1 HOUR)) AS hour, first FROM e),
+i AS (SELECT hour, datediff('hour', first, hour) + 1 AS idx, strftime(hour, '%Y-%m-%d-') || hour(hour) || '.json.gz' AS name FROM h)
+SELECT idx, name FROM i WHERE hour NOT IN (SELECT date_trunc('hour', ts) FROM events)
+""",
+)
+def missing_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = _days(spark, sf_dir).agg(F.min("ts")).first()[0]
+    present = _days(spark, sf_dir).select(F.concat(F.date_format("ts", "yyyy-MM-dd-H"), F.lit(".json.gz")).alias("name")).distinct()
+    return readers.missing_hours(readers.hour_index(spark, first.year, first.month), present)
+
+
+@query("x1_extract_events", EXTRACTED_SQL)
+def extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events.extract_events(adapters.event_lines(spark, sf_dir))
+
+
+@query("a1_aggregate_events", f"SELECT actor, repo, event_type, action, arg_min(language, {{'a': created_at, 'b': id, 'c': language}}) AS language, count(*) AS count FROM ({EXTRACTED_SQL}) GROUP BY actor, repo, event_type, action")
+def aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events.aggregate_events(events.extract_events(adapters.event_lines(spark, sf_dir)))
+
+
+@query("x4_clean_slugs", SLUGS_SQL)
+def clean_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.clean_slug_lines(adapters.slug_lines(spark, sf_dir))
+
+
+@query("x3_normalize_repo", r"SELECT page_id, CASE WHEN length(s) - length(replace(s, '/', '')) = 1 THEN s END AS repo FROM (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(url, '^(https://github\.com/|http://github\.com/|github\.com/)', ''), '\.git$', ''), '/+$', '') AS s FROM (SELECT page_id, 'github.com/' || regexp_extract(url, 'https?://([^?#]*)', 1) AS url FROM pages))")
+def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return pages.select("page_id", normalize_repo(F.concat(F.lit("github.com/"), F.regexp_extract("url", "https?://([^?#]*)", 1))).alias("repo"))
+
+
+@query("x5_year_month", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS month FROM orders")
+def year_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    name = F.concat(F.lit("events-v2-"), F.date_format("o_orderdate", "yyyyMM"), F.lit(".csv"))
+    return orders.select("o_orderkey", year_month_from_name(name).alias("month"))
+
+
+@query("s6_last_languages", "SELECT repo, arg_max(total_size, o) AS total_size, arg_max(language, o) AS language FROM (SELECT 'org/' || user_id AS repo, event_id AS total_size, event_type AS language, event_id AS o FROM events WHERE event_id % 13 <> 0 AND event_id % 17 <> 0) GROUP BY repo")
+def last_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last line of each repository wins; lines with a text for a size, or without one, are skipped."""
+    e = _days(spark, sf_dir)
+    size = F.when(F.col("event_id") % 13 == 0, F.lit('"5"')).when(F.col("event_id") % 17 == 0, F.lit("-3")).otherwise(F.col("event_id").cast("string"))
+    line = F.concat(F.lit('{"repo":"org/'), F.col("user_id"), F.lit('","total_size":'), size, F.lit(',"languages":[{"language":"'), F.col("event_type"), F.lit('","size":'), F.lit("1}]}"))
+    lines = e.select("event_id", F.concat(F.lit(" "), line, F.lit("\t")).alias("value"))
+    return readers.parse_languages(lines, ["event_id"]).select("repo", "total_size", F.get("languages", F.lit(0))["language"].alias("language"))
+
+
+# ---- filters
+
+_BOT = "actor ILIKE '%bot%'"
+_CI = "(" + " OR ".join(f"contains(lower(actor), '{x}')" for x in AUTOMATION) + ")"
+_CODE = "event_type IN ('PushEvent', 'PullRequestEvent')"
+_GONE = "([0-9a-f]{40}|[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12})"
+_STEPS = {
+    "f1_empty_repos": f"SELECT * FROM {{t}} WHERE repo IN (SELECT repo FROM {{t}} WHERE {_CODE})",
+    "f2_bots": f"SELECT * FROM {{t}} WHERE NOT {_BOT}",
+    "f3_ci_actors": f"SELECT * FROM {{t}} WHERE NOT {_CI}",
+    "f4_single_event_repos": "SELECT * FROM {t} WHERE repo IN (SELECT repo FROM {t} GROUP BY repo HAVING sum(count) > 1)",
+    "f5_high_volume_actors": f"SELECT * FROM {{t}} WHERE actor IN (SELECT actor FROM {{t}} GROUP BY actor HAVING sum(count) <= {ACTORS})",
+    "f6_deleted_repos": f"SELECT * FROM {{t}} WHERE NOT regexp_matches(repo, '^{_GONE}/|^[^/]*/{_GONE}$')",
+    "f7_fork_only_actors": "SELECT * FROM {t} WHERE actor IN (SELECT actor FROM {t} WHERE event_type NOT IN ('ForkEvent', 'WatchEvent'))",
+    "f8_issue_flood": f"SELECT * FROM {{t}} WHERE event_type <> 'IssuesEvent' OR repo NOT IN (SELECT repo FROM {{t}} WHERE event_type = 'IssuesEvent' GROUP BY repo HAVING sum(count) > {ISSUES})",
+    "f9_issue_only_actors": f"SELECT * FROM {{t}} WHERE event_type <> 'IssuesEvent' OR actor IN (SELECT actor FROM {{t}} WHERE {_CODE})",
+}
+_FILTERS = {
+    "f1_empty_repos": filters.drop_empty_repos,
+    "f2_bots": filters.drop_bots,
+    "f3_ci_actors": filters.drop_ci_actors,
+    "f4_single_event_repos": filters.drop_single_event_repos,
+    "f5_high_volume_actors": lambda df: filters.drop_high_volume_actors(df, ACTORS),
+    "f6_deleted_repos": filters.drop_deleted_repos,
+    "f7_fork_only_actors": filters.drop_fork_only_actors,
+    "f8_issue_flood": lambda df: filters.drop_issue_flood(df, ISSUES),
+    "f9_issue_only_actors": filters.drop_issue_only_actors,
+}
+for _name, _filter in _FILTERS.items():
+    query(_name, f"WITH a AS ({ARCHIVE_SQL}) {_STEPS[_name].replace('{t}', 'a')}")(lambda spark, sf_dir, f=_filter: f(archive(spark, sf_dir)))
+
+#: CTEs f0 to f9: the archive, and what is left of it after each step.
+_CHAIN = f"WITH f0 AS ({ARCHIVE_SQL})" + "".join(f", f{i + 1} AS ({sql.replace('{t}', f'f{i}')})" for i, sql in enumerate(_STEPS.values()))
+
+
+@query("fc_filter_archive", f"{_CHAIN} SELECT * FROM f9")
+def filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.filter_archive(archive(spark, sf_dir), ACTORS, ISSUES)
+
+
+@query("fc_filter_archive_stepwise", f"{_CHAIN} SELECT * FROM f9")
+def filtered_stepwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.filter_sequentially(archive(spark, sf_dir), ACTORS, ISSUES)
+
+
+_BY_MONTH = f"""
+WITH f0 AS ({MONTHLY_SQL}),
+r AS (SELECT month, repo FROM f0 GROUP BY 1, 2 HAVING bool_or({_CODE}) AND coalesce(sum(count) FILTER (WHERE NOT {_BOT} AND NOT {_CI}), 0) > 1),
+p1 AS (SELECT f0.* FROM f0 JOIN r USING (month, repo) WHERE NOT {_BOT} AND NOT {_CI}),
+p AS (SELECT *, regexp_matches(repo, '^{_GONE}/|^[^/]*/{_GONE}$') AS gone FROM p1),
+a AS (SELECT month, actor, bool_or({_CODE} AND NOT gone) AS coder FROM p GROUP BY 1, 2 HAVING sum(count) <= {ACTORS} AND bool_or(NOT gone AND event_type NOT IN ('ForkEvent', 'WatchEvent'))),
+p2 AS (SELECT p.*, coder FROM p JOIN a USING (month, actor) WHERE NOT gone),
+b AS (SELECT month, repo FROM p2 WHERE event_type = 'IssuesEvent' GROUP BY 1, 2 HAVING sum(count) > 10)
+"""
+
+
+@query("fc_filter_months", f"{_BY_MONTH} SELECT actor, repo, event_type, action, language, month, count FROM p2 WHERE event_type <> 'IssuesEvent' OR (coder AND NOT EXISTS (SELECT 1 FROM b WHERE b.month = p2.month AND b.repo = p2.repo))")
+def filtered_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.filter_archive(archive(spark, sf_dir, monthly=True), ACTORS, 10, ["month"])
+
+
+_REPORT = " UNION ALL ".join(
+    f"SELECT {i + 1} AS step_no, '{name}' AS step, (SELECT count(*) FROM f{i}) - (SELECT count(*) FROM f{i + 1}) AS removed, (SELECT count(*) FROM f{i}) AS before" for i, name in enumerate(filters.STEPS)
+)
+
+
+@query("a9_filter_report", f"{_CHAIN}, s AS ({_REPORT} UNION ALL SELECT 10, 'total', (SELECT count(*) FROM f0) - (SELECT count(*) FROM f9), (SELECT count(*) FROM f0)) SELECT step_no, step, removed, CASE WHEN before = 0 THEN 0.0 ELSE 100.0 * removed / before END::DOUBLE AS removed_pct, before - removed AS remaining FROM s")
+def report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.filter_report(archive(spark, sf_dir), ACTORS, ISSUES)
+
+
+# ---- activity, shares, ratings
+
+
+def _activity_sql(source: str, key: str = "") -> str:
+    total = lambda kind: f"sum(count) FILTER (WHERE event_type = '{kind}')"
+    return (
+        f"SELECT {key}repo, CAST({total('PullRequestEvent')} AS BIGINT) AS pr_count, CAST({total('IssuesEvent')} AS BIGINT) AS issue_count, CAST({total('PushEvent')} AS BIGINT) AS push_count, CAST({total('WatchEvent')} AS BIGINT) AS star_count, "
+        f"nullif(count(DISTINCT actor) FILTER (WHERE {_CODE}), 0) AS dev_actors, CAST(max(1) FILTER (WHERE {_CODE}) AS BIGINT) AS active FROM {source} GROUP BY {key}repo"
+    )
+
+
+_SHARES = "SELECT repo, l.language AS language, CASE WHEN total_size > 0 THEN l.size / total_size WHEN pos = 1 THEN 1.0 END::DOUBLE AS share FROM (SELECT repo, total_size, unnest(languages) AS l, unnest(range(1, len(languages) + 1)) AS pos FROM lang)"
+_PRIMARY = "SELECT repo, languages[1].language AS language, 1.0::DOUBLE AS share FROM lang"
+
+
+def _ratings_sql(activity: str, shares: str, key: str = "", suffix: str = "") -> str:
+    """Finished and ranked ratings; activity and shares are relations."""
+    each = " UNION ALL ".join(f"SELECT {key}'{m}{suffix}' AS metric, language, sum({METRIC_COLUMNS[m]} * share) AS raw FROM j GROUP BY {key}language HAVING count({METRIC_COLUMNS[m]}) > 0" for m in METRICS)
+    return (
+        f"j AS (SELECT {activity}.*, language, share FROM {activity} JOIN {shares} USING (repo)), r AS ({each}), t AS (SELECT *, sum(raw) OVER (PARTITION BY {key}metric) AS total, round(raw * 100) / 100 AS rating FROM r) "
+        f"SELECT {key}metric, row_number() OVER (PARTITION BY {key}metric ORDER BY raw DESC, language) AS rank, language, rating, CASE WHEN total > 0 THEN round(rating / total * 10000) / 100 ELSE 0.0 END AS percentage FROM t"
+    )
+
+
+@query("a2_repo_activity", f"WITH a AS ({ARCHIVE_SQL}) {_activity_sql('a')}")
+def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ratings.repo_activity(archive(spark, sf_dir))
+
+
+@query("a3_language_shares", f"WITH lang AS ({LANGUAGES_SQL}), s AS ({_SHARES}) SELECT * FROM s WHERE share IS NOT NULL")
+def shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ratings.language_shares(adapters.languages(spark, sf_dir))
+
+
+_HEAD = f"WITH a AS ({ARCHIVE_SQL}), act AS ({_activity_sql('a')}), lang AS ({LANGUAGES_SQL}), sh AS (SELECT * FROM ({_SHARES}) WHERE share IS NOT NULL), pr AS ({_PRIMARY})"
+
+
+@query("a4_ratings", f"{_HEAD}, {_ratings_sql('act', 'sh')}")
+def rated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ratings.rated(ratings.repo_activity(archive(spark, sf_dir)), ratings.language_shares(adapters.languages(spark, sf_dir)))
+
+
+@query("a4_ratings_by_month", f"WITH a AS ({MONTHLY_SQL}), act AS ({_activity_sql('a', 'month, ')}), lang AS ({LANGUAGES_SQL}), sh AS (SELECT * FROM ({_SHARES}) WHERE share IS NOT NULL), {_ratings_sql('act', 'sh', 'month, ')}")
+def rated_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ratings.rated(ratings.repo_activity(archive(spark, sf_dir, monthly=True), ["month"]), ratings.language_shares(adapters.languages(spark, sf_dir)), ["month"])
+
+
+@query("e1_primary_ratings", f"{_HEAD}, {_ratings_sql('act', 'pr', suffix='-primary')}")
+def primary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ratings.primary_ratings(ratings.repo_activity(archive(spark, sf_dir)), adapters.languages(spark, sf_dir))
+
+
+_COVERAGE = " UNION ALL ".join(f"SELECT '{m}' AS metric, count(*) FILTER (WHERE {METRIC_COLUMNS[m]} IS NOT NULL AND k.repo IS NOT NULL) AS matched, count(*) FILTER (WHERE {METRIC_COLUMNS[m]} IS NOT NULL AND k.repo IS NULL) AS unmatched FROM act LEFT JOIN (SELECT DISTINCT repo FROM lang) k USING (repo)" for m in METRICS)
+
+
+@query("a5_match_coverage", f"{_HEAD} {_COVERAGE}")
+def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ratings.match_coverage(ratings.repo_activity(archive(spark, sf_dir)), adapters.languages(spark, sf_dir))
+
+
+_ARCHIVE_LANGUAGES = "SELECT repo, 1 AS total_size, [{'language': min(language), 'size': 1}] AS languages FROM a WHERE language <> '' GROUP BY repo"
+
+
+@query("a7_languages_from_archive", f"WITH a AS ({ARCHIVE_SQL}), lang AS ({_ARCHIVE_LANGUAGES}) SELECT repo, total_size::BIGINT AS total_size, languages[1].language AS language FROM lang")
+def archive_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.languages_from_archive(archive(spark, sf_dir)).select("repo", "total_size", F.get("languages", F.lit(0))["language"].alias("language"))
+
+
+@query("a8_repos_to_resolve", f"{_CHAIN} SELECT DISTINCT repo FROM f9 WHERE event_type = 'PushEvent'")
+def to_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.repos_to_resolve(filtered(spark, sf_dir))
+
+
+_ARCHIVE_RATINGS = f"WITH a AS ({ARCHIVE_SQL}), act AS ({_activity_sql('a')}), lang AS ({_ARCHIVE_LANGUAGES}), sh AS ({_PRIMARY}), {_ratings_sql('act', 'sh')}"
+
+
+@query("w2_ratings_from_archive_languages", _ARCHIVE_RATINGS)
+def archive_rated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second workload with languages from the archive itself."""
+    a = archive(spark, sf_dir)
+    return ratings.rated(ratings.repo_activity(a), ratings.language_shares(languages.languages_from_archive(a)))
+
+
+_COMPARE = """
+, a1 AS (SELECT language, rating, row_number() OVER (ORDER BY rating DESC, language) AS rank FROM fa), a2 AS (SELECT * FROM a1 WHERE rank <= 8),
+b1 AS (SELECT language, rating, row_number() OVER (ORDER BY rating DESC, language) AS rank FROM fb), b2 AS (SELECT * FROM b1 WHERE rank <= 8)
+SELECT a2.rank AS rank, coalesce(a2.language, b2.language) AS language, a2.rating AS rating_a, b2.rating AS rating_b, a2.rank - b2.rank AS rank_delta, round((b2.rating - a2.rating) / a2.rating * 100 * 10) / 10 AS rating_delta_pct,
+    CASE WHEN b2.rank IS NULL THEN 'dropped' WHEN a2.rank IS NULL THEN 'enters' ELSE 'both' END AS status
+FROM a2 FULL JOIN b2 ON a2.language = b2.language
+"""
+
+
+@query("e2_compare_rankings", f"{_HEAD}, fa AS (SELECT language, round(sum(push_count * share) * 100) / 100 AS rating FROM act JOIN sh USING (repo) GROUP BY 1 HAVING count(push_count) > 0), fb AS (SELECT language, round(sum(push_count * share) * 100) / 100 AS rating FROM act JOIN pr USING (repo) GROUP BY 1 HAVING count(push_count) > 0) {_COMPARE}")
+def compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Push ratings by shares against those by primary language, top 8."""
+    a, known = ratings.repo_activity(archive(spark, sf_dir)), adapters.languages(spark, sf_dir)
+    return ratings.compare_rankings(ratings.rated(a, ratings.language_shares(known)).where("metric = 'push-count'"), ratings.primary_ratings(a, known).where("metric = 'push-count-primary'"), 8)
+
+
+# ---- language lookup, packing
+
+_SIZES = "SELECT source AS repo, lang AS language, sum(n_chars)::BIGINT AS size FROM documents GROUP BY 1, 2"
+
+
+@query("w3_top_languages", f"SELECT repo, total_size, string_agg(language || ':' || size, ',' ORDER BY size DESC, language) AS languages FROM (SELECT *, sum(size) OVER (PARTITION BY repo)::BIGINT AS total_size, row_number() OVER (PARTITION BY repo ORDER BY size DESC, language) AS pos FROM ({_SIZES})) WHERE pos <= 2 GROUP BY 1, 2")
+def top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy(F.col("source").alias("repo"), F.col("lang").alias("language")).agg(F.sum("n_chars").alias("size"))
+    known = sizes.groupBy("repo").agg(F.sum("size").alias("total_size"), F.collect_list(F.struct("language", "size")).alias("languages"))  # a few languages each
+    return languages.top_languages(known, 2).select("repo", "total_size", F.array_join(F.transform("languages", lambda x: F.concat_ws(":", x["language"], x["size"].cast("string"))), ",").alias("languages"))
+
+
+@query("g1_batch_requests", f"SELECT count(*) AS n_slugs, count(DISTINCT repo) AS n_repos, max(length(repo)) AS longest, 0 AS overfull FROM ({SLUGS_SQL})")
+def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every slug in one batch, no batch over 10: which slugs share one is free."""
+    numbered = languages.numbered_requests(languages.clean_slug_lines(adapters.slug_lines(spark, sf_dir)), 10, 8)
+    asked = languages.batch_requests(numbered).select("batch_id", (F.size(F.split("query", "repository\\(")) - 1).cast("long").alias("n"))
+    per = numbered.join(asked, "batch_id").groupBy("batch_id").agg(F.count("*").alias("slugs"), F.collect_set("repo").alias("repos"), F.max(F.length("repo")).alias("longest"), F.max("n").alias("n"))
+    return per.agg(F.sum("slugs").alias("n_slugs"), F.sum(F.size("repos")).alias("n_repos"), F.max("longest").cast("long").alias("longest"), F.count(F.when((F.col("slugs") > 10) | (F.col("slugs") != F.col("n")), 1)).alias("overfull"))
+
+
+@query(
+    "g2_parse_responses",
+    "SELECT 'org/r' || p_partkey AS repo, CASE WHEN p_partkey % 5 = 0 OR p_partkey // 10 % 9 = 0 THEN 0 ELSE p_size END::BIGINT AS total_size, CASE WHEN p_partkey % 5 = 0 OR p_partkey // 10 % 9 = 0 OR p_partkey % 3 = 0 THEN '' ELSE p_type || ':' || p_size END AS languages FROM part WHERE p_partkey % 7 <> 0 OR p_partkey // 10 % 9 = 0",
+)
+def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten parts a batch: every seventh alias is absent, every fifth null, every third has a text for a size, every ninth batch failed."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_type", "p_size", F.expr("p_partkey DIV 10").alias("batch_id"), F.concat(F.lit("r"), F.col("p_partkey") % 10).alias("alias"))
+    requests = part.select("batch_id", "alias", F.concat(F.lit("org/r"), "p_partkey").alias("repo"))
+    size = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit('"'), "p_size", F.lit('"'))).otherwise(F.col("p_size").cast("string"))
+    node = F.when(F.col("p_partkey") % 5 == 0, F.lit("null")).otherwise(F.concat(F.lit('{"languages":{"totalSize":'), "p_size", F.lit(',"edges":[{"size":'), size, F.lit(',"node":{"name":"'), "p_type", F.lit('"}},{"size":-1,"node":{"name":"x"}},{"size":2}]}}')))
+    answer = F.concat(F.lit('"'), "alias", F.lit('":'), node)
+    responses = part.where("p_partkey % 7 <> 0 OR batch_id % 9 = 0").groupBy("batch_id").agg(F.concat(F.lit('{"data":{"rateLimit":{"cost":1},'), F.array_join(F.collect_list(answer), ","), F.lit("}}")).alias("response"))
+    responses = responses.withColumn("response", F.when(F.col("batch_id") % 9 != 0, F.col("response")))
+    return languages.parse_language_responses(requests, responses).select("repo", "total_size", F.array_join(F.transform("languages", lambda x: F.concat_ws(":", x["language"], x["size"].cast("string"))), ",").alias("languages"))
+
+
+@query("k2_pack_all", f"WITH a AS ({MONTHLY_SQL}), act AS ({_activity_sql('a', 'month, ')}), lang AS ({LANGUAGES_SQL}), sh AS (SELECT * FROM ({_SHARES}) WHERE share IS NOT NULL), k AS (WITH {_ratings_sql('act', 'sh', 'month, ')}) SELECT month, metric, language, rating, percentage FROM k")
+def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The months' ratings as the texts of their files, packed again."""
+    months = rated_months(spark, sf_dir)
+    line = F.to_json(F.struct("language", "rating", "percentage"))
+    files = months.groupBy("month", "metric").agg(F.array_sort(F.collect_list(F.struct("rank", line.alias("line")))).alias("l"))  # some hundred lines a file
+    files = files.select(F.concat(F.lit("out/language-ratings-"), "month", F.lit("-"), "metric", F.lit(".jsonl")).alias("path"), F.concat(F.array_join(F.transform("l", lambda x: x["line"]), "\n"), F.lit("\n\nno json\n")).alias("value"))
+    return pack.pack_files(files).select("month", "metric", "language", "rating", "percentage")
+
+
+_W1 = f"{_CHAIN}, act AS ({_activity_sql('f9')}), lang AS ({LANGUAGES_SQL}), sh AS (SELECT * FROM ({_SHARES}) WHERE share IS NOT NULL), {_ratings_sql('act', 'sh')}"
+
+
+@query("w1_clean_ratings", _W1)
+def clean_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filter, rate and rank: the whole relational path."""
+    return ratings.rated(ratings.repo_activity(filtered(spark, sf_dir)), ratings.language_shares(adapters.languages(spark, sf_dir)))
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages by push activity."""
+    return rated(spark, sf_dir).where("metric = 'push-count'").orderBy("rank")
