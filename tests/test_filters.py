@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+from conftest import rows
+
+from glossometer.functions.scalars import is_deleted_repo
+from glossometer.operators import filters as f
+
+HEX, UUID = "0123456789abcdef" * 2 + "01234567", "01234567-89ab-CDEF-0123-456789abcdef"
+
+
+def actors(df):
+    return sorted({r["actor"] for r in df.collect()})
+
+
+def test_bots(archive):
+    df = archive(("ann", "a/b", "PushEvent", 1), ("x[bot]", "a/b", "PushEvent", 1), ("MyBot", "a/b", "PushEvent", 1), ("BOT-9", "a/b", "PushEvent", 1))
+    assert actors(f.drop_bots(df)) == ["ann"]
+
+
+def test_automation_folds_ascii_case_only(archive):
+    df = archive(("ann", "a/b", "PushEvent", 1), ("Renovate", "a/b", "PushEvent", 1), ("stale[x", "a/b", "PushEvent", 1), ("stale", "a/b", "PushEvent", 1), ("Ken snyK", "a/b", "PushEvent", 1))
+    assert actors(f.drop_ci_actors(df)) == ["ann", "stale", "Ken snyK"]
+
+
+def test_empty_repos(archive):
+    df = archive(("a", "k/k", "PushEvent", 0), ("b", "k/k", "IssuesEvent", 1), ("a", "d/d", "WatchEvent", 1), ("b", "d/d", "IssuesEvent", 1))
+    assert rows(f.drop_empty_repos(df), "repo") == [("k/k",), ("k/k",)]
+
+
+def test_single_event_repos(archive):
+    df = archive(("a", "k/k", "PushEvent", 3), ("b", "k/k", "PushEvent", 1), ("a", "d/d", "PushEvent", 1), ("a", "z/z", "PushEvent", 0))
+    assert {r["repo"] for r in f.drop_single_event_repos(df).collect()} == {"k/k"}
+
+
+def test_high_volume_actors_count_the_anonymous_as_one(archive):
+    df = archive(("a", "k/k", "PushEvent", 5), ("a", "l/l", "PushEvent", 5), ("b", "k/k", "PushEvent", 11), *(("", f"r/{i}", "PushEvent", 1) for i in range(11)))
+    assert actors(f.drop_high_volume_actors(df, 10)) == ["a"]
+
+
+def test_deleted_repos(spark):
+    cases = {f"{HEX}/x": True, f"x/{HEX}": True, f"{UUID}/x": True, f"x/{UUID}": True, "x/y": False, f"x/{HEX[:-1]}": False, f"x/{HEX}0": False, f"x/{HEX.upper()}": False, f"a/{HEX}/b": False, HEX: False, f"x/{HEX}\n": False}
+    df = spark.createDataFrame([(k,) for k in cases], "repo string")
+    assert {r[0]: r[1] for r in df.select("repo", is_deleted_repo(df["repo"])).collect()} == cases
+
+
+def test_fork_only_actors(archive):
+    df = archive(("a", "k/k", "PushEvent", 1), ("a", "l/l", "ForkEvent", 1), ("b", "k/k", "ForkEvent", 1), ("c", "k/k", "WatchEvent", 1))
+    assert rows(f.drop_fork_only_actors(df), "actor") == [("a",), ("a",)]
+
+
+def test_issue_flood(archive):
+    df = archive(("a", "k/k", "IssuesEvent", 200), ("a", "k/k", "PushEvent", 1), ("b", "l/l", "IssuesEvent", 50))
+    assert rows(f.drop_issue_flood(df, 100), "repo", "event_type") == [("k/k", "PushEvent"), ("l/l", "IssuesEvent")]
+
+
+def test_issue_only_actors(archive):
+    df = archive(("a", "k/k", "PushEvent", 1), ("a", "k/k", "IssuesEvent", 1), ("b", "k/k", "IssuesEvent", 1), ("b", "k/k", "WatchEvent", 1))
+    assert rows(f.drop_issue_only_actors(df), "actor", "event_type") == [("a", "IssuesEvent"), ("a", "PushEvent"), ("b", "WatchEvent")]
+
+
+def noisy(archive):
+    return archive(
+        ("ann", "k/k", "PushEvent", 10), ("ann", "k/k", "IssuesEvent", 2), ("ben", "k/k", "PullRequestEvent", 3), ("ben", "k/k", "WatchEvent", 1), ("dependabot[bot]", "k/k", "PullRequestEvent", 5),
+        ("carol", "one/one", "PushEvent", 1), ("dave", "watched/only", "WatchEvent", 4), ("eve", "k/k", "PushEvent", 20_001), ("flo", "k/k", "IssuesEvent", 9),
+        ("gus", f"{HEX}/x", "PushEvent", 7), ("gus", "k/k", "ForkEvent", 1), ("hal", f"{HEX}/x", "PushEvent", 800), ("hal", "k/k", "IssuesEvent", 300),
+        ("ivy", "flood/f", "IssuesEvent", 90), ("jon", "flood/f", "IssuesEvent", 30), ("jon", "flood/f", "PushEvent", 2),
+    )
+
+
+def test_fused_is_stepwise(archive):
+    df = noisy(archive)
+    for actors_at_most, issues_at_most in ((1000, 10_000), (1000, 100), (10, 1), (10**6, 10**6), (0, 0)):
+        fused, steps = f.filter_archive(df, actors_at_most, issues_at_most), f.filter_sequentially(df, actors_at_most, issues_at_most)
+        assert rows(fused) == rows(steps)
+
+
+def test_default_limits(archive):
+    kept = rows(f.filter_archive(noisy(archive)), "actor", "event_type")
+    assert ("eve", "PushEvent") not in kept and ("carol", "PushEvent") not in kept and ("dave", "WatchEvent") not in kept and ("gus", "ForkEvent") not in kept
+    assert ("ann", "IssuesEvent") in kept and ("flo", "IssuesEvent") not in kept and ("jon", "IssuesEvent") in kept
+
+
+def test_flood_counts_issue_only_actors(archive):
+    """ivy writes no code and would go anyway; her issues still make the flood that takes jon's."""
+    assert ("jon", "IssuesEvent") not in rows(f.filter_archive(noisy(archive), 1000, 100), "actor", "event_type")
+
+
+def test_report_follows_the_steps(archive):
+    df = noisy(archive)
+    got = [r.asDict() for r in f.filter_report(df, 1000, 100).orderBy("step_no").collect()]
+    step, left = df, [df.count()]
+    for g in (f.drop_empty_repos, f.drop_bots, f.drop_ci_actors, f.drop_single_event_repos, lambda x: f.drop_high_volume_actors(x, 1000), f.drop_deleted_repos, f.drop_fork_only_actors, lambda x: f.drop_issue_flood(x, 100), f.drop_issue_only_actors):
+        step = g(step)
+        left.append(step.count())
+    assert [r["remaining"] for r in got] == [*left[1:], left[-1]]
+    assert got[-1]["removed"] == left[0] - left[-1] and got[-1]["step"] == "total"
+
+
+def test_empty_and_months(archive):
+    empty = archive(("a", "k/k", "PushEvent", 1)).where("false")
+    assert f.filter_archive(empty).count() == 0
+    assert [r["removed_pct"] for r in f.filter_report(empty).collect()] == [0.0] * 10
+    from pyspark.sql import functions as F
+
+    df = noisy(archive).withColumn("month", F.lit("2024-01"))
+    both = df.unionByName(df.withColumn("month", F.lit("2024-02")))
+    assert f.filter_archive(both, keys=["month"]).groupBy("month").count().count() == 2
+    assert f.filter_archive(both, keys=["month"]).count() == 2 * f.filter_archive(noisy(archive)).count()
