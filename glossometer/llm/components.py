@@ -18,12 +18,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     e = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
     e = written(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    label = written(e.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")))
+    n = e.count()
+    label = written(e.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")), n)
     while True:
         near = e.join(label.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         joined = label.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("next"))
         jump = label.select(F.col("node").alias("next"), F.col("label").alias("jumped"))
-        new = written(joined.join(jump, "next").select("node", "old", F.least("next", "jumped").alias("label")))
+        new = written(joined.join(jump, "next").select("node", "old", F.least("next", "jumped").alias("label")), n)
         if new.where("old <> label").isEmpty():
             return new.select("node", F.col("label").alias("component"))
         label = new.select("node", "label")

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from .common import lower_ascii, small_enough, table, written
 
 MIN_CHARS, MIN_DOCS, BATCHES, FANOUT = 40, 5, 4, 3
+#: Keys of a store that make a bucket, and the fewest buckets.
+KEYS_A_BUCKET, LEAST_BUCKETS = 1_000_000, 8
 #: ASCII white space: tab, line feed, vertical tab, form feed, carriage return and space.
 STRIPPED = " \t\n\x0b\x0c\r"
 KEY = ["h1", "h2"]
@@ -43,9 +45,8 @@ def document_keys(docs: DataFrame, batch: Column, id_col: str, text_col: str, mi
 class LineRuns:
     """Runs of (h1, h2, n_docs, keeper) as bucketed tables of the session's warehouse."""
 
-    def __init__(self, spark: SparkSession, fanout: int = FANOUT, buckets: int | None = None):
-        self.spark, self.fanout = spark, fanout
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    def __init__(self, spark: SparkSession, buckets: int = LEAST_BUCKETS, fanout: int = FANOUT):
+        self.spark, self.fanout, self.buckets = spark, fanout, buckets
         self.name, self.made = f"line_runs_{uuid.uuid4().hex}", 0
         #: Tables by level; keys of the runs are disjoint.
         self.runs: dict[int, list[str]] = {}
@@ -55,7 +56,7 @@ class LineRuns:
     def _write(self, rows: DataFrame) -> str:
         self.made += 1
         name = f"{self.name}_{self.made}"
-        rows.select(*KEY, "n_docs", "keeper").repartition(self.buckets, *KEY).sortWithinPartitions(*KEY).write.bucketBy(self.buckets, *KEY).sortBy(*KEY).saveAsTable(name, format="parquet")
+        rows.select(*KEY, "n_docs", "keeper").repartition(self.buckets, *KEY).coalesce(self.buckets).sortWithinPartitions(*KEY).write.bucketBy(self.buckets, *KEY).sortBy(*KEY).saveAsTable(name, format="parquet")
         return name
 
     def _drop(self, names: list[str]) -> None:
@@ -122,8 +123,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = docs.sparkSession
     batch = F.pmod(F.xxhash64(F.col(id_col)), F.lit(batches)).cast("int") if batch is None else batch
-    staged = written(document_keys(docs, batch, id_col, text_col, min_chars), "batch")
-    store = LineRuns(spark)
+    # sorted by batch, so that a batch's read skips the pages of others
+    staged = written(document_keys(docs, batch, id_col, text_col, min_chars).sortWithinPartitions("batch"))
+    store = LineRuns(spark, max(LEAST_BUCKETS, -(-staged.count() // KEYS_A_BUCKET)))
     for n in range(batches):
         store.add(staged.where(F.col("batch") == n).select(*KEY, "n_docs", "keeper"))
     common = store.common(min_docs)
@@ -137,9 +139,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     drops = F.broadcast(drops) if small_enough(n, 64) and small_enough(total or 0, 8) else drops
 
     joined = docs.drop("kept_text", "n_lines", "n_dropped").alias("d").join(drops.alias("x"), F.col(f"d.`{id_col}`").cast("long").eqNullSafe(F.col("x.id")) & (F.xxhash64(F.col(f"d.`{text_col}`")) == F.col("x.text_hash")), "left")
-    split = lines(F.col(f"d.`{text_col}`"))
-    kept = F.when(F.col("x.dropped").isNull(), F.coalesce(F.col(f"d.`{text_col}`"), F.lit(""))).otherwise(F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("x.dropped")), lambda i: F.get(split, i)), "\n"))
-    return joined.select("d.*", kept.alias("kept_text"), F.size(split).cast("long").alias("n_lines"), F.coalesce(F.size("x.dropped"), F.lit(0)).cast("long").alias("n_dropped"))
+    # the lines are a column of their own, used twice, so that the optimizer doesn't split the text for each line
+    joined = joined.select("d.*", F.col(f"d.`{text_col}`").alias("text_"), F.col("x.dropped").alias("dropped_"), lines(F.col(f"d.`{text_col}`")).alias("lines_"))
+    kept = F.when(F.col("dropped_").isNull(), F.coalesce("text_", F.lit(""))).otherwise(F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines_") - 1), F.col("dropped_")), lambda i: F.get("lines_", i)), "\n"))
+    return joined.withColumn("kept_text", kept).withColumns({"n_lines": F.size("lines_").cast("long"), "n_dropped": F.coalesce(F.size("dropped_"), F.lit(0)).cast("long")}).drop("text_", "dropped_", "lines_")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
