@@ -112,7 +112,7 @@ def close_fingerprints(distinct: DataFrame, budget: int = BUDGET, leaf: int = LE
             masks = [m for m in range(1 << STEP) if m.bit_count() <= budget]
             found = a.withColumn("b", F.explode(F.array(*(F.col("a").bitwiseXOR(F.lit(m).cast("long")) for m in masks)))).where("a <= b").join(b, "b")
         else:
-            found = pairs.join(a, "a_up").join(b, (pairs["b_up"] == b["b_up"]) & near).drop(pairs["b_up"])
+            found = pairs.join(a, "a_up").join(b.withColumnRenamed("b_up", "b_above"), (F.col("b_up") == F.col("b_above")) & near)
         found = written(found.select("a", "b", (F.greatest("a_n", "b_n") > leaf).alias("large") if depth < 64 else F.lit(False).alias("large")))
         done = found.where("NOT large").select("a", "b", F.lit(depth).alias("depth"))
         leaves = done if leaves is None else leaves.unionByName(done)
