@@ -83,7 +83,7 @@ def ranged(rows: DataFrame, ranges: int, draws: int = DRAWS, overfull: float = O
         full = placed.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).where((F.col("bytes") > overfull * total / ranges) & (F.col("n") > 1)).collect()
         more = set(bounds)
         for r in full:  # a few at most: the sample cuts most ranges near the mean
-            more.update(splitters(placed.where(F.col("range") == r["range"]), int(np.ceil(r["bytes"] * ranges / total)), draws, r["bytes"]))
+            more.update(splitters(placed.where(F.col("range") == r["range"]), int(np.ceil(r["bytes"] * ranges / total)), max(draws, DRAWS), r["bytes"]))
         if len(more) == len(bounds):
             break
         bounds = sorted(more)
