@@ -202,7 +202,7 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(id_col.cast("string")) % 3 == 1
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     """Weights of a ridge logistic regression by Newton's method; the first is the bias. Weights of hits aren't negative."""
     x = np.column_stack([np.ones(len(x)), x])
     w, penalty = np.zeros(x.shape[1]), np.diag([1e-3] + [ridge] * (x.shape[1] - 1))
@@ -239,8 +239,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: int
     totals = dict(texts.groupBy("toxic").count().collect())
     if not totals.get(1) or not totals.get(0):
         return Model([])
-    counted = texts.select("toxic", F.explode(parts("text")).alias("part")).groupBy("part").agg(F.sum("toxic").alias("n"), F.count("*").alias("m")).where(F.col("n") >= max(MIN_TEXTS, MIN_SHARE * totals[1]))  # more than a group of near copies
-    counted = written(counted)
+    counted = written(texts.select("toxic", F.explode(parts("text")).alias("part")).groupBy("part").agg(F.sum("toxic").alias("n"), F.count("*").alias("m")).where(F.col("n") >= MIN_TEXTS))
+    # more texts than a group of near copies has, and more than chance puts behind the best of so many candidates
+    chance = math.log(100 * max(1, counted.count())) / math.log(1 + totals[0] / totals[1])
+    counted = counted.where(F.col("n") >= max(MIN_TEXTS, MIN_SHARE * totals[1], chance))
     telling = F.col("n") >= MIN_PRECISION * F.col("m")
     begun = counted.where("part NOT LIKE '%*'").select(F.explode(F.array(*(F.concat(F.substring("part", 1, n), F.lit("*")) for n in STEM))).alias("part"), F.col("part").alias("token")).distinct().groupBy("part").agg(F.count_distinct("token").alias("endings"))
     stems: list[str] = []
