@@ -38,8 +38,3 @@ def archive(spark):
         return spark.createDataFrame(full, "actor string, repo string, event_type string, action string, language string, count long")
 
     return make
-
-
-def rows(df, *columns):
-    """The rows, sorted, as tuples of some columns."""
-    return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=repr)

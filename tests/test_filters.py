@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import rows
+from helpers import rows
 
 from glossometer.functions.scalars import is_deleted_repo
 from glossometer.operators import filters as f

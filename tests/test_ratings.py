@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from glossometer.functions.scalars import metric_name, two_decimals
 from glossometer.functions.values import LANGUAGES

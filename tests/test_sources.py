@@ -4,7 +4,7 @@ import gzip
 import json
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from glossometer.functions.scalars import normalize_repo, year_month_from_name
 from glossometer.functions.values import LANGUAGES

@@ -3,7 +3,7 @@ from __future__ import annotations
 import gzip
 import json
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from glossometer.operators.events import aggregate_events, extract_events
