@@ -24,17 +24,24 @@ def benchmark_windows(items: DataFrame, item_col: str = "item_id", text_col: str
     return w.select("item", F.least(F.size("w"), F.lit(window)).alias("n"), F.explode(F.array_distinct(cut)).alias("window_text")).groupBy("window_text", "n").agg(F.collect_set("item").alias("items"))
 
 
+def hashed_grams(w: Column, k: int) -> Column:
+    """The hashes of all k consecutive words. Candidates are compared word by word later, so two shingles of one hash only make a candidate more."""
+    return F.when(F.size(w) >= k, F.transform(F.sequence(F.lit(0), F.size(w) - k), lambda i: F.xxhash64(*(F.get(w, i + j) for j in range(k))))).otherwise(F.array().cast("array<bigint>"))
+
+
 def shingles(windows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(window_text, n, k, offset, token): each window's placed shingles of k words; k is less than shingle only where the window is shorter."""
+    """(window_text, n, k, offset, token): each window's placed shingles of k words, hashed; k is less than shingle only where the window is shorter."""
     w = windows.select("window_text", "n", F.split("window_text", " ").alias("w")).withColumn("k", F.least("n", F.lit(shingle)))
-    token = F.transform(F.sequence(F.lit(0), F.col("n") - F.col("k")), lambda i: F.array_join(F.slice("w", i + 1, F.col("k")), " "))
-    return w.select("window_text", "n", "k", F.posexplode(token).alias("offset", "token"))
+    tokens = F.lit(None).cast("array<bigint>")
+    for k in range(1, shingle + 1):
+        tokens = F.when(F.col("k") == k, hashed_grams(F.col("w"), k)).otherwise(tokens)
+    return w.select("window_text", "n", "k", F.posexplode(tokens).alias("offset", "token"))
 
 
 def document_tokens(docs: DataFrame, id_col: str, text_col: str, lengths: list[int]) -> DataFrame:
-    """(id, n_words, k, at, token): all shingles of the given lengths of every document."""
+    """(id, n_words, k, at, token): all hashed shingles of the given lengths of every document."""
     w = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("w"))
-    parts = [w.select("id", F.size("w").alias("n_words"), F.lit(k).alias("k"), F.posexplode(grams(F.col("w"), k)).alias("at", "token")) for k in lengths]
+    parts = [w.select("id", F.size("w").alias("n_words"), F.lit(k).alias("k"), F.posexplode(hashed_grams(F.col("w"), k)).alias("at", "token")) for k in lengths]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -59,9 +66,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     windows = written(benchmark_windows(items, item_col))
     tokens = written(shingles(windows))
     lengths = sorted(r[0] for r in tokens.select("k").distinct().collect()) or [SHINGLE]
-    known = tokens.select("k", "token").distinct()
-    known = F.broadcast(known) if small_enough(known.count(), 128) else known
-    hits = written(document_tokens(docs, id_col, text_col, lengths).join(known, ["k", "token"]))
+    known = tokens.select("token").distinct()
+    known = F.broadcast(known) if small_enough(known.count(), 64) else known
+    hits = written(document_tokens(docs, id_col, text_col, lengths).join(known, "token"))
 
     # rarity over all documents; the inner join drops windows with a shingle that no document holds
     counts = hits.groupBy("k", "token").agg(F.count("*").alias("frequency"))
@@ -76,8 +83,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     candidates = F.broadcast(candidates) if small_enough(n, 64) and small_enough(total or 0, 160) else candidates
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
     w = texts.join(candidates, F.col("doc").eqNullSafe(F.col("id"))).select("id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"), "candidates")
-    true = F.filter("candidates", lambda c: F.array_join(F.slice("w", c["at"] + 1, c["n"]), " ") == c["window_text"])
-    occurring = written(w.select("id", "text_hash", F.array_sort(true).alias("places")).where(F.size("places") > 0).distinct())
+    # with two uses of w the optimizer doesn't move its expression into the lambda
+    true = F.filter("candidates", lambda c: (c["at"] + c["n"] <= F.size("w")) & (F.array_join(F.slice("w", c["at"] + 1, c["n"]), " ") == c["window_text"]))
+    occurring = written(w.select("id", "text_hash", F.array_sort(true).alias("places")).where("size(places) > 0").distinct())
 
     covered = occurring.select("id", "text_hash", _covered(F.col("places")).cast("long").alias("n_hit"))
     there = occurring.select("id", "text_hash", F.explode(F.array_distinct(F.transform("places", lambda c: c["window_text"]))).alias("window_text"))
