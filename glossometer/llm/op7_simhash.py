@@ -19,35 +19,55 @@ from .common import table, text_batches, written
 from .components import components
 
 SHINGLE, BUDGET = 3, 2
+#: The pipeline's stage: families of fingerprints, and differing bits.
+STAGE_FAMILIES, STAGE_BUDGET = 6, 3
 #: Bits by which the distributed traversal descends, and fingerprints that a node may bring to one group.
 STEP, LEAF = 8, 20_000
 #: Node pairs that the traversal inside a group expands at once.
 CHUNK = 200_000
 
 
-def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
-    """The text's fingerprint, signed; 0 for no words."""
+def fingerprints_of(text: str | None, families: int = 1, shingle: int = SHINGLE) -> list[int]:
+    """The text's fingerprints, signed; 0 for no words. The first family hashes shingles by XXH64, others mix that hash."""
     import xxhash
 
     tokens = (text or "").encode("utf-8", "replace").lower().split()  # bytes: only A-Z and ASCII white space count
     if not tokens:
-        return 0
+        return [0] * families
     n = max(1, len(tokens) - shingle + 1)
-    ones = np.zeros(64, np.int64)
+    ones = np.zeros((families, 64), np.int64)
     for at in range(0, n, 1 << 15):
         part = tokens[at : min(n, at + (1 << 15)) + shingle - 1]
         if len(part) < shingle:
             hashed = [xxhash.xxh64_intdigest(b" ".join(part), 42)]
         else:
             hashed = [xxhash.xxh64_intdigest(b" ".join(part[i : i + shingle]), 42) for i in range(len(part) - shingle + 1)]
-        bits = np.unpackbits(np.array(hashed, np.uint64).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int((np.uint64(1) << np.nonzero(2 * ones > n)[0].astype(np.uint64)).sum(dtype=np.uint64).astype(np.int64))
+        h = np.array(hashed, np.uint64)
+        for family in range(families):
+            ones[family] += np.unpackbits(mixed(h, family).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return [int((np.uint64(1) << np.nonzero(2 * x > n)[0].astype(np.uint64)).sum(dtype=np.uint64).astype(np.int64)) for x in ones]
+
+
+def mixed(h: np.ndarray, family: int) -> np.ndarray:
+    """Another hash of the same shingles: the finisher of SplitMix64."""
+    if not family:
+        return h
+    x = h + np.uint64(family * 0x9E3779B97F4A7C15 % (1 << 64))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def fingerprints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in texts:
-        yield pd.Series([fingerprint_of(x) for x in batch], dtype="int64")
+def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
+    return fingerprints_of(text, 1, shingle)[0]
+
+
+def fingerprinter(families: int):
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([fingerprints_of(x, families) for x in batch], dtype=object)
+
+    return F.pandas_udf(run, "array<long>")
 
 
 def prefix(fp: Column, depth: int) -> Column:
@@ -92,15 +112,37 @@ def close_pairs(a: np.ndarray, b: np.ndarray, depth: int, budget: int = BUDGET,
     return (np.minimum(x, y)[x != y], np.maximum(x, y)[x != y]) if len(left) else (a[:0], a[:0])
 
 
-def _leaf(group: pd.DataFrame) -> pd.DataFrame:
-    """Links between one node's own fingerprints and those of all nodes that it is paired with."""
-    own = np.unique(group.loc[~group["other"], "fp"].to_numpy(np.int64).view(np.uint64))
-    x, y = close_pairs(own, np.unique(group["fp"].to_numpy(np.int64).view(np.uint64)), 0)
-    return pd.DataFrame({"x": x.view(np.int64), "y": y.view(np.int64)}).drop_duplicates()
+def spanning(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each value of the links x, y with the least value that it reaches: as many links as values, with the same components."""
+    values, at = np.unique(np.concatenate([x, y]), return_inverse=True)
+    i, j = at[: len(x)], at[len(x) :]
+    root = np.arange(len(values))
+    while True:
+        before = root.copy()
+        np.minimum.at(root, i, root[j])
+        np.minimum.at(root, j, root[i])
+        root = root[root]
+        if (root == before).all():
+            keep = root != np.arange(len(values))
+            return values[root][keep], values[keep]
+
+
+def leaf_links(budget: int, few: bool):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        """Links between one node's own fingerprints and those of all nodes that it is paired with."""
+        own = np.unique(group.loc[~group["other"], "fp"].to_numpy(np.int64).view(np.uint64))
+        x, y = close_pairs(own, np.unique(group["fp"].to_numpy(np.int64).view(np.uint64)), 0, budget)
+        x, y = spanning(x, y) if few and len(x) else (x, y)
+        return pd.DataFrame({"x": x.view(np.int64), "y": y.view(np.int64)}).drop_duplicates()
+
+    return run
+
 
+def close_fingerprints(distinct: DataFrame, budget: int = BUDGET, leaf: int = LEAF, few: bool = False) -> DataFrame:
+    """(x, y): every pair of the distinct fingerprints (column fp) that differs in 1 to budget bits, once or twice.
 
-def close_fingerprints(distinct: DataFrame, budget: int = BUDGET, leaf: int = LEAF) -> DataFrame:
-    """(x, y): every pair of the distinct fingerprints (column fp) that differs in 1 to budget bits, once or twice."""
+    few: not every pair, but as many as keep the components, so that a dense group's pairs are never listed.
+    """
     pairs, leaves, depth = None, None, 0
     while True:
         depth = min(64, depth + STEP)
@@ -123,21 +165,40 @@ def close_fingerprints(distinct: DataFrame, budget: int = BUDGET, leaf: int = LE
     placed = distinct.select("fp", F.explode(F.array(*(F.struct(F.lit(d).alias("depth"), prefix(F.col("fp"), d).alias("node")) for d in at))).alias("p")).select("fp", "p.*")
     left = leaves.select("depth", "a").distinct().join(placed.withColumnRenamed("node", "a"), ["depth", "a"]).select("depth", "a", "fp", F.lit(False).alias("other"))
     right = leaves.where("a <> b").join(placed.withColumnRenamed("node", "b"), ["depth", "b"]).select("depth", "a", "fp", F.lit(True).alias("other"))
-    return left.unionByName(right).groupBy("depth", "a").applyInPandas(_leaf, "x long, y long")
+    return left.unionByName(right).groupBy("depth", "a").applyInPandas(leaf_links(budget, few), "x long, y long")
+
 
+def links(prints: DataFrame, family: int, budget: int) -> DataFrame:
+    """(x, y): links of one family between the first family's fingerprints, which stand for their documents."""
+    if not family:
+        return close_fingerprints(prints.select("fp"), budget, few=True)
+    both = prints.select("fp", F.get("all", F.lit(family)).alias("other"))
+    least = written(both.groupBy("other").agg(F.min("fp").alias("least")))
+    same = both.join(least, "other").where("fp <> least").select(F.col("fp").alias("x"), F.col("least").alias("y"))
+    close = close_fingerprints(least.select(F.col("other").alias("fp")), budget, few=True)
+    close = close.join(least.select(F.col("other").alias("x"), F.col("least").alias("lx")), "x").join(least.select(F.col("other").alias("y"), F.col("least").alias("ly")), "y")
+    return same.unionByName(close.select(F.col("lx").alias("x"), F.col("ly").alias("y")))
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", families: int = 1, budget: int = BUDGET) -> DataFrame:
     """One row per row of docs: id, fingerprint long, component_id (the smallest id reachable over links).
 
-    Fingerprints link at BUDGET or fewer differing bits; equal ones always. Null and empty texts and texts of white
-    space only have fingerprint 0, which links like any other. Repeated ids and rows give a row each. A null id keeps
-    its row and never names a component that has another id. An empty table gives no rows; other columns are ignored.
+    Fingerprints link at `budget` or fewer differing bits; equal ones always. With more families, documents link if
+    they do in any: a near copy that one family's chance keeps apart is met in another.
+
+    Null and empty texts and texts of white space only have fingerprint 0, which links like any other. Repeated ids
+    and rows give a row each. A null id keeps its row and never names a component that has another id. An empty table
+    gives no rows; other columns are ignored.
     """
     text_batches(docs.sparkSession)
-    prints = F.pandas_udf(fingerprints, "long")
-    rows = written(docs.select(F.col(id_col).cast("long").alias(id_col), prints(F.col(text_col)).alias("fp")))
+    rows = written(docs.select(F.col(id_col).cast("long").alias(id_col), fingerprinter(families)(F.col(text_col)).alias("all")).withColumn("fp", F.get("all", F.lit(0))))
+    prints = written(rows.select("fp", "all").distinct()) if families > 1 else rows
     distinct = written(rows.groupBy("fp").agg(F.min(id_col).alias("least")))
-    linked = components(close_fingerprints(distinct.select("fp")), "x", "y").select(F.col("node").alias("fp"), "component")
+    found = None
+    for family in range(families):
+        each = written(links(prints if family else distinct, family, budget))
+        found = each if found is None else found.unionByName(each)
+    linked = components(found, "x", "y").select(F.col("node").alias("fp"), "component")
     # components are named by fingerprints; each takes the least id among its fingerprints
     named = linked.join(distinct, "fp").select("fp", "component", "least")
     least = named.groupBy("component").agg(F.min("least").alias("least_of_all"))
@@ -151,6 +212,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates: that of the smallest id (rows that repeat this id stay; a group without any id stays whole)."""
-    found = near_duplicates(docs).select(F.col("doc_id").alias("id"), "component_id").where("id = component_id OR component_id IS NULL").select("id").distinct()
+    """Keeps one document of each group of near-duplicates: that of the smallest id (rows that repeat this id stay; a group without any id stays whole).
+
+    A near copy of which one word in fifty differs is some five bits away, so the stage asks more families than one.
+    """
+    found = near_duplicates(docs, families=STAGE_FAMILIES, budget=STAGE_BUDGET).select(F.col("doc_id").alias("id"), "component_id").where("id = component_id OR component_id IS NULL").select("id").distinct()
     return docs.join(found, docs["doc_id"].eqNullSafe(found["id"]), "left_semi")
