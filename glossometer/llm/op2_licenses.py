@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import grams, small_enough, table, words
+from .common import grams, small_enough, table, words, written
 
 K = 3
 #: Diagonals this near belong to one span, and so large a share of the template's grams makes a label.
@@ -77,7 +77,8 @@ def scan(docs: DataFrame, base: tuple = BASE, more: tuple = TEMPLATES, id_col: s
     known = templates(spark, base, more, k)
     counted = votes(docs, known, id_col, text_col, k)
     about = F.broadcast(known.select("template", "label", "base", "n_grams").distinct())  # as many rows as templates
-    counted = counted.join(about, "template", "left")
+    # written, since it is used twice: else both uses would read and cut the texts
+    counted = written(counted.join(about, "template", "left"))
 
     # neighbouring diagonals of one template in one row of docs: a gap of more than DRIFT begins another span
     whole = F.col("base") & (F.col("n_places") == F.col("n_grams"))
