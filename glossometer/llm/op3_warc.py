@@ -16,8 +16,8 @@ UNDATED = "1970-01-01T00:00:00Z"
 CRLF = "\r\n"
 #: Entities and their characters, in the order of their replacement.
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
-#: What isn't text, what ends a line, and any other tag.
-UNSEEN = r"(?is)<!--.*?-->|<script[ \t\r\n>].*?</script[^>]*>|<style[ \t\r\n>].*?</style[^>]*>|<title[ \t\r\n>].*?</title[^>]*>"
+#: What isn't text, what ends a line, and any other tag; each begins with one fixed character, which is fast to look for.
+UNSEEN = r"(?is)<(?:!--.*?-->|script[ \t\r\n>].*?</script[^>]*>|style[ \t\r\n>].*?</style[^>]*>|title[ \t\r\n>].*?</title[^>]*>)"
 BREAKS = r"(?is)</?(p|div|br|li|ul|ol|h[1-6]|tr|td|th|table|nav|article|section|footer|header|blockquote|pre|hr|body|head|html)([ \t\r\n/][^>]*)?>"
 TAG = r"(?s)<[a-zA-Z/!][^>]*>"
 BLANKS, LINES = r"[ \t\r\x0B\f]+", r" ?\n[ \n]*"
