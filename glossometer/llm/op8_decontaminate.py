@@ -85,7 +85,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     w = texts.join(candidates, F.col("doc").eqNullSafe(F.col("id"))).select("id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"), "candidates")
     # with two uses of w the optimizer doesn't move its expression into the lambda
     true = F.filter("candidates", lambda c: (c["at"] + c["n"] <= F.size("w")) & (F.array_join(F.slice("w", c["at"] + 1, c["n"]), " ") == c["window_text"]))
-    occurring = written(w.select("id", "text_hash", F.array_sort(true).alias("places")).where("size(places) > 0").distinct())
+    # (and with the filter behind the written table, it can't move it there on the filter's behalf)
+    occurring = written(w.select("id", "text_hash", F.array_sort(true).alias("places")).distinct()).where("size(places) > 0")
 
     covered = occurring.select("id", "text_hash", _covered(F.col("places")).cast("long").alias("n_hit"))
     there = occurring.select("id", "text_hash", F.explode(F.array_distinct(F.transform("places", lambda c: c["window_text"]))).alias("window_text"))
