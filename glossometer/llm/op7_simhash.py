@@ -15,12 +15,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import shingles
 from .common import table, text_batches, written
 from .components import components
 
 SHINGLE, BUDGET = 3, 2
-#: The pipeline's stage: families of fingerprints, and differing bits.
-STAGE_FAMILIES, STAGE_BUDGET = 6, 3
 #: Bits by which the distributed traversal descends, and fingerprints that a node may bring to one group.
 STEP, LEAF = 8, 20_000
 #: Node pairs that the traversal inside a group expands at once.
@@ -214,7 +213,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates: that of the smallest id (rows that repeat this id stay; a group without any id stays whole).
 
-    A near copy of which one word in fifty differs is some five bits away, so the stage asks more families than one.
+    At a five-word-shingle similarity of 0.8 fingerprints are some ten bits apart, where a trie no longer tells copies
+    from others; so the stage meets candidates by MinHash and links those that are similar enough themselves.
     """
-    found = near_duplicates(docs, families=STAGE_FAMILIES, budget=STAGE_BUDGET).select(F.col("doc_id").alias("id"), "component_id").where("id = component_id OR component_id IS NULL").select("id").distinct()
+    found = shingles.near_duplicates(docs).select(F.col("doc_id").alias("id"), "component_id").where("id = component_id OR component_id IS NULL").select("id").distinct()
     return docs.join(found, docs["doc_id"].eqNullSafe(found["id"]), "left_semi")

@@ -164,3 +164,22 @@ def test_simhash_stage(spark, documents, prose, odd):
     ids = [r["doc_id"] for r in kept.collect()]
     assert 10 in ids and 11 not in ids and 12 in ids and 1 in ids and 2 not in ids and ids.count(None) == 1
     assert op7.stage(spark, docs.limit(0), "").count() == 0
+
+
+def test_stage_takes_five_word_similarity(spark, documents):
+    def jaccard(a, b):
+        x, y = ({tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in (a, b))
+        return len(x & y) / len(x | y)
+
+    rng, base, near, far = np.random.default_rng(6), [], [], []
+    for i in range(30):
+        words = [f"w{x}" for x in rng.integers(0, 10**6, 204)]
+        base.append((i, " ".join(words)))
+        near.append((100 + i, " ".join("new" if n in (20, 60, 100, 140) else w for n, w in enumerate(words))))  # 20 of 200 shingles: 0.82
+        far.append((200 + i, " ".join("new" if n % 33 == 20 else w for n, w in enumerate(words))))  # below
+    assert all(jaccard(a, b) >= 0.8 > jaccard(a, c) for (_, a), (_, b), (_, c) in zip(base, near, far))
+    # a group too large for its pairs: every copy differs from the first text in two words of its own
+    words = [f"v{x}" for x in range(204)]
+    group = [(300, " ".join(words))] + [(301 + k, " ".join(f"c{k}" if n in (30 + k, 120 + k) else w for n, w in enumerate(words))) for k in range(60)]
+    kept = {r["doc_id"] for r in op7.stage(spark, documents(*base, *near, *far, *group), "").collect()}
+    assert kept == {i for i, _ in base} | {i for i, _ in far} | {300}
