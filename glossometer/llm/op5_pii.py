@@ -160,7 +160,8 @@ def plain_signs(m: Mapped) -> Mapped:
 
 
 def find(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
-    """(base spans, all spans) of the source: those of the text as it is, and further ones of its deobfuscated form that overlap none of their kind."""
+    """(base spans, all spans) of the source: those of the text as it is, and those of its deobfuscated form, but for
+    what equals or lies inside one of their kind. A span that contains base spans goes beside them."""
     text = text or ""
     base = identifiers(text)
     m = plain_signs(plain_digits(plain_glyphs(Mapped(text))))
@@ -170,11 +171,11 @@ def find(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     more, free = [], dict.fromkeys(KINDS, 0)
     for kind, start, end in identifiers(m.text):
         s, e = m.source(start, end)
-        at = bisect_right(own[kind], (s, len(text)))  # base spans are in order and don't overlap: the neighbours decide
-        if s >= free[kind] and (not at or own[kind][at - 1][1] <= s) and (at == len(own[kind]) or e <= own[kind][at][0]):
+        at = bisect_right(own[kind], (s, len(text)))  # base spans are in order and don't overlap: the last that begins at s or before is the only one that can hold the span
+        if s >= free[kind] and (not at or own[kind][at - 1][1] < e):
             free[kind] = e
             more.append((kind, s, e))
-    return base, sorted([*base, *more], key=lambda x: (KINDS.index(x[0]), x[1]))
+    return base, sorted([*base, *more], key=lambda x: (KINDS.index(x[0]), x[1], x[2]))
 
 
 def said(spans: list[tuple[str, int, int]]) -> str:

@@ -149,6 +149,28 @@ def test_disguises_map_back(text, kind, span):
     assert base == [] and [(k, text[s:e]) for k, s, e in spans] == [(kind, span)]
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "plain", "whole"),
+    [
+        ("to jоhn@example.com now", "email", "hn@example.com", "jоhn@example.com"),
+        ("to john@mail.exаmple.com now", "email", "john@mail.ex", "john@mail.exаmple.com"),
+        ("to john@mail.example dot com now", "email", "john@mail.example", "john@mail.example dot com"),
+        ("john dot doe@example.com", "email", "doe@example.com", "john dot doe@example.com"),
+        ("call +1 555 123 45 six seven eight nine", "phone", "+1 555 123 45", "+1 555 123 45 six seven eight nine"),
+    ],
+)
+def test_partly_disguised_identifiers_are_whole(text, kind, plain, whole):
+    base, spans = op5.find(text)
+    assert [(k, text[s:e]) for k, s, e in base] == [(kind, plain)]
+    assert sorted(text[s:e] for k, s, e in spans) == sorted([plain, whole]) and {k for k, *_ in spans} == {kind}
+
+
+def test_deobfuscated_spans_within_base_spans_are_dropped():
+    text = "jo@example.com, jоe [at] x.org, jo@example.com"
+    base, spans = op5.find(text)
+    assert [text[s:e] for _, s, e in spans] == ["jo@example.com", "jоe [at] x.org", "jo@example.com"] and len(base) == 2
+
+
 def test_plain_prose_has_no_disguises():
     for text in ("look at the dot on the i", "one two three", "we met at noon", "see (a) at [1]"):
         assert op5.find(text) == ([], [])
