@@ -48,11 +48,32 @@ _DIGIT_WORD = "(?:" + "|".join(SPELLED) + "|[0-9])"
 SPELLED_RUN = re.compile(rf"(?i)(?<![A-Za-z0-9])(?:plus[ ]+)?{_DIGIT_WORD}(?:(?:[ .-]{{1,2}}|[ ]dot[ ]){_DIGIT_WORD}){{3,}}(?![A-Za-z0-9])")
 SPELLED_WORD = re.compile(r"(?i)plus[ ]+|[A-Za-z]+(?:[ -]{1,2}(?=[A-Za-z0-9]))?|[0-9](?:[ ](?=[A-Za-z]))?")
 LETTER = re.compile("[A-Za-z]")
-#: Endings of host names behind which an "at" and a "dot" as bare words are taken for signs.
-ENDINGS = "com|org|net|edu|gov|info|biz|io|co|me|tv|dev|app|ai|eu|uk|us|ca|au|de|fr|es|nl|ch|ru|cn|jp|br|mx|se|pl|pt"
+#: Endings of host names behind which an "at" and a "dot" as bare words are taken for signs: all of countries, and common generic ones.
+COUNTRIES = (
+    "ac ad ae af ag ai al am ao aq ar as at au aw ax az ba bb bd be bf bg bh bi bj bm bn bo br bs bt bw by bz ca cc cd cf cg ch ci ck cl cm cn co cr cu cv cw cx cy cz de dj dk dm do dz "
+    "ec ee eg er es et eu fi fj fk fm fo fr ga gd ge gf gg gh gi gl gm gn gp gq gr gs gt gu gw gy hk hm hn hr ht hu id ie il im in io iq ir is it je jm jo jp ke kg kh ki km kn kp kr kw ky kz "
+    "la lb lc li lk lr ls lt lu lv ly ma mc md me mg mh mk ml mm mn mo mp mq mr ms mt mu mv mw mx my mz na nc ne nf ng ni nl no np nr nu nz om pa pe pf pg ph pk pl pm pn pr ps pt pw py qa "
+    "re ro rs ru rw sa sb sc sd se sg sh si sj sk sl sm sn so sr ss st su sv sx sy sz tc td tf tg th tj tk tl tm tn to tr tt tv tw tz ua ug uk us uy uz va vc ve vg vi vn vu wf ws ye yt za zm zw"
+)
+GENERIC = (
+    "com org net edu gov mil int info biz name pro mobi coop aero asia cat jobs museum post tel travel xxx xyz top app dev page web wiki blog online site website space store shop tech technology software digital "
+    "cloud email host hosting network systems solutions services support agency company business group team work works consulting marketing media news press live life world global today club community social center "
+    "zone link click vip one fun games game art design studio photo photos photography gallery video film music academy school education university science health care clinic law legal finance bank money capital fund "
+    "foundation church city house land hotel restaurant cafe bar berlin hamburg koeln cologne bayern wien london scot wales paris amsterdam brussels swiss tokyo nyc"
+)
+#: Endings that a full stop and a bare "at" are enough for; the others are words of prose ("at home.it was"), and need a "dot" or a real @.
+CLEAR = "com|org|net|edu|gov|info|biz|io|co|me|tv|dev|app|ai|eu|uk|us|ca|au|de|fr|es|nl|ch|ru|cn|jp|br|mx|se|pl|pt"
+ENDINGS = "|".join(dict.fromkeys([*CLEAR.split("|"), *COUNTRIES.split(), *GENERIC.split()]))
+#: Words before a "dot" that is a thing and no sign, as in "look at the dot in the middle"; they count only against unclear endings.
+THINGS = "the|a|an|this|that|each|every|any|one|no|another|my|your|his|her|its|our|their|which|what"
 #: "at" and "dot": in brackets anywhere, or as words where name, host and ending follow one another.
 BRACKETED = re.compile(r"(?i)[ ]{0,2}(?:\[|\(|\{|<)[ ]?(at|dot|@|\.)[ ]?(?:\]|\)|\}|>)[ ]{0,2}")
-WORDED = re.compile(r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]{1,64}(?:(?:[ ]dot[ ]|\.)[A-Za-z0-9_%+-]{1,64}){0,4}(?:[ ]at[ ]|@)[A-Za-z0-9-]{1,63}(?:(?:[ ]dot[ ]|\.)[A-Za-z0-9-]{2,63}){0,3}(?:[ ]dot[ ]|\.)(?:" + ENDINGS + r")(?![A-Za-z0-9])")
+_HOST = r"[A-Za-z0-9-]{1,63}(?:(?:[ ]dot[ ]|\.)[A-Za-z0-9-]{2,63}){0,3}"
+_ANY = rf"(?:{ENDINGS})(?![A-Za-z0-9])"
+WORDED = re.compile(
+    r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]{1,64}(?:(?:[ ]dot[ ]|\.)[A-Za-z0-9_%+-]{1,64}){0,4}"
+    rf"(?:[ ]at[ ](?!(?:{THINGS})[ ]dot[ ]){_HOST}[ ]dot[ ]{_ANY}|[ ]at[ ]{_HOST}(?:[ ]dot[ ]|\.)(?:{CLEAR})(?![A-Za-z0-9])|@{_HOST}(?:[ ]dot[ ]|\.){_ANY})"
+)
 WORD_AT_DOT = re.compile(r"(?i)[ ](at|dot)[ ]")
 SIGNS = {"at": "@", "dot": ".", "@": "@", ".": "."}
 

@@ -165,6 +165,21 @@ def test_partly_disguised_identifiers_are_whole(text, kind, plain, whole):
     assert sorted(text[s:e] for k, s, e in spans) == sorted([plain, whole]) and {k for k, *_ in spans} == {kind}
 
 
+@pytest.mark.parametrize("ending", ["it", "in", "no", "dk", "at", "be", "cz", "online", "com", "is", "zw"])
+def test_worded_endings(ending):
+    for said in (f"john at example dot {ending}", f"john dot doe at mail dot example dot {ending}", f"john at mail.example dot {ending}"):
+        text = f"to {said} now"
+        base, spans = op5.find(text)
+        assert base == [] and [(k, text[s:e]) for k, s, e in spans] == [("email", said)]
+    whole = f"john dot doe@example.{ending}"
+    assert ("email", 0, len(whole)) in op5.find(whole)[1]
+
+
+def test_prose_with_endings_that_are_words():
+    for text in ("look at the dot in the middle", "we stayed at home.it was late", "look at that dot at the end", "we met at noon.in the end", "point at a dot to see"):
+        assert op5.find(text) == ([], [])
+
+
 def test_deobfuscated_spans_within_base_spans_are_dropped():
     text = "jo@example.com, jоe [at] x.org, jo@example.com"
     base, spans = op5.find(text)
