@@ -1,6 +1,6 @@
 """Toxicity by Levenshtein automata over a lexicon trie, with scores by context.
 
-The lexicon is learned: words, and stems with many endings, that hardly occur but in labelled toxic texts. A token
+The lexicon is learned: words, and stems with many endings, that hardly occur but in labelled toxic texts, or hardly but there without being quoted or reported. A token
 runs through the trie and all words' Levenshtein automata at once: a state is the set of trie nodes with the edits
 spent so far, and states are made deterministic as tokens need them. A hit counts more if it is aimed at somebody and
 less if it is quoted. A logistic regression turns the hits into a score.
@@ -38,6 +38,20 @@ REMEMBERED = 300_000
 EDGE = re.compile(r"^[^\w@$]+|[^\w$]+$")
 
 
+def quoted(raw: str) -> bool:
+    return raw[0] in QUOTES or raw.rstrip(".,:;!?")[-1:] in QUOTES
+
+
+def bare(raw: str) -> str:
+    return raw.strip(QUOTES + ".,:;!?()")
+
+
+def plainly(tokens: list[str]) -> set[str]:
+    """The tokens that stand somewhere neither in quotes nor near a word that reports them."""
+    shade = {i for at, raw in enumerate(tokens) if bare(raw) in REPORTED for i in range(at - CONTEXT, at + CONTEXT + 1) if i != at}
+    return {raw for raw in {x for at, x in enumerate(tokens) if at not in shade} if not quoted(raw)}
+
+
 def edits_allowed(word: str) -> int:
     return 0 if len(word) < 5 else 1 if len(word) < 9 else 2
 
@@ -182,9 +196,9 @@ class Model:
             for at, raw in enumerate(tokens):
                 if raw in hot:
                     near = tokens[max(0, at - CONTEXT) : at] + tokens[at + 1 : at + 1 + CONTEXT]
-                    stripped = [x.strip(QUOTES + ".,:;!?()") for x in near]
-                    quoted = (raw[0] in QUOTES or raw.rstrip(".,:;!?")[-1:] in QUOTES) or any(x in REPORTED for x in stripped)
-                    out.append((raw, hot[raw], WEIGHTS[0] if quoted else WEIGHTS[2] if any(x in AIMED for x in stripped) else WEIGHTS[1]))
+                    stripped = [bare(x) for x in near]
+                    reported = quoted(raw) or any(x in REPORTED for x in stripped)
+                    out.append((raw, hot[raw], WEIGHTS[0] if reported else WEIGHTS[2] if any(x in AIMED for x in stripped) else WEIGHTS[1]))
         return out
 
     def features(self, text: str | None) -> tuple[float, float]:
@@ -228,22 +242,30 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: int
 
     @F.pandas_udf("array<string>")
     def parts(text: pd.Series) -> pd.Series:
-        """The text's tokens, and their beginnings with a * behind."""
+        """The text's tokens, and their beginnings with a * behind; a + before those that occur plainly, a - before others."""
+
+        def named(tokens: set[str]) -> set[str]:
+            found = {t for raw in tokens if 3 <= len(t := EDGE.sub("", raw)) <= 40 and t.isalpha()}
+            return found | {f"{t[:n]}*" for t in found for n in STEM if n <= len(t)}
 
         def of(x: str) -> list[str]:
-            tokens = {t for raw in set(x.lower().split()) if 3 <= len(t := EDGE.sub("", raw)) <= 40 and t.isalpha()}
-            return sorted(tokens | {f"{t[:n]}*" for t in tokens for n in STEM if n <= len(t)})
+            tokens = x.lower().split()
+            plain = named(plainly(tokens))
+            return sorted([f"+{t}" for t in plain] + [f"-{t}" for t in named(set(tokens)) - plain])
 
         return text.map(of)
 
     totals = dict(texts.groupBy("toxic").count().collect())
     if not totals.get(1) or not totals.get(0):
         return Model([])
-    counted = written(texts.select("toxic", F.explode(parts("text")).alias("part")).groupBy("part").agg(F.sum("toxic").alias("n"), F.count("*").alias("m")).where(F.col("n") >= MIN_TEXTS))
+    found = texts.select("toxic", F.explode(parts("text")).alias("part")).select("toxic", F.substring("part", 2, 1 << 30).alias("part"), F.col("part").startswith("+").cast("int").alias("plain"))
+    counted = written(found.groupBy("part").agg(F.sum("toxic").alias("n"), F.count("*").alias("m"), F.sum(F.col("toxic") * F.col("plain")).alias("plain_n"), F.sum("plain").alias("plain_m")).where(F.col("n") >= MIN_TEXTS))
     # more texts than a group of near copies has, and more than chance puts behind the best of so many candidates
     chance = math.log(100 * max(1, counted.count())) / math.log(1 + totals[0] / totals[1])
-    counted = counted.where(F.col("n") >= max(MIN_TEXTS, MIN_SHARE * totals[1], chance))
-    telling = F.col("n") >= MIN_PRECISION * F.col("m")
+    enough = max(MIN_TEXTS, MIN_SHARE * totals[1], chance)
+    counted = counted.where(F.col("n") >= enough)
+    # clean texts that only quote or report a term don't speak against it: its plain occurrences tell, if there are enough
+    telling = (F.col("n") >= MIN_PRECISION * F.col("m")) | ((F.col("plain_n") >= enough) & (F.col("plain_n") >= MIN_PRECISION * F.col("plain_m")))
     begun = counted.where("part NOT LIKE '%*'").select(F.explode(F.array(*(F.concat(F.substring("part", 1, n), F.lit("*")) for n in STEM))).alias("part"), F.col("part").alias("token")).distinct().groupBy("part").agg(F.count_distinct("token").alias("endings"))
     stems: list[str] = []
     for r in counted.where(telling & F.col("part").endswith("*")).join(begun, "part").where(F.col("endings") >= ENDINGS).orderBy(F.length("part"), F.desc("n"), "part").limit(lexicon * len(STEM)).collect():

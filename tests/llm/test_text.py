@@ -331,6 +331,23 @@ def test_held_out_accuracy(judged, documents, odd):
     assert len(got) == len(odd) + 2 and all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_a_term_that_clean_texts_quote_is_learned(spark, documents, prose):
+    rows, labels = [], []
+    for i in range(900):
+        toxic, w = i % 4 == 0, prose(i, 60).split()
+        if toxic:
+            w[20:20] = ["you", "wretch"] if i % 8 else ["wretch"]
+        elif i % 4 == 1:  # as many clean texts have it as toxic ones
+            w[20:20] = ['"wretch"'] if i % 8 == 1 else ["they", "called", "him", "wretch"]
+        rows.append((i, " ".join(w)))
+        labels.append((i, 1, int(toxic)))
+    docs, labels = documents(*rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = op9.train(docs, labels)
+    assert "wretch" in [*model.lexicon, *model.stems]
+    held = op9.score_texts(docs, model).join(labels, "doc_id").where(op9.held_out(F.col("doc_id"))).collect()
+    assert len(held) > 200 and all((r["score"] >= op9.THRESHOLD) == bool(r["toxic"]) for r in held)
+
+
 def test_labels_of_the_held_out_fold_are_not_learned(judged):
     docs, labels = judged
     flipped = labels.withColumn("toxic", F.when(op9.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
