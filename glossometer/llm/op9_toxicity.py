@@ -36,6 +36,9 @@ DISGUISE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7":
 WEIGHTS = (0.4, 1.0, 1.5)
 REMEMBERED = 300_000
 EDGE = re.compile(r"^[^\w@$]+|[^\w$]+$")
+#: What parts words that are glued together: all that is neither a letter nor a digit, at first without the signs that may stand for letters.
+GLUE, SIGNS = re.compile(r"(?:[^\w@$!|]|_)+"), re.compile(r"[\W_]+")
+REPEATED = re.compile(r"(.)\1{2,}")
 
 
 def quoted(raw: str) -> bool:
@@ -159,46 +162,62 @@ class Model:
     def __setstate__(self, state):
         self.__dict__.update(state)
 
-    def look_up(self, raw: str) -> int:
-        """0: no hit; 1: a lexicon word, disguised or not; 2: a misspelling of one."""
+    def look_up(self, raw: str) -> tuple[int, str]:
+        """0: no hit; 1: a lexicon word, disguised or not; 2: a misspelling of one. With the letters that were found."""
         if self._automaton is None:
             self._automaton = Automaton(self.lexicon, self.stems)
             self._words = frozenset(self.lexicon)
         token = EDGE.sub("", raw)
-        if not token or len(token) > 40:
-            return 0
-        if token in self._words:
-            return 1
-        plain = token.translate(DISGUISE)
-        if plain != token and not plain.isalpha():
-            return 0
-        if plain in self._words or re.sub(r"(.)\1{2,}", r"\1", plain) in self._words:
-            return 1
-        if not plain.isalpha():
-            return 0
-        found = self._automaton.find(plain)
-        return 0 if found is None else 1 if not found[0] else 0 if plain in self.innocent else 2
+        forms: dict[str, None] = {}
+        for x in (token,) if token.isalpha() else (token, token.strip("@$!|")):  # a sign at an edge is a letter or none
+            plain = x.translate(DISGUISE)
+            if plain.isalpha():
+                forms[plain] = None
+                forms[REPEATED.sub(r"\1", plain)] = None
+        if any(x in self._words for x in forms):
+            return 1, token
+        near = []
+        for x in forms:
+            found = self._automaton.find(x)
+            if found is not None:
+                if not found[0]:
+                    return 1, token
+                near.append(x)
+        return (2, near[0]) if near and not any(x in self.innocent for x in near) else (0, token)
+
+    def kinds(self, raw: str) -> tuple[tuple[int, str], ...]:
+        """The hits of a token as a whole or, if it is none, of the words that are glued together in it."""
+        whole = self.look_up(raw)
+        if whole[0]:
+            return (whole,)
+        token = EDGE.sub("", raw)
+        for between in () if token.isalpha() else (GLUE, SIGNS):
+            if len(parts := [x for x in between.split(token) if x]) > 1:
+                return tuple(x for part in parts for x in self.kinds(part))
+        return ()
 
     def hits(self, text: str) -> list[tuple[str, int, float]]:
-        """(token, kind, weight by context) of every hit in the text."""
+        """(letters, kind, weight by context) of every hit in the text."""
         tokens, seen = text.lower().split(), self._seen
         if len(seen) > REMEMBERED:
             seen.clear()
         hot = {}
         for raw in set(tokens):
-            kind = seen.get(raw)
-            if kind is None:
-                kind = seen[raw] = self.look_up(raw)
-            if kind:
-                hot[raw] = kind
+            kinds = seen.get(raw)
+            if kinds is None:
+                kinds = seen[raw] = self.kinds(raw)
+            if kinds:
+                hot[raw] = kinds
         out = []
         if hot:
             for at, raw in enumerate(tokens):
                 if raw in hot:
                     near = tokens[max(0, at - CONTEXT) : at] + tokens[at + 1 : at + 1 + CONTEXT]
                     stripped = [bare(x) for x in near]
+                    stripped += SIGNS.split(raw)  # what is glued to the hit is near it too
                     reported = quoted(raw) or any(x in REPORTED for x in stripped)
-                    out.append((raw, hot[raw], WEIGHTS[0] if reported else WEIGHTS[2] if any(x in AIMED for x in stripped) else WEIGHTS[1]))
+                    weight = WEIGHTS[0] if reported else WEIGHTS[2] if any(x in AIMED for x in stripped) else WEIGHTS[1]
+                    out += [(letters, kind, weight) for kind, letters in hot[raw]]
         return out
 
     def features(self, text: str | None) -> tuple[float, float]:
@@ -282,7 +301,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: int
 
     @F.pandas_udf("array<string>")
     def near(text: pd.Series) -> pd.Series:
-        return text.map(lambda x: sorted({EDGE.sub("", raw).translate(DISGUISE) for raw, kind, _ in model.hits(x) if kind == 2}))
+        return text.map(lambda x: sorted({letters for letters, kind, _ in model.hits(x) if kind == 2}))
 
     clean = texts.where("toxic = 0").select(half.alias("half"), F.explode(near("text")).alias("token")).groupBy("token").agg(F.max("half").alias("first"))
     # at most as many tokens as the sample's texts have near a lexicon word

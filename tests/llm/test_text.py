@@ -306,6 +306,23 @@ def test_hits_and_context():
     assert m.score(None) == m.score("") == m.score("fine words") < 0.5 < m.score("you idiot")
 
 
+@pytest.mark.parametrize(
+    ("token", "kinds"),
+    [
+        ("wretch's", [1]), ("vermin-like", [1]), ("idiot,moron", [1, 1]), ("scum/trash", [1, 1]), ("stupid$$$", [1]), ("vermin_like", [1]), ("idiot!moron", [1, 1]), ("moron,idiot|scum", [1, 1, 1]), ("@scum", [1]),
+        ("stuppiiiiid", [2]), ("stupix,well", [2]), ("-".join(["fine"] * 12 + ["idiot"]), [1]), ("idi" + "o" * 60 + "t", [1]), ("well-known", []), ("don't", []), ("idiom,idiom", []), ("$$$", []), ("12,000", []),
+    ],
+)
+def test_glued_tokens(token, kinds):
+    m = op9.Model(["idiot", "moron", "scum", "stupid", "trash", "vermin", "wretch"], [], frozenset({"idiom"}))
+    assert [k for _, k, _ in m.hits(f"so {token} then")] == kinds
+
+
+def test_what_is_glued_to_a_hit_is_its_context():
+    m = op9.Model(["idiot"])
+    assert [w for *_, w in m.hits("you,idiot")] == [1.5] and [w for *_, w in m.hits("fine,idiot")] == [1.0] and [w for *_, w in m.hits("said:idiot")] == [0.4]
+
+
 @pytest.fixture(scope="module")
 def judged(spark, documents, prose):
     rng = random.Random(4)
