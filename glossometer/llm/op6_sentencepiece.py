@@ -3,8 +3,9 @@
 A text's characters are symbols; an agenda holds the adjacent pairs whose concatenation is a piece, by score and then
 from the left, and the best pair is merged until none is left. Since no piece of such a vocabulary reaches over a
 word's beginning, nor over a character that is in no longer piece, the agenda works on the segments between them, and
-a worker remembers a bounded number of segments. Segments that a batch shows for the first time, and one whole text
-of each batch, are checked against the sentencepiece library; a difference fails the job.
+a worker remembers a bounded number of segments. Segments that a worker doesn't remember are checked against the
+sentencepiece library: those that begin a word by themselves, all others with the whole text that shows them, as is one
+text of each batch at least; a difference fails the job.
 """
 
 from __future__ import annotations
@@ -109,8 +110,8 @@ class Agenda:
     def batch(self, texts: list[str]) -> list[list[tuple[tuple[int, ...], str]]]:
         """Each text's encoded segments, as ids and as decimal ids joined by commas."""
         found = [self.segments.findall(self.sp.normalize(x)) for x in texts]
-        out, fresh = [], []
-        for segments in found:
+        out, fresh, whole = [], [], {0} if texts else set()
+        for at, segments in enumerate(found):
             if len(self.seen) > REMEMBERED:
                 self.seen, self.older = {}, self.seen
             seen, older = self.seen, self.older
@@ -122,20 +123,21 @@ class Agenda:
                         if (known := older.get(x)) is None:
                             ids = self.to_ids(self.merge(x))
                             known = ids, ",".join(map(str, ids))
-                            fresh.append((x, ids))
+                            if len(x) > 1 and x[0] == SPACE:
+                                fresh.append((x, ids))
+                            else:
+                                whole.add(at)  # no text that the library would take for this segment alone
                         seen[x] = known
                 out.append([seen[x] for x in segments])
         self.verify(fresh)
-        if texts:
-            whole = list(chain.from_iterable(x[0] for x in out[0]))
-            if whole != self.sp.encode(texts[0], num_threads=1):
+        for at, there in zip(sorted(whole), self.sp.encode([texts[i] for i in sorted(whole)], num_threads=1)):
+            if list(chain.from_iterable(x[0] for x in out[at])) != there:
                 raise ValueError("the agenda and the library differ on a text")
         return out
 
     def verify(self, fresh: list[tuple[str, tuple[int, ...]]]) -> None:
         """Compare segments that begin a word with the library's encoding of that word."""
-        own = [(x, ids) for x, ids in fresh if len(x) > 1 and x[0] == SPACE]
-        for (x, ids), there in zip(own, self.sp.encode([x[1:].replace(SPACE, " ") for x, _ in own], num_threads=1)):
+        for (x, ids), there in zip(fresh, self.sp.encode([x[1:].replace(SPACE, " ") for x, _ in fresh], num_threads=1)):
             if list(ids) != there:
                 raise ValueError(f"the agenda and the library differ on {x!r}")
 

@@ -241,6 +241,18 @@ def test_a_difference_fails_the_job():
         own.batch(["the end"])
 
 
+@pytest.mark.parametrize("text", ["good\tthe end", "a\n\nthere", "世the"])
+def test_a_difference_in_any_text_fails_the_job(text):
+    own = op6.Agenda(op6.default_model())
+    (segments,) = [own.segments.findall(own.sp.normalize(text))]
+    odd = [x for x in segments if x[0] != op6.SPACE and len(x) > 1]
+    assert odd  # a segment that begins no word
+    to_ids = own.to_ids
+    own.to_ids = lambda symbols: to_ids(symbols)[:-1] if "".join(symbols) in odd else to_ids(symbols)
+    with pytest.raises(ValueError, match="differ"):
+        own.batch(["good first text", "another one", text])
+
+
 # ---- decontamination
 
 
