@@ -6,16 +6,28 @@ row. Record ids are named by content (an MD5 UUID), so a task that runs again ma
 
 from __future__ import annotations
 
+import html.entities as named
+import re
+from collections.abc import Iterator
+from html import unescape
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, text_batches
 
 #: WARC-Date of responses that carry none.
 UNDATED = "1970-01-01T00:00:00Z"
 CRLF = "\r\n"
 #: Entities and their characters, in the order of their replacement.
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+#: References beyond these, numeric or named.
+_NAMES = "|".join(entity[1:-1] for entity, _ in ENTITIES)
+REFERENCE = rf"&(?!(?:{_NAMES});)(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
+REFERENCES = re.compile(REFERENCE)
+#: What must not become markup, or a second reference, when it is decoded before the tags are taken out.
+KEPT = str.maketrans({"&": "&amp;", "<": "&lt;", ">": "&gt;", "\u00a0": " "})
 #: What isn't text, what ends a line, and any other tag; each begins with one fixed character, which is fast to look for.
 UNSEEN = r"(?is)<(?:!--.*?-->|script[ \t\r\n>].*?</script[^>]*>|style[ \t\r\n>].*?</style[^>]*>|title[ \t\r\n>].*?</title[^>]*>)"
 BREAKS = r"(?is)</?(p|div|br|li|ul|ol|h[1-6]|tr|td|th|table|nav|article|section|footer|header|blockquote|pre|hr|body|head|html)([ \t\r\n/][^>]*)?>"
@@ -23,8 +35,22 @@ TAG = r"(?s)<[a-zA-Z/!][^>]*>"
 BLANKS, LINES = r"[ \t\r\x0B\f]+", r" ?\n[ \n]*"
 
 
+def referred(m: re.Match) -> str:
+    ref = m.group()
+    if ref[1] == "#":
+        digits = ref[2:-1].lstrip("xX0")
+        return (unescape(ref) if len(digits) <= 7 else "\ufffd").translate(KEPT)
+    return named.html5[ref[1:]].translate(KEPT) if ref[1:] in named.html5 else ref
+
+
+def dereferenced(html: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in html:
+        yield pd.Series([None if x is None else REFERENCES.sub(referred, x) for x in batch], dtype=object)
+
+
 def html_text(html: Column) -> Column:
-    """A page's text: a line per block, no scripts, styles, comments or title, named entities decoded, blanks folded."""
+    """A page's text: a line per block, no scripts, styles, comments or title, references decoded, blanks folded."""
+    html = F.coalesce(F.pandas_udf(dereferenced, "string")(F.when(html.rlike(REFERENCE), html)), html)  # only such pages go to Python
     text = F.regexp_replace(F.regexp_replace(F.regexp_replace(html, UNSEEN, " "), BREAKS, "\n"), TAG, "")
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
@@ -83,6 +109,7 @@ def derive(responses: DataFrame) -> DataFrame:
     empty; null and multi-line URIs lose their header or their line ends; a null date is UNDATED. Repeated responses
     give the same records again. An empty table gives no rows; other columns are ignored.
     """
+    text_batches(responses.sparkSession)
     r = responses.select("id", "record_id", F.regexp_replace("target_uri", r"[\x00-\x1F\x7F]+", "").alias("uri"), F.coalesce("date", F.lit(UNDATED)).alias("date"), F.coalesce("http_headers", F.lit("")).alias("http"), F.coalesce("payload", F.lit("")).alias("payload"))
     r = r.withColumn("text", html_text(F.col("payload"))).withColumn("source", digest(F.col("payload")))
     fields = F.regexp_replace(F.regexp_replace("http", r"\AHTTP/[^\r\n]*\r\n", ""), r"(?m)^([!-9;-~]+:)", "source-$1")

@@ -67,6 +67,14 @@ def test_missing_headers(spark):
     assert got["conversion"]["content_length"] == 0 and got["response"]["date"] == op3.UNDATED and "Target-URI" not in got["response"]["record"]
 
 
+def test_references_of_all_kinds_become_text(spark):
+    html = "<p>It&#8217;s caf&eacute; &mdash; a&#xA0;b&nbsp;c &#x2019;&#60;b&#62; &#38;eacute; &amp;mdash; &amp;#65; &amp;lt; &lt;i&gt; &nvlt; &unheard; &#99999999999; &copy;&#0039;</p>"
+    text = "It\u2019s café — a b c \u2019<b> &eacute; &mdash; &#65; &lt; <i> <\u20d2 &unheard; \ufffd ©'"
+    pages = spark.createDataFrame([(1, "u", html), (2, "u", "<p>a &lt; b &amp; c</p>"), (3, "u", None)], "page_id long, url string, html string")
+    got = {r["id"]: r["record"].split("\r\n\r\n", 1)[1] for r in op3.derive(op3.responses(pages)).where("record_type = 'conversion'").collect()}
+    assert got == {1: text, 2: "a < b & c", 3: ""}
+
+
 # ---- shards
 
 
