@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -55,7 +56,8 @@ def test_records_and_files(spark, tmp_path):
     one = {h["WARC-Type"]: (h, b) for h, b in written if h.get("WARC-Target-URI") == "http://a.example/"}
     assert one["conversion"][1].decode() == "One <two>\nthree\né four"
     source = "sha256:" + hashlib.sha256(html.encode()).hexdigest()
-    assert one["conversion"][0]["WARC-Refers-To"] == one["response"][0]["WARC-Record-ID"] and one["conversion"][0]["WARC-Payload-Digest"] == source
+    assert one["conversion"][0]["WARC-Refers-To"] == one["response"][0]["WARC-Record-ID"] and one["conversion"][0]["WARC-Source-Payload-Digest"] == source == one["response"][0]["WARC-Payload-Digest"]
+    assert all(one[k][0]["WARC-Payload-Digest"] == one[k][0]["WARC-Block-Digest"] and one[k][0]["WARC-Refers-To-Target-URI"] == "http://a.example/" and one[k][0]["WARC-Refers-To-Date"] == op3.UNDATED for k in ("metadata", "conversion"))
     fields = dict(x.split(": ", 1) for x in one["metadata"][1].decode().strip().split("\r\n"))
     assert fields["source-Content-Type"] == "text/html; charset=utf-8" and fields["source-payload-digest"] == source and fields["source-status"] == "HTTP/1.1 200 OK"
     assert op3.derive(op3.responses(pages.limit(0))).count() == 0
@@ -75,6 +77,16 @@ def test_references_of_all_kinds_become_text(spark):
     assert got == {1: text, 2: "a < b & c", 3: ""}
 
 
+@pytest.mark.parametrize("opening", ["<a ", "<!--", "<script ", "<script>", "<title", "<title>", "<p ", "<style>x</style", "<", "&#"])
+def test_unclosed_markup_costs_linear_time(spark, opening):
+    pages = spark.createDataFrame([(1, "u", "<p>before</p>" + opening * (1_000_000 // len(opening)))], "page_id long, url string, html string")
+    records = op3.derive(op3.responses(pages)).where("record_type = 'conversion'")
+    records.count()
+    began = time.time()
+    assert records.first()["record"].split("\r\n\r\n", 1)[1].startswith("before")
+    assert time.time() - began < 20
+
+
 # ---- shards
 
 
