@@ -3,9 +3,10 @@
 A text's characters are symbols; an agenda holds the adjacent pairs whose concatenation is a piece, by score and then
 from the left, and the best pair is merged until none is left. Since no piece of such a vocabulary reaches over a
 word's beginning, nor over a character that is in no longer piece, the agenda works on the segments between them, and
-a worker remembers a bounded number of segments. Segments that a worker doesn't remember are checked against the
-sentencepiece library: those that begin a word by themselves, all others with the whole text that shows them, as is one
-text of each batch at least; a difference fails the job.
+a worker remembers a bounded number of segments. The short segments of a batch that it doesn't remember are the rows of
+one table of agendas, and each row takes its best pair in every round. Each such segment is checked against the
+sentencepiece library: by itself if it begins a word, else behind a character that joins with nothing, or with its whole
+text if it can't stand there; so is one whole text of each batch. A difference fails the job.
 """
 
 from __future__ import annotations
@@ -28,8 +29,12 @@ from .common import table, text_batches
 SPACE = "▁"
 #: Segments that a worker remembers in each of two generations.
 REMEMBERED = 600_000
-#: Up to so many symbols a plain list is a faster agenda than a heap.
-SHORT = 24
+#: Segments of up to so many symbols share a table of agendas, in groups by length; a longer one has a heap of its own.
+SHORT, WIDTHS = 32, (6, 8, 10, 12, 16, 24, 32)
+#: Texts that are encoded together.
+TEXTS = 256
+#: A character of no vocabulary, behind which a segment is checked that doesn't begin a word.
+STRANGE = "\ue000"
 
 
 class Agenda:
@@ -50,30 +55,77 @@ class Agenda:
         self.bytes = [next((i for i in range(n) if sp.is_byte(i) and sp.id_to_piece(i) == f"<0x{b:02X}>"), None) for b in range(256)]
         self.unknown, self.fallback = sp.unk_id(), None not in self.bytes
         joined = {c for p in self.rank for c in p} - {SPACE}
-        if any(SPACE in p.lstrip(SPACE) for p in self.rank):
+        self.whole = any(SPACE in p.lstrip(SPACE) for p in self.rank)
+        if self.whole:
             self.segments = re.compile(r"(?s).+")  # a piece reaches over a word's beginning: the text is one segment
         else:
             inner = "".join(map(re.escape, sorted(joined))) or r"\Z"
             self.segments = re.compile(f"{SPACE}*[{inner}]+|{SPACE}+|(?s:.)")
         self.seen: dict[str, tuple[tuple[int, ...], str]] = {}
         self.older: dict[str, tuple[tuple[int, ...], str]] = {}
+        self._number(joined | {SPACE})
+        there = sp.encode(STRANGE)
+        self.strange = there if self.fallback and STRANGE not in joined and sp.normalize(STRANGE) == SPACE + STRANGE and there == list(self.to_ids([SPACE, STRANGE])) else None
+
+    def _number(self, chars: set[str]) -> None:
+        """Symbols as numbers, for the table of agendas: what each pair becomes, and with which rank. The last number is no symbol."""
+        self.symbols = [*sorted(chars), *self.rank]
+        number = {x: i for i, x in enumerate(self.symbols)}
+        self.none = len(number)
+        self.number_of = np.full(0x110000, self.none, np.int64)
+        for c in chars:
+            self.number_of[ord(c)] = number[c]
+        self.id_of = np.array([*(self.ids.get(x, -1) for x in self.symbols), -1])
+        found = sorted((number[p[:i]] * (self.none + 1) + number[p[i:]], r, number[p]) for p, r in self.rank.items() for i in range(1, len(p)) if p[:i] in number and p[i:] in number)
+        self.pairs, self.pair_rank, self.pair_made = np.array(found, np.int64).reshape(-1, 3).T.copy()
+
+    def _pair(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and outcome of each pair; rank -1 for pairs that don't merge."""
+        key = left * (self.none + 1) + right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.pair_rank[at], -1), self.pair_made[at]
+
+    def together(self, segments: list[str]) -> list[tuple[int, ...]]:
+        """The ids of many segments of at most SHORT known symbols each. A row of `rank` is a segment's agenda: entry i is the rank of
+        the pair that begins at its symbol i; the first largest entry merges, in all rows at once, until no row has any."""
+        if not len(self.pairs):
+            return [self.to_ids(list(x)) for x in segments]
+        n = np.fromiter(map(len, segments), np.int64, len(segments))
+        rows, width = np.arange(len(segments)), int(n.max())
+        symbol = np.full((len(rows), width + 1), self.none)
+        symbol[np.arange(width + 1) < n[:, None]] = self.number_of[np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32)]
+        rank, made = self._pair(symbol[:, :-1], symbol[:, 1:])
+        after, before = np.tile(np.arange(1, width + 2), (len(rows), 1)), np.tile(np.arange(-1, width), (len(rows), 1))
+        while len(rows):
+            i = rank[rows].argmax(axis=1)
+            more = rank[rows, i] >= 0
+            rows, i = rows[more], i[more]
+            j = after[rows, i]
+            k, h = after[rows, j], before[rows, i]
+            symbol[rows, i], symbol[rows, j], after[rows, i], before[rows, k] = made[rows, i], self.none, k, i
+            inner = j < width
+            rank[rows[inner], j[inner]] = -1
+            rank[rows, i], made[rows, i] = self._pair(symbol[rows, i], symbol[rows, k])
+            left, h, i = rows[h >= 0], h[h >= 0], i[h >= 0]
+            rank[left, h], made[left, h] = self._pair(symbol[left, h], symbol[left, i])
+        alive = symbol != self.none
+        ids, ends = self.id_of[symbol[alive]], np.cumsum(alive.sum(axis=1)).tolist()
+        flat = ids.tolist()
+        out = [tuple(flat[a:b]) for a, b in zip([0, *ends], ends)]
+        for row in np.unique(np.nonzero(alive)[0][ids < 0]):  # symbols that are no piece: bytes or unknown
+            out[row] = self.to_ids([self.symbols[x] for x in symbol[row][alive[row]]])
+        return out
 
-    def merge(self, segment: str) -> list[str]:
-        """The segment's final symbols."""
-        return self._short(list(segment)) if len(segment) <= SHORT else self._long(list(segment))
-
-    def _short(self, s: list[str]) -> list[str]:
-        rank = self.rank.get
-        agenda = [rank(a + b, -1) for a, b in zip(s, s[1:])]
-        while agenda and (best := max(agenda)) >= 0:
-            i = agenda.index(best)
-            s[i : i + 2] = [s[i] + s[i + 1]]
-            del agenda[i]
-            if i:
-                agenda[i - 1] = rank(s[i - 1] + s[i], -1)
-            if i < len(agenda):
-                agenda[i] = rank(s[i] + s[i + 1], -1)
-        return s
+    def fresh_ids(self, segments: list[str]) -> dict[str, tuple[int, ...]]:
+        """The ids of distinct segments. Those of several symbols hold only numbered characters, unless they are whole texts."""
+        out = {x: self.to_ids(self._long(list(x))) for x in segments if len(x) == 1 or len(x) > SHORT or self.whole}
+        segments = [x for x in segments if x not in out]
+        low = 1
+        for high in WIDTHS:
+            if some := [x for x in segments if low < len(x) <= high]:
+                out.update(zip(some, self.together(some)))
+            low = high
+        return out
 
     def _long(self, s: list[str]) -> list[str]:
         rank, n = self.rank.get, len(s)
@@ -110,36 +162,39 @@ class Agenda:
     def batch(self, texts: list[str]) -> list[list[tuple[tuple[int, ...], str]]]:
         """Each text's encoded segments, as ids and as decimal ids joined by commas."""
         found = [self.segments.findall(self.sp.normalize(x)) for x in texts]
-        out, fresh, whole = [], [], {0} if texts else set()
+        if len(self.seen) > REMEMBERED:
+            self.seen, self.older = {}, self.seen
+        seen, older = self.seen, self.older
+        unknown: dict[str, int] = {}
         for at, segments in enumerate(found):
-            if len(self.seen) > REMEMBERED:
-                self.seen, self.older = {}, self.seen
-            seen, older = self.seen, self.older
-            try:
-                out.append([seen[x] for x in segments])
-            except KeyError:
-                for x in segments:
-                    if x not in seen:
-                        if (known := older.get(x)) is None:
-                            ids = self.to_ids(self.merge(x))
-                            known = ids, ",".join(map(str, ids))
-                            if len(x) > 1 and x[0] == SPACE:
-                                fresh.append((x, ids))
-                            else:
-                                whole.add(at)  # no text that the library would take for this segment alone
+            for x in segments:
+                if x not in seen:
+                    if (known := older.get(x)) is not None:
                         seen[x] = known
-                out.append([seen[x] for x in segments])
-        self.verify(fresh)
-        for at, there in zip(sorted(whole), self.sp.encode([texts[i] for i in sorted(whole)], num_threads=1)):
+                    elif x not in unknown:
+                        unknown[x] = at
+        fresh = self.fresh_ids(list(unknown))
+        for x, ids in fresh.items():
+            seen[x] = ids, ",".join(map(str, ids))
+        out = [[seen[x] for x in segments] for segments in found]
+        whole = sorted({*self.verify(fresh, unknown), *range(min(1, len(texts)))})
+        for at, there in zip(whole, self.sp.encode([texts[i] for i in whole], num_threads=1)):
             if list(chain.from_iterable(x[0] for x in out[at])) != there:
                 raise ValueError("the agenda and the library differ on a text")
         return out
 
-    def verify(self, fresh: list[tuple[str, tuple[int, ...]]]) -> None:
-        """Compare segments that begin a word with the library's encoding of that word."""
-        for (x, ids), there in zip(fresh, self.sp.encode([x[1:].replace(SPACE, " ") for x, _ in fresh], num_threads=1)):
-            if list(ids) != there:
+    def verify(self, fresh: dict[str, tuple[int, ...]], at: dict[str, int]) -> set[int]:
+        """Compare each segment with the library's encoding; the places of the texts that have to be compared as a whole instead."""
+        begins = [x for x in fresh if len(x) > 1 and x[0] == SPACE]
+        others = [x for x in fresh if not (len(x) > 1 and x[0] == SPACE)]
+        alone = [x for x in others if self.strange and x[0] != SPACE and self.sp.normalize(STRANGE + x) == SPACE + STRANGE + x]
+        for there, x in zip(self.sp.encode([x[1:].replace(SPACE, " ") for x in begins], num_threads=1), begins):
+            if list(fresh[x]) != there:
+                raise ValueError(f"the agenda and the library differ on {x!r}")
+        for there, x in zip(self.sp.encode([STRANGE + x for x in alone], num_threads=1), alone):
+            if [*self.strange, *fresh[x]] != there:
                 raise ValueError(f"the agenda and the library differ on {x!r}")
+        return {at[x] for x in {*others} - {*alone}}
 
 
 @lru_cache(1)
@@ -160,13 +215,13 @@ def encoder(model: str, with_ids: bool):
             rows = []
             gc.disable()  # the remembered segments hold no cycles, and looking for some in them costs a twentieth of the time
             try:
-                encoded = own.batch([x or "" for x in batch])
+                for at in range(0, len(batch), TEXTS):
+                    for segments in own.batch([x or "" for x in batch.iloc[at : at + TEXTS]]):
+                        ids = list(chain.from_iterable(x[0] for x in segments))
+                        text = own.sp.decode(ids)
+                        rows.append((len(ids), hashlib.sha256(",".join([x[1] for x in segments]).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest(), *([np.array(ids, np.int32)] if with_ids else [])))
             finally:
                 gc.enable()
-            for segments in encoded:
-                ids = list(chain.from_iterable(x[0] for x in segments))
-                text = own.sp.decode(ids)
-                rows.append((len(ids), hashlib.sha256(",".join([x[1] for x in segments]).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest(), *([np.array(ids, np.int32)] if with_ids else [])))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])])
 
     return F.pandas_udf(encode, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

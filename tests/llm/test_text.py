@@ -216,7 +216,7 @@ def test_pieces_against_the_library(documents, odd, prose):
     assert [[i for s in x for i in s[0]] for x in own.batch(texts)] == want
     for text in texts[:200]:
         segments = own.segments.findall(own.sp.normalize(text))
-        assert [own._short(list(s)) for s in segments] == [own._long(list(s)) for s in segments]
+        assert own.fresh_ids(list(set(segments))) == {s: own.to_ids(own._long(list(s))) for s in segments}
 
 
 def test_pieces_operator(documents, odd, prose):
@@ -236,19 +236,29 @@ def test_pieces_operator(documents, odd, prose):
 
 def test_a_difference_fails_the_job():
     own = op6.Agenda(op6.default_model())
-    own.rank.pop("▁the")
+    kept = own.pair_made != own.symbols.index("▁the")
+    own.pairs, own.pair_rank, own.pair_made = own.pairs[kept], own.pair_rank[kept], own.pair_made[kept]
     with pytest.raises(ValueError, match="differ"):
         own.batch(["the end"])
 
 
+def test_a_segment_that_cannot_stand_alone_is_checked_with_its_text():
+    own = op6.Agenda(op6.default_model())
+    own.strange = None
+    texts = ["good first text", "世the", "no odd one"]
+    found = {x: i for i, t in enumerate(texts) for x in own.segments.findall(own.sp.normalize(t))}
+    assert own.verify(own.fresh_ids(list(found)), found) == {1}
+    assert [[i for s in x for i in s[0]] for x in own.batch(texts)] == own.sp.encode(texts)
+
+
 @pytest.mark.parametrize("text", ["good\tthe end", "a\n\nthere", "世the"])
 def test_a_difference_in_any_text_fails_the_job(text):
     own = op6.Agenda(op6.default_model())
     (segments,) = [own.segments.findall(own.sp.normalize(text))]
     odd = [x for x in segments if x[0] != op6.SPACE and len(x) > 1]
     assert odd  # a segment that begins no word
-    to_ids = own.to_ids
-    own.to_ids = lambda symbols: to_ids(symbols)[:-1] if "".join(symbols) in odd else to_ids(symbols)
+    fresh_ids = own.fresh_ids
+    own.fresh_ids = lambda segments: {x: ids[:-1] if x in odd else ids for x, ids in fresh_ids(segments).items()}
     with pytest.raises(ValueError, match="differ"):
         own.batch(["good first text", "another one", text])
 
