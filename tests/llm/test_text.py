@@ -55,6 +55,76 @@ def test_licenses(documents, odd, prose):
     assert op2.scan(documents(*texts).limit(0)).count() == 0
 
 
+def plain_licenses(text):
+    """(labels, score) by sets of matched places."""
+    w, spans = words(text), []
+    for number, (template, label) in enumerate(op2.TEMPLATES, len(op2.BASE)):
+        t = re.findall("[a-z0-9]+", template)
+        needed = [tuple(x.split()) for x in re.findall(r"\[(.*?)\]", template)]
+        places = {}
+        for i, gram in enumerate(zip(t, t[1:], t[2:])):
+            places.setdefault(gram, []).append(i)
+        pairs = sorted((at - i, at, i) for at, gram in enumerate(zip(w, w[1:], w[2:])) for i in places.get(gram, ()))
+        runs = []
+        for x in pairs:
+            if not runs or x[0] - runs[-1][-1][0] > op2.DRIFT:
+                runs.append([])
+            runs[-1].append(x)
+        for run in runs:
+            there, first, last = {i for *_, i in run}, min(at for _, at, _ in run), max(at for _, at, _ in run)
+            share = len(there) / max(len(t) - 2, last - first + 1)
+            starts = [[i for i in range(len(t)) if tuple(t[i : i + len(n)]) == n][0] for n in needed]
+            sound = share >= op2.SHARE and all(set(range(i, i + len(n) - 2)) <= there for i, n in zip(starts, needed))
+            spans.append((sound, first, last + 3, number, share, len(there), label))
+    labels = {label for _, label in plain_base(text)}
+    sound = sorted(x for x in spans if x[0])
+    for i, x in enumerate(sound):
+        rivals = [y for j, y in enumerate(sound) if abs(i - j) == 1 and y[6] != x[6] and 2 * (min(x[2], y[2]) - max(x[1], y[1])) > min(x[2] - x[1], y[2] - y[1])]
+        if not any((y[4], y[5], -y[3]) > (x[4], x[5], -x[3]) for y in rivals):
+            labels.add(x[6])
+    return ",".join(sorted(labels)), max([x[4] for x in spans] + [1.0] * bool(plain_base(text)), default=0.0)
+
+
+GPL = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+NOTICES = {
+    GPL.format("", "3"): "gpl,gpl-3",
+    GPL.format("", "2"): "gpl,gpl-2",
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License.": "gpl",
+    GPL.format("Lesser ", "2.1").replace("program", "library"): "lgpl",
+    GPL.format("Affero ", "3"): "agpl",
+    **{f"This work is licensed under a Creative Commons Attribution{x} 4.0 International License.": f"cc-by{y}" for x, y in (("", ""), ("-NonCommercial", "-nc"), ("-ShareAlike", "-sa"), ("-NoDerivatives", "-nd"), ("-NonCommercial-ShareAlike", "-nc-sa"), ("-NonCommercial-NoDerivatives", "-nc-nd"))},
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met": "bsd",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted": "isc",
+    "is hereby granted free " * 12: "",
+    "free software and the license of the general public " * 30: "",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "mpl-2",
+    "under the terms of the GNU license": "",
+}
+
+
+def test_relatives_are_told_apart(documents, prose):
+    assert op2.parsed("a b [c d e f] g") == (list("abcdefg"), 0b1100)
+    for wrong in ("a b", "a [b] c d", "word " * 80):
+        with pytest.raises(ValueError):
+            op2.parsed(wrong)
+    rng = random.Random(5)
+    templates = [re.sub(r"[\[\]]", "", t) for t, _ in op2.TEMPLATES]
+    texts = list(NOTICES)
+    for i in range(300):  # templates cut, joined, with words left out, changed and put in
+        parts = [rng.choice(templates).split() for _ in range(rng.randint(1, 4))]
+        w = [x for part in parts for x in part[rng.randint(0, 6) :] + prose(i, rng.randint(0, 3)).split()]
+        for _ in range(rng.randint(0, 8)):
+            at = rng.randrange(len(w))
+            w[at : at + rng.randint(0, 2)] = rng.choice([[], ["x"], ["x", "y"], w[at : at + 5]])
+        texts.append(" ".join(w) * rng.choice([1, 1, 2]))
+    got = {r["doc_id"]: r for r in op2.scan(documents(*enumerate(texts))).collect()}
+    assert [got[i]["labels"] for i in range(len(NOTICES))] == list(NOTICES.values())
+    for i, t in enumerate(texts):
+        labels, score = plain_licenses(t)
+        assert (got[i]["labels"], got[i]["score"]) == (labels, pytest.approx(score)), t
+    assert sum(bool(got[i]["labels"]) for i in range(len(texts))) > 200
+
+
 # ---- lines
 
 
