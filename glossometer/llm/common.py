@@ -56,6 +56,14 @@ def written(df: DataFrame, rows: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(name: str, *tables: DataFrame) -> str:
+    """A column name that none of the tables has, whatever the case."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def small_enough(rows: int, bytes_a_row: int, limit: int = BROADCAST_BYTES) -> bool:
     return rows * bytes_a_row <= limit
 

@@ -1,8 +1,10 @@
 """Personal data, with offset-preserving deobfuscation.
 
-Transducers rewrite a text's disguises: homoglyphs and full-width characters to ASCII, spelled digits to digits, and
-"at" and "dot" in brackets or between words to @ and full stops. Each keeps, for every character that it writes, the
-span of source characters that it stands for. Identifiers are found in the plain text and, where a disguise was
+Three transducers rewrite a text's disguises, one after the other: glyphs (homoglyphs, full-width, mathematical and other
+compatible forms to ASCII, characters without width to nothing), digits (spelled ones to digits), and signs ("at" and
+"dot" in brackets, between words or underscores, or set apart by blanks, to a mark for each kind). Each is a regular
+rewriting rule, compiled to one pattern that is run from left to right, and each keeps for every character that it writes
+the span of source characters that it stands for. Identifiers are found in the plain text and, where a disguise was
 undone, in the rewritten one, whose spans are mapped back to the source.
 """
 
@@ -10,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -18,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_batches
+from .common import table, unused
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -36,8 +39,26 @@ LOOKALIKES = {
     "α": "a", "ο": "o", "ρ": "p", "ν": "v", "ι": "i", "Α": "A", "Β": "B", "Ε": "E", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Χ": "X", "Υ": "Y", "Ζ": "Z",
     "․": ".", "。": ".", "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-", "\u00a0": " ", "\u2009": " ", "\u202f": " ",
 }
-#: Full-width forms and other decimal digits follow from rules.
-GLYPHS = LOOKALIKES | {chr(0xFF01 + i): chr(0x21 + i) for i in range(94)} | {chr(zero + d): str(d) for zero in (0x660, 0x6F0, 0x966, 0x9E6) for d in range(10)}
+#: Characters without width: they hide in words and are left out.
+WIDTHLESS = "\u00ad\u180e\u200b\u200c\u200d\u200e\u200f\u2060\u2061\u2062\u2063\ufeff"
+#: Marks of the signs transducer: bracketed at, bare at, bracketed dot, bare dot, full stop set apart. Where the source has them they become blanks.
+AT, BARE_AT, DOT, BARE_DOT, FAR_DOT = MARKS = "\ue000\ue001\ue002\ue003\ue004"
+
+
+def compatible() -> dict[str, str]:
+    """Characters that Unicode's compatibility forms make one ASCII character, and decimal digits of other scripts."""
+    out = {}
+    for i in (*range(0x80, 0xD800), *range(0xF900, 0x10000), *range(0x1D400, 0x1D800), *range(0x1F100, 0x1F200)):
+        c = chr(i)
+        plain = unicodedata.normalize("NFKC", c)
+        if len(plain) == 1 and " " < plain < "\x7f":
+            out[c] = plain
+        elif (d := unicodedata.decimal(c, None)) is not None:
+            out[c] = str(d)
+    return out
+
+
+GLYPHS = compatible() | LOOKALIKES | dict.fromkeys(MARKS, " ") | dict.fromkeys(WIDTHLESS, "")
 GLYPH = re.compile("[" + "".join(map(re.escape, GLYPHS)) + "]")
 #: Digits as words.
 SPELLED = {
@@ -47,8 +68,8 @@ _DIGIT_WORD = "(?:" + "|".join(SPELLED) + "|[0-9])"
 #: Four or more digits in a row of which some are words; a plus sign and full stops may be words too.
 SPELLED_RUN = re.compile(rf"(?i)(?<![A-Za-z0-9])(?:plus[ ]+)?{_DIGIT_WORD}(?:(?:[ .-]{{1,2}}|[ ]dot[ ]){_DIGIT_WORD}){{3,}}(?![A-Za-z0-9])")
 SPELLED_WORD = re.compile(r"(?i)plus[ ]+|[A-Za-z]+(?:[ -]{1,2}(?=[A-Za-z0-9]))?|[0-9](?:[ ](?=[A-Za-z]))?")
-LETTER = re.compile("[A-Za-z]")
-#: Endings of host names behind which an "at" and a "dot" as bare words are taken for signs: all of countries, and common generic ones.
+LETTER, LETTERS = re.compile("[A-Za-z]"), re.compile("[A-Za-z]+")
+#: Endings of host names that a "dot" as a bare word may stand before: all of countries, and common generic ones.
 COUNTRIES = (
     "ac ad ae af ag ai al am ao aq ar as at au aw ax az ba bb bd be bf bg bh bi bj bm bn bo br bs bt bw by bz ca cc cd cf cg ch ci ck cl cm cn co cr cu cv cw cx cy cz de dj dk dm do dz "
     "ec ee eg er es et eu fi fj fk fm fo fr ga gd ge gf gg gh gi gl gm gn gp gq gr gs gt gu gw gy hk hm hn hr ht hu id ie il im in io iq ir is it je jm jo jp ke kg kh ki km kn kp kr kw ky kz "
@@ -61,21 +82,25 @@ GENERIC = (
     "zone link click vip one fun games game art design studio photo photos photography gallery video film music academy school education university science health care clinic law legal finance bank money capital fund "
     "foundation church city house land hotel restaurant cafe bar berlin hamburg koeln cologne bayern wien london scot wales paris amsterdam brussels swiss tokyo nyc"
 )
-#: Endings that a full stop and a bare "at" are enough for; the others are words of prose ("at home.it was"), and need a "dot" or a real @.
-CLEAR = "com|org|net|edu|gov|info|biz|io|co|me|tv|dev|app|ai|eu|uk|us|ca|au|de|fr|es|nl|ch|ru|cn|jp|br|mx|se|pl|pt"
-ENDINGS = "|".join(dict.fromkeys([*CLEAR.split("|"), *COUNTRIES.split(), *GENERIC.split()]))
-#: Words before a "dot" that is a thing and no sign, as in "look at the dot in the middle"; they count only against unclear endings.
-THINGS = "the|a|an|this|that|each|every|any|one|no|another|my|your|his|her|its|our|their|which|what"
-#: "at" and "dot": in brackets anywhere, or as words where name, host and ending follow one another.
-BRACKETED = re.compile(r"(?i)[ ]{0,2}(?:\[|\(|\{|<)[ ]?(at|dot|@|\.)[ ]?(?:\]|\)|\}|>)[ ]{0,2}")
-_HOST = r"[A-Za-z0-9-]{1,63}(?:(?:[ ]dot[ ]|\.)[A-Za-z0-9-]{2,63}){0,3}"
-_ANY = rf"(?:{ENDINGS})(?![A-Za-z0-9])"
-WORDED = re.compile(
-    r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]{1,64}(?:(?:[ ]dot[ ]|\.)[A-Za-z0-9_%+-]{1,64}){0,4}"
-    rf"(?:[ ]at[ ](?!(?:{THINGS})[ ]dot[ ]){_HOST}[ ]dot[ ]{_ANY}|[ ]at[ ]{_HOST}(?:[ ]dot[ ]|\.)(?:{CLEAR})(?![A-Za-z0-9])|@{_HOST}(?:[ ]dot[ ]|\.){_ANY})"
+ENDINGS = frozenset((COUNTRIES + " " + GENERIC).split())
+#: Words before a "dot" that is a thing and no sign, as in "look at the dot in the middle".
+THINGS = frozenset("the a an this that each every any one no another my your his her its our their which what".split())
+#: What has to be there before a text's signs are looked at; begins with a set of characters, which is fast to look for.
+SIGNED = re.compile(r"(?i)[\[({<][ ]*(?:at|@|dot|\.)[ ]*[\])}>]|[ ]@|@[ ]|[ _-]dot[ _-]|@[^\s@]*[ ]+\.[ ]")
+_IN, _OUT = r"(?<![ ])[ ]*[\[({<][ ]*", r"[ ]*[\])}>][ ]*"
+_AFTER, _BEFORE = r"(?<=[A-Za-z0-9_%+-])", r"(?=[A-Za-z0-9_%+-])"
+#: The signs transducer: a group for each mark.
+SIGN = re.compile(
+    rf"(?i)({_IN}(?:at|@){_OUT}|(?<![ ])[ ]+@[ ]*|@[ ]+)|({_AFTER}(?:[ ]+at[ ]+|[_-]at[_-]){_BEFORE})|({_IN}(?:dot|\.){_OUT})|({_AFTER}(?:[ ]+dot[ ]+|[_-]dot[_-]){_BEFORE})|({_AFTER}[ ]+\.[ ]+{_BEFORE})"
 )
-WORD_AT_DOT = re.compile(r"(?i)[ ](at|dot)[ ]")
-SIGNS = {"at": "@", "dot": ".", "@": "@", ".": "."}
+SIGN_AT = re.compile(f"[@{AT}{BARE_AT}]")
+HOST = re.compile(f"[A-Za-z0-9-]+(?:[.{DOT}{BARE_DOT}{FAR_DOT}][A-Za-z0-9-]+)+")
+SEPARATOR = re.compile(f"[.{DOT}{BARE_DOT}{FAR_DOT}]")
+LAST_WORD = re.compile(r"[A-Za-z]+\Z")
+#: Marks in a text that numbers are looked for in.
+NUMERIC = str.maketrans({AT: " ", BARE_AT: " ", DOT: ".", BARE_DOT: ".", FAR_DOT: " "})
+#: A spelled number of so many words may be a phone number without a plus sign.
+SPELLED_PHONE = 7
 
 
 class Mapped(NamedTuple):
@@ -160,24 +185,79 @@ def identifiers(text: str) -> list[tuple[str, int, int]]:
 
 
 def plain_glyphs(m: Mapped) -> Mapped:
-    return m.rewrite([(x.start(), x.end(), GLYPHS[x.group()]) for x in GLYPH.finditer(m.text)])
+    found = [(x.start(), x.end(), GLYPHS[x.group()]) for x in GLYPH.finditer(m.text)]
+    if m.starts is None and all(len(new) == 1 for *_, new in found):  # the places stay
+        return Mapped(GLYPH.sub(lambda x: GLYPHS[x.group()], m.text)) if found else m
+    return m.rewrite(found)
 
 
-def plain_digits(m: Mapped) -> Mapped:
-    edits = []
+def plain_digits(m: Mapped) -> tuple[Mapped, list[tuple[int, int]]]:
+    """The rewritten text, and the source spans of wholly spelled phone numbers: 9 to 15 digits, not counting up, and no card."""
+    edits, phones = [], []
     for run in SPELLED_RUN.finditer(m.text):
-        if LETTER.search(run.group()):
-            for x in SPELLED_WORD.finditer(m.text, *run.span()):
-                word = x.group().strip(" -").lower()
-                edits.append((x.start(), x.end(), {"plus": "+", "dot": "."}.get(word) or SPELLED.get(word, word)))
-    return m.rewrite(edits)
+        if not LETTER.search(run.group()):
+            continue
+        said = []
+        for x in SPELLED_WORD.finditer(m.text, *run.span()):
+            word = x.group().strip(" -").lower()
+            said.append({"plus": "+", "dot": "."}.get(word) or SPELLED.get(word, word))
+            edits.append((x.start(), x.end(), said[-1]))
+        number = "".join(said)
+        counting = all((int(b) - int(a)) % 10 == 1 for a, b in zip(number, number[1:])) if number.isdigit() else False
+        if number.isdigit() and 9 <= len(number) <= 15 and not counting and len(LETTERS.findall(run.group())) >= SPELLED_PHONE and not (len(number) >= 13 and luhn(number)):
+            phones.append(m.source(*run.span()))
+    return m.rewrite(edits), phones
+
+
+def marked_signs(m: Mapped) -> Mapped:
+    return m.rewrite([(x.start(), x.end(), MARKS[x.lastindex - 1]) for x in SIGN.finditer(m.text)]) if SIGNED.search(m.text) else m
+
 
+def host_end(text: str, at: int, sign: str) -> int | None:
+    """Where the host that begins at `at` ends, if there is one. sign: the at before it; a bare word needs a spelled dot behind it.
 
-def plain_signs(m: Mapped) -> Mapped:
-    m = m.rewrite([(x.start(), x.end(), SIGNS[x.group(1).lower()]) for x in BRACKETED.finditer(m.text)])
-    if not WORD_AT_DOT.search(m.text):
-        return m
-    return m.rewrite([(x.start(), x.end(), SIGNS[x.group(1).lower()]) for run in WORDED.finditer(m.text) for x in WORD_AT_DOT.finditer(m.text, *run.span())])
+    Full stops that are set apart don't mix with others; behind them, behind a bare dot and behind a bare at the host has
+    to end in a known ending, and behind another disguised at in a word.
+    """
+    bare = sign == BARE_AT
+    found = HOST.match(text, at)
+    if not found:
+        return None
+    dots, end = [(x.start(), x.group()) for x in SEPARATOR.finditer(text, at, found.end())], found.end()
+    far = [i for i, (_, d) in enumerate(dots) if d == FAR_DOT]
+    if far and (bare or len(far) < len(dots)):
+        dots, end = dots[: far[0]], dots[far[0]][0]
+    spelled = next((i for i, (_, d) in enumerate(dots) if d in DOT + BARE_DOT), len(dots))
+    if bare and (spelled == len(dots) or (dots[spelled][1] == BARE_DOT and text[at : dots[spelled][0]].lower() in THINGS)):
+        return None
+    for i in range(len(dots) - 1, spelled - 1 if bare else -1, -1):  # from the longest host
+        place, kind = dots[i]
+        ending = text[place + 1 : end].lower()
+        if ending in ENDINGS or ending.startswith("xn--") or (not bare and kind in "." + DOT and (sign == "@" or ending.isalpha())):
+            return end
+        end = place
+    return None
+
+
+def marked_emails(text: str) -> Iterator[tuple[int, int]]:
+    """As emails, in a text with marks. A bare dot goes on with the local part unless a word that makes it a thing stands before it."""
+    free = 0
+    for sign in SIGN_AT.finditer(text):
+        at = sign.start()
+        start = at
+        while start > free:
+            c = text[start - 1]
+            if c == BARE_DOT and (w := LAST_WORD.search(text, max(free, start - 9), start - 1)) and w.group().lower() in THINGS:
+                break
+            if not (c in LOCAL or c in DOT + BARE_DOT):
+                break
+            start -= 1
+        while start < at and text[start] in DOT + BARE_DOT:
+            start += 1
+        end = host_end(text, at + 1, sign.group()) if start < at else None
+        if end:
+            yield start, end
+        free = max(free, end or (at if start < at and sign.group() != BARE_AT else 0))
 
 
 def find(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -185,13 +265,18 @@ def find(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     what equals or lies inside one of their kind. A span that contains base spans goes beside them."""
     text = text or ""
     base = identifiers(text)
-    m = plain_signs(plain_digits(plain_glyphs(Mapped(text))))
-    if m.starts is None:
+    m, spelled = plain_digits(plain_glyphs(Mapped(text)))
+    m = marked_signs(m)
+    if m.text == text:
         return base, base
+    numeric = m.text.translate(NUMERIC)
+    found = [("email", *m.source(*x)) for x in marked_emails(m.text)]
+    if DIGIT.search(numeric):
+        found += [(kind, *m.source(*x)) for kind in KINDS[1:] for x in FINDERS[kind](numeric)]
+        found += [("phone", *x) for x in spelled]
     own = {kind: [x[1:] for x in base if x[0] == kind] for kind in KINDS}
     more, free = [], dict.fromkeys(KINDS, 0)
-    for kind, start, end in identifiers(m.text):
-        s, e = m.source(start, end)
+    for kind, s, e in sorted(found, key=lambda x: (x[1], -x[2])):
         at = bisect_right(own[kind], (s, len(text)))  # base spans are in order and don't overlap: the last that begins at s or before is the only one that can hold the span
         if s >= free[kind] and (not at or own[kind][at - 1][1] < e):
             free[kind] = e
@@ -210,7 +295,6 @@ def detect(docs: DataFrame, text_col: str = "text") -> DataFrame:
     no rule. Long runs of one kind of character cost linear time. Other columns stay; those of the names above are
     replaced.
     """
-    text_batches(docs.sparkSession)
     added = [*(f"n_{k}" for k in KINDS), "base_sha256", "spans"]
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -223,8 +307,8 @@ def detect(docs: DataFrame, text_col: str = "text") -> DataFrame:
             yield pd.DataFrame(rows, columns=added)
 
     found = F.pandas_udf(run, ", ".join(f"{c} {'long' if c[:2] == 'n_' else 'string'}" for c in added))
-    rows = docs.drop(*added)
-    return rows.withColumn("found_", found(F.col(text_col))).select(*(F.col(f"`{c}`") for c in rows.columns), *(F.col("found_")[c].alias(c) for c in added))
+    rows, own = docs.drop(*added), unused("found", docs)
+    return rows.withColumn(own, found(F.col(text_col))).select(*(F.col(f"`{c}`") for c in rows.columns), *(F.col(own)[c].alias(c) for c in added))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -263,6 +264,75 @@ def test_plain_prose_has_no_disguises():
     assert base == [("email", 0, 6)] and spans == [("email", 0, 6), ("email", 11, 23)]
 
 
+def planted(rng, prose):
+    """(text, kind, span) of a disguised identifier in prose."""
+    glyph = str.maketrans({"o": "о", "a": "а", "e": "е", "1": "１", "5": "５"})
+    bold = {c: chr(0x1D41A + i) for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")}
+    digits = "zero one two three four five six seven eight nine".split()
+    spell = lambda number: " ".join(digits[int(d)] for d in number)
+    name, host = rng.choice(["john", "mary.k", "a_b", "x.y.z"]), rng.choice(["example", "mail.example", "my-host"])
+    ending = rng.choice(["com", "org", "de", "berlin", "museum", "co.uk", "io"])
+    address = f"{name}@{host}.{ending}"
+    dotted = lambda x, d: x.replace(".", d)
+    number = "".join(rng.choice("123456789") for _ in range(rng.randint(9, 12)))
+    ip = ".".join(str(rng.randrange(256)) for _ in range(4))
+    kind, said = rng.choice([
+        ("email", f"{dotted(name, ' dot ')} at {dotted(host, ' dot ')} dot {dotted(ending, ' dot ')}"),
+        ("email", f"{name} at {host} dot {dotted(ending, ' dot ')}"),
+        ("email", f"{name} (at) {dotted(host, ' [dot] ')} (dot) {dotted(ending, '(dot)')}"),
+        ("email", f"{name}[AT]{host}[DOT]{ending}"),
+        ("email", f"{name}{{at}}{host}.{ending}"),
+        ("email", f"{name} @ {dotted(host, ' . ')} . {dotted(ending, ' . ')}"),
+        ("email", f"{name} @ {host}.{ending}"),
+        ("email", f"john_at_{dotted(host, '_dot_')}_dot_{dotted(ending, '_dot_')}"),
+        ("email", address.translate(glyph)),
+        ("email", "".join(bold.get(c, c) for c in address)),
+        ("email", address[:2] + "\u200b" + address[2:-1] + "\u2060" + address[-1:]),
+        ("ip", dotted(ip, " dot ")),
+        ("ip", dotted(ip, " (dot) ")),
+        ("ip", " dot ".join(spell(x) for x in ip.split("."))),
+        ("ip", "１" + ip if len(ip.split(".")[0]) < 3 else ip.replace(".", "\u200b.")),
+        ("phone", f"plus {spell(number)}"),
+        ("phone", spell(number)),
+        ("phone", f"+{number[:3]} {number[3:6]} {spell(number[6:])} {number[0]}"),
+        ("phone", f"+{number}".translate(glyph) + "\u200d0"),
+        ("card", "４111 1111 1111 1111"),
+        ("card", spell("4111111111111111")),
+        ("card", "4111\u200b111111111111"),
+    ])
+    before, after = prose(rng.random(), rng.randint(0, 12)), prose(rng.random(), rng.randint(0, 12))
+    before, after = (before + " to: " if before else ""), (", " + after if after else "")
+    return before + said + after, kind, (len(before), len(before) + len(said))
+
+
+CLEAN = (
+    "Visit us at example.com", "Books are sold at amazon.com today", "We met at noon.com", "look at the dot in the middle", "connect every dot at once, then rest", "he arrived at a dot on the map", "we met at noon . it was late",
+    "one two three four five six seven eight nine ten", "a polka dot dress at home", "at the dot com boom", "see (a) at [1] or {b}", "page 1 . 2 . 3 . 4", "version 1 dot 2", "m² and x³ at 10 % of 20", "Привет, мир. Мы были дома в 10:30", "look_at_this_value and dot_product",
+    "the score was four to three, or two to one", "e.g. a@b without a host", "prices @ 5.99 each", "meet at 10 . 30 sharp", "zero or one or two or three", "naïve café — déjà vu",
+)
+
+
+def test_planted_disguises_are_found_and_prose_is_left_alone(prose):
+    rng, hit, false, n = random.Random(11), 0, 0, 1000
+    for _ in range(n):
+        text, kind, span = planted(rng, prose)
+        base, spans = op5.find(text)
+        more = [x for x in spans if x not in base]
+        hit += (kind, *span) in more
+        false += sum(x != (kind, *span) for x in more)
+    for text in CLEAN:
+        false += len(op5.find(text)[1])
+    assert hit >= 0.97 * n and false <= 0.03 * n, (hit, false)
+    assert [t for t in CLEAN if op5.find(t)[1]] == []
+
+
+@pytest.mark.parametrize("part", ["dot ", "a dot ", "at ", "a at b dot ", "@", " @ ", "a . ", "(", "[ ", "( at ", "at)", "a_dot_", "a_at_", "one ", "1 dot ", "plus ", "a@b . c ", "\u200b", "а", " "])
+def test_hostile_repeats_cost_linear_time(part):
+    began = time.process_time()
+    op5.find(part * (400_000 // len(part)))
+    assert time.process_time() - began < 10
+
+
 def test_pii_operator(documents, odd):
     rows = [*odd, (9, "a@b.co +1 (555) 123-4567 10.0.0.1 a@b.co"), (9, "a" * 100_000 + "@"), (9, "1." * 20_000), (9, "one " * 20_000)]
     got = op5.detect(documents(*rows).withColumn("spans", F.lit(1))).collect()
