@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,11 +12,9 @@ from pyspark.sql import functions as F
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: A word is a run of ASCII digits, ASCII lower-case letters and non-ASCII characters. (As a negated class it takes Java five times as long.)
 WORD = r"[0-9a-z\x80-\x{10FFFF}]+"
-#: Rows that go to Python at once where a row holds a whole text.
-TEXTS_PER_BATCH = 256
 #: Rows of a narrow table that make a file.
 ROWS_A_FILE = 500_000
-#: A side may be broadcast up to so many estimated bytes, and only after they were counted.
+#: A side may be broadcast up to so many bytes, and only after they were measured.
 BROADCAST_BYTES = 48 << 20
 
 
@@ -38,9 +37,11 @@ def grams(words: Column, k: int) -> Column:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder where driver and executors both read and write: under spark.checkpoint.dir, which is set to a folder of this machine only where it is unset (local runs)."""
+    """A new folder where driver and executors both read and write: under spark.checkpoint.dir. Only a session that runs on this machine alone may leave that unset; it is then set to a folder of this machine."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         root = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
@@ -64,10 +65,11 @@ def unused(name: str, *tables: DataFrame) -> str:
     return name
 
 
-def small_enough(rows: int, bytes_a_row: int, limit: int = BROADCAST_BYTES) -> bool:
-    return rows * bytes_a_row <= limit
+def measured(df: DataFrame) -> int:
+    """About the bytes of df's rows: their texts as JSON, which no value's binary form exceeds by much, and what a row costs by itself."""
+    return df.agg(F.sum(F.coalesce(F.octet_length(F.to_json(F.struct("*"))), F.lit(0)) + 32)).first()[0] or 0
 
 
-def text_batches(spark: SparkSession) -> None:
-    """Keep the Arrow batches of whole texts small, whatever one text's length."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS_PER_BATCH))
+def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """df with the hint to broadcast it, if its measured bytes are within the limit (BROADCAST_BYTES)."""
+    return F.broadcast(df) if measured(df) <= (BROADCAST_BYTES if limit is None else limit) else df

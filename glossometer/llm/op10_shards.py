@@ -8,18 +8,19 @@ line, and equal pieces of that line are the shards: their sizes differ by less t
 
 from __future__ import annotations
 
+from itertools import count
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table, written
 
 SHARDS, OVERHEAD = 40, 16
-#: Ranges to a shard, drawn keys to a range (the sample's expected size is SHARDS * RANGES * DRAWS), and how many
-#: times the mean makes a range overfull.
-RANGES, DRAWS, OVERFULL = 8, 16, 4.0
-ROUNDS = 4
+#: Ranges to a shard and rows to a range on average (whichever makes more ranges), drawn keys to a range (the sample's
+#: expected size is ranges * DRAWS), and how many times the mean makes a range overfull.
+RANGES, ROWS_A_RANGE, DRAWS, OVERFULL = 8, 2_000_000, 16, 4.0
 
 
 def sized(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -34,21 +35,19 @@ def sized(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def splitters(rows: DataFrame, ranges: int, draws: int, total: int) -> list[tuple[int, int, int]]:
-    """Boundaries at the quantiles of a size-weighted sample of the keys, ascending and distinct.
+def drawn(rows: DataFrame, rate: Column, turn: int = 0) -> DataFrame:
+    """rows drawn with chance size * rate, at most 1, with weight: a row with a larger product counts as many times as it says. The draw is by hash, another one in each turn, so it is the same on each run."""
+    chance = F.pmod(F.xxhash64(F.lit(turn), "k1", "k2", "k3"), F.lit(1 << 53)) / float(1 << 53)
+    return rows.withColumn("weight", F.col("size") * rate).where(chance < F.col("weight")).withColumn("weight", F.greatest(F.lit(1.0), "weight"))
 
-    A row is drawn with chance size * rate, at most 1; rows with a larger product count as many times as it says. The
-    draw is by hash, so it is the same on each run. Expected drawn rows: ranges * draws at most.
-    """
-    rate = ranges * draws / max(1, total)
-    chance = F.pmod(F.xxhash64("k1", "k2", "k3"), F.lit(1 << 53)) / float(1 << 53)
-    drawn = rows.withColumn("weight", F.col("size") * rate).where(chance < F.col("weight")).select("k1", "k2", "k3", F.greatest(F.lit(1.0), "weight").alias("weight")).collect()
-    drawn.sort()
-    before = np.cumsum([r["weight"] for r in drawn])
-    if not len(before):
-        return []
-    at = np.searchsorted(before, before[-1] * np.arange(1, ranges) / ranges)
-    return sorted({tuple(drawn[i][:3]) for i in at})
+
+def quantiles(keys: list[tuple], ranges: int) -> set[tuple[int, int, int]]:
+    """The keys (k1, k2, k3, weight) at the weighted quantiles."""
+    keys = sorted(keys)
+    if not keys:
+        return set()
+    before = np.cumsum([k[3] for k in keys])
+    return {tuple(keys[i][:3]) for i in np.searchsorted(before, before[-1] * np.arange(1, ranges) / ranges)}
 
 
 def range_of(bounds: list[tuple[int, int, int]]):
@@ -74,23 +73,35 @@ def range_of(bounds: list[tuple[int, int, int]]):
     return find
 
 
-def ranged(rows: DataFrame, ranges: int, draws: int = DRAWS, overfull: float = OVERFULL, rounds: int = ROUNDS) -> DataFrame:
-    """rows with range: an int, ascending with the key; no range holds over `overfull` times the mean, unless `rounds` cuts didn't suffice or a single row does."""
+def ranged(rows: DataFrame, ranges: int, draws: int = DRAWS, overfull: float = OVERFULL) -> DataFrame:
+    """rows with range: an int, ascending with the key; a range holds over `overfull` times the mean only where a single row does, or where keys that lie side by side do.
+
+    Boundaries come from a size-weighted sample of ranges * draws keys at most. Ranges that turn out overfull are sampled
+    again, all in one pass and twice as densely each time, until none can be cut.
+    """
     total = rows.agg(F.sum("size")).first()[0] or 0
-    bounds = splitters(rows, ranges, draws, total)
-    for _ in range(rounds):
+    key = ["k1", "k2", "k3", "weight"]
+    bounds = sorted(quantiles([tuple(r) for r in drawn(rows, F.lit(ranges * draws / max(1, total))).select(key).collect()], ranges))
+    for turn in count(1):
         placed = rows.withColumn("range", range_of(bounds)("k1", "k2", "k3"))
-        full = placed.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).where((F.col("bytes") > overfull * total / ranges) & (F.col("n") > 1)).collect()
-        more = set(bounds)
-        for r in full:  # a few at most: the sample cuts most ranges near the mean
-            more.update(splitters(placed.where(F.col("range") == r["range"]), int(np.ceil(r["bytes"] * ranges / total)), max(draws, DRAWS), r["bytes"]))
+        # few at most: the sample cuts most ranges near the mean
+        full = placed.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).where((F.col("bytes") > overfull * total / ranges) & (F.col("n") > 1))
+        sizes = {r["range"]: r["bytes"] for r in full.collect()}
+        parts = {r: int(np.ceil(n * ranges / total)) for r, n in sizes.items()}
+        if not parts:
+            break
+        rates = rows.sparkSession.createDataFrame([(r, n * draws * 2.0**turn / sizes[r]) for r, n in parts.items()], "range int, rate double")
+        found: dict[int, list[tuple]] = {r: [] for r in parts}
+        for r in drawn(placed.join(F.broadcast(rates), "range"), F.col("rate"), turn).select("range", *key).collect():
+            found[r["range"]].append(tuple(r)[1:])
+        more = sorted({*bounds}.union(*(quantiles(keys, parts[r]) for r, keys in found.items())))
         if len(more) == len(bounds):
             break
-        bounds = sorted(more)
+        bounds = more
     return rows.withColumn("range", range_of(bounds)("k1", "k2", "k3"))
 
 
-def shard_rows(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", ranges: int = RANGES) -> DataFrame:
+def shard_rows(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", ranges: int = RANGES, rows_a_range: int = ROWS_A_RANGE) -> DataFrame:
     """One row per row of docs: id, size, text_crc32, shard and slot; shards are of nearly equal bytes and in key order.
 
     A row lies in the shard in which its middle byte does. Slots count a shard's rows from 0 without gaps, in key
@@ -99,8 +110,8 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", te
     shards empty; an empty table gives no rows. Other columns are ignored.
     """
     rows = written(sized(docs, id_col, text_col))
-    placed = written(ranged(rows, shards * ranges).select("id", "size", "k1", "k2", "k3", "range"))
-    # one row per range (their number is bounded by the parameters), with the bytes before it
+    placed = written(ranged(rows, max(shards * ranges, -(-rows.count() // rows_a_range))).select("id", "size", "k1", "k2", "k3", "range"))
+    # one row per range, with the bytes before it: a range has some million rows
     per = placed.groupBy("range").agg(F.sum("size").alias("bytes"))
     per = per.withColumn("before", F.sum("bytes").over(Window.orderBy("range")) - F.col("bytes")).withColumn("total", F.sum("bytes").over(Window.partitionBy()))
     key = Window.partitionBy("range").orderBy("k1", "k2", "k3")

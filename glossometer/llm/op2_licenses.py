@@ -15,7 +15,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import grams, small_enough, table, words, written
+from .common import broadcast_if_small, grams, table, words, written
 
 K = 3
 #: Diagonals this near belong to one span, and so large a share of the template's grams makes a label.
@@ -112,7 +112,7 @@ def votes(docs: DataFrame, places: DataFrame, id_col: str, text_col: str, k: int
     text_words = words(F.col(text_col))
     gram = docs.select(F.monotonically_increasing_id().alias("row_"), F.col(id_col).alias("id"), text_words.alias("w")).select("row_", "id", F.size("w").alias("n_words"), F.posexplode_outer(grams(F.col("w"), k)).alias("at", "gram")).withColumn("hash", F.xxhash64("gram"))
     places = places.select("template", "place", F.col("gram").alias("known"), F.xxhash64("gram").alias("hash"))
-    places = F.broadcast(places) if small_enough(places.count(), 256) else places
+    places = broadcast_if_small(places)
     matched = gram.join(places, (gram["hash"] == places["hash"]) & (gram["gram"] == places["known"]), "left")
     # rows without a match fold into one group per document before the shuffle
     return matched.groupBy("row_", "id", "n_words", "template", (F.col("at") - F.col("place")).alias("diagonal")).agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("bits"), F.min("at").alias("first"), F.max("at").alias("last"))

@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, small_enough, table, written
+from .common import broadcast_if_small, lower_ascii, table, unused, written
 
 MIN_CHARS, MIN_DOCS, BATCHES, FANOUT = 40, 5, 4, 3
 #: Keys of a store that make a bucket, and the fewest buckets.
@@ -48,6 +48,7 @@ class LineRuns:
     def __init__(self, spark: SparkSession, buckets: int = LEAST_BUCKETS, fanout: int = FANOUT):
         self.spark, self.fanout, self.buckets = spark, fanout, buckets
         self.name, self.made = f"line_runs_{uuid.uuid4().hex}", 0
+        self.tables: set[str] = set()
         #: Tables by level; keys of the runs are disjoint.
         self.runs: dict[int, list[str]] = {}
         #: Small and not disjoint: plain files, since Spark 4.1.2 loses rows' partitioning in an aggregate over a union of bucketed tables.
@@ -56,12 +57,22 @@ class LineRuns:
     def _write(self, rows: DataFrame) -> str:
         self.made += 1
         name = f"{self.name}_{self.made}"
-        rows.select(*KEY, "n_docs", "keeper").repartition(self.buckets, *KEY).coalesce(self.buckets).sortWithinPartitions(*KEY).write.bucketBy(self.buckets, *KEY).sortBy(*KEY).saveAsTable(name, format="parquet")
+        self.tables.add(name)
+        # rebalanced by the key, so that a task's rows lie in few buckets and files have the size that the session advises
+        rows.select(*KEY, "n_docs", "keeper").hint("rebalance", *KEY).sortWithinPartitions(*KEY).write.bucketBy(self.buckets, *KEY).sortBy(*KEY).saveAsTable(name, format="parquet")
         return name
 
     def _drop(self, names: list[str]) -> None:
         for name in names:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self.tables.discard(name)
+
+    def __enter__(self) -> LineRuns:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        """A job that fails leaves no tables either."""
+        self._drop(list(self.tables))
 
     def all_runs(self) -> list[str]:
         return [name for level in self.runs.values() for name in level]
@@ -91,12 +102,12 @@ class LineRuns:
 
     def common(self, min_docs: int) -> DataFrame:
         """(h1, h2, keeper) of the keys found in at least min_docs documents, written to shared storage."""
-        more, summed = None, []
+        more = None
         for rows in self.increments:
             more = rows if more is None else more.unionByName(rows)
         if more is not None:
-            summed = [self._write(more.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper")))]
-            more = self.spark.table(summed[0]).select(*KEY, F.col("n_docs").alias("more_docs"), F.col("keeper").alias("more_keeper"))
+            summed = self._write(more.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper")))
+            more = self.spark.table(summed).select(*KEY, F.col("n_docs").alias("more_docs"), F.col("keeper").alias("more_keeper"))
         found = None
         for run in self.all_runs():
             rows = self.spark.table(run)
@@ -105,7 +116,7 @@ class LineRuns:
             rows = rows.where(F.col("n_docs") >= min_docs).select(*KEY, "keeper")
             found = rows if found is None else found.unionByName(rows)
         out = written(found)
-        self._drop([*self.all_runs(), *summed])
+        self._drop(list(self.tables))
         self.runs, self.increments = {}, []
         return out
 
@@ -125,24 +136,23 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     batch = F.pmod(F.xxhash64(F.col(id_col)), F.lit(batches)).cast("int") if batch is None else batch
     # sorted by batch, so that a batch's read skips the pages of others
     staged = written(document_keys(docs, batch, id_col, text_col, min_chars).sortWithinPartitions("batch"))
-    store = LineRuns(spark, max(LEAST_BUCKETS, -(-staged.count() // KEYS_A_BUCKET)))
-    for n in range(batches):
-        store.add(staged.where(F.col("batch") == n).select(*KEY, "n_docs", "keeper"))
-    common = store.common(min_docs)
+    with LineRuns(spark, max(LEAST_BUCKETS, -(-staged.count() // KEYS_A_BUCKET))) as store:
+        for n in range(batches):
+            store.add(staged.where(F.col("batch") == n).select(*KEY, "n_docs", "keeper"))
+        common = store.common(min_docs)
 
     # the places to drop, by id and text: rows that are alike in both lose the same lines
     places = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.posexplode(F.transform(lines(F.col(text_col)), line_key)).alias("at", "key")).where(F.char_length("key") >= min_chars).select("id", "text_hash", "at", hashed(F.col("key")).alias("k")).select("id", "text_hash", "at", "k.h1", "k.h2")
-    common = F.broadcast(common) if small_enough(common.count(), 64) else common
-    drops = places.join(common, KEY).where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy("id", "text_hash").agg(F.collect_set("at").alias("dropped"))
-    drops = written(drops)
-    n, total = drops.agg(F.count("*"), F.sum(F.size("dropped"))).first()
-    drops = F.broadcast(drops) if small_enough(n, 64) and small_enough(total or 0, 8) else drops
+    drops = places.join(broadcast_if_small(common), KEY).where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy("id", "text_hash").agg(F.collect_set("at").alias("dropped"))
+    drops = broadcast_if_small(written(drops))
 
-    joined = docs.drop("kept_text", "n_lines", "n_dropped").alias("d").join(drops.alias("x"), F.col(f"d.`{id_col}`").cast("long").eqNullSafe(F.col("x.id")) & (F.xxhash64(F.col(f"d.`{text_col}`")) == F.col("x.text_hash")), "left")
+    rows = docs.drop("kept_text", "n_lines", "n_dropped")
+    text, dropped, own = unused("text_", rows), unused("dropped_", rows), unused("lines_", rows)
+    joined = rows.alias("d").join(drops.alias("x"), F.col(f"d.`{id_col}`").cast("long").eqNullSafe(F.col("x.id")) & (F.xxhash64(F.col(f"d.`{text_col}`")) == F.col("x.text_hash")), "left")
     # the lines are a column of their own, used twice, so that the optimizer doesn't split the text for each line
-    joined = joined.select("d.*", F.col(f"d.`{text_col}`").alias("text_"), F.col("x.dropped").alias("dropped_"), lines(F.col(f"d.`{text_col}`")).alias("lines_"))
-    kept = F.when(F.col("dropped_").isNull(), F.coalesce("text_", F.lit(""))).otherwise(F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines_") - 1), F.col("dropped_")), lambda i: F.get("lines_", i)), "\n"))
-    return joined.withColumn("kept_text", kept).withColumns({"n_lines": F.size("lines_").cast("long"), "n_dropped": F.coalesce(F.size("dropped_"), F.lit(0)).cast("long")}).drop("text_", "dropped_", "lines_")
+    joined = joined.select("d.*", F.col(f"d.`{text_col}`").alias(text), F.col("x.dropped").alias(dropped), lines(F.col(f"d.`{text_col}`")).alias(own))
+    kept = F.when(F.col(dropped).isNull(), F.coalesce(text, F.lit(""))).otherwise(F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(own) - 1), F.col(dropped)), lambda i: F.get(own, i)), "\n"))
+    return joined.withColumn("kept_text", kept).withColumns({"n_lines": F.size(own).cast("long"), "n_dropped": F.coalesce(F.size(dropped), F.lit(0)).cast("long")}).drop(text, dropped, own)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

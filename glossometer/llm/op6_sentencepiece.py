@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_batches
+from .common import table, unused
 
 SPACE = "▁"
 #: Segments that a worker remembers in each of two generations.
@@ -243,10 +243,9 @@ def encode_texts(docs: DataFrame, model: str | None = None, text_col: str = "tex
     no rule. A long text without spaces goes through a heap, so it costs n log n. Other columns stay; those of the
     names above are replaced.
     """
-    text_batches(docs.sparkSession)
     added = ["n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]
-    rows = docs.drop(*added)
-    return rows.withColumn("encoded_", encoder(model or default_model(), with_ids)(F.col(text_col))).select(*(F.col(f"`{c}`") for c in rows.columns), *(F.col("encoded_")[c].alias(c) for c in added))
+    rows, own = docs.drop(*added), unused("encoded", docs)
+    return rows.withColumn(own, encoder(model or default_model(), with_ids)(F.col(text_col))).select(*(F.col(f"`{c}`") for c in rows.columns), *(F.col(own)[c].alias(c) for c in added))
 
 
 def decode_ids(rows: DataFrame, ids_col: str = "ids", model: str | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import table, text_batches, written
+from .common import table, written
 from .components import components
 
 SHINGLE, BUDGET = 3, 2
@@ -189,7 +189,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     and rows give a row each. A null id keeps its row and never names a component that has another id. An empty table
     gives no rows; other columns are ignored.
     """
-    text_batches(docs.sparkSession)
     rows = written(docs.select(F.col(id_col).cast("long").alias(id_col), fingerprinter(families)(F.col(text_col)).alias("all")).withColumn("fp", F.get("all", F.lit(0))))
     prints = written(rows.select("fp", "all").distinct()) if families > 1 else rows
     distinct = written(rows.groupBy("fp").agg(F.min(id_col).alias("least")))
@@ -201,7 +200,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # components are named by fingerprints; each takes the least id among its fingerprints
     named = linked.join(distinct, "fp").select("fp", "component", "least")
     least = named.groupBy("component").agg(F.min("least").alias("least_of_all"))
-    by_fp = distinct.join(named.join(least, "component").select("fp", "least_of_all"), "fp", "left").select("fp", F.coalesce("least_of_all", "least").alias("component_id"))
+    # written, so that both sides of the last join are plain exchanges, of which Spark splits a fingerprint with many rows
+    by_fp = written(distinct.join(named.join(least, "component").select("fp", "least_of_all"), "fp", "left").select("fp", F.coalesce("least_of_all", "least").alias("component_id")))
     return rows.join(by_fp, "fp").select(id_col, F.col("fp").alias("fingerprint"), "component_id")
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, grams, lower_ascii, small_enough, table, words, written
+from .common import WORD, broadcast_if_small, grams, lower_ascii, table, words, written
 
 WINDOW, SHINGLE = 10, 5
 
@@ -39,9 +39,9 @@ def shingles(windows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def document_tokens(docs: DataFrame, id_col: str, text_col: str, lengths: list[int]) -> DataFrame:
-    """(id, n_words, k, at, token): all hashed shingles of the given lengths of every document."""
-    w = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("w"))
-    parts = [w.select("id", F.size("w").alias("n_words"), F.lit(k).alias("k"), F.posexplode(hashed_grams(F.col("w"), k)).alias("at", "token")) for k in lengths]
+    """(id, text_hash, n_words, k, at, token): all hashed shingles of the given lengths of every document. Documents are told by id and text: ids may be null or repeated."""
+    w = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), words(F.col(text_col)).alias("w"))
+    parts = [w.select("id", "text_hash", F.size("w").alias("n_words"), F.lit(k).alias("k"), F.posexplode(hashed_grams(F.col("w"), k)).alias("at", "token")) for k in lengths]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -66,23 +66,18 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     windows = written(benchmark_windows(items, item_col))
     tokens = written(shingles(windows))
     lengths = sorted(r[0] for r in tokens.select("k").distinct().collect()) or [SHINGLE]
-    known = tokens.select("token").distinct()
-    known = F.broadcast(known) if small_enough(known.count(), 64) else known
+    known = broadcast_if_small(tokens.select("token").distinct())
     hits = written(document_tokens(docs, id_col, text_col, lengths).join(known, "token"))
 
     # rarity over all documents; the inner join drops windows with a shingle that no document holds
     counts = hits.groupBy("k", "token").agg(F.count("*").alias("frequency"))
     rated = tokens.join(counts, ["k", "token"]).groupBy("window_text", "n", "k").agg(F.count("*").alias("found"), F.min(F.struct("frequency", "token", "offset")).alias("rarest"))
     prefixes = written(rated.where("found = n - k + 1").select("window_text", "n", "k", "rarest.token", "rarest.offset"))
-    size = prefixes.count()
-    prefixes = F.broadcast(prefixes) if small_enough(size, 512) else prefixes
-    placed = hits.join(prefixes, ["k", "token"]).select("id", "n_words", (F.col("at") - F.col("offset")).alias("at"), "n", "window_text").where("at >= 0 AND at + n <= n_words")
-    candidates = written(placed.groupBy("id").agg(F.collect_set(F.struct("at", "n", "window_text")).alias("candidates")))
+    placed = hits.join(broadcast_if_small(prefixes), ["k", "token"]).select("id", "text_hash", "n_words", (F.col("at") - F.col("offset")).alias("at"), "n", "window_text").where("at >= 0 AND at + n <= n_words")
+    candidates = broadcast_if_small(written(placed.groupBy("id", "text_hash").agg(F.collect_set(F.struct("at", "n", "window_text")).alias("candidates"))))
 
-    n, total = candidates.agg(F.count("*"), F.sum(F.size("candidates"))).first()
-    candidates = F.broadcast(candidates) if small_enough(n, 64) and small_enough(total or 0, 160) else candidates
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    w = texts.join(candidates, F.col("doc").eqNullSafe(F.col("id"))).select("id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"), "candidates")
+    w = texts.join(candidates, F.col("doc").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("text_hash"))).select("id", "text_hash", words(F.col("text")).alias("w"), "candidates")
     # with two uses of w the optimizer doesn't move its expression into the lambda
     true = F.filter("candidates", lambda c: (c["at"] + c["n"] <= F.size("w")) & (F.array_join(F.slice("w", c["at"] + 1, c["n"]), " ") == c["window_text"]))
     # (and with the filter behind the written table, it can't move it there on the filter's behalf)
@@ -94,8 +89,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     by_null_safe = lambda x, y: F.col(f"{x}.id").eqNullSafe(F.col(f"{y}.id")) & (F.col(f"{x}.text_hash") == F.col(f"{y}.text_hash"))
     summary = written(covered.alias("a").join(named.alias("b"), by_null_safe("a", "b")).select("a.*", "b.hit_items"))
 
-    n, total = summary.agg(F.count("*"), F.sum(F.size("hit_items"))).first()
-    summary = F.broadcast(summary) if small_enough(n, 64) and small_enough(total or 0, 32) else summary
+    summary = broadcast_if_small(summary)
     text = F.col(f"d.`{text_col}`")
     rows = docs.alias("d").join(summary.alias("s"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("s.id")) & (F.xxhash64(text) == F.col("s.text_hash")), "left")
     return rows.select(

@@ -18,10 +18,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_batches, written
+from .common import table, written
 
-#: Labelled rows of the bounded training sample, words of the lexicon, and how it is chosen.
-SAMPLE, LEXICON, MIN_TEXTS, MIN_SHARE, MIN_PRECISION = 12_000, 256, 5, 0.02, 0.95
+#: Labelled rows of the bounded training sample, letters of a lexicon word at least, and in how many of the sample's texts, in what share of the toxic ones and how precisely it has to occur.
+SAMPLE, MIN_LETTERS, MIN_TEXTS, MIN_SHARE, MIN_PRECISION = 12_000, 3, 5, 0.02, 0.95
 #: Letters of a stem, and endings that make one.
 STEM, ENDINGS = range(4, 9), 8
 THRESHOLD = 0.7
@@ -249,12 +249,11 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: int = LEXICON) -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on a bounded sample: the `sample` labelled rows outside the held-out fold whose ids have the smallest hashes.
 
     Equal texts count once. Without labelled texts of both kinds the lexicon is empty and every score is low.
     """
-    text_batches(docs.sparkSession)
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = written(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     texts = written(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text IS NOT NULL").groupBy("text").agg(F.max("toxic").alias("toxic")))
@@ -264,7 +263,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: int
         """The text's tokens, and their beginnings with a * behind; a + before those that occur plainly, a - before others."""
 
         def named(tokens: set[str]) -> set[str]:
-            found = {t for raw in tokens if 3 <= len(t := EDGE.sub("", raw)) <= 40 and t.isalpha()}
+            found = {t for raw in tokens if MIN_LETTERS <= len(t := EDGE.sub("", raw)) and t.isalpha()}
             return found | {f"{t[:n]}*" for t in found for n in STEM if n <= len(t)}
 
         def of(x: str) -> list[str]:
@@ -286,15 +285,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: int
     # clean texts that only quote or report a term don't speak against it: its plain occurrences tell, if there are enough
     telling = (F.col("n") >= MIN_PRECISION * F.col("m")) | ((F.col("plain_n") >= enough) & (F.col("plain_n") >= MIN_PRECISION * F.col("plain_m")))
     begun = counted.where("part NOT LIKE '%*'").select(F.explode(F.array(*(F.concat(F.substring("part", 1, n), F.lit("*")) for n in STEM))).alias("part"), F.col("part").alias("token")).distinct().groupBy("part").agg(F.count_distinct("token").alias("endings"))
-    stems: list[str] = []
-    for r in counted.where(telling & F.col("part").endswith("*")).join(begun, "part").where(F.col("endings") >= ENDINGS).orderBy(F.length("part"), F.desc("n"), "part").limit(lexicon * len(STEM)).collect():
-        if not any(r["part"].startswith(x) for x in stems) and len(stems) < lexicon:
-            stems.append(r["part"][:-1])
-    covered = F.lit(False)
-    for x in stems:
-        covered |= F.col("part").startswith(x)
-    best = counted.where(telling & ~F.col("part").endswith("*") & ~covered).orderBy(F.desc("n"), "part").limit(lexicon).collect()
-    model = Model(sorted(r["part"] for r in best), sorted(stems))
+    # as many words and stems as pass: each is in MIN_SHARE of the bounded sample's toxic texts
+    stems: set[str] = set()
+    for r in counted.where(telling & F.col("part").endswith("*")).join(begun, "part").where(F.col("endings") >= ENDINGS).select("part").collect():
+        stems.add(r["part"][:-1])
+    begins = lambda x, least: any(x[:n] in stems for n in STEM if n <= least)
+    stems = {x for x in stems if not begins(x, len(x) - 1)}  # the shortest of those that begin with one another
+    words = {r["part"] for r in counted.where(telling & ~F.col("part").endswith("*")).select("part").collect()}
+    words = {x for x in words if not begins(x, len(x))}
+    model = Model(sorted(words), sorted(stems))
 
     # innocent misspellings come from one half of the sample, the regression from the other
     half = F.xxhash64(F.lit("half"), F.col("text")) % 2 == 0
@@ -323,7 +322,6 @@ def score_texts(docs: DataFrame, model: Model, text_col: str = "text") -> DataFr
     Null and empty texts get the score of a text without hits. Rows are independent, so repeated ids and rows, null
     ids and an empty table need no rule. Other columns stay; one called score is replaced.
     """
-    text_batches(docs.sparkSession)
 
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_enough, text_batches, written
+from .common import broadcast_if_small, written
 from .components import components
 
 #: Words of a shingle, and the least similarity of a link as a fraction.
@@ -79,9 +79,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b): the distinct pairs whose texts are similar enough. texts: cls and text, repeated for equal texts."""
     pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     needed = written(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct())
-    if small_enough(needed.count(), 64):
-        needed = F.broadcast(needed)
-    one = written(texts.join(needed, "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text")))
+    one = written(texts.join(broadcast_if_small(needed), "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text")))
     both = pairs.join(one.select(F.col("cls").alias("a"), F.col("text").alias("left")), "a").join(one.select(F.col("cls").alias("b"), F.col("text").alias("right")), "b")
     return written(both.where(F.pandas_udf(alike, "boolean")("left", "right")).select("a", "b"))
 
@@ -91,7 +89,7 @@ def links(texts: DataFrame, classes: DataFrame) -> DataFrame:
     members = written(classes.select("cls", F.explode("keys").alias("key")))
     shared = written(members.groupBy("key").agg(F.count("*").alias("n"), F.min("cls").alias("a"), F.max("cls").alias("b")).where("n > 1"))
     more = shared.where("n > 2").select("key", "n")
-    members = written(members.join(F.broadcast(more) if small_enough(more.count(), 64) else more, "key"))
+    members = written(members.join(broadcast_if_small(more), "key"))
     few, many = members.where(F.col("n") <= PAIRWISE), members.where(F.col("n") > PAIRWISE).select("key", "cls")
     pairs = few.select("key", F.col("cls").alias("a")).join(few.select("key", F.col("cls").alias("b")), "key").where("a < b").select("a", "b")
     found = verified(shared.where("n = 2").select("a", "b").unionByName(pairs), texts)
@@ -121,7 +119,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     white space only are equal texts. Repeated ids and rows give a row each. A null id keeps its row and never names
     a component that has another id. Equal texts are told by 64 bits of hash.
     """
-    text_batches(docs.sparkSession)
     rows = written(docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).alias("text"), F.pandas_udf(sketched, "cls long, keys array<long>")(F.col(text_col)).alias("s")).select(id_col, "text", "s.*"))
     classes = written(rows.groupBy("cls").agg(F.min(id_col).alias("least"), F.first("keys").alias("keys")))
     linked = components(links(rows.select("cls", "text"), classes.select("cls", "keys"))).withColumnRenamed("node", "cls")

@@ -125,8 +125,16 @@ def test_few_and_no_rows(documents):
 
 def test_overfull_ranges_are_cut(documents, prose):
     rows = op10.sized(documents(*((i, prose(i, 30)) for i in range(400))), "doc_id", "text")
-    got = op10.ranged(rows, 8, draws=1, overfull=2.0).groupBy("range").agg(F.sum("size").alias("n")).collect()
-    assert max(r["n"] for r in got) <= 2.0 * sum(r["n"] for r in got) / 8
+    for ranges in (8, 64):
+        got = op10.ranged(rows, ranges, draws=1, overfull=1.7).groupBy("range").agg(F.sum("size").alias("n"), F.count("*").alias("rows")).collect()
+        assert all(r["n"] <= 1.7 * sum(r["n"] for r in got) / ranges or r["rows"] == 1 for r in got)
+
+
+def test_ranges_follow_the_rows(documents, prose):
+    docs = documents(*((i, prose(i, 8)) for i in range(600)))
+    check_shards(docs, 4, ranges=1, rows_a_range=10)
+    one = {tuple(r) for r in op10.shard_rows(docs, 4, ranges=1, rows_a_range=10).collect()}
+    assert one == {tuple(r) for r in op10.shard_rows(docs.repartition(5), 4, ranges=3).collect()}  # ranges don't decide where a row lies
 
 
 def test_writing_shards(spark, documents, prose, tmp_path):

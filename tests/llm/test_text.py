@@ -11,6 +11,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from glossometer.llm import common
 from glossometer.llm import op2_licenses as op2
 from glossometer.llm import op4_lines as op4
 from glossometer.llm import op5_pii as op5
@@ -538,3 +539,52 @@ def test_no_labels(judged, documents, odd):
     for few in (labels.limit(0), labels.where("toxic = 0"), labels.withColumn("toxic", F.lit(None).cast("int"))):
         assert op9.train(docs, few).lexicon == []
     assert op9.score_texts(documents(*odd).limit(0), op9.Model([])).count() == 0
+
+
+# ---- common ways
+
+
+def test_without_broadcasts_the_rows_are_the_same(documents, odd, prose, monkeypatch):
+    lines = [prose(i, 12) for i in range(6)]
+    docs = documents(*odd, *((i, "\n".join(lines[i % 5 :] + [prose(i, 30)])) for i in range(20, 40)), (None, lines[0]), (None, lines[1] + " " + prose(1, 30)), (41, "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"))
+    items = documents(*enumerate(lines), (9, "two words")).select(F.col("doc_id").alias("item_id"), "text")
+    runs = lambda: [sorted(map(repr, x.collect())) for x in (op2.scan(docs), op4.dedup_lines(docs, min_chars=5), op8.decontaminate(docs, items))]
+    small = runs()
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    assert "ResolvedHint" not in common.broadcast_if_small(docs)._jdf.queryExecution().logical().toString() and runs() == small
+
+
+def test_null_ids_are_told_by_their_texts(documents, prose):
+    window = prose(3, 10)
+    docs = documents(*((None, f"{prose(i, 30)} {window if i % 2 else ''}") for i in range(30)))
+    got = Counter((r["text"], r["contaminated"]) for r in op8.decontaminate(docs, documents((1, window)).withColumnRenamed("doc_id", "item_id")).collect())
+    assert got == Counter((f"{prose(i, 30)} {window if i % 2 else ''}", bool(i % 2)) for i in range(30))
+
+
+def test_columns_of_clashing_names_stay(documents, prose):
+    docs = documents((1, "the first text"), (2, None)).withColumns({c: F.lit(c) for c in ("text_", "dropped_", "lines_", "found", "found_", "encoded", "Encoded_", "row_", "id", "key")})
+    for out in (op4.dedup_lines(docs), op5.detect(docs), op6.encode_texts(docs), op8.decontaminate(docs, docs.withColumnRenamed("doc_id", "item_id")), op9.score_texts(docs, op9.Model(["bad"]))):
+        rows = out.collect()
+        assert len(rows) == 2 and all(r[c] == c for r in rows for c in docs.columns[5:]) and out.columns[: len(docs.columns)] == docs.columns
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Session:
+        def __init__(self, master, folder=None):
+            self.sparkContext, self.master, self.folder, self.conf = self, master, folder, self
+
+        def getConf(self):
+            return self
+
+        def get(self, key, default=None):
+            return self.folder
+
+        def set(self, key, value):
+            self.folder = value
+
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(ValueError, match="shared|share"):
+            common.scratch(Session(master))
+        assert common.scratch(Session(master, "hdfs://x/y")).startswith("hdfs://x/y/")
+    for master in ("local", "local[8]", "local[*]"):
+        assert common.scratch(Session(master)).startswith("file:///")
