@@ -60,6 +60,8 @@ def compatible() -> dict[str, str]:
 
 GLYPHS = compatible() | LOOKALIKES | dict.fromkeys(MARKS, " ") | dict.fromkeys(WIDTHLESS, "")
 GLYPH = re.compile("[" + "".join(map(re.escape, GLYPHS)) + "]")
+#: The same in two parts: sets of 16-bit characters are looked up in a table, larger ones one after the other.
+GLYPH_SETS = (re.compile("[" + "".join(re.escape(c) for c in GLYPHS if c <= "\uffff") + "]"), re.compile("[\U0001d400-\U0001d7ff\U0001f100-\U0001f1ff]"))
 #: Digits as words.
 SPELLED = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
@@ -185,9 +187,12 @@ def identifiers(text: str) -> list[tuple[str, int, int]]:
 
 
 def plain_glyphs(m: Mapped) -> Mapped:
-    found = [(x.start(), x.end(), GLYPHS[x.group()]) for x in GLYPH.finditer(m.text)]
+    if m.text.isascii():
+        return m
+    glyph = GLYPH if GLYPH_SETS[1].search(m.text) else GLYPH_SETS[0]
+    found = [(x.start(), x.end(), GLYPHS[x.group()]) for x in glyph.finditer(m.text)]
     if m.starts is None and all(len(new) == 1 for *_, new in found):  # the places stay
-        return Mapped(GLYPH.sub(lambda x: GLYPHS[x.group()], m.text)) if found else m
+        return Mapped(glyph.sub(lambda x: GLYPHS[x.group()], m.text)) if found else m
     return m.rewrite(found)
 
 
