@@ -118,3 +118,7 @@ WITH lines AS (
 )
 SELECT repo FROM slugs WHERE length(repo) - length(replace(repo, '/', '')) = 1
 """
+
+SLUG_COUNTS_SQL = SLUGS_SQL.rpartition("SELECT repo FROM slugs")[0] + """
+SELECT count(*) FILTER (WHERE length(repo) - length(replace(repo, '/', '')) = 1) AS n_slugs, (SELECT count(*) FROM lines) - count(*) AS n_ignored, count(*) FILTER (WHERE length(repo) - length(replace(repo, '/', '')) <> 1) AS n_bad FROM slugs
+"""

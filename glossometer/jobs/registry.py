@@ -10,12 +10,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import normalize_repo, year_month_from_name
+from ..functions.scalars import metric_name, normalize_repo, year_month_from_name
 from ..functions.values import AUTOMATION, METRIC_COLUMNS, METRICS
 from ..operators import events, filters, languages, pack, ratings
-from ..sources import readers
+from ..sources import readers, writers
+from ..sources.scratch import scratch
 from . import adapters
-from .adapters import ARCHIVE_SQL, EXTRACTED_SQL, LANGUAGES_SQL, MONTHLY_SQL, SLUGS_SQL, archive
+from .adapters import ARCHIVE_SQL, EXTRACTED_SQL, LANGUAGES_SQL, MONTHLY_SQL, SLUG_COUNTS_SQL, SLUGS_SQL, archive
 
 ACTORS, ISSUES = 1000, 100
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +55,26 @@ def missing_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.missing_hours(readers.hour_index(spark, first.year, first.month), present)
 
 
+@query(
+    "s1_hour_index",
+    """
+WITH e AS (SELECT date_trunc('month', min(ts)) AS first FROM events), h AS (SELECT unnest(range(first, first + INTERVAL 1 MONTH, INTERVAL 1 HOUR)) AS hour, first FROM e)
+SELECT CAST(datediff('hour', first, hour) + 1 AS INTEGER) AS idx, strftime(hour, '%Y-%m-%d-') || hour(hour) || '.json.gz' AS name FROM h
+""",
+)
+def hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly files of the month in which the events begin."""
+    first = _days(spark, sf_dir).agg(F.min("ts")).first()[0]
+    return readers.hour_index(spark, first.year, first.month)
+
+
+@query("s3_read_events", EXTRACTED_SQL)
+def read_back_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event lines written as gzipped text, read as event files and extracted."""
+    adapters.event_lines(spark, sf_dir).write.option("compression", "gzip").text(folder := scratch(spark))
+    return events.extract_events(readers.read_events(spark, folder))
+
+
 @query("x1_extract_events", EXTRACTED_SQL)
 def extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.extract_events(adapters.event_lines(spark, sf_dir))
@@ -69,6 +90,11 @@ def clean_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.clean_slug_lines(adapters.slug_lines(spark, sf_dir))
 
 
+@query("x4_slug_counts", SLUG_COUNTS_SQL)
+def slug_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.slug_line_counts(adapters.slug_lines(spark, sf_dir))
+
+
 @query("x3_normalize_repo", r"SELECT page_id, CASE WHEN length(s) - length(replace(s, '/', '')) = 1 THEN s END AS repo FROM (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(url, '^(https://github\.com/|http://github\.com/|github\.com/)', ''), '\.git$', ''), '/+$', '') AS s FROM (SELECT page_id, 'github.com/' || regexp_extract(url, 'https?://([^?#]*)', 1) AS url FROM pages))")
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
@@ -92,6 +118,51 @@ def last_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.parse_languages(lines, ["event_id"]).select("repo", "total_size", F.get("languages", F.lit(0))["language"].alias("language"))
 
 
+@query("s5_write_archive", ARCHIVE_SQL)
+def written_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive written as CSV and read again."""
+    writers.write_archive(archive(spark, sf_dir), folder := scratch(spark))
+    return readers.read_archive(spark, folder)[0]
+
+
+#: Archive rows as CSV lines: quoted actors, counts with a plus sign, and rows that are bad by their count or their width.
+_COUNT_KIND = "CASE WHEN count % 7 = 0 THEN 'bad' WHEN count % 11 = 0 THEN 'wide' WHEN count % 13 = 0 THEN 'blank' WHEN count % 5 = 0 THEN 'plus' ELSE 'plain' END"
+
+
+def _damaged(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with such lines."""
+    kind = F.expr(_COUNT_KIND)
+    count = F.concat(F.when(kind == "bad", F.lit("-")).when(kind == "plus", F.lit("+")).when(kind == "blank", F.lit(" ")).otherwise(F.lit("")), F.col("count").cast("string"), F.when(kind == "wide", F.lit(",more")).otherwise(F.lit("")))
+    line = F.concat(F.lit('"'), "actor", F.lit('""x",'), F.concat_ws(",", "repo", "event_type", "action", "language"), F.lit(","), count)
+    archive(spark, sf_dir).select(line.alias("value")).write.text(folder := scratch(spark))
+    return folder
+
+
+_DAMAGED = f"SELECT actor || '\"x' AS actor, repo, event_type, action, language, count, {_COUNT_KIND} AS kind FROM ({ARCHIVE_SQL})"
+
+
+@query("s4_read_archive", f"SELECT actor, repo, event_type, action, language, count FROM ({_DAMAGED}) WHERE kind NOT IN ('bad', 'wide')")
+def read_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The good rows; blanks around counts are ignored. No line is a header, so the header option is off for files without one."""
+    return readers.read_archive(spark, _damaged(spark, sf_dir), header=False)[0]
+
+
+@query("s4_bad_rows", f"SELECT count(*) AS n_bad FROM ({_DAMAGED}) WHERE kind IN ('bad', 'wide', 'blank')")
+def bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows the stricter mode refuses."""
+    return readers.read_archive(spark, _damaged(spark, sf_dir), mode="stats", header=False)[1]
+
+
+_LISTED = "array_to_string(list_transform(languages, lambda x: x.language || ':' || x.size), ',')"
+
+
+@query("s7_write_languages", f"SELECT repo, total_size::BIGINT AS total_size, {_LISTED} AS languages FROM ({LANGUAGES_SQL})")
+def written_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages written as JSON lines and read again."""
+    writers.write_languages(adapters.languages(spark, sf_dir), folder := scratch(spark))
+    return readers.read_languages(spark, folder).select("repo", "total_size", F.array_join(F.transform("languages", lambda x: F.concat_ws(":", x["language"], x["size"].cast("string"))), ",").alias("languages"))
+
+
 # ---- filters
 
 _BOT = "actor ILIKE '%bot%'"
@@ -163,6 +234,24 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.filter_report(archive(spark, sf_dir), ACTORS, ISSUES)
 
 
+_MONTHS = "(SELECT DISTINCT month FROM f0)"
+_TAGS = f"""
+t AS (SELECT f0.month, CASE WHEN NOT k.has_code THEN 1 WHEN {_BOT.replace('actor', 'f0.actor')} THEN 2 WHEN {_CI.replace('actor', 'f0.actor')} THEN 3 WHEN k.human <= 1 THEN 4 WHEN NOT (ok.total <= {ACTORS}) THEN 5 WHEN regexp_matches(f0.repo, '^{_GONE}/|^[^/]*/{_GONE}$') THEN 6
+    WHEN a.actor IS NULL THEN 7 WHEN event_type = 'IssuesEvent' AND b.repo IS NOT NULL THEN 8 WHEN event_type = 'IssuesEvent' AND NOT a.coder THEN 9 END AS step
+    FROM f0 JOIN (SELECT month, repo, bool_or({_CODE}) AS has_code, coalesce(sum(count) FILTER (WHERE NOT {_BOT} AND NOT {_CI}), 0) AS human FROM f0 GROUP BY 1, 2) k ON k.month = f0.month AND k.repo = f0.repo
+    LEFT JOIN (SELECT month, actor, sum(count) AS total FROM p1 GROUP BY 1, 2) ok ON ok.month = f0.month AND ok.actor = f0.actor
+    LEFT JOIN a ON a.month = f0.month AND a.actor = f0.actor LEFT JOIN b ON b.month = f0.month AND b.repo = f0.repo),
+n AS (SELECT m.month, s.step_no, s.step, (SELECT count(*) FROM t WHERE t.month = m.month AND t.step = s.step_no) AS removed, (SELECT count(*) FROM t WHERE t.month = m.month AND coalesce(t.step, 99) >= s.step_no) AS before FROM {_MONTHS} m, (VALUES {", ".join(f"({i}, '{x}')" for i, x in enumerate(filters.STEPS, 1))}) s(step_no, step)
+    UNION ALL SELECT month, 10, 'total', count(step), count(*) FROM t GROUP BY 1)
+SELECT month, step_no, step, removed, CASE WHEN before = 0 THEN 0.0 ELSE 100.0 * removed / before END::DOUBLE AS removed_pct, before - removed AS remaining FROM n
+"""
+
+
+@query("a9_filter_report_by_month", f"{_BY_MONTH}, {_TAGS}")
+def report_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.filter_report(archive(spark, sf_dir, monthly=True), ACTORS, 10, ["month"])
+
+
 # ---- activity, shares, ratings
 
 
@@ -299,6 +388,65 @@ def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.parse_language_responses(requests, responses).select("repo", "total_size", F.array_join(F.transform("languages", lambda x: F.concat_ws(":", x["language"], x["size"].cast("string"))), ",").alias("languages"))
 
 
+#: The requests of one lane, so that names follow one another: quotes go from the texts, and names without a slash aren't asked for.
+_ODD_SLUGS = """CASE p_partkey % 5 WHEN 0 THEN 'o"' || p_partkey || '/r"x' WHEN 1 THEN 'noslash' || p_partkey ELSE 'org/r' || p_partkey END"""
+_NUMBERED = f"SELECT (nr // 10)::BIGINT AS batch_id, 'r' || (nr % 10) AS alias, repo FROM (SELECT repo, row_number() OVER (ORDER BY repo) - 1 AS nr FROM (SELECT {_ODD_SLUGS} AS repo FROM part))"
+
+
+def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.numbered_requests(spark.read.parquet(f"{sf_dir}/part.parquet").select(F.expr(_ODD_SLUGS).alias("repo")), 10, 1)
+
+
+@query("g1_numbered_requests", _NUMBERED)
+def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _numbered(spark, sf_dir)
+
+
+@query(
+    "g1_request_texts",
+    f"""
+SELECT batch_id, '{{ rateLimit {{ cost remaining }} ' || string_agg(alias || ': repository(owner: "' || replace(split_part(repo, '/', 1), '"', '') || '", name: "' || replace(split_part(repo, '/', 2), '"', '')
+    || '") {{ languages(first: 5, orderBy: {{field: SIZE, direction: DESC}}) {{ totalSize edges {{ size node {{ name }} }} }} }}', ' ' ORDER BY alias) || ' }}' AS query
+FROM ({_NUMBERED}) WHERE contains(repo, '/') GROUP BY batch_id
+""",
+)
+def request_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.batch_requests(_numbered(spark, sf_dir))
+
+
+_MONTHLY_RATINGS = f"WITH a AS ({MONTHLY_SQL}), act AS ({_activity_sql('a', 'month, ')}), lang AS ({LANGUAGES_SQL}), sh AS (SELECT * FROM ({_SHARES}) WHERE share IS NOT NULL), k AS (WITH {_ratings_sql('act', 'sh', 'month, ')})"
+
+
+def _rating_folder(spark: SparkSession, sf_dir: str) -> str:
+    writers.write_ratings(rated_months(spark, sf_dir), folder := scratch(spark))
+    return folder
+
+
+@query("s8_write_ratings", f"{_MONTHLY_RATINGS} SELECT month, metric, CAST(rank AS INTEGER) AS rank, language, rating, percentage FROM k")
+def written_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The months' ratings written as JSON lines in folders, read as plain JSON."""
+    return spark.read.schema("rank int, language string, rating double, percentage double, month string, metric string").json(_rating_folder(spark, sf_dir))
+
+
+@query("s9_read_rating_files", f"{_MONTHLY_RATINGS} SELECT month, metric, rank - 1 AS pos, language FROM k WHERE metric = 'pr-count'")
+def read_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of one metric's files, with their places in them."""
+    lines = readers.read_rating_files(spark, _rating_folder(spark, sf_dir), "pr-count")
+    return lines.select("month", "metric", F.col("pos").cast("long").alias("pos"), F.variant_get("record", "$.language", "string").alias("language"))
+
+
+@query("k1_pack_ratings", f"{_MONTHLY_RATINGS} SELECT month, language, rating, percentage FROM k WHERE metric = 'push-count'")
+def packed_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.pack_ratings(spark, _rating_folder(spark, sf_dir), "push-count").drop("line")
+
+
+@query("x6_metric_names", f"{_MONTHLY_RATINGS} SELECT metric, count(*) AS n FROM k GROUP BY metric")
+def metric_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines the files of each known metric have."""
+    packed_lines = pack.pack_all(spark, _rating_folder(spark, sf_dir)).groupBy("metric").agg(F.count("*").alias("n"))
+    return packed_lines.where(F.col("metric").isin(*map(metric_name, METRICS)))
+
+
 @query("k2_pack_all", f"WITH a AS ({MONTHLY_SQL}), act AS ({_activity_sql('a', 'month, ')}), lang AS ({LANGUAGES_SQL}), sh AS (SELECT * FROM ({_SHARES}) WHERE share IS NOT NULL), k AS (WITH {_ratings_sql('act', 'sh', 'month, ')}) SELECT month, metric, language, rating, percentage FROM k")
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The months' ratings as the texts of their files, packed again."""

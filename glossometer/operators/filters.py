@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import is_automation, is_bot, is_deleted_repo
@@ -95,16 +95,18 @@ def filter_archive(df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMIT, re
 
     The first and the fourth drop whole repositories, and the two between look at the row only: one aggregate decides
     both. The fifth and seventh drop whole actors, and the sixth looks at the row only: another decides both, and tells
-    who writes code for the ninth. Flooded repositories are found among what is left, before the ninth.
+    who writes code for the ninth. Flooded repositories are found among what is left, before the ninth; there are few, so
+    that the last join is one that Spark broadcasts.
     """
     repos = _repo_facts(df, keys).where((F.col("human_total") > 1) & F.col("has_code")).select(*keys, "repo")
     p1 = df.where(_human()).join(repos, [*keys, "repo"], "left_semi")
     actors = _actor_facts(p1, keys).where((F.col("total") <= actor_event_limit) & F.col("meaningful")).select(*keys, "actor", "is_coder")
     p2 = p1.where(~is_deleted_repo(F.col("repo"))).join(actors, [*keys, "actor"])
-    issues = p2.where(_issue())
-    flooded = issues.groupBy(*keys, "repo").agg(F.sum("count").alias("n")).where(F.col("n") > repo_issue_limit).select(*keys, "repo")
-    quiet = issues.where("is_coder").join(flooded, [*keys, "repo"], "left_anti")
-    return p2.where(~_issue()).select(*df.columns).unionByName(quiet.select(*df.columns))
+    flooded = p2.where(_issue()).groupBy(*keys, "repo").agg(F.sum("count").alias("n")).where(F.col("n") > repo_issue_limit).select(*(F.col(c).alias(f"{c}_") for c in (*keys, "repo")))
+    same = _issue()
+    for c in (*keys, "repo"):
+        same &= F.col(c) == F.col(f"{c}_")
+    return p2.where(~_issue() | F.col("is_coder")).join(flooded, same, "left_anti").select(*df.columns)
 
 
 def filter_sequentially(df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMIT, repo_issue_limit: int = REPO_ISSUE_LIMIT, keys: Sequence[str] = ()) -> DataFrame:
@@ -118,31 +120,25 @@ def filter_sequentially(df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMI
 STEPS = ("empty_repos", "bots", "ci_actors", "single_event_repos", "high_volume_actors", "deleted_repos", "fork_only_actors", "issue_flood", "issue_only_actors")
 
 
-def filter_report(df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMIT, repo_issue_limit: int = REPO_ISSUE_LIMIT) -> DataFrame:
-    """(step_no, step, removed, removed_pct, remaining): what each filter removes of what reaches it, and a total (step 10).
+def filter_report(df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMIT, repo_issue_limit: int = REPO_ISSUE_LIMIT, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, step_no, step, removed, removed_pct, remaining): what each filter removes of what reaches it, and a total (step 10).
 
-    Each row is tagged with the step that drops it, in one pass over the joins of the fused filter; the counts of ten
-    tags are all that is summed up. An empty input gives no steps but the total, with 0.0 per cent.
+    Each row is tagged once with the step that drops it, by the facts of the fused filter; one aggregate counts the tags.
+    Percentages of nothing are 0.0. An empty input gives all ten rows with 0; with keys there are ten rows for each of
+    their values that occurs.
     """
-    actor, repo = F.col("actor"), F.col("repo")
-    tagged = df.join(_repo_facts(df, []), "repo", "left").withColumn(
-        "step", F.when(~F.col("has_code"), 1).when(is_bot(actor), 2).when(is_automation(actor), 3).when(F.col("human_total") <= 1, 4)
-    )
-    alive = tagged.where("step IS NULL").select(*df.columns)
-    gone = tagged.where("step IS NOT NULL").groupBy("step").agg(F.count("*").alias("n"))
-    p1 = alive.join(_actor_facts(alive, []), "actor").withColumn("step", F.when(F.col("total") > actor_event_limit, 5).when(is_deleted_repo(repo), 6).when(~F.col("meaningful"), 7))
-    p2 = p1.where("step IS NULL")
-    flooded = p2.where(_issue()).groupBy("repo").agg((F.sum("count") > repo_issue_limit).alias("flooded"))
-    late = p2.join(flooded, "repo", "left").select(F.when(_issue() & F.coalesce("flooded", F.lit(False)), 8).when(_issue() & ~F.col("is_coder"), 9).otherwise(11).alias("step"))
-    counts = gone.unionByName(p1.where("step IS NOT NULL").groupBy("step").agg(F.count("*").alias("n"))).unionByName(late.groupBy("step").agg(F.count("*").alias("n")))
-    steps = df.sparkSession.createDataFrame([(i + 1, name) for i, name in enumerate(STEPS)], "step int, name string")
-    # ten rows at most from here on
-    per = steps.join(counts, "step", "left").select("step", "name", F.coalesce("n", F.lit(0)).alias("removed")).crossJoin(counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("start")))
-    per = per.withColumn("remaining", F.col("start") - F.sum("removed").over(Window.orderBy("step")))
-    total = per.groupBy().agg(F.lit(10).alias("step"), F.lit("total").alias("name"), F.sum("removed").alias("removed"), F.max("start").alias("start"), F.min("remaining").alias("remaining"))
-    share = lambda before: F.when(before > 0, 100.0 * F.col("removed") / before).otherwise(0.0)
-    return (
-        per.withColumn("removed_pct", share(F.col("remaining") + F.col("removed")))
-        .unionByName(total.withColumn("removed_pct", share(F.col("start"))).select("step", "name", "removed", "start", "remaining", "removed_pct"))
-        .select(F.col("step").alias("step_no"), F.col("name").alias("step"), "removed", "removed_pct", "remaining")
-    )
+    actor, repo, alive = F.col("actor"), F.col("repo"), F.col("step").isNull()
+    tag = lambda *cases: F.coalesce("step", *(F.when(F.coalesce(case, F.lit(True)), step) for step, case in cases))
+    rows = df.select(*keys, "actor", "repo", "event_type", "count", F.lit(None).cast("int").alias("step"))
+    rows = rows.join(_repo_facts(df, keys), [*keys, "repo"], "left")
+    rows = rows.withColumn("step", tag((1, ~F.col("has_code")), (2, is_bot(actor)), (3, is_automation(actor)), (4, F.col("human_total") <= 1)))
+    rows = rows.join(_actor_facts(rows.where(alive), keys), [*keys, "actor"], "left")
+    rows = rows.withColumn("step", tag((5, F.col("total") > actor_event_limit), (6, is_deleted_repo(repo)), (7, ~F.col("meaningful"))))
+    late = rows.where(alive & _issue()).groupBy(*keys, "repo").agg((F.sum("count") > repo_issue_limit).alias("flooded"))
+    rows = rows.join(late, [*keys, "repo"], "left").withColumn("step", tag((8, _issue() & F.coalesce("flooded", F.lit(False))), (9, _issue() & ~F.col("is_coder"))))
+    n = len(STEPS)
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("start"), *(F.count(F.when(F.col("step") == i, 1)).alias(f"removed{i}") for i in range(1, n + 1)))
+    gone = lambda i: sum((F.col(f"removed{j}") for j in range(1, i + 1)), F.lit(0).cast("long"))
+    line = lambda i, name, removed, before: F.struct(F.lit(i).alias("step_no"), F.lit(name).alias("step"), removed.alias("removed"), F.when(before > 0, 100.0 * removed / before).otherwise(0.0).alias("removed_pct"), (before - removed).alias("remaining"))
+    lines = [line(i, name, F.col(f"removed{i}"), F.col("start") - gone(i - 1)) for i, name in enumerate(STEPS, 1)] + [line(n + 1, "total", gone(n), F.col("start"))]
+    return counts.select(*keys, F.explode(F.array(*lines)).alias("line")).select(*keys, "line.*")

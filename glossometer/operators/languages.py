@@ -4,29 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import normalize_repo, text_of, whole_of
 from ..functions.values import LANGUAGES, MAX_LANGUAGES, PUSH, REQUEST_BATCH
 
 
-def languages_from_archive(df: DataFrame, order: Sequence[str] = ("language",)) -> DataFrame:
-    """(repo, total_size, languages) from an unfiltered archive that carries languages: the first non-empty one by `order`, with size 1."""
-    first = df.where("language <> ''").groupBy("repo").agg(F.min_by("language", F.struct(*order, "language") if tuple(order) != ("language",) else F.col("language")).alias("language"))
+def languages_from_archive(df: DataFrame, order: Sequence[str] = ("language",), keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, repo, total_size, languages) from an unfiltered archive that carries languages: the first non-empty one by `order`, with size 1."""
+    first = df.where("language <> ''").groupBy(*keys, "repo").agg(F.min_by("language", F.struct(*order, "language") if tuple(order) != ("language",) else F.col("language")).alias("language"))
     one = F.lit(1).cast("long")
-    return first.select("repo", one.alias("total_size"), F.array(F.struct("language", one.alias("size"))).cast(LANGUAGES).alias("languages"))
+    return first.select(*keys, "repo", one.alias("total_size"), F.array(F.struct("language", one.alias("size"))).cast(LANGUAGES).alias("languages"))
 
 
-def repos_to_resolve(df: DataFrame, event_type: str = PUSH) -> DataFrame:
-    """The repositories with an event of this type, each once, sorted."""
-    return df.where(F.col("event_type") == event_type).select("repo").distinct().orderBy("repo")
+def repos_to_resolve(df: DataFrame, event_type: str = PUSH, keys: Sequence[str] = ()) -> DataFrame:
+    """The repositories with an event of this type, each once (for each value of keys), sorted."""
+    return df.where(F.col("event_type") == event_type).select(*keys, "repo").distinct().orderBy(*keys, "repo")
 
 
 def clean_slug_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """The valid slugs of a list: blank lines and comments go, and lines that are no slug. Repeats stay."""
-    text = F.regexp_replace(column, r"(?U)^\s+|\s+$", "")
-    return lines.where((text != "") & ~F.startswith(text, F.lit("#"))).select(normalize_repo(F.col(column)).alias("repo")).where("repo IS NOT NULL")
+    return lines.where(~_ignored(column)).select(normalize_repo(F.col(column)).alias("repo")).where("repo IS NOT NULL")
+
+
+def _ignored(column: str) -> Column:
+    """Blank lines and comments; null counts as blank."""
+    text = F.coalesce(F.regexp_replace(column, r"(?U)^\s+|\s+$", ""), F.lit(""))
+    return (text == "") | F.startswith(text, F.lit("#"))
+
+
+def slug_line_counts(lines: DataFrame, column: str = "value") -> DataFrame:
+    """One row: how many lines are slugs (n_slugs), blank or comments (n_ignored), and neither (n_bad)."""
+    slug = normalize_repo(F.col(column)).isNotNull()
+    kinds = {"n_slugs": ~_ignored(column) & slug, "n_ignored": _ignored(column), "n_bad": ~_ignored(column) & ~slug}
+    return lines.agg(*(F.count(F.when(kind, 1)).alias(name) for name, kind in kinds.items()))
 
 
 def top_languages(languages: DataFrame, n: int = MAX_LANGUAGES) -> DataFrame:
@@ -48,7 +60,10 @@ def numbered_requests(slugs: DataFrame, size: int = REQUEST_BATCH, lanes: int =
 
 
 def batch_requests(requests: DataFrame, max_languages: int = MAX_LANGUAGES) -> DataFrame:
-    """(batch_id, query): the text that asks for a batch's languages. Double quotes go from the names."""
+    """(batch_id, query): the text that asks for a batch's languages. Double quotes go from the names.
+
+    The fields and their order are fixed values of the lookup service's language.
+    """
     owner, name = (F.replace(x, F.lit('"')) for x in (F.substring_index("repo", "/", 1), F.regexp_replace("repo", r"\A[^/]*/", "")))
     part = F.concat("alias", F.lit(': repository(owner: "'), owner, F.lit('", name: "'), name, F.lit(f'") {{ languages(first: {max_languages}, orderBy: {{field: SIZE, direction: DESC}}) {{ totalSize edges {{ size node {{ name }} }} }} }}'))
     at = F.substring("alias", 2, 12).cast("int")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import metric_name, text_of, whole_of
-from ..functions.values import ARCHIVE_COLUMNS, LANGUAGES
+from ..functions.values import ARCHIVE_COLUMNS, LANGUAGES, METRICS
 
 
 def hour_index(spark: SparkSession, year: int, month: int, limit: int | None = None) -> DataFrame:
@@ -41,10 +41,10 @@ def _count(column: str, trimmed: bool):
     return F.when(text.rlike(r"\A\+?[0-9]+\z"), F.expr(f"try_cast(ltrim('+', {'trim(' + column + ')' if trimmed else column}) AS BIGINT)"))
 
 
-def read_archive(spark: SparkSession, path: str | list[str], mode: str = "filter", multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+def read_archive(spark: SparkSession, path: str | list[str], mode: str = "filter", multi_line: bool = False, header: bool = True) -> tuple[DataFrame, DataFrame]:
     """(archive rows, number of bad rows as a one-row table with n_bad).
 
-    The header is skipped unread. Rows of another width and rows with a bad count are bad; in mode "filter" blanks
+    The header is skipped unread (header: whether files have one). Rows of another width and rows with a bad count are bad; in mode "filter" blanks
     around a count are ignored, in mode "stats" they are bad. Empty fields are "". Set multi_line only where quoted
     fields hold line breaks: such files can't be split.
     """
@@ -52,7 +52,7 @@ def read_archive(spark: SparkSession, path: str | list[str], mode: str = "filter
         raise ValueError(f"unknown mode {mode!r}")
     schema = ", ".join(f"{c} string" for c in (*ARCHIVE_COLUMNS, "corrupt_"))
     # pruned columns would let rows of another width pass: all of them are read
-    raw = spark.read.options(columnPruning="false", header="true", escape='"', columnNameOfCorruptRecord="corrupt_", mode="PERMISSIVE", multiLine=str(multi_line).lower(), enforceSchema="true").schema(schema).csv(path)
+    raw = spark.read.options(columnPruning="false", header=str(header).lower(), escape='"', columnNameOfCorruptRecord="corrupt_", mode="PERMISSIVE", multiLine=str(multi_line).lower(), enforceSchema="true").schema(schema).csv(path)
     rows = raw.withColumn("n_", _count("count", mode == "filter"))
     bad = F.col("corrupt_").isNotNull() | F.col("n_").isNull()
     good = rows.where(~bad).select(*ARCHIVE_COLUMNS[:-1], F.col("n_").alias("count")).na.fill("", ARCHIVE_COLUMNS[:-1])
@@ -82,27 +82,31 @@ def read_languages(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return parse_languages(lines, ["file", "block", "at"])
 
 
-def rating_lines(files: DataFrame, metric: str) -> DataFrame:
-    """(file, pos, month, line, record): the good lines of rating files (path, value: a whole file), of one metric.
+def rating_lines(files: DataFrame, *metrics: str) -> DataFrame:
+    """(metric, file, pos, month, line, record): the good lines of rating files (path, value: a whole file), of the given metrics, or of all.
 
     Names match language-ratings-<month>-<metric>.jsonl or a folder month=<month>/metric=<metric>; those of
-    language-ratings-all-... don't count. Lines that are no JSON object are skipped.
+    language-ratings-all-... don't count. Lines that are no JSON object are skipped. One pass over the files.
     """
-    metric_name(metric)
-    name = F.regexp_extract("path", "([^/]*)$", 1)
-    flat = F.startswith(name, F.lit("language-ratings-")) & F.endswith(name, F.lit(f"-{metric}.jsonl")) & ~F.startswith(name, F.lit("language-ratings-all-"))
-    rest = F.substring(name, len("language-ratings-") + 1, 1 << 20)
-    folder = F.regexp_extract("path", rf"/month=([^/]+)/metric={metric}/[^/]*$", 1)
-    month = F.when(flat, F.substring(rest, 1, 7)).otherwise(folder)
-    lines = files.where(flat | (folder != "")).select(F.col("path").alias("file"), month.alias("month"), F.posexplode(F.split("value", "\n")).alias("pos", "line"))
+    one_of = "|".join(map(metric_name, metrics or METRICS))
+    flat = F.regexp_extract("path", rf"(?:^|/)(language-ratings-(?!all-)[^/]*-(?:{one_of})\.jsonl)$", 1)
+    folder = rf"/month=([^/]+)/metric=({one_of})/[^/]*$"
+    metric = F.when(flat != "", F.regexp_extract(flat, rf"-({one_of})\.jsonl$", 1)).otherwise(F.regexp_extract("path", folder, 2))
+    month = F.when(flat != "", F.substring(flat, len("language-ratings-") + 1, 7)).otherwise(F.regexp_extract("path", folder, 1))
+    named = files.select(metric.alias("metric"), F.col("path").alias("file"), month.alias("month"), "value").where("metric <> ''")
+    lines = named.select("metric", "file", "month", F.posexplode(F.split("value", "\n")).alias("pos", "line"))
     record = F.try_parse_json("line")
     return lines.select("*", record.alias("record")).where(F.schema_of_variant("record").startswith("OBJECT"))
 
 
+def rating_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, value): the files below a folder, whole. Files hold some hundred lines."""
+    return spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+
+
 def read_rating_files(spark: SparkSession, folder: str, metric: str) -> DataFrame:
-    """rating_lines over all files below a folder; an error if none is of this metric. Files hold some hundred lines."""
-    files = spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    lines = rating_lines(files, metric)
+    """rating_lines over all files below a folder; an error if none is of this metric."""
+    lines = rating_lines(rating_files(spark, folder), metric)
     if lines.isEmpty():
         raise FileNotFoundError(f"no rating file of {metric} in {folder}")
     return lines
