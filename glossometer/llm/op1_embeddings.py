@@ -2,11 +2,13 @@
 
 Vectors are rotated by fast Hadamard transforms with random signs; a rotation's hash is the axis, with its sign, that
 is closest to the rotated vector. A table joins the hashes of K rotations to a bucket; each vector lies in its own
-bucket of every table and visits the next likely ones (multiprobe). Pairs that meet are compared in double precision.
+bucket of every table and visits the next likely ones (multiprobe). Only buckets' keys and vectors' ids are shuffled at
+first; a vector is fetched for the buckets in which it meets another one, and K follows from the number of vectors so
+that few meet by chance. Pairs that meet are compared in double precision.
 
-Equal vectors are one class, compared once. A bucket's members are cut into blocks of bounded size. Cells of
-some pairs of blocks each compare them; they return counts and a spanning set of links, so pairs are never listed. A pair that
-meets in several tables counts in the first.
+Equal vectors are one class, compared once. A bucket's members are cut into blocks of bounded size; pairs of blocks
+return a spanning set of links, so pairs are never listed. All links of a vector lie in its component, so the exact
+numbers of links come from comparing each component's members, by blocks again.
 """
 
 from __future__ import annotations
@@ -18,13 +20,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import broadcast_if_small, table, written
 from .components import components
 
 THRESHOLD = 0.95
-TABLES, PROBES, SEED = 8, 3, 20240229
-#: Members of a block, rows of a cell (a task's unit: some pairs of blocks), and pairs compared at once.
-BLOCK, CELL, PAIRS = 512, 8192, 50_000
+PROBES, SEED = 3, 20240229
+#: Tables by K (from 1): a table finds a pair of cosine 0.95 with a chance of about 0.54, 0.39, 0.26 and 0.17 for K = 3 to 6 (width 64, three probes), so that all together miss 5 in a thousand at most.
+TABLES = (8, 8, 8, 12, 18, 28)
+#: Members of a block, rows of a cell (a task's unit: some pairs of blocks), members of a block whose pairs are listed inside a task, and pairs compared at once.
+BLOCK, CELL, FEW, PAIRS = 512, 8192, 32, 50_000
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -42,7 +46,7 @@ def rotations(width: int, n: int) -> np.ndarray:
     return np.random.default_rng(SEED).choice([-1.0, 1.0], size=(n, 3, width))
 
 
-def buckets(x: np.ndarray, k: int, tables: int = TABLES, probes: int = PROBES) -> np.ndarray:
+def buckets(x: np.ndarray, k: int, tables: int, probes: int = PROBES) -> np.ndarray:
     """(rows, tables, 1 + probes): each vector's own bucket, then the likeliest others."""
     width = 1 << max(1, int(x.shape[1] - 1).bit_length())
     x = np.pad(x, ((0, 0), (0, width - x.shape[1])))
@@ -80,109 +84,137 @@ def unit(vectors: pd.Series) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def coded(classes: DataFrame, k: int, tables: int, probes: int) -> DataFrame:
-    """classes with codes: for each table a class's own bucket and those that it visits, one after the other."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for _, g in batch.groupby(batch["v"].map(len)):  # vectors of another width never meet
-                yield g.assign(codes=list(buckets(unit(g["v"]), k, tables, probes).reshape(len(g), -1)))
-
-    return classes.mapInPandas(run, f"rep long, n long, v {classes.schema['v'].dataType.simpleString()}, codes array<long>")
+def rotations_for(size: int, width: int, probes: int = PROBES) -> int:
+    """K for so many vectors: as many buckets as vectors have places in a table."""
+    directions = 2 << max(1, int(width - 1).bit_length())
+    return min(len(TABLES), max(1, int(np.ceil(np.log(max(2, (1 + probes) * size)) / np.log(directions)))))
 
 
-def placed(codes: DataFrame, tables: int, probes: int) -> DataFrame:
-    """A row for each bucket that a class's vector lies in or visits."""
-    at = F.explode(F.sequence(F.lit(0), F.lit(tables * (1 + probes) - 1)))
-    return codes.select("*", at.alias("at")).select("rep", "n", "v", "codes", F.size("v").alias("width"), F.expr(f"at DIV {1 + probes}").cast("int").alias("table"), F.get("codes", F.col("at")).alias("bucket"), (F.col("at") % (1 + probes) > 0).alias("visits"))
+def coded(classes: DataFrame, k: int, tables: int, probes: int) -> DataFrame:
+    """(rep, keys): for each table the hash of a class's own bucket and those of the ones that it visits, one after the other.
 
+    Tables, widths and buckets are mixed to one key: two buckets that share one make candidates only.
+    """
 
-def compare(threshold: float, tables: int, probes: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for width, g in batch.groupby(batch["v"].map(len)):  # vectors of another width never meet
+                key = buckets(unit(g["v"]), k, tables, probes).astype(np.uint64)
+                key = (key + np.arange(tables, dtype=np.uint64)[None, :, None] * np.uint64(0x9E3779B97F4A7C15) + np.array(width, np.uint64) * np.uint64(0x94D049BB133111EB)) * np.uint64(0xBF58476D1CE4E5B9)
+                key = (key ^ (key >> np.uint64(31))).view(np.int64).reshape(len(g), -1)
+                yield pd.DataFrame({"rep": g["rep"].to_numpy(), "keys": list(key)})
+
+    return classes.select("rep", "v").mapInPandas(run, "rep long, keys array<long>")
+
+
+def near(group: np.ndarray, low: np.ndarray, same: np.ndarray, home: np.ndarray, x: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs of rows of one group that are near: of a block with itself (same), or of the lower block (low) with the other. One of the two is at home. group is ascending."""
+    starts = np.flatnonzero(np.diff(group, prepend=-1))
+    sizes = np.diff(starts, append=len(group))
+    few = np.repeat(sizes <= FEW, sizes)
+    later = np.where(few, np.searchsorted(group, group, "right") - np.arange(len(group)) - 1, 0)  # rows of the group behind each row
+    done, start = np.cumsum(later), 0
+    while start < len(group):
+        end = max(start + 1, int(np.searchsorted(done, (done[start - 1] if start else 0) + PAIRS)))
+        i = np.repeat(np.arange(start, end), later[start:end])
+        j = i + 1 + np.arange(len(i)) - np.repeat(done[start:end] - later[start:end] - (done[start - 1] if start else 0), later[start:end])
+        start = end
+        met = (same[i] | (low[i] != low[j])) & (home[i] | home[j])
+        i, j = i[met], j[met]
+        close = np.einsum("ij,ij->i", x[i], x[j]) >= threshold
+        if close.any():
+            yield i[close], j[close]
+    for start, size in zip(starts[sizes > FEW], sizes[sizes > FEW]):
+        rows = np.arange(start, start + size)
+        a, b = (rows, rows) if same[start] else (rows[low[rows]], rows[~low[rows]])
+        close = (x[a] @ x[b].T >= threshold) & (home[a][:, None] | home[b])
+        i, j = np.nonzero(np.triu(close, 1) if same[start] else close)
+        if len(i):
+            yield a[i], b[j]
+
+
+def compare(threshold: float, counted: bool):
     def run(cell: pd.DataFrame) -> pd.DataFrame:
-        """Some pairs of blocks: for each class its newly found links and its root among what links here."""
-        cell = cell.sort_values(["table", "bucket", "width", "low", "high", "rep", "visits"], kind="stable")
-        group = (cell[["table", "bucket", "width", "low", "high"]].diff() != 0).any(axis=1).cumsum().to_numpy()
-        cell, group = cell[keep := ~pd.DataFrame({"g": group, "r": cell["rep"].to_numpy()}).duplicated().to_numpy()], group[keep]
-        rep, n, own, visits, t, bucket = (cell[c].to_numpy() for c in ("rep", "n", "own", "visits", "table", "bucket"))
-        same = (cell["low"] == cell["high"]).to_numpy()
-        codes = np.stack(list(cell["codes"])).reshape(len(cell), tables, 1 + probes)
-        x = np.zeros((len(cell), int(cell["width"].max())))
-        for width in cell["width"].unique():
-            x[rows, :width] = unit(cell["v"][rows := (cell["width"] == width).to_numpy()])
-        later = np.searchsorted(group, group, "right") - np.arange(len(group)) - 1  # rows of the group behind each row
-        done, links, found_i, found_j = np.cumsum(later), np.zeros(len(cell), np.int64), [], []
-        start = 0
-        while start < len(cell):
-            end = max(start + 1, int(np.searchsorted(done, (done[start - 1] if start else 0) + PAIRS)))
-            i = np.repeat(np.arange(start, end), later[start:end])
-            j = i + 1 + np.arange(len(i)) - np.repeat(done[start:end] - later[start:end] - (done[start - 1] if start else 0), later[start:end])
-            start = end
-            met = (same[i] | (own[i] != own[j])) & ~(visits[i] & visits[j])  # two visitors don't meet
-            i, j = i[met], j[met]
-            near = np.einsum("ij,ij->i", x[i], x[j]) >= threshold
-            i, j = i[near], j[near]
-            found_i.append(i)
-            found_j.append(j)
-            # in which tables the two meet at all: one's own bucket is among the other's
-            at, ci, cj, ti = np.arange(len(i)), codes[i], codes[j], t[i]
-            ij, ji = (cj == ci[:, :, :1]).any(2), (ci == cj[:, :, :1]).any(2)
-            first = (ij | ji).argmax(1) == ti
-            # if each visits the other in this table they meet twice: it counts where the smaller id is at home
-            home_i, home_j = ci[at, ti, 0], cj[at, ti, 0]
-            twice = ij[at, ti] & ji[at, ti] & (home_i != home_j)
-            count = first & (~twice | (np.where(rep[i] < rep[j], home_i, home_j) == bucket[i]))
-            np.add.at(links, i[count], n[j[count]])
-            np.add.at(links, j[count], n[i[count]])
+        """Some pairs of blocks: the links of each class (counted), or each class with the least one that it reaches here."""
+        cell = cell.assign(width=cell["v"].map(len)).sort_values([*(key := ["key", "width", "b_low", "b_high"]), "rep", "visits"], kind="stable")
+        group = (cell[key].diff() != 0).any(axis=1).cumsum().to_numpy()
+        keep = ~pd.DataFrame({"g": group, "r": cell["rep"].to_numpy()}).duplicated().to_numpy()  # at home or, if it is only visiting, once
+        cell, group = cell[keep], group[keep]
+        rep, home = cell["rep"].to_numpy(), ~cell["visits"].to_numpy()
+        widths = cell["width"].to_numpy()
+        x = np.zeros((len(cell), int(widths.max())))
+        for width in np.unique(widths):
+            x[widths == width, :width] = unit(cell["v"][widths == width])
+        pairs = near(group, cell["own_low"].to_numpy(), (cell["b_low"] == cell["b_high"]).to_numpy(), home, x, threshold)
+        if counted:
+            n, links = cell["n"].to_numpy(), np.zeros(len(cell), np.int64)
+            for i, j in pairs:
+                np.add.at(links, i, n[j])
+                np.add.at(links, j, n[i])
+            return pd.DataFrame({"rep": rep, "result": links})[links > 0].groupby("rep", as_index=False).sum()
         ids, at = np.unique(rep, return_inverse=True)
-        a, b = at[np.concatenate(found_i)], at[np.concatenate(found_j)]
-        root, total = np.arange(len(ids)), np.zeros(len(ids), np.int64)
-        np.add.at(total, at, links)
-        while True:
-            before = root.copy()
-            np.minimum.at(root, a, root[b])
-            np.minimum.at(root, b, root[a])
+        root = np.arange(len(ids))
+        for i, j in pairs:
+            a, b = at[i], at[j]
+            while True:
+                before = root.copy()
+                np.minimum.at(root, a, root[b])
+                np.minimum.at(root, b, root[a])
+                root = root[root]
+                if (root == before).all():
+                    break
+        while (root[root] != root).any():
             root = root[root]
-            if (root == before).all():
-                break
-        out = pd.DataFrame({"rep": ids, "links": total, "root": ids[root]})
-        return out[(out["links"] > 0) | (out["root"] != out["rep"])]
+        return pd.DataFrame({"rep": ids, "result": ids[root]})[ids[root] != ids]
 
     return run
 
 
-def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD, tables: int = TABLES, probes: int = PROBES, block: int = BLOCK) -> DataFrame:
+def compared(members: DataFrame, classes: DataFrame, block: int, threshold: float, counted: bool) -> DataFrame:
+    """(rep, result) from members (key, rep, visits, members of the key): pairs of their blocks, compared cell by cell."""
+    dealt = members.withColumn("blocks", F.ceil(F.col("members") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    cells = max(1, (dealt.agg(F.sum("blocks")).first()[0] or 0) // CELL)
+    dealt = dealt.join(classes.select("rep", "n", "v"), "rep")
+    pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("low"), F.greatest(o, F.col("own")).alias("high"))))
+    groups = dealt.select("*", pair.alias("p")).select("key", F.col("p.low").alias("b_low"), F.col("p.high").alias("b_high"), "rep", "n", "v", "visits", (F.col("own") == F.col("p.low")).alias("own_low"))
+    cell = F.pmod(F.xxhash64("key", "b_low", "b_high"), F.lit(cells)).alias("cell")
+    return groups.groupBy(cell).applyInPandas(compare(threshold, counted), "rep long, result long")
+
+
+def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD, tables: int | None = None, probes: int = PROBES, block: int = BLOCK, k: int | None = None) -> DataFrame:
     """One row per row of vectors: id, n_links, component_id and kept.
 
     A vector that is null, empty or zero, or holds a null or non-finite component, links with nothing; vectors of
     different widths don't link. Equal vectors are found for certain and others with a high chance: recall is measured
     in the tests. Rows that repeat an id and vector link like any two equal vectors. Rows with a null id are returned
-    without links and count for nobody. An empty table gives no rows; other columns are ignored. K, the rotations of a
-    table, follows from the number of distinct vectors so that a bucket keeps a few of them.
+    without links and count for nobody. An empty table gives no rows; other columns are ignored. k, the rotations of a
+    table, follows from the number of distinct vectors if it isn't given, and tables from k. Equal vectors are told by
+    128 bits of hash where rows are given their results.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
     finite = F.forall("v", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))) & F.exists("v", lambda x: x != 0)
-    good = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull() & finite)
-    classes = written(good.groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("n")).select("rep", "n", "v"))
+    fit = F.coalesce(F.col("id").isNotNull() & F.col("v").isNotNull() & finite, F.lit(False))
+    good = rows.where(fit)
+    classes = written(good.groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("n")).select("rep", "n", "v", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2")))
     size, width = classes.agg(F.count("*"), F.max(F.size("v"))).first()
-    k = max(1, round(np.log(max(2, size) / 4) / np.log(4 * (width or 1))))
-
-    members = placed(written(coded(classes, k, tables, probes)), tables, probes)
-    key = ["width", "table", "bucket"]
-    # blocks of a bucket, and of its visitors; a bucket of one block has one group
-    per = members.groupBy(*key).agg(F.count("*").alias("members"), F.count(F.when(~F.col("visits"), 1)).alias("home")).where("home > 0 AND members > 1").withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
-    dealt = members.join(per.select(*key, "blocks"), key).withColumn("own_block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    cells = max(1, (per.agg(F.sum(F.col("members") * F.col("blocks"))).first()[0] or 0) // CELL)
-    pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("own_block")).alias("low"), F.greatest(o, F.col("own_block")).alias("high"))))
-    groups = dealt.select("*", pair.alias("p")).select(*key, "p.low", "p.high", "rep", "n", "v", "codes", "visits", (F.col("own_block") == F.col("p.low")).alias("own"))
-    cell = F.pmod(F.xxhash64(*key, "low", "high"), F.lit(cells)).alias("cell")
-    found = written(groups.groupBy(cell).applyInPandas(compare(threshold, tables, probes), "rep long, links long, root long"))
-
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    linked = components(found.where("rep <> root").select("rep", "root").distinct(), "rep", "root")
-    by_class = classes.join(links, "rep", "left").join(linked.withColumnRenamed("node", "rep"), "rep", "left").select("v", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
-    joined = rows.alias("r").join(by_class.alias("c"), (F.col("r.v") == F.col("c.v")) & F.col("r.id").isNotNull(), "left")
-    component = F.coalesce("c.component", "r.id")
-    return joined.select(F.col("r.id").alias(id_col), F.coalesce("c.n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("r.id") == component, F.lit(True)).alias("kept"))
+    k = k or rotations_for(size, width or 1, probes)
+    tables = tables or TABLES[min(k, len(TABLES)) - 1]
+
+    keys = written(coded(classes, k, tables, probes))
+    each = keys.select("rep", F.posexplode("keys").alias("at", "key")).select("key", "rep", (F.col("at") % (1 + probes) > 0).alias("visits"))
+    # a bucket counts if somebody is at home in it and somebody else is there
+    met = written(each.groupBy("key").agg(F.count("*").alias("members"), F.count(F.when(~F.col("visits"), 1)).alias("home"), F.min("rep").alias("a"), F.max("rep").alias("b")).where("home > 0 AND a < b").select("key", "members"))
+    found = written(compared(written(each.join(broadcast_if_small(met), "key")), classes, block, threshold, counted=False))
+    linked = written(components(found, "rep", "result"))
+
+    sizes = linked.groupBy(F.col("component").alias("key")).agg(F.count("*").alias("members"))
+    together = linked.select(F.col("component").alias("key"), F.col("node").alias("rep"), F.lit(False).alias("visits")).join(sizes, "key")
+    links = compared(written(together), classes, block, threshold, counted=True).groupBy("rep").agg(F.sum("result").alias("links"))
+    by_class = written(classes.select("rep", "n", "h1", "h2").join(links, "rep", "left").join(linked.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component")))
+    hashed = rows.select("id", F.when(fit, F.xxhash64("v")).alias("h1"), F.when(fit, F.xxhash64(F.lit(1), "v")).alias("h2"))
+    joined = hashed.join(by_class, ["h1", "h2"], "left")
+    component = F.coalesce("component", "id")
+    return joined.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

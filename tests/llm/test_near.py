@@ -73,11 +73,39 @@ def test_hadamard_keeps_angles_and_buckets_follow_axes():
     x = vectors()[:40]
     y = op1.hadamard(x.astype(float))
     assert np.allclose(x.astype(float) @ x.astype(float).T, y @ y.T)
-    assert (op1.buckets(x.astype(float), 2)[:, :, 0] == op1.buckets(3 * x.astype(float), 2)[:, :, 0]).all()
-    b = op1.buckets(op1.unit(list(x)), 2)
+    assert (op1.buckets(x.astype(float), 2, 8)[:, :, 0] == op1.buckets(3 * x.astype(float), 2, 8)[:, :, 0]).all()
+    b = op1.buckets(op1.unit(list(x)), 2, 8)
     assert all(len(set(row)) == b.shape[2] for table in b.transpose(1, 0, 2) for row in table)  # own bucket and visits differ
 
 
+@pytest.mark.parametrize("k", [1, 2, 3, 4, 5, 6])
+def test_pairs_at_the_threshold_meet_for_every_k(k):
+    """Pairs of cosine 0.95 exactly: one is in a bucket that the other visits, or in its own. Tables follow from k."""
+    rng = np.random.default_rng(k)
+    a, b = rng.normal(size=(2, 3000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.95 * a + np.sqrt(1 - 0.95**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    x, y = (op1.buckets(z, k, op1.TABLES[k - 1]) for z in (a, b))
+    met = (x[:, :, :1] == y).any(axis=(1, 2)) | (y[:, :, :1] == x).any(axis=(1, 2))
+    assert met.mean() >= 0.99
+
+
+@pytest.mark.parametrize("k", [3, 4])
+def test_recall_with_more_rotations(spark, k):
+    x = vectors()
+    near = truth(x)
+    df = spark.createDataFrame([(i, list(map(float, v)), 0) for i, v in enumerate(x)], VECTORS)
+    got = {r["vec_id"]: r for r in op1.near_duplicates(df, k=k).collect()}
+    want = least_reachable(range(len(x)), zip(*np.nonzero(near)))
+    assert 0.98 * near.sum() <= sum(r["n_links"] for r in got.values()) <= near.sum()
+    assert np.mean([got[i]["component_id"] == want[i] for i in got]) >= 0.98
+
+
+def test_rotations_follow_the_number_of_vectors():
+    assert [op1.rotations_for(n, 64) for n in (0, 1, 10, 1000, 50_000, 10**6, 10**8, 10**10)] == [1, 1, 1, 2, 3, 4, 5, 6]
+
+
 def test_odd_vectors(spark):
     rows = [(1, None, 0), (2, [], 0), (3, [0.0, 0.0], 0), (4, [float("nan"), 1.0], 0), (5, [float("inf"), 1.0], 0), (6, [None, 1.0], 0), (7, [1.0, 2.0], 0), (8, [2.0, 4.0], 0), (8, [2.0, 4.0], 0), (9, [1.0, 2.0, 0.0], 0), (None, [1.0, 2.0], 0), (10, [-1.0, -2.0], 0), (11, [-0.0, 0.0], 0)]
     df = spark.createDataFrame(rows, VECTORS).withColumn("rep", F.lit(1)).withColumn("v", F.lit("x"))
