@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import scratch
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: A word is a run of ASCII digits, ASCII lower-case letters and non-ASCII characters. (As a negated class it takes Java five times as long.)
 WORD = r"[0-9a-z\x80-\x{10FFFF}]+"
+#: Bytes that go to Python at once where rows hold whole texts.
+BYTES_PER_BATCH = 4 << 20
 #: Rows of a narrow table that make a file.
 ROWS_A_FILE = 500_000
 #: A side may be broadcast up to so many bytes, and only after they were measured.
@@ -36,17 +36,6 @@ def grams(words: Column, k: int) -> Column:
     return F.when(F.size(words) >= k, F.transform(F.sequence(F.lit(0), F.size(words) - k), lambda i: F.concat_ws(" ", *(F.get(words, i + j) for j in range(k))))).otherwise(F.array().cast("array<string>"))
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder where driver and executors both read and write: under spark.checkpoint.dir. Only a session that runs on this machine alone may leave that unset; it is then set to a folder of this machine."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
-        root = f"file://{tempfile.mkdtemp(prefix='spark-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame, rows: int | None = None) -> DataFrame:
     """df written to shared storage and read again: it cuts the lineage, and lost executors take nothing with them.
 
@@ -57,6 +46,14 @@ def written(df: DataFrame, rows: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_batches(spark: SparkSession) -> None:
+    """Lower the session's limit of bytes in an Arrow batch to BYTES_PER_BATCH, so that batches of whole texts stay small whatever a text's length. Batches of narrow rows are smaller anyway."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key)
+    if not now.rstrip("b").isdigit() or int(now.rstrip("b")) > BYTES_PER_BATCH:
+        spark.conf.set(key, str(BYTES_PER_BATCH))
+
+
 def unused(name: str, *tables: DataFrame) -> str:
     """A column name that none of the tables has, whatever the case."""
     taken = {c.lower() for t in tables for c in t.columns}

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, unused
+from .common import table, text_batches, unused
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -300,6 +300,7 @@ def detect(docs: DataFrame, text_col: str = "text") -> DataFrame:
     no rule. Long runs of one kind of character cost linear time. Other columns stay; those of the names above are
     replaced.
     """
+    text_batches(docs.sparkSession)
     added = [*(f"n_{k}" for k in KINDS), "base_sha256", "spans"]
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -24,11 +24,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, unused
+from .common import table, text_batches, unused
 
 SPACE = "▁"
 #: Segments that a worker remembers in each of two generations.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 #: Segments of up to so many symbols share a table of agendas, in groups by length; a longer one has a heap of its own.
 SHORT, WIDTHS = 32, (6, 8, 10, 12, 16, 24, 32)
 #: Texts that are encoded together.
@@ -243,6 +243,7 @@ def encode_texts(docs: DataFrame, model: str | None = None, text_col: str = "tex
     no rule. A long text without spaces goes through a heap, so it costs n log n. Other columns stay; those of the
     names above are replaced.
     """
+    text_batches(docs.sparkSession)
     added = ["n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]
     rows, own = docs.drop(*added), unused("encoded", docs)
     return rows.withColumn(own, encoder(model or default_model(), with_ids)(F.col(text_col))).select(*(F.col(f"`{c}`") for c in rows.columns), *(F.col(own)[c].alias(c) for c in added))

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, written
+from .common import broadcast_if_small, text_batches, written
 from .components import components
 
 #: Words of a shingle, and the least similarity of a link as a fraction.
@@ -119,6 +119,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     white space only are equal texts. Repeated ids and rows give a row each. A null id keeps its row and never names
     a component that has another id. Equal texts are told by 64 bits of hash.
     """
+    text_batches(docs.sparkSession)
     rows = written(docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).alias("text"), F.pandas_udf(sketched, "cls long, keys array<long>")(F.col(text_col)).alias("s")).select(id_col, "text", "s.*"))
     classes = written(rows.groupBy("cls").agg(F.min(id_col).alias("least"), F.first("keys").alias("keys")))
     linked = components(links(rows.select("cls", "text"), classes.select("cls", "keys"))).withColumnRenamed("node", "cls")
