@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from . import shingles
 from .common import table, text_batches, written
 from .components import components
+from .shingles import bit_counts, majority
 
 SHINGLE, BUDGET = 3, 2
 #: Bits by which the distributed traversal descends, and fingerprints that a node may bring to one group.
@@ -26,47 +27,28 @@ STEP, LEAF = 8, 20_000
 CHUNK = 200_000
 
 
-def fingerprints_of(text: str | None, families: int = 1, shingle: int = SHINGLE) -> list[int]:
-    """The text's fingerprints, signed; 0 for no words. The first family hashes shingles by XXH64, others mix that hash."""
+def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
+    """The text's fingerprint, signed; 0 for no words."""
     import xxhash
 
     tokens = (text or "").encode("utf-8", "replace").lower().split()  # bytes: only A-Z and ASCII white space count
     if not tokens:
-        return [0] * families
+        return 0
     n = max(1, len(tokens) - shingle + 1)
-    ones = np.zeros((families, 64), np.int64)
+    ones = np.zeros(64, np.int64)
     for at in range(0, n, 1 << 15):
         part = tokens[at : min(n, at + (1 << 15)) + shingle - 1]
         if len(part) < shingle:
             hashed = [xxhash.xxh64_intdigest(b" ".join(part), 42)]
         else:
             hashed = [xxhash.xxh64_intdigest(b" ".join(part[i : i + shingle]), 42) for i in range(len(part) - shingle + 1)]
-        h = np.array(hashed, np.uint64)
-        for family in range(families):
-            ones[family] += np.unpackbits(mixed(h, family).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return [int((np.uint64(1) << np.nonzero(2 * x > n)[0].astype(np.uint64)).sum(dtype=np.uint64).astype(np.int64)) for x in ones]
-
-
-def mixed(h: np.ndarray, family: int) -> np.ndarray:
-    """Another hash of the same shingles: the finisher of SplitMix64."""
-    if not family:
-        return h
-    x = h + np.uint64(family * 0x9E3779B97F4A7C15 % (1 << 64))
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
-    return fingerprints_of(text, 1, shingle)[0]
+        ones += bit_counts(np.array(hashed, np.uint64))
+    return majority(ones, n)
 
 
-def fingerprinter(families: int):
-    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield pd.Series([fingerprints_of(x, families) for x in batch], dtype=object)
-
-    return F.pandas_udf(run, "array<long>")
+def fingerprinted(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in texts:
+        yield pd.Series([fingerprint_of(x) for x in batch], dtype="int64")
 
 
 def prefix(fp: Column, depth: int) -> Column:
@@ -167,45 +149,30 @@ def close_fingerprints(distinct: DataFrame, budget: int = BUDGET, leaf: int = LE
     return left.unionByName(right).groupBy("depth", "a").applyInPandas(leaf_links(budget, few), "x long, y long")
 
 
-def links(prints: DataFrame, family: int, budget: int) -> DataFrame:
-    """(x, y): links of one family between the first family's fingerprints, which stand for their documents."""
-    if not family:
-        return close_fingerprints(prints.select("fp"), budget, few=True)
-    both = prints.select("fp", F.get("all", F.lit(family)).alias("other"))
-    least = written(both.groupBy("other").agg(F.min("fp").alias("least")))
-    same = both.join(least, "other").where("fp <> least").select(F.col("fp").alias("x"), F.col("least").alias("y"))
-    close = close_fingerprints(least.select(F.col("other").alias("fp")), budget, few=True)
-    close = close.join(least.select(F.col("other").alias("x"), F.col("least").alias("lx")), "x").join(least.select(F.col("other").alias("y"), F.col("least").alias("ly")), "y")
-    return same.unionByName(close.select(F.col("lx").alias("x"), F.col("ly").alias("y")))
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", families: int = 1, budget: int = BUDGET) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = BUDGET) -> DataFrame:
     """One row per row of docs: id, fingerprint long, component_id (the smallest id reachable over links).
 
-    Fingerprints link at `budget` or fewer differing bits; equal ones always. With more families, documents link if
-    they do in any: a near copy that one family's chance keeps apart is met in another.
-
-    Null and empty texts and texts of white space only have fingerprint 0, which links like any other. Repeated ids
-    and rows give a row each. A null id keeps its row and never names a component that has another id. An empty table
-    gives no rows; other columns are ignored.
+    Fingerprints link at `budget` or fewer differing bits; equal ones always. Null and empty texts and texts of white
+    space only have fingerprint 0, which links like any other. Repeated ids and rows give a row each. A null id keeps its
+    row and never names a component that has another id. An empty table gives no rows; other columns are ignored.
     """
     text_batches(docs.sparkSession)
-    rows = written(docs.select(F.col(id_col).cast("long").alias(id_col), fingerprinter(families)(F.col(text_col)).alias("all")).withColumn("fp", F.get("all", F.lit(0))))
-    prints = written(rows.select("fp", "all").distinct()) if families > 1 else rows
+    rows = written(docs.select(F.col(id_col).cast("long").alias(id_col), F.pandas_udf(fingerprinted, "long")(F.col(text_col)).alias("fp")))
     distinct = written(rows.groupBy("fp").agg(F.min(id_col).alias("least")))
-    found = None
-    for family in range(families):
-        each = written(links(prints if family else distinct, family, budget))
-        found = each if found is None else found.unionByName(each)
-    linked = components(found, "x", "y").select(F.col("node").alias("fp"), "component")
     # components are named by fingerprints; each takes the least id among its fingerprints
-    named = linked.join(distinct, "fp").select("fp", "component", "least")
-    least = named.groupBy("component").agg(F.min("least").alias("least_of_all"))
+    named = distinct.join(trie_components(distinct, budget), "fp")
+    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     # written, so that both sides of the last join are plain exchanges, of which Spark splits a fingerprint with many rows
-    by_fp = written(distinct.join(named.join(least, "component").select("fp", "least_of_all"), "fp", "left").select("fp", F.coalesce("least_of_all", "least").alias("component_id")))
+    by_fp = written(named.join(least, "component").select("fp", "component_id"))
     return rows.join(by_fp, "fp").select(id_col, F.col("fp").alias("fingerprint"), "component_id")
 
 
+def trie_components(distinct: DataFrame, budget: int = BUDGET) -> DataFrame:
+    """(fp, component): for each of the distinct fingerprints the smallest one that it reaches over links."""
+    linked = components(written(close_fingerprints(distinct.select("fp"), budget, few=True)), "x", "y").withColumnRenamed("node", "fp")
+    return distinct.select("fp").join(linked, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -214,8 +181,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates: that of the smallest id (rows that repeat this id stay; a group without any id stays whole).
 
-    At a five-word-shingle similarity of 0.8 fingerprints are some ten bits apart, where a trie no longer tells copies
-    from others; so the stage meets candidates by MinHash and links those that are similar enough themselves.
+    Documents that the trie links, by fingerprints of five-word shingles, are candidates. At a similarity of 0.8
+    fingerprints are some ten bits apart, where a trie no longer tells copies from others: further candidates share a
+    MinHash bucket. The shingles themselves decide on each candidate.
     """
-    found = shingles.near_duplicates(docs).select(F.col("doc_id").alias("id"), "component_id").where("id = component_id OR component_id IS NULL").select("id").distinct()
+    found = shingles.near_duplicates(docs, trie_components).select(F.col("doc_id").alias("id"), "component_id").where("id = component_id OR component_id IS NULL").select("id").distinct()
     return docs.join(found, docs["doc_id"].eqNullSafe(found["id"]), "left_semi")

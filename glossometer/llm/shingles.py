@@ -1,6 +1,6 @@
 """Near-duplicate texts by exact Jaccard similarity of their word shingles.
 
-Candidates share a bucket of MinHash values; each is then compared by the shingles themselves, so no link is below
+Candidates share a bucket: a group of fingerprints that the trie links, or some MinHash values; each is then compared by the shingles themselves, so no link is below
 the threshold. Equal texts are one class from the start. A bucket of a few classes is compared pair by pair. In a
 larger one, rounds compare all classes with two leaders of other components, drawn anew each round, until a
 round adds no link: a dense group's pairs are never listed.
@@ -8,7 +8,7 @@ round adds no link: a dense group's pairs are never listed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,14 +37,24 @@ def shingles_of(tokens: list[bytes]) -> set[bytes]:
     return {b" ".join(tokens[i : i + SHINGLE]) for i in range(max(1, len(tokens) - SHINGLE + 1))} if tokens else set()
 
 
-def sketch(text: str | None) -> tuple[int, list[int]]:
-    """(hash of the text's words, its buckets), signed; no buckets for no words."""
+def bit_counts(h: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit, from the lowest."""
+    return np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def majority(ones: np.ndarray, n: int) -> int:
+    """The bits that over half of n hashes have, signed."""
+    return int((np.uint64(1) << np.nonzero(2 * ones > n)[0].astype(np.uint64)).sum(dtype=np.uint64).astype(np.int64))
+
+
+def sketch(text: str | None) -> tuple[int, list[int], int | None]:
+    """(hash of the text's words, its MinHash buckets, the fingerprint of its shingles), signed; no buckets and no fingerprint for no words."""
     import xxhash
 
     tokens = tokens_of(text)
     whole = int(np.uint64(xxhash.xxh64_intdigest(b" ".join(tokens), 42)).astype(np.int64))
     if not tokens:
-        return whole, []
+        return whole, [], None
     h = np.fromiter({xxhash.xxh64_intdigest(x, 42) for x in shingles_of(tokens)}, np.uint64)
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(h), 1 << 12):
@@ -53,7 +63,7 @@ def sketch(text: str | None) -> tuple[int, list[int]]:
     for x in least.reshape(BANDS, ROWS).T:
         key = (key ^ x) * np.uint64(0xBF58476D1CE4E5B9)
         key ^= key >> np.uint64(29)
-    return whole, key.view(np.int64).tolist()
+    return whole, key.view(np.int64).tolist(), majority(bit_counts(h), len(h))
 
 
 def similar(a: set[bytes], b: set[bytes]) -> bool:
@@ -72,7 +82,7 @@ def alike(texts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
 
 def sketched(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for batch in texts:
-        yield pd.DataFrame([sketch(x) for x in batch], columns=["cls", "keys"])
+        yield pd.DataFrame([sketch(x) for x in batch], columns=["cls", "keys", "fp"]).astype({"fp": "Int64"})
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -84,9 +94,8 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return written(both.where(F.pandas_udf(alike, "boolean")("left", "right")).select("a", "b"))
 
 
-def links(texts: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b): links between classes of equal texts. classes: cls and keys, one row each."""
-    members = written(classes.select("cls", F.explode("keys").alias("key")))
+def links(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """(a, b): links between classes of equal texts. members: cls and key of each bucket that a class lies in."""
     shared = written(members.groupBy("key").agg(F.count("*").alias("n"), F.min("cls").alias("a"), F.max("cls").alias("b")).where("n > 1"))
     more = shared.where("n > 2").select("key", "n")
     members = written(members.join(broadcast_if_small(more), "key"))
@@ -112,17 +121,20 @@ def links(texts: DataFrame, classes: DataFrame) -> DataFrame:
         found = found.unionByName(new)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: id, and component_id (the smallest id reachable over links).
+def near_duplicates(docs: DataFrame, groups: Callable[[DataFrame], DataFrame], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of docs: id, and component_id (the smallest id reachable over links). groups: (fp, component) of distinct fingerprints.
 
     Texts link if the Jaccard similarity of their shingles is at least SIMILAR. Null and empty texts and texts of
     white space only are equal texts. Repeated ids and rows give a row each. A null id keeps its row and never names
     a component that has another id. Equal texts are told by 64 bits of hash.
     """
     text_batches(docs.sparkSession)
-    rows = written(docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).alias("text"), F.pandas_udf(sketched, "cls long, keys array<long>")(F.col(text_col)).alias("s")).select(id_col, "text", "s.*"))
-    classes = written(rows.groupBy("cls").agg(F.min(id_col).alias("least"), F.first("keys").alias("keys")))
-    linked = components(links(rows.select("cls", "text"), classes.select("cls", "keys"))).withColumnRenamed("node", "cls")
+    rows = written(docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).alias("text"), F.pandas_udf(sketched, "cls long, keys array<long>, fp long")(F.col(text_col)).alias("s")).select(id_col, "text", "s.*"))
+    classes = written(rows.groupBy("cls").agg(F.min(id_col).alias("least"), F.first("keys").alias("keys"), F.first("fp").alias("fp")))
+    # a fingerprint's hash is mixed with a number of its own, so that its group is no MinHash bucket
+    grouped = groups(written(classes.where("fp IS NOT NULL").select("fp").distinct())).select("fp", F.xxhash64(F.lit(BANDS), "component").alias("key"))
+    members = written(classes.select("cls", F.explode("keys").alias("key")).unionByName(classes.join(grouped, "fp").select("cls", "key")))
+    linked = components(links(rows.select("cls", "text"), members)).withColumnRenamed("node", "cls")
     named = classes.select("cls", "least").join(linked, "cls", "left").select("cls", "least", F.coalesce("component", "cls").alias("component"))
     best = named.groupBy("component").agg(F.min("least").alias("component_id"))
     by_class = written(named.join(best, "component").select("cls", "component_id"))

@@ -168,15 +168,6 @@ def test_simhash_query_against_brute_force(spark, documents, prose, odd):
         assert r["component_id"] == least[root[r["fingerprint"] & (1 << 64) - 1]]
 
 
-@pytest.mark.parametrize("few", [False, True])
-def test_families_find_near_copies_and_leave_others(documents, prose, few):
-    base = [(i, prose(i, 200)) for i in range(40)]
-    near = [(100 + i, " ".join("changed" if n == 50 else w for n, w in enumerate(t.split()))) for i, t in base]
-    got = {r["doc_id"]: r["component_id"] for r in op7.near_duplicates(documents(*base, *near), families=1 if few else 6, budget=2 if few else 3).collect()}
-    assert all(got[i] == i for i, _ in base) and all(got[i] in (i, i - 100) for i, _ in near)
-    assert few or sum(got[i] == i - 100 for i, _ in near) >= 36
-
-
 def test_spanning_links_keep_the_components(spark):
     f = np.unique(np.random.default_rng(4).integers(0, 1 << 9, 120))
     df = spark.createDataFrame([(int(x) << 50,) for x in f], "fp long")
