@@ -106,3 +106,6 @@ def test_empty_and_months(archive):
     both = df.unionByName(df.withColumn("month", F.lit("2024-02")))
     assert f.filter_archive(both, keys=["month"]).groupBy("month").count().count() == 2
     assert f.filter_archive(both, keys=["month"]).count() == 2 * f.filter_archive(noisy(archive)).count()
+    by_month = f.filter_report(both, 1000, 100, ["month"]).drop("month")
+    assert rows(by_month) == sorted(2 * rows(f.filter_report(noisy(archive), 1000, 100)), key=repr)
+    assert f.filter_report(both.where("false"), keys=["month"]).count() == 0
