@@ -13,7 +13,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Labels start as the node itself. Each round takes the least label among a node and its neighbours, then
     follows the label's own label (pointer jumping), until no label changes. Links stay in tables: each round
-    reads the last one's written labels, and aggregates before it shuffles. No edges give no rows; nulls and
+    reads the last one's written labels, and aggregates before it shuffles; both sides of the join by neighbour are plain
+    exchanges of written tables, of which adaptive execution splits a hub's partition. No edges give no rows; nulls and
     self links are ignored; repeated edges change nothing.
     """
     e = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
