@@ -11,7 +11,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: A word is a run of ASCII digits, ASCII lower-case letters and non-ASCII characters. (As a negated class it takes Java five times as long.)
 WORD = r"[0-9a-z\x80-\x{10FFFF}]+"
 #: Bytes that go to Python at once where rows hold whole texts.
-BYTES_PER_BATCH = 4 << 20
+BYTES_PER_BATCH = 512 << 10
 #: Rows of a narrow table that make a file.
 ROWS_A_FILE = 500_000
 #: A side may be broadcast up to so many bytes, and only after they were measured.
