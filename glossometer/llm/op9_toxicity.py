@@ -34,7 +34,8 @@ QUOTES = "\"'«»‘’“”„‹›"
 DISGUISE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "l"})
 #: A hit's weight: quoted, plain, aimed.
 WEIGHTS = (0.4, 1.0, 1.5)
-REMEMBERED = 300_000
+#: Tokens, and states of the automaton, that a worker remembers.
+REMEMBERED, STATES = 100_000, 20_000
 EDGE = re.compile(r"^[^\w@$]+|[^\w$]+$")
 #: What parts words that are glued together: all that is neither a letter nor a digit, at first without the signs that may stand for letters.
 GLUE, SIGNS = re.compile(r"(?:[^\w@$!|]|_)+"), re.compile(r"[\W_]+")
@@ -141,7 +142,7 @@ class Automaton:
             if self.stem[state]:
                 return 0, self.stem[state]
         found = self.final[state]
-        if len(self.sets) > 100_000:
+        if len(self.sets) > STATES:
             self.reset()
         return found
 

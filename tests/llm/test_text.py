@@ -354,7 +354,7 @@ def test_pieces_against_the_library(documents, odd, prose):
     pool = "aAbehlo tionTHE ▁\n\té世🙂.,1290_"
     texts = ["", " ", "   ", "▁", "a▁b", "\n\n", "x" * 5000, "ab" * 4000, "<s> </s> <unk> <0x0A>", "é ｆ", "a  b   c    d", "你好" * 2000, prose(1, 400)] + ["".join(rng.choice(pool) for _ in range(rng.randint(1, 80))) for _ in range(2000)]
     want = own.sp.encode(texts, num_threads=1)
-    assert [[i for s in x for i in s[0]] for x in own.batch(texts)] == want
+    assert list(map(op6.numbers, own.batch(texts))) == want
     for text in texts[:200]:
         segments = own.segments.findall(own.sp.normalize(text))
         assert own.fresh_ids(list(set(segments))) == {s: own.to_ids(own._long(list(s))) for s in segments}
@@ -389,7 +389,7 @@ def test_a_segment_that_cannot_stand_alone_is_checked_with_its_text():
     texts = ["good first text", "世the", "no odd one"]
     found = {x: i for i, t in enumerate(texts) for x in own.segments.findall(own.sp.normalize(t))}
     assert own.verify(own.fresh_ids(list(found)), found) == {1}
-    assert [[i for s in x for i in s[0]] for x in own.batch(texts)] == own.sp.encode(texts)
+    assert list(map(op6.numbers, own.batch(texts))) == own.sp.encode(texts)
 
 
 @pytest.mark.parametrize("text", ["good\tthe end", "a\n\nthere", "世the"])
