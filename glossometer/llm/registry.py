@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import op1_embeddings, op2_licenses, op3_warc, op4_lines, op5_pii, op6_sentencepiece, op7_simhash, op8_decontaminate, op9_toxicity, op10_shards
+from . import op1_embeddings, op2_licenses, op3_warc, op4_lines, op5_pii, op6_sentencepiece, op7_simhash, op8_decontaminate, op9_toxicity, op10_shards, op11_fingerprints, op12_negatives, op13_whitening
 
 QUERIES = {
     "op1_near_vectors": op1_embeddings.query,
@@ -17,6 +17,9 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate.query,
     "op9_toxicity": op9_toxicity.query,
     "op10_shards": op10_shards.query,
+    "op11_fingerprints": op11_fingerprints.query,
+    "op12_hard_negatives": op12_negatives.query,
+    "op13_whitening": op13_whitening.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
@@ -25,4 +28,5 @@ ORACLES: dict[str, str] = {
     "op3_warc": op3_warc.ORACLE,
     "op4_line_dedup": op4_lines.ORACLE,
     "op8_decontaminate": op8_decontaminate.ORACLE,
+    "op12_hard_negatives": op12_negatives.ORACLE,
 }
