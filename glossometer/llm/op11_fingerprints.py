@@ -183,7 +183,7 @@ def likeness(f: Fingerprint, g: Fingerprint) -> float:
     there = g.starts(met) if met else {}
     for key, i in zip(*f.spans[:2]) if met else ():
         start = f.at[i]
-        if start < begin or key not in met:
+        if not begin <= start < end or key not in met:
             continue
         best = (0, 0)
         for j in there[key]:

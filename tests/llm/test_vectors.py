@@ -69,6 +69,16 @@ def test_likeness(prose):
         assert len(str(f)) <= 4 * 12 * (op11.GRID + op11.DRAWN + 2) // 3 + 4
 
 
+def test_likeness_of_repetitive_texts():
+    """Common spans that overlap the common beginning or end, or each other, count no place twice."""
+    rng = random.Random(8)
+    for _ in range(400):
+        parts = ["".join(rng.choice("ab") for _ in range(rng.randrange(1, 40))) for _ in range(4)]
+        x, y = ("".join(rng.choice(parts) for _ in range(rng.randrange(1, 60))) for _ in range(2))
+        f, g = op11.Fingerprint.of(x), op11.Fingerprint.of(y)
+        assert 0 <= op11.likeness(f, g) <= min(len(x), len(y)) / max(len(x), len(y)) and op11.likeness(f, f) == 1
+
+
 def check_fingerprints(pairs, got):
     """got against the definition: pairs (id, text)."""
     first = {}
