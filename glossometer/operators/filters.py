@@ -1,18 +1,21 @@
 """De-noising filters over archive rows.
 
-Each filter works alone; filter_archive applies all nine in order with two aggregations and one small anti-join. keys
-(a month, say) are prefixed to every group, so that many months run in one job.
+Each filter works alone; Tagged applies all nine in order, in three phases, and filter_archive and filter_report read its
+tags. keys (a month, say) are prefixed to every group, so that many months run in one job.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import is_automation, is_bot, is_deleted_repo
 from ..functions.values import ACTOR_EVENT_LIMIT, CODE_EVENTS, ISSUES, PASSIVE_EVENTS, REPO_ISSUE_LIMIT
+from ..sources.scratch import broadcast_if_small, staged
 
 
 def _code() -> Column:
@@ -31,15 +34,47 @@ def _human() -> Column:
     return ~is_bot(F.col("actor")) & ~is_automation(F.col("actor"))
 
 
-def _keep(df: DataFrame, by: str, keys: Sequence[str], agg: Column, kept: Column) -> DataFrame:
-    """Rows of the groups for which kept holds on the aggregate x."""
-    good = df.groupBy(*keys, by).agg(agg.alias("x")).where(kept).select(*keys, by)
-    return df.join(good, [*keys, by], "left_semi").select(*df.columns)
+#: A key with more rows than this is hot. There are at most (rows / HOT_ROWS) of them, so their facts may be broadcast.
+HOT_ROWS = 1_000_000
+
+
+def _name(c: str) -> Column:
+    return F.col(f"`{c}`")
+
+
+def with_facts(df: DataFrame, by: Sequence[str], hot_rows: int = HOT_ROWS, ahead: bool = True, **facts: Column) -> DataFrame:
+    """df with columns of facts (aggregates) about each row's group by `by`.
+
+    The aggregate is reduced before its shuffle, so it has no hot task. The join back would have one for each key that many
+    rows share; here the facts of hot keys are broadcast, and their rows go through the shuffled join under spread keys
+    that match nothing. by ends in the column whose keys are spread, a text. Names of facts mustn't be columns of df.
+
+    ahead: the facts are written first, so that df occurs once in the result's plan and a chain of such steps stays
+    linear. Else the plan holds df three times, but the facts are shuffled once only.
+    """
+    *keys, last = by
+    found = df.groupBy(*by).agg(F.count("*").alias("rows_"), *(f.alias(name) for name, f in facts.items()))
+    found = staged(found) if ahead else found
+    sides = {"hot": found.where(F.col("rows_") > hot_rows), "cold": found.where(F.col("rows_") <= hot_rows)}
+    for side, x in sides.items():
+        sides[side] = x.select(*(_name(c).alias(f"{side}_key{i}_") for i, c in enumerate(by)), F.struct(*facts).alias(f"{side}_"))
+    same = lambda side, own: reduce(and_, (o == F.col(f"{side}_key{i}_") for i, o in enumerate(own)))
+    warm = df.join(F.broadcast(sides["hot"]), same("hot", map(_name, by)), "left")
+    spread = F.concat(F.lit("\0"), F.xxhash64(*map(_name, df.columns)).cast("string"))
+    warm = warm.withColumn("spread_", F.when(F.col("hot_").isNull(), _name(last)).otherwise(spread))
+    joined = warm.join(sides["cold"], same("cold", [*map(_name, keys), F.col("spread_")]), "left")
+    fact = F.coalesce("hot_", "cold_")
+    return joined.select(*map(_name, df.columns), *(fact[name].alias(name) for name in facts))
+
+
+def _keep(df: DataFrame, by: str, keys: Sequence[str], agg: Column, kept: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows of the groups for which kept holds on the aggregate x_."""
+    return with_facts(df, [*keys, by], hot_rows, x_=agg).where(kept).select(*map(_name, df.columns))
 
 
 def drop_empty_repos(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Keep repositories with a push or pull request row, whatever its count."""
-    return _keep(df, "repo", keys, F.bool_or(_code()), F.col("x"))
+    return _keep(df, "repo", keys, F.bool_or(_code()), F.col("x_"))
 
 
 def drop_bots(df: DataFrame) -> DataFrame:
@@ -52,12 +87,12 @@ def drop_ci_actors(df: DataFrame) -> DataFrame:
 
 def drop_single_event_repos(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Keep repositories with more than one event; a total of 0 goes too."""
-    return _keep(df, "repo", keys, F.sum("count"), F.col("x") > 1)
+    return _keep(df, "repo", keys, F.sum("count"), F.col("x_") > 1)
 
 
 def drop_high_volume_actors(df: DataFrame, limit: int = ACTOR_EVENT_LIMIT, keys: Sequence[str] = ()) -> DataFrame:
     """Keep actors with at most `limit` events. The anonymous actor "" is one actor."""
-    return _keep(df, "actor", keys, F.sum("count"), F.col("x") <= limit)
+    return _keep(df, "actor", keys, F.sum("count"), F.col("x_") <= limit)
 
 
 def drop_deleted_repos(df: DataFrame) -> DataFrame:
@@ -66,47 +101,100 @@ def drop_deleted_repos(df: DataFrame) -> DataFrame:
 
 def drop_fork_only_actors(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Keep actors with a row other than forks and watches."""
-    return _keep(df, "actor", keys, F.bool_or(~_passive()), F.col("x"))
+    return _keep(df, "actor", keys, F.bool_or(~_passive()), F.col("x_"))
 
 
 def drop_issue_flood(df: DataFrame, limit: int = REPO_ISSUE_LIMIT, keys: Sequence[str] = ()) -> DataFrame:
     """Drop the issue rows of repositories with more than `limit` issue events. Other rows aren't shuffled."""
     issues = df.where(_issue())
-    return df.where(~_issue()).unionByName(_keep(issues, "repo", keys, F.sum("count"), F.col("x") <= limit))
+    return df.where(~_issue()).unionByName(_keep(issues, "repo", keys, F.sum("count"), F.col("x_") <= limit))
 
 
 def drop_issue_only_actors(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Drop the issue rows of actors without a push or pull request row."""
-    coders = df.where(_code()).select(*keys, "actor").distinct()
-    return df.where(~_issue()).unionByName(df.where(_issue()).join(coders, [*keys, "actor"], "left_semi").select(*df.columns))
-
+    """Drop the issue rows of actors without a push or pull request row. Other rows aren't shuffled."""
+    issues = with_facts(df.where(_issue() | _code()), [*keys, "actor"], coder_=F.bool_or(_code())).where(_issue() & F.col("coder_"))
+    return df.where(~_issue()).unionByName(issues.select(*map(_name, df.columns)))
 
-def _repo_facts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys, "repo").agg(F.bool_or(_code()).alias("has_code"), F.coalesce(F.sum(F.when(_human(), F.col("count"))), F.lit(0)).alias("human_total"))
 
+#: Steps of the report, in order.
+STEPS = ("empty_repos", "bots", "ci_actors", "single_event_repos", "high_volume_actors", "deleted_repos", "fork_only_actors", "issue_flood", "issue_only_actors")
 
-def _actor_facts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    there = ~is_deleted_repo(F.col("repo"))
-    return df.groupBy(*keys, "actor").agg(F.sum("count").alias("total"), F.bool_or(there & ~_passive()).alias("meaningful"), F.bool_or(there & _code()).alias("is_coder"))
 
+class Tagged:
+    """An archive with each row's step: the number of the filter that drops it, or null if it stays.
 
-def filter_archive(df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMIT, repo_issue_limit: int = REPO_ISSUE_LIMIT, keys: Sequence[str] = ()) -> DataFrame:
-    """All nine filters in order, fused.
+    Three phases, each over what the one before left: by repository (steps 1 to 4), by actor (5 to 7) and by flooded
+    repository (8, 9). The first and the fourth step drop whole repositories and those between look at the row only, so one
+    aggregate decides all four; the fifth and seventh drop whole actors, the sixth looks at the row only, and the same
+    aggregate tells who writes code for the ninth. A phase is one aggregate and one join by the same key, and its rows
+    are written once, with their tags; a dropped row keeps its keys and its tag only, if a report is wanted.
 
-    The first and the fourth drop whole repositories, and the two between look at the row only: one aggregate decides
-    both. The fifth and seventh drop whole actors, and the sixth looks at the row only: another decides both, and tells
-    who writes code for the ninth. Flooded repositories are found among what is left, before the ninth; there are few, so
-    that the last join is one that Spark broadcasts.
+    All together, the archive is read twice and there are five shuffles; flooded repositories, found among the rows written last, are
+    broadcast if they measure small, else their join is a sixth.
     """
-    repos = _repo_facts(df, keys).where((F.col("human_total") > 1) & F.col("has_code")).select(*keys, "repo")
-    p1 = df.where(_human()).join(repos, [*keys, "repo"], "left_semi")
-    actors = _actor_facts(p1, keys).where((F.col("total") <= actor_event_limit) & F.col("meaningful")).select(*keys, "actor", "is_coder")
-    p2 = p1.where(~is_deleted_repo(F.col("repo"))).join(actors, [*keys, "actor"])
-    flooded = p2.where(_issue()).groupBy(*keys, "repo").agg(F.sum("count").alias("n")).where(F.col("n") > repo_issue_limit).select(*(F.col(c).alias(f"{c}_") for c in (*keys, "repo")))
-    same = _issue()
-    for c in (*keys, "repo"):
-        same &= F.col(c) == F.col(f"{c}_")
-    return p2.where(~_issue() | F.col("is_coder")).join(flooded, same, "left_anti").select(*df.columns)
+
+    def __init__(self, df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMIT, repo_issue_limit: int = REPO_ISSUE_LIMIT, keys: Sequence[str] = (), report: bool = True, hot_rows: int = HOT_ROWS):
+        self.columns, self.keys, self.report = df.columns, list(keys), report
+        actor, repo = F.col("actor"), F.col("repo")
+        there = ~is_deleted_repo(repo)
+        human = F.coalesce(F.sum(F.when(_human(), F.col("count"))), F.lit(0))
+        rows = with_facts(df, [*keys, "repo"], hot_rows, False, has_code_=F.bool_or(_code()), human_total_=human)
+        first = self._written(rows, (1, ~F.col("has_code_")), (2, is_bot(actor)), (3, is_automation(actor)), (4, F.col("human_total_") <= 1))
+        rows = with_facts(self._left(first), [*keys, "actor"], hot_rows, False, total_=F.sum("count"), meaningful_=F.bool_or(there & ~_passive()), coder_=F.bool_or(there & _code()))
+        second = self._written(rows, (5, F.col("total_") > actor_event_limit), (6, ~there), (7, ~F.col("meaningful_")), more=["coder_"])
+        rows = self._left(second, "coder_")
+        flooded = staged(rows.where(_issue()).groupBy(*keys, "repo").agg(F.sum("count").alias("n_")).where(F.col("n_") > repo_issue_limit).select(*(_name(c).alias(f"flooded{i}_") for i, c in enumerate([*keys, "repo"])), F.lit(True).alias("flooded_")))
+        same = reduce(and_, (_name(c) == F.col(f"flooded{i}_") for i, c in enumerate([*keys, "repo"])), _issue())
+        rows = rows.join(broadcast_if_small(flooded), same, "left")
+        last = rows.select(*map(_name, self.columns), self._step((8, F.coalesce("flooded_", F.lit(False))), (9, _issue() & ~F.col("coder_"))))
+        #: Rows with step_ by phase: all that a phase has looked at, or those that it keeps if no report is wanted.
+        self.phases = [first, second, last]
+
+    @staticmethod
+    def _step(*cases: tuple[int, Column]) -> Column:
+        return F.coalesce(*(F.when(F.coalesce(case, F.lit(True)), step) for step, case in cases)).alias("step_")
+
+    def _written(self, rows: DataFrame, *cases: tuple[int, Column], more: Sequence[str] = ()) -> DataFrame:
+        tagged = rows.select(*map(_name, self.columns), *more, self._step(*cases))
+        if not self.report:
+            return staged(tagged.where(F.col("step_").isNull()))
+        kept = lambda c: _name(c) if c in self.keys else F.when(F.col("step_").isNull(), _name(c)).alias(c)
+        return staged(tagged.select(*map(kept, (*self.columns, *more)), "step_"))
+
+    def _left(self, rows: DataFrame, *more: str) -> DataFrame:
+        return rows.where(F.col("step_").isNull()).select(*map(_name, self.columns), *more)
+
+    @property
+    def kept(self) -> DataFrame:
+        """The archive rows that pass all nine filters."""
+        return self._left(self.phases[-1])
+
+    def counts(self) -> DataFrame:
+        """(keys, start, removed1 ... removed9): one more aggregate, which reads the tags only."""
+        tags = [p.select(*map(_name, self.keys), F.lit(i == 0).alias("starts"), "step_") for i, p in enumerate(self.phases)]
+        removed = (F.count(F.when(F.col("step_") == i, 1)).alias(f"removed{i}") for i in range(1, len(STEPS) + 1))
+        return reduce(DataFrame.unionByName, tags).groupBy(*map(_name, self.keys)).agg(F.count(F.when(F.col("starts"), 1)).alias("start"), *removed)
+
+    def lines(self) -> DataFrame:
+        """The report: (keys, step_no, step, removed, removed_pct, remaining) and a total (step 10)."""
+        if not self.report:
+            raise ValueError("tagged without a report")
+        n = len(STEPS)
+        gone = lambda i: sum((F.col(f"removed{j}") for j in range(1, i + 1)), F.lit(0).cast("long"))
+        line = lambda i, name, removed, before: F.struct(F.lit(i).alias("step_no"), F.lit(name).alias("step"), removed.alias("removed"), F.when(before > 0, 100.0 * removed / before).otherwise(0.0).alias("removed_pct"), (before - removed).alias("remaining"))
+        lines = [line(i, name, F.col(f"removed{i}"), F.col("start") - gone(i - 1)) for i, name in enumerate(STEPS, 1)] + [line(n + 1, "total", gone(n), F.col("start"))]
+        return self.counts().select(*map(_name, self.keys), F.explode(F.array(*lines)).alias("line")).select(*map(_name, self.keys), "line.*")
+
+
+def filter_archive(df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMIT, repo_issue_limit: int = REPO_ISSUE_LIMIT, keys: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
+    """All nine filters in order, fused: see Tagged. Its phases run when this is called."""
+    return Tagged(df, actor_event_limit, repo_issue_limit, keys, False, hot_rows).kept
+
+
+def filter_with_report(df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMIT, repo_issue_limit: int = REPO_ISSUE_LIMIT, keys: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(filter_archive, filter_report) from the same tags."""
+    tagged = Tagged(df, actor_event_limit, repo_issue_limit, keys, True, hot_rows)
+    return tagged.kept, tagged.lines()
 
 
 def filter_sequentially(df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMIT, repo_issue_limit: int = REPO_ISSUE_LIMIT, keys: Sequence[str] = ()) -> DataFrame:
@@ -116,29 +204,10 @@ def filter_sequentially(df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMI
     return drop_issue_only_actors(drop_issue_flood(df, repo_issue_limit, keys), keys)
 
 
-#: Steps of the report, in order.
-STEPS = ("empty_repos", "bots", "ci_actors", "single_event_repos", "high_volume_actors", "deleted_repos", "fork_only_actors", "issue_flood", "issue_only_actors")
-
-
-def filter_report(df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMIT, repo_issue_limit: int = REPO_ISSUE_LIMIT, keys: Sequence[str] = ()) -> DataFrame:
+def filter_report(df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMIT, repo_issue_limit: int = REPO_ISSUE_LIMIT, keys: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
     """(keys, step_no, step, removed, removed_pct, remaining): what each filter removes of what reaches it, and a total (step 10).
 
-    Each row is tagged once with the step that drops it, by the facts of the fused filter; one aggregate counts the tags.
     Percentages of nothing are 0.0. An empty input gives all ten rows with 0; with keys there are ten rows for each of
     their values that occurs.
     """
-    actor, repo, alive = F.col("actor"), F.col("repo"), F.col("step").isNull()
-    tag = lambda *cases: F.coalesce("step", *(F.when(F.coalesce(case, F.lit(True)), step) for step, case in cases))
-    rows = df.select(*keys, "actor", "repo", "event_type", "count", F.lit(None).cast("int").alias("step"))
-    rows = rows.join(_repo_facts(df, keys), [*keys, "repo"], "left")
-    rows = rows.withColumn("step", tag((1, ~F.col("has_code")), (2, is_bot(actor)), (3, is_automation(actor)), (4, F.col("human_total") <= 1)))
-    rows = rows.join(_actor_facts(rows.where(alive), keys), [*keys, "actor"], "left")
-    rows = rows.withColumn("step", tag((5, F.col("total") > actor_event_limit), (6, is_deleted_repo(repo)), (7, ~F.col("meaningful"))))
-    late = rows.where(alive & _issue()).groupBy(*keys, "repo").agg((F.sum("count") > repo_issue_limit).alias("flooded"))
-    rows = rows.join(late, [*keys, "repo"], "left").withColumn("step", tag((8, _issue() & F.coalesce("flooded", F.lit(False))), (9, _issue() & ~F.col("is_coder"))))
-    n = len(STEPS)
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("start"), *(F.count(F.when(F.col("step") == i, 1)).alias(f"removed{i}") for i in range(1, n + 1)))
-    gone = lambda i: sum((F.col(f"removed{j}") for j in range(1, i + 1)), F.lit(0).cast("long"))
-    line = lambda i, name, removed, before: F.struct(F.lit(i).alias("step_no"), F.lit(name).alias("step"), removed.alias("removed"), F.when(before > 0, 100.0 * removed / before).otherwise(0.0).alias("removed_pct"), (before - removed).alias("remaining"))
-    lines = [line(i, name, F.col(f"removed{i}"), F.col("start") - gone(i - 1)) for i, name in enumerate(STEPS, 1)] + [line(n + 1, "total", gone(n), F.col("start"))]
-    return counts.select(*keys, F.explode(F.array(*lines)).alias("line")).select(*keys, "line.*")
+    return Tagged(df, actor_event_limit, repo_issue_limit, keys, True, hot_rows).lines()

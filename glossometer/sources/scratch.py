@@ -6,7 +6,11 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: A side may be broadcast up to so many bytes, and only after they were measured.
+BROADCAST_BYTES = 48 << 20
 
 
 def scratch(spark: SparkSession) -> str:
@@ -18,3 +22,20 @@ def scratch(spark: SparkSession) -> str:
         root = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """df written to a folder of scratch() and read again: what follows doesn't compute it twice."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def measured(df: DataFrame) -> int:
+    """About the bytes of df's rows: their texts as JSON, and what a row costs by itself."""
+    return df.agg(F.sum(F.coalesce(F.octet_length(F.to_json(F.struct("*"))), F.lit(0)) + 32)).first()[0] or 0
+
+
+def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """df with the hint to broadcast it, if its measured bytes are within the limit (BROADCAST_BYTES)."""
+    return F.broadcast(df) if measured(df) <= (BROADCAST_BYTES if limit is None else limit) else df

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
-from helpers import rows
+import pytest
+from helpers import nodes, records_by_task, rows
+from pyspark.sql import functions as F
 
 from glossometer.functions.scalars import is_deleted_repo
 from glossometer.operators import filters as f
@@ -69,8 +71,8 @@ def noisy(archive):
 
 def test_fused_is_stepwise(archive):
     df = noisy(archive)
-    for actors_at_most, issues_at_most in ((1000, 10_000), (1000, 100), (10, 1), (10**6, 10**6), (0, 0)):
-        fused, steps = f.filter_archive(df, actors_at_most, issues_at_most), f.filter_sequentially(df, actors_at_most, issues_at_most)
+    for actors_at_most, issues_at_most, hot in ((1000, 100, 1_000_000), (10, 1, 2), (10**6, 10**6, 0)):
+        fused, steps = f.filter_archive(df, actors_at_most, issues_at_most, hot_rows=hot), f.filter_sequentially(df, actors_at_most, issues_at_most)
         assert rows(fused) == rows(steps)
 
 
@@ -100,8 +102,6 @@ def test_empty_and_months(archive):
     empty = archive(("a", "k/k", "PushEvent", 1)).where("false")
     assert f.filter_archive(empty).count() == 0
     assert [r["removed_pct"] for r in f.filter_report(empty).collect()] == [0.0] * 10
-    from pyspark.sql import functions as F
-
     df = noisy(archive).withColumn("month", F.lit("2024-01"))
     both = df.unionByName(df.withColumn("month", F.lit("2024-02")))
     assert f.filter_archive(both, keys=["month"]).groupBy("month").count().count() == 2
@@ -109,3 +109,69 @@ def test_empty_and_months(archive):
     by_month = f.filter_report(both, 1000, 100, ["month"]).drop("month")
     assert rows(by_month) == sorted(2 * rows(f.filter_report(noisy(archive), 1000, 100)), key=repr)
     assert f.filter_report(both.where("false"), keys=["month"]).count() == 0
+
+
+@pytest.fixture
+def crowded(spark):
+    """(repo, actor) rows of which 30 % have one repository, other 30 % the anonymous actor."""
+    n = F.col("id")
+    repo = F.when(n % 10 < 3, F.lit("hot/hot")).otherwise(F.concat(F.lit("o/r"), n % 1500))
+    actor = F.when((n % 10 >= 3) & (n % 10 < 6), F.lit("")).otherwise(F.concat(F.lit("u"), n % 2100))
+    kind = F.when(n % 4 == 0, F.lit("IssuesEvent")).when(n % 4 == 1, F.lit("WatchEvent")).otherwise(F.lit("PushEvent"))
+    return spark.range(0, 60_000, 1, 6).select(actor.alias("actor"), repo.alias("repo"), kind.alias("event_type"), F.lit("").alias("action"), F.lit("").alias("language"), F.lit(1).cast("long").alias("count"), F.lit(5).alias("a.b"))
+
+
+@pytest.fixture
+def plain_session(spark):
+    """16 shuffle partitions, without adaptive execution and without broadcasts by size."""
+    new = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in new}
+    for k, v in new.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_hot_keys_are_spread(spark, crowded, plain_session, tmp_path):
+    """One key of 30 % of the rows: no task reads over three times the median."""
+    crowded.write.parquet(str(tmp_path / "a"))
+    df = spark.read.parquet(str(tmp_path / "a"))
+    jobs = {
+        "repo": lambda hot: f.with_facts(df, ["repo"], hot, n_=F.count("*")).write.format("noop").mode("overwrite").save(),
+        "actor": lambda hot: f.with_facts(df, ["actor"], hot, False, n_=F.count("*")).write.format("noop").mode("overwrite").save(),
+        "all": lambda hot: f.filter_archive(df, 10**6, 10**6, hot_rows=hot).write.format("noop").mode("overwrite").save(),
+    }
+    for job in jobs.values():
+        split = records_by_task(spark, lambda job=job: job(1000))
+        assert split and all(r[-1] <= 3 * max(1, r[len(r) // 2]) for r in split.values() if sum(r) > 5000)
+    whole = records_by_task(spark, lambda: jobs["repo"](10**6))
+    assert any(r[-1] > 3 * r[len(r) // 2] for r in whole.values() if sum(r) > 5000)  # the case is one
+
+
+def test_hot_keys_change_no_row(crowded):
+    for hot in (0, 1000):
+        split, plain = (f.with_facts(crowded, ["repo"], h, n_=F.sum("count")) for h in (hot, 10**6))
+        assert split.columns == plain.columns and split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
+    assert f.filter_archive(crowded, 10**6, 4000, hot_rows=1000).exceptAll(f.filter_sequentially(crowded, 10**6, 4000)).isEmpty()
+
+
+def test_scans_and_shuffles(spark, crowded, plain_session, tmp_path):
+    """Two scans of the archive and five shuffles, none of them broadcast by size; the report takes one more."""
+    crowded.write.parquet(str(tmp_path / "archive"))
+    df = spark.read.parquet(str(tmp_path / "archive"))
+
+    def count(job):
+        names, _ = nodes(spark, lambda: job(df, 10**6, 4000).write.format("noop").mode("overwrite").save())
+        measuring = 1  # the size of the flooded repositories, one number
+        return sum(x.startswith("Scan parquet") and str(tmp_path) in x for x in names), sum(x.startswith("Exchange ") for x in names) - measuring
+
+    assert count(f.filter_archive) == (2, 5)
+    assert count(f.filter_report) == (2, 6)
+
+
+def test_filter_and_report_from_the_same_tags(archive):
+    kept, report = f.filter_with_report(noisy(archive), 1000, 100)
+    assert rows(kept) == rows(f.filter_archive(noisy(archive), 1000, 100)) and rows(report) == rows(f.filter_report(noisy(archive), 1000, 100))
+    with pytest.raises(ValueError):
+        f.Tagged(noisy(archive), report=False).lines()
