@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.values import LANGUAGES
+from ..sources.scratch import scratch
 
 #: Both engines read these expressions alike ({text} is the name of the string type).
 _ACTOR = "CASE o_custkey % 20 WHEN 0 THEN 'dependabot[bot]-' || o_custkey WHEN 1 THEN 'Renovate-' || o_custkey ELSE 'user' || o_custkey END"
@@ -49,19 +52,19 @@ FROM part WHERE p_partkey % 11 <> 0
 """
 
 
-def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repository languages from parts: sizes of a total that is a power of two, so that sums are exact."""
+def languages(spark: SparkSession, sf_dir: str, total: str = "1024") -> DataFrame:
+    """Repository languages from parts; total: an expression. 1024 is a power of two, so that sums are exact in double precision too."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet").where("p_partkey % 11 <> 0")
     one = lambda name, size: F.struct(name.alias("language"), F.lit(size).cast("long").alias("size"))
     return part.select(
         F.expr("'org' || (p_partkey % 97) || '/repo' || p_partkey").alias("repo"),
-        F.when(F.col("p_partkey") % 13 == 0, 0).otherwise(1024).cast("long").alias("total_size"),
+        F.when(F.col("p_partkey") % 13 == 0, 0).otherwise(F.expr(total)).cast("long").alias("total_size"),
         F.array(one(F.col("p_type"), 512), one(F.col("p_brand"), 256), one(F.lit("Shell"), 128)).cast(LANGUAGES).alias("languages"),
     )
 
 
-def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(value): events as JSON lines, some broken, some with values of another kind, some without an actor."""
+def event_lines(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """(more, value): events as JSON lines, some broken, some with values of another kind, some without an actor."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     kind = F.when(F.col("event_type").isin("click", "view"), "PushEvent").otherwise(F.concat(F.col("event_type"), F.lit("Event")))
     language = F.element_at(F.array(*map(F.lit, ("Rust", "", "Go", "C"))), (F.col("event_id") % 4 + 1).cast("int"))
@@ -80,8 +83,47 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     bad = F.when(F.col("event_id") % 29 == 0, F.substring(whole, 1, 40)).when(F.col("event_id") % 31 == 0, F.regexp_replace(whole, '"type":"[A-Za-z]*"', '"type":5')).when(F.col("event_id") % 37 == 0, F.regexp_replace(whole, '"action":"opened"', '"action":7'))
-    return e.select(F.coalesce(bad, whole).alias("value"))
-
+    return e.select(*more, F.coalesce(bad, whole).alias("value"))
+
+
+def hour_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of gzipped event files by hour, named as the archive's. By its number in the month of the first event, every 13th hour is absent, every 11th file
+    empty, every 7th cut in half, and every 5th has a second member that repeats the first."""
+    lines = event_lines(spark, sf_dir, "ts").withColumn("hour", F.date_format("ts", "yyyy-MM-dd-H"))
+    written, folder = scratch(spark), scratch(spark)
+    lines.select("hour", "value").repartition("hour").write.partitionBy("hour").option("compression", "gzip").text(written)
+    first = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.date_format(F.min("ts"), "yyyy-MM")).first()[0]
+    start = datetime.strptime(first, "%Y-%m")
+    hadoop = spark._jvm.org.apache.hadoop
+    path = hadoop.fs.Path
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    fs = path(folder).getFileSystem(conf)
+    fs.mkdirs(path(folder))
+    for found in fs.globStatus(path(f"{written}/hour=*/part-*")):
+        hour = found.getPath().getParent().getName().removeprefix("hour=")
+        idx = int((datetime.strptime(hour, "%Y-%m-%d-%H") - start).total_seconds() // 3600) + 1
+        to, size = path(f"{folder}/{hour}.json.gz"), found.getLen()
+        if idx % 13 == 0:
+            continue
+        if idx % 11 and idx % 7 and idx % 5:
+            fs.rename(found.getPath(), to)
+            continue
+        out = fs.create(to)
+        for part in () if idx % 11 == 0 else (size // 2,) if idx % 7 == 0 else (size, size):
+            source = fs.open(found.getPath())
+            out.write(source.readNBytes(part))
+            source.close()
+        out.close()
+    return folder
+
+
+#: What file_ledger has to say about hour_files: lines of sound files only.
+HOURS_SQL = """
+WITH e AS (SELECT date_trunc('month', min(ts)) AS first FROM events), h AS (SELECT unnest(range(first, first + INTERVAL 1 MONTH, INTERVAL 1 HOUR)) AS hour, first FROM e),
+c AS (SELECT date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY 1),
+i AS (SELECT hour, datediff('hour', first, hour) + 1 AS idx, strftime(hour, '%Y-%m-%d-') || hour(hour) || '.json.gz' AS name FROM h),
+s AS (SELECT idx, name, n, CASE WHEN n IS NULL OR idx % 13 = 0 THEN 'absent' WHEN idx % 11 = 0 THEN 'empty' WHEN idx % 7 = 0 THEN 'damaged' ELSE 'ok' END AS state FROM i LEFT JOIN c USING (hour))
+"""
 
 #: What extract_events has to find in event_lines, straight from the columns.
 EXTRACTED_SQL = """

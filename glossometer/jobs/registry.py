@@ -14,9 +14,9 @@ from ..functions.scalars import metric_name, normalize_repo, year_month_from_nam
 from ..functions.values import AUTOMATION, METRIC_COLUMNS, METRICS
 from ..operators import events, filters, languages, pack, ratings
 from ..sources import readers, writers
-from ..sources.scratch import scratch
+from ..sources.scratch import scratch, staged
 from . import adapters
-from .adapters import ARCHIVE_SQL, EXTRACTED_SQL, LANGUAGES_SQL, MONTHLY_SQL, SLUG_COUNTS_SQL, SLUGS_SQL, archive
+from .adapters import ARCHIVE_SQL, EXTRACTED_SQL, HOURS_SQL, LANGUAGES_SQL, MONTHLY_SQL, SLUG_COUNTS_SQL, SLUGS_SQL, archive
 
 ACTORS, ISSUES = 1000, 100
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,21 @@ def read_back_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.extract_events(readers.read_events(spark, folder))
 
 
+@query("s2_hour_states", f"{HOURS_SQL} SELECT idx, name, state FROM s WHERE state <> 'ok'")
+def hour_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hours of the first month that are absent, empty or damaged."""
+    first = _days(spark, sf_dir).agg(F.min("ts")).first()[0]
+    return readers.hour_states(readers.hour_index(spark, first.year, first.month), readers.file_ledger(spark, adapters.hour_files(spark, sf_dir)))
+
+
+@query("s3_file_ledger", f"{HOURS_SQL} SELECT name, state, CASE WHEN state = 'ok' THEN CASE WHEN idx % 5 = 0 THEN 2 * n ELSE n END END AS lines FROM s WHERE state <> 'absent'")
+def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of each of the month's files, and the lines of the sound ones."""
+    first = _days(spark, sf_dir).agg(F.min("ts")).first()[0]
+    files = readers.file_ledger(spark, adapters.hour_files(spark, sf_dir))
+    return files.join(readers.hour_index(spark, first.year, first.month), "name", "left_semi").select("name", "state", F.when(F.col("state") == "ok", F.col("lines")).alias("lines"))
+
+
 @query("x1_extract_events", EXTRACTED_SQL)
 def extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.extract_events(adapters.event_lines(spark, sf_dir))
@@ -147,10 +162,20 @@ def read_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_archive(spark, _damaged(spark, sf_dir), header=False)[0]
 
 
-@query("s4_bad_rows", f"SELECT count(*) AS n_bad FROM ({_DAMAGED}) WHERE kind IN ('bad', 'wide', 'blank')")
+@query("s4_bad_rows", f"SELECT count(*) AS n_bad, (SELECT count(*) FROM ({_DAMAGED}) WHERE kind NOT IN ('bad', 'wide', 'blank')) AS n_good FROM ({_DAMAGED}) WHERE kind IN ('bad', 'wide', 'blank')")
 def bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many rows the stricter mode refuses."""
-    return readers.read_archive(spark, _damaged(spark, sf_dir), mode="stats", header=False)[1]
+    """How many rows the stricter mode refuses, counted while the good ones are written."""
+    rows, seen = readers.read_archive(spark, _damaged(spark, sf_dir), mode="stats", header=False)
+    good = staged(rows)
+    return good.agg(F.lit(seen.get["n_bad"]).cast("long").alias("n_bad"), F.count("*").alias("n_good"))
+
+
+@query("s4_quoted_lines", f"SELECT actor || chr(10) || '\"x\",' AS actor, repo, event_type, action, language, count FROM ({ARCHIVE_SQL})")
+def quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An archive whose actors hold line breaks, quotes and commas, written as CSV and read again."""
+    rows = archive(spark, sf_dir)
+    writers.write_archive(rows.withColumn("actor", F.concat("actor", F.lit('\n"x",'))), folder := scratch(spark))
+    return readers.read_archive(spark, folder, multi_line=True)[0]
 
 
 _LISTED = "array_to_string(list_transform(languages, lambda x: x.language || ':' || x.size), ',')"
@@ -203,6 +228,12 @@ def filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.filter_archive(archive(spark, sf_dir), ACTORS, ISSUES)
 
 
+@query("j3_hot_keys", f"{_CHAIN} SELECT * FROM f9")
+def filtered_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, where each repository or actor of more than 20 rows is hot."""
+    return filters.filter_archive(archive(spark, sf_dir), ACTORS, ISSUES, hot_rows=20)
+
+
 @query("fc_filter_archive_stepwise", f"{_CHAIN} SELECT * FROM f9")
 def filtered_stepwise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.filter_sequentially(archive(spark, sf_dir), ACTORS, ISSUES)
@@ -299,6 +330,25 @@ def rated_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratings.rated(ratings.repo_activity(archive(spark, sf_dir, monthly=True), ["month"]), ratings.language_shares(adapters.languages(spark, sf_dir)), ["month"])
 
 
+_ODD_LANGUAGES = LANGUAGES_SQL.replace("ELSE 1024 END", "ELSE 1000 + p_partkey % 7 END")
+_UNIT = str(1 << ratings.SHARE_BITS)
+
+
+@query(
+    "a4_ratings_of_any_total",
+    f"""
+WITH a AS ({ARCHIVE_SQL}), act AS ({_activity_sql('a')}), lang AS ({_ODD_LANGUAGES}), sh AS (SELECT repo, language, floor(share * {_UNIT}.0)::HUGEINT AS share FROM ({_SHARES}) WHERE share IS NOT NULL),
+j AS (SELECT act.*, language, share FROM act JOIN sh USING (repo)),
+r AS ({" UNION ALL ".join(f"SELECT '{m}' AS metric, language, sum({METRIC_COLUMNS[m]}::HUGEINT * share)::HUGEINT AS exact FROM j GROUP BY language HAVING count({METRIC_COLUMNS[m]}) > 0" for m in METRICS)})
+SELECT metric, language, exact::DOUBLE / {_UNIT}.0 AS rating FROM r
+""",
+)
+def exact_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unrounded ratings of totals that are no powers of two."""
+    known = adapters.languages(spark, sf_dir, "1000 + p_partkey % 7")
+    return ratings.compute_ratings(ratings.repo_activity(archive(spark, sf_dir)), ratings.language_shares(known))
+
+
 @query("e1_primary_ratings", f"{_HEAD}, {_ratings_sql('act', 'pr', suffix='-primary')}")
 def primary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratings.primary_ratings(ratings.repo_activity(archive(spark, sf_dir)), adapters.languages(spark, sf_dir))
@@ -351,6 +401,24 @@ def compared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratings.compare_rankings(ratings.rated(a, ratings.language_shares(known)).where("metric = 'push-count'"), ratings.primary_ratings(a, known).where("metric = 'push-count-primary'"), 8)
 
 
+_TOP_BY_MONTH = "SELECT month, language, round(sum(push_count * share) * 100) / 100 AS rating FROM act JOIN {shares} USING (repo) GROUP BY 1, 2 HAVING count(push_count) > 0"
+
+
+@query(
+    "e2_compare_months",
+    f"""
+WITH a AS ({MONTHLY_SQL}), act AS ({_activity_sql('a', 'month, ')}), lang AS ({LANGUAGES_SQL}), sh AS (SELECT * FROM ({_SHARES}) WHERE share IS NOT NULL), pr AS ({_PRIMARY}),
+fa AS ({_TOP_BY_MONTH.format(shares='sh')}), fb AS ({_TOP_BY_MONTH.format(shares='pr')})
+{_COMPARE.replace("SELECT language", "SELECT month, language").replace("OVER (ORDER", "OVER (PARTITION BY month ORDER").replace("SELECT a2.rank", "SELECT coalesce(a2.month, b2.month) AS month, a2.rank").replace("ON a2.language", "ON a2.month = b2.month AND a2.language")}
+""",
+)
+def compared_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for every month, in one job."""
+    a, known = ratings.repo_activity(archive(spark, sf_dir, monthly=True), ["month"]), adapters.languages(spark, sf_dir)
+    shares = ratings.rated(a, ratings.language_shares(known), ["month"]).where("metric = 'push-count'")
+    return ratings.compare_rankings(shares, ratings.primary_ratings(a, known, ["month"]).where("metric = 'push-count-primary'"), 8, ["month"])
+
+
 # ---- language lookup, packing
 
 _SIZES = "SELECT source AS repo, lang AS language, sum(n_chars)::BIGINT AS size FROM documents GROUP BY 1, 2"
@@ -366,7 +434,7 @@ def top(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("g1_batch_requests", f"SELECT count(*) AS n_slugs, count(DISTINCT repo) AS n_repos, max(length(repo)) AS longest, 0 AS overfull FROM ({SLUGS_SQL})")
 def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every slug in one batch, no batch over 10: which slugs share one is free."""
-    numbered = languages.numbered_requests(languages.clean_slug_lines(adapters.slug_lines(spark, sf_dir)), 10, 8)
+    numbered = languages.numbered_requests(languages.clean_slug_lines(adapters.slug_lines(spark, sf_dir)), 10)
     asked = languages.batch_requests(numbered).select("batch_id", (F.size(F.split("query", "repository\\(")) - 1).cast("long").alias("n"))
     per = numbered.join(asked, "batch_id").groupBy("batch_id").agg(F.count("*").alias("slugs"), F.collect_set("repo").alias("repos"), F.max(F.length("repo")).alias("longest"), F.max("n").alias("n"))
     return per.agg(F.sum("slugs").alias("n_slugs"), F.sum(F.size("repos")).alias("n_repos"), F.max("longest").cast("long").alias("longest"), F.count(F.when((F.col("slugs") > 10) | (F.col("slugs") != F.col("n")), 1)).alias("overfull"))
@@ -388,16 +456,16 @@ def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.parse_language_responses(requests, responses).select("repo", "total_size", F.array_join(F.transform("languages", lambda x: F.concat_ws(":", x["language"], x["size"].cast("string"))), ",").alias("languages"))
 
 
-#: The requests of one lane, so that names follow one another: quotes go from the texts, and names without a slash aren't asked for.
+#: Full batches of 100 in slug order, r10 behind r9: quotes go from the texts, and names without a slash aren't asked for.
 _ODD_SLUGS = """CASE p_partkey % 5 WHEN 0 THEN 'o"' || p_partkey || '/r"x' WHEN 1 THEN 'noslash' || p_partkey ELSE 'org/r' || p_partkey END"""
-_NUMBERED = f"SELECT (nr // 10)::BIGINT AS batch_id, 'r' || (nr % 10) AS alias, repo FROM (SELECT repo, row_number() OVER (ORDER BY repo) - 1 AS nr FROM (SELECT {_ODD_SLUGS} AS repo FROM part))"
+_NUMBERED = f"SELECT (nr // 100)::BIGINT AS batch_id, 'r' || (nr % 100) AS alias, repo, nr FROM (SELECT repo, row_number() OVER (ORDER BY repo) - 1 AS nr FROM (SELECT {_ODD_SLUGS} AS repo FROM part))"
 
 
 def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return languages.numbered_requests(spark.read.parquet(f"{sf_dir}/part.parquet").select(F.expr(_ODD_SLUGS).alias("repo")), 10, 1)
+    return languages.numbered_requests(spark.read.parquet(f"{sf_dir}/part.parquet").select(F.expr(_ODD_SLUGS).alias("repo")))
 
 
-@query("g1_numbered_requests", _NUMBERED)
+@query("g1_numbered_requests", f"SELECT batch_id, alias, repo FROM ({_NUMBERED})")
 def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _numbered(spark, sf_dir)
 
@@ -406,7 +474,7 @@ def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     "g1_request_texts",
     f"""
 SELECT batch_id, '{{ rateLimit {{ cost remaining }} ' || string_agg(alias || ': repository(owner: "' || replace(split_part(repo, '/', 1), '"', '') || '", name: "' || replace(split_part(repo, '/', 2), '"', '')
-    || '") {{ languages(first: 5, orderBy: {{field: SIZE, direction: DESC}}) {{ totalSize edges {{ size node {{ name }} }} }} }}', ' ' ORDER BY alias) || ' }}' AS query
+    || '") {{ languages(first: 5, orderBy: {{field: SIZE, direction: DESC}}) {{ totalSize edges {{ size node {{ name }} }} }} }}', ' ' ORDER BY nr) || ' }}' AS query
 FROM ({_NUMBERED}) WHERE contains(repo, '/') GROUP BY batch_id
 """,
 )

@@ -14,12 +14,12 @@ from ..operators.filters import filter_archive
 from ..operators.languages import languages_from_archive
 from ..operators.pack import pack_all
 from ..operators.ratings import language_shares, rated, repo_activity
-from ..sources.readers import hour_index, missing_hours, present_files, read_events
+from ..sources.readers import file_ledger, hour_index, hour_states, read_events
 from ..sources.writers import write_ratings
 
 
 def archive_month(spark: SparkSession, folder: str, year: int, month: int, archive: str) -> DataFrame:
-    """Count a month's hourly event files into an archive (Parquet); returns the hours that are missing.
+    """Count a month's hourly event files into an archive (Parquet); returns the hours that are absent, empty or damaged.
 
     One gzipped file is one task, so a month has about 744; the JSON is parsed once.
     """
@@ -27,7 +27,7 @@ def archive_month(spark: SparkSession, folder: str, year: int, month: int, archi
     index = hour_index(spark, year, month)
     lines = read_events(spark, f"{folder}/{name}-*.json.gz")
     aggregate_events(extract_events(lines)).withColumn("month", F.lit(name)).write.mode("overwrite").partitionBy("month").option("partitionOverwriteMode", "dynamic").parquet(archive)
-    return missing_hours(index, present_files(spark, f"{folder}/{name}-*.json.gz"))
+    return hour_states(index, file_ledger(spark, f"{folder}/{name}-*.json.gz"))
 
 
 def named_month(df: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import normalize_repo, text_of, whole_of
 from ..functions.values import LANGUAGES, MAX_LANGUAGES, PUSH, REQUEST_BATCH
+from ..sources.scratch import staged
 
 
 def languages_from_archive(df: DataFrame, order: Sequence[str] = ("language",), keys: Sequence[str] = ()) -> DataFrame:
@@ -48,15 +49,21 @@ def top_languages(languages: DataFrame, n: int = MAX_LANGUAGES) -> DataFrame:
     return languages.withColumn("languages", kept.cast(LANGUAGES))
 
 
-def numbered_requests(slugs: DataFrame, size: int = REQUEST_BATCH, lanes: int = 256) -> DataFrame:
-    """(batch_id, alias, repo): slugs in batches of up to `size` with aliases r0, r1, ...
+def numbered_requests(slugs: DataFrame, size: int = REQUEST_BATCH) -> DataFrame:
+    """(batch_id, alias, repo): slugs in their order, in full batches of `size` but for the last, with aliases r0, r1, ...
 
-    A hash of the slug chooses one of `lanes` lanes, and each lane is numbered by itself, so no task numbers all slugs;
-    the last batch of a lane may be short. Give more lanes for more slugs.
+    No task numbers all slugs: ranges of them are sorted and numbered by themselves, and written so that the numbers stay; the sum of the
+    ranges before a range, of which there are as many as shuffle partitions, is added. Repeated slugs keep their places,
+    and any number of them is spread over ranges.
     """
-    lane = F.pmod(F.xxhash64("repo"), F.lit(lanes))
-    numbered = slugs.select("repo", lane.alias("lane")).withColumn("at", F.row_number().over(Window.partitionBy("lane").orderBy("repo")) - 1)
-    return numbered.select((F.col("lane") * (1 << 32) + F.expr(f"at DIV {size}")).alias("batch_id"), F.concat(F.lit("r"), F.col("at") % size).alias("alias"), "repo")
+    ties = slugs.select("repo", F.xxhash64(F.monotonically_increasing_id()).alias("tie"))
+    ranged = ties.repartitionByRange("repo", "tie").sortWithinPartitions("repo", "tie").select("repo")
+    at = F.monotonically_increasing_id()  # the range, and the place in it in the lower 33 bits
+    placed = staged(ranged.select("repo", F.shiftrightunsigned(at, 33).alias("range"), at.bitwiseAND(F.lit((1 << 33) - 1)).alias("at")))
+    per = placed.groupBy("range").agg(F.count("*").alias("n"))
+    before = per.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("before"))
+    number = F.col("before") + F.col("at")
+    return placed.join(F.broadcast(before), "range").select(((number - number % size) / size).cast("long").alias("batch_id"), F.concat(F.lit("r"), number % size).alias("alias"), "repo")
 
 
 def batch_requests(requests: DataFrame, max_languages: int = MAX_LANGUAGES) -> DataFrame:

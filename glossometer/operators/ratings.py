@@ -44,12 +44,27 @@ def language_shares(languages: DataFrame, primary: bool = False) -> DataFrame:
     return each.select("repo", F.col("l.language").alias("language"), share.alias("share")).where("share IS NOT NULL")
 
 
+#: Sums are of whole multiples of 2^-SHARE_BITS, which are the same in any order.
+SHARE_BITS = 60
+
+
+def _whole_share() -> Column:
+    """The share as a whole number of 2^-SHARE_BITS, rounded down: exact for shares of 2^-8 and more."""
+    whole = F.floor("share")
+    unit = F.lit(1 << SHARE_BITS).cast("decimal(19,0)")
+    return (whole.cast("decimal(19,0)") * unit + F.floor((F.col("share") - whole) * float(1 << SHARE_BITS)).cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def compute_ratings(activity: DataFrame, shares: DataFrame, keys: Sequence[str] = (), suffix: str = "") -> DataFrame:
     """(keys, metric, language, rating): the sum of value times share; all six metrics from one join.
 
-    A language appears in a metric if a repository with that metric has it, with 0.0 if all its counts are 0.
+    A language appears in a metric if a repository with that metric has it, with 0.0 if all its counts are 0. The sums
+    are exact, so no order of rows, and no number of partitions, changes a bit of them.
     """
-    sums = activity.join(shares, "repo").groupBy(*keys, "language").agg(*(F.sum(F.col(METRIC_COLUMNS[m]) * F.col("share")).alias(m + suffix) for m in METRICS))
+    term = lambda m: F.col(METRIC_COLUMNS[m]).cast("decimal(19,0)") * F.col("whole_")
+    unit = float(1 << SHARE_BITS)
+    joined = activity.join(shares, "repo").withColumn("whole_", _whole_share())
+    sums = joined.groupBy(*keys, "language").agg(*((F.sum(term(m)).cast("double") / unit).alias(m + suffix) for m in METRICS))
     return sums.unpivot([*keys, "language"], [m + suffix for m in METRICS], "metric", "rating").where("rating IS NOT NULL")
 
 
@@ -65,7 +80,8 @@ def match_coverage(activity: DataFrame, languages: DataFrame, keys: Sequence[str
 
 def finalize_ratings(ratings: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """ratings with rating at two decimals and percentage: the rounded rating over the total of the unrounded ones."""
-    total = F.sum("rating").over(Window.partitionBy(*keys, "metric"))  # one row per language
+    # one row per language; in their order, so that the sum's last bits are the same each time
+    total = F.sum("rating").over(Window.partitionBy(*keys, "metric").orderBy("language").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     rounded = ratings.withColumn("total", total).withColumn("raw", F.col("rating")).withColumn("rating", two_decimals(F.col("rating")))
     return rounded.withColumn("percentage", F.when(F.col("total") > 0, F.round(F.col("rating") / F.col("total") * 10_000, 0) / 100).otherwise(0.0)).drop("total")
 
@@ -90,15 +106,15 @@ def one_decimal(x: Column) -> Column:
     return F.round(x * 10, 0) / 10
 
 
-def compare_rankings(a: DataFrame, b: DataFrame, n: int = TOP) -> DataFrame:
-    """The top n of two rankings of (language, rating) side by side.
+def compare_rankings(a: DataFrame, b: DataFrame, n: int = TOP, keys: Sequence[str] = ()) -> DataFrame:
+    """The top n of two rankings of (keys, language, rating) side by side, for each value of keys (a month, say) in one job.
 
     status: both; dropped, if only a's top n has the language; enters, if only b's has it. rank and rating_a are a's,
     rating_b is b's; what a side doesn't show is null, and so are the deltas.
     """
-    by = Window.orderBy(F.desc("rating"), "language")  # a few hundred languages
-    top = lambda df, side: df.select("language", "rating").withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= n).select("language", F.col("rating").alias(f"rating_{side}"), F.col("rank").alias(f"rank_{side}"))
-    both = top(a, "a").join(top(b, "b"), "language", "full_outer")
+    by = Window.partitionBy(*keys).orderBy(F.desc("rating"), "language")  # a few hundred languages
+    top = lambda df, side: df.select(*keys, "language", "rating").withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= n).select(*keys, "language", F.col("rating").alias(f"rating_{side}"), F.col("rank").alias(f"rank_{side}"))
+    both = top(a, "a").join(top(b, "b"), [*keys, "language"], "full_outer")
     status = F.when(F.col("rank_b").isNull(), "dropped").when(F.col("rank_a").isNull(), "enters").otherwise("both")
     delta = F.when(F.col("rating_a") != 0, (F.col("rating_b") - F.col("rating_a")) / F.col("rating_a") * 100)
-    return both.select(F.col("rank_a").alias("rank"), "language", "rating_a", "rating_b", (F.col("rank_a") - F.col("rank_b")).alias("rank_delta"), one_decimal(delta).alias("rating_delta_pct"), status.alias("status"))
+    return both.select(*keys, F.col("rank_a").alias("rank"), "language", "rating_a", "rating_b", (F.col("rank_a") - F.col("rank_b")).alias("rank_delta"), one_decimal(delta).alias("rating_delta_pct"), status.alias("status"))

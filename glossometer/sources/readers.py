@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import zlib
+from collections.abc import Iterator
+from urllib.parse import unquote
+
+import pandas as pd
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import metric_name, text_of, whole_of
 from ..functions.values import ARCHIVE_COLUMNS, LANGUAGES, METRICS
+from .scratch import staged
 
 
 def hour_index(spark: SparkSession, year: int, month: int, limit: int | None = None) -> DataFrame:
@@ -35,18 +41,92 @@ def read_events(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return lines.where("value <> ''")
 
 
+#: Compressed bytes that go to Python at once, unless one file is larger.
+GZIP_BATCH = "32m"
+
+
+def _members(data: bytes) -> str:
+    """The state of a gzipped file by its members: each has to end, with the right check sum, and nothing else may follow."""
+    while data:
+        member = zlib.decompressobj(31)
+        try:
+            while data and not member.eof:
+                member.decompress(data, 1 << 20)
+                data = member.unconsumed_tail or member.unused_data if not member.eof else data
+            if not member.eof:
+                member.flush()
+                return "ok" if member.eof else "damaged"
+        except zlib.error:
+            return "damaged"
+        data = member.unused_data
+    return "ok"
+
+
+def _checked(files: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in files:
+        yield pd.DataFrame({"path": batch["path"], "members": [_members(bytes(x)) for x in batch["content"]]})
+
+
+def file_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """(name, length, lines, state) of each gzipped file of a folder (or glob): state is ok, empty (no byte at all) or damaged; lines are those that read_events sees, with empty ones, before the damage.
+
+    The last four bytes of a sound file are the size of its text. That is compared with the bytes which reading the lines
+    gives, from the files' metadata: no file goes through Python for this. Files for which the two differ are damaged,
+    unless they have several members, each with a size of its own: only those are opened member by member.
+    """
+    files = spark.read.format("binaryFile").load(folder)
+    tail = F.hex(F.substring("content", -4, 4))
+    size = F.conv(F.concat(*(F.substring(tail, at, 2) for at in (7, 5, 3, 1))), 16, 10).cast("long")
+    # the listing has files without a byte too, which no scan gives
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    names = spark.createDataFrame([(path(unquote(x)).toString(),) for x in files.inputFiles()], "path string")
+    said = names.join(files.select("path", "length", F.when(F.col("length") >= 18, size).alias("said")), "path", "left").withColumn("length", F.coalesce("length", F.lit(0)))
+    lines = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).text(folder, lineSep="\n")
+    read = lines.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.sum(F.octet_length("value") + 1).alias("bytes"), F.count("*").alias("lines"))
+    modulo = F.lit(1 << 32)
+    over = F.pmod(F.coalesce("bytes", F.lit(0)) - F.col("said"), modulo)  # 1 if the last line has no end
+    ledger = staged(said.join(_decoded(read), "path", "left").select("path", "length", F.coalesce("lines", F.lit(0)).alias("lines"), F.coalesce(over <= 1, F.lit(False)).alias("equal")))
+    suspects = [r["path"] for r in ledger.where("NOT equal AND length > 0").select("path").collect()]  # names of files, as a listing has them
+    if suspects:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", GZIP_BATCH)
+        try:
+            checked = staged(spark.read.format("binaryFile").load([_escaped(x) for x in suspects]).select("path", "content").mapInPandas(_checked, "path string, members string"))
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        ledger = ledger.join(checked, "path", "left")
+    else:
+        ledger = ledger.withColumn("members", F.lit("ok"))
+    state = F.when(F.col("length") == 0, "empty").when(F.col("equal"), "ok").otherwise(F.col("members"))
+    return ledger.select(F.regexp_extract("path", "([^/]*)$", 1).alias("name"), "length", "lines", state.alias("state"))
+
+
+def _decoded(read: DataFrame) -> DataFrame:
+    """Paths of file metadata are URL-encoded, as those of listings; binaryFile's aren't. + stands for itself."""
+    return read.withColumn("path", F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))))
+
+
+def _escaped(path: str) -> str:
+    """A path as a glob that means just it."""
+    return "".join(f"\\{c}" if c in "*?[]{}\\" else c for c in path)
+
+
+def hour_states(index: DataFrame, ledger: DataFrame) -> DataFrame:
+    """(idx, name, state) of the hours that aren't whole: absent, empty or damaged. They are reported, never fatal; what a damaged file still gives is read."""
+    return index.join(ledger.select("name", "state"), "name", "left").select("idx", "name", F.coalesce("state", F.lit("absent")).alias("state")).where("state <> 'ok'")
+
+
 def _count(column: str, trimmed: bool):
     """An unsigned count with an optional plus sign; null if it isn't one."""
     text = F.trim(column) if trimmed else F.col(column)
     return F.when(text.rlike(r"\A\+?[0-9]+\z"), F.expr(f"try_cast(ltrim('+', {'trim(' + column + ')' if trimmed else column}) AS BIGINT)"))
 
 
-def read_archive(spark: SparkSession, path: str | list[str], mode: str = "filter", multi_line: bool = False, header: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(archive rows, number of bad rows as a one-row table with n_bad).
+def read_archive(spark: SparkSession, path: str | list[str], mode: str = "filter", multi_line: bool = False, header: bool = True) -> tuple[DataFrame, Observation]:
+    """(archive rows, observation of the bad ones): the first action on the rows counts them, and `observation.get["n_bad"]` is their number, without a scan of its own.
 
     The header is skipped unread (header: whether files have one). Rows of another width and rows with a bad count are bad; in mode "filter" blanks
     around a count are ignored, in mode "stats" they are bad. Empty fields are "". Set multi_line only where quoted
-    fields hold line breaks: such files can't be split.
+    fields hold line breaks: such files can't be split. An action that stops early (a limit) has counted what it has read.
     """
     if mode not in ("filter", "stats"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -55,8 +135,9 @@ def read_archive(spark: SparkSession, path: str | list[str], mode: str = "filter
     raw = spark.read.options(columnPruning="false", header=str(header).lower(), escape='"', columnNameOfCorruptRecord="corrupt_", mode="PERMISSIVE", multiLine=str(multi_line).lower(), enforceSchema="true").schema(schema).csv(path)
     rows = raw.withColumn("n_", _count("count", mode == "filter"))
     bad = F.col("corrupt_").isNotNull() | F.col("n_").isNull()
-    good = rows.where(~bad).select(*ARCHIVE_COLUMNS[:-1], F.col("n_").alias("count")).na.fill("", ARCHIVE_COLUMNS[:-1])
-    return good, rows.agg(F.count(F.when(bad, 1)).alias("n_bad"))
+    seen = Observation()
+    good = rows.observe(seen, F.count(F.when(bad, 1)).alias("n_bad")).where(~bad)
+    return good.select(*ARCHIVE_COLUMNS[:-1], F.col("n_").alias("count")).na.fill("", ARCHIVE_COLUMNS[:-1]), seen
 
 
 LANGUAGE_LINE = "repo variant, total_size variant, languages array<struct<language: variant, size: variant>>"
@@ -99,14 +180,25 @@ def rating_lines(files: DataFrame, *metrics: str) -> DataFrame:
     return lines.select("*", record.alias("record")).where(F.schema_of_variant("record").startswith("OBJECT"))
 
 
-def rating_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, value): the files below a folder, whole. Files hold some hundred lines."""
-    return spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+def rating_files(spark: SparkSession, folder: str, *metrics: str) -> DataFrame:
+    """(path, value): the rating files of a folder, whole, for the given metrics or for all. Files hold some hundred lines.
+
+    Only the files of these metrics are listed for the scan: by their names, or by the folders month=*/metric=*. No such file is an error.
+    """
+    patterns = [f"{folder.rstrip('/')}/{name}" for m in metrics or METRICS for name in (f"language-ratings-*-{metric_name(m)}.jsonl", f"month=*/metric={m}/*.json*")]
+    there = [p for p in patterns if _matches(spark, p)]
+    if not there:
+        raise FileNotFoundError(f"no rating file of {', '.join(metrics or METRICS)} in {folder}")
+    return spark.read.option("recursiveFileLookup", True).text(there, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+
+
+def _matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether a file matches, by a listing of names; language-ratings-all-... is no month."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(path)
+    return any(not x.getPath().getName().startswith("language-ratings-all-") for x in found or ())
 
 
 def read_rating_files(spark: SparkSession, folder: str, metric: str) -> DataFrame:
-    """rating_lines over all files below a folder; an error if none is of this metric."""
-    lines = rating_lines(rating_files(spark, folder), metric)
-    if lines.isEmpty():
-        raise FileNotFoundError(f"no rating file of {metric} in {folder}")
-    return lines
+    """rating_lines over the files of one metric; an error if there is none. A file without a good line gives no rows."""
+    return rating_lines(rating_files(spark, folder, metric), metric)

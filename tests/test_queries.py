@@ -10,7 +10,7 @@ import pytest
 from glossometer.jobs import registry
 
 SF = "/root/testdata/sf0.001"
-NAMES = ("s1_hour_index", "s3_read_events", "s4_read_archive", "s4_bad_rows", "s5_write_archive", "s7_write_languages", "s8_write_ratings", "s9_read_rating_files", "k1_pack_ratings", "k2_pack_all", "x4_slug_counts", "x6_metric_names", "g1_numbered_requests", "g1_request_texts", "a9_filter_report", "a9_filter_report_by_month", "fc_filter_months")
+NAMES = ("s1_hour_index", "s2_hour_states", "s3_file_ledger", "s4_quoted_lines", "j3_hot_keys", "a4_ratings_of_any_total", "e2_compare_months", "s3_read_events", "s4_read_archive", "s4_bad_rows", "s5_write_archive", "s7_write_languages", "s8_write_ratings", "s9_read_rating_files", "k1_pack_ratings", "k2_pack_all", "x4_slug_counts", "x6_metric_names", "g1_numbered_requests", "g1_request_texts", "a9_filter_report", "a9_filter_report_by_month", "fc_filter_months")
 
 
 @pytest.mark.parametrize("name", NAMES)

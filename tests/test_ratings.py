@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import random
+from fractions import Fraction
 
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from glossometer.functions.scalars import metric_name, two_decimals
 from glossometer.functions.values import LANGUAGES
@@ -110,3 +112,23 @@ def test_metric_names():
     assert metric_name("pr-count") == "pr-count"
     with pytest.raises(ValueError, match="star-count"):
         metric_name("stars")
+
+
+def test_sums_do_not_depend_on_order(spark):
+    """The same ratings to the bit from 1, 7 and 200 partitions; totals aren't powers of two."""
+    activity = spark.range(4000).select(F.concat(F.lit("o/r"), "id").alias("repo"), *(F.when(F.col("id") % k != 0, F.col("id") * k % 1013).cast("long").alias(c) for k, c in enumerate(("pr_count", "issue_count", "push_count", "star_count", "dev_actors", "active"), 2)))
+    shares = spark.range(4000).select(F.concat(F.lit("o/r"), "id").alias("repo"), F.explode(F.array(*(F.struct(F.lit(x).alias("language"), ((F.col("id") % 97 + n) / (F.col("id") % 89 + 3) / (1 if n else 1e7)).alias("share")) for n, x in enumerate("abc")))).alias("s")).select("repo", "s.*")
+    got = [sorted(tuple(x) for x in r.rated(activity.repartition(n), shares.repartition(n)).collect()) for n in (1, 7, 200)]
+    raw = [sorted(tuple(x) for x in r.compute_ratings(activity.repartition(n), shares.repartition(n)).collect()) for n in (1, 7, 200)]
+    assert got[0] == got[1] == got[2] and raw[0] == raw[1] == raw[2]
+    exact = sum(Fraction(i * 2 % 1013) * Fraction((i % 97 + 1) / (i % 89 + 3)) for i in range(4000) if i % 2)
+    assert next(x[2] for x in raw[0] if x[:2] == ("b", "pr-count")) == pytest.approx(float(exact), rel=1e-15)
+
+
+def test_comparing_many_months(spark):
+    a = spark.createDataFrame([("m1", "X", 9.0), ("m1", "Y", 8.0), ("m2", "Y", 5.0), ("m2", "X", 4.0)], "month string, language string, rating double")
+    b = spark.createDataFrame([("m1", "Y", 9.0), ("m1", "X", 3.0), ("m2", "Z", 5.0)], "month string, language string, rating double")
+    got = r.compare_rankings(a, b, 2, ["month"])
+    for m in ("m1", "m2"):
+        one = r.compare_rankings(*(x.where(F.col("month") == m).drop("month") for x in (a, b)), 2)
+        assert rows(got.where(F.col("month") == m).drop("month")) == rows(one)

@@ -4,7 +4,7 @@ import gzip
 import json
 
 import pytest
-from helpers import rows
+from helpers import nodes, rows
 
 from glossometer.functions.scalars import normalize_repo, year_month_from_name
 from glossometer.functions.values import LANGUAGES
@@ -82,7 +82,7 @@ def test_archive_month_survives_damage(spark, tmp_path):
     (folder / "2024-02-01-1.json.gz").write_bytes(whole[: len(whole) // 2])
     (folder / "2024-02-01-2.json.gz").write_bytes(gzip.compress(event(actor={"login": "x"}).encode() + b"\n") + gzip.compress(event(actor={"login": "y"}).encode()))
     missing = workloads.archive_month(spark, str(folder), 2024, 2, str(tmp_path / "archive"))
-    assert missing.count() == 693
+    assert {(r["name"], r["state"]) for r in missing.where("state <> 'absent'").collect()} == {("2024-02-01-1.json.gz", "damaged")} and missing.count() == 694
     got = spark.read.parquet(str(tmp_path / "archive"))
     assert got.where("actor = 'ann'").count() == 2 and got.where("actor IN ('x', 'y')").count() == 2 and 1000 < got.count() < 20_000
 
@@ -94,12 +94,12 @@ def test_archive_csv(spark, tmp_path):
     (tmp_path / "a.csv").write_text(CSV)
     good, bad = readers.read_archive(spark, str(tmp_path / "a.csv"))
     assert rows(good) == [("ann", "a/b", "PushEvent", "", "Rust", 6), ('x"y', "a/b", "PushEvent", "opened", "", 7), ("z", "a/b", "PushEvent", "", "", 8)]
-    assert rows(good, "actor", "count") == [("ann", 6), ('x"y', 7), ("z", 8)] and bad.first()[0] == 5
+    assert rows(good, "actor", "count") == [("ann", 6), ('x"y', 7), ("z", 8)] and bad.get == {"n_bad": 5}
     strict, bad = readers.read_archive(spark, str(tmp_path / "a.csv"), "stats")
-    assert rows(strict, "actor") == [("ann",), ("z",)] and bad.first()[0] == 6
+    assert rows(strict, "actor") == [("ann",), ("z",)] and bad.get == {"n_bad": 6}
     writers.write_archive(good, str(tmp_path / "out"))
     again, bad = readers.read_archive(spark, str(tmp_path / "out"))
-    assert rows(again) == rows(good) and bad.first()[0] == 0
+    assert rows(again) == rows(good) and bad.get == {"n_bad": 0}
     with pytest.raises(ValueError):
         readers.read_archive(spark, "x", "other")
 
@@ -134,7 +134,7 @@ def test_year_month(spark):
 
 def test_requests_and_responses(spark):
     slugs = spark.createDataFrame([(f"o/r{i}",) for i in range(25)] + [('q"x/y"z',)], "repo string")
-    numbered = lang.numbered_requests(slugs, 10, 2)
+    numbered = lang.numbered_requests(slugs, 10)
     assert numbered.count() == 26 and max(r["count"] for r in numbered.groupBy("batch_id").count().collect()) == 10
     asked = lang.batch_requests(numbered)
     texts = " ".join(r["query"] for r in asked.collect())
@@ -146,6 +146,46 @@ def test_requests_and_responses(spark):
     assert got == {"o/0": (9, [("B", 5), ("A", 4)]), "o/1": (0, []), "o/2": (0, []), "o/4": (0, []), "q/0": (0, [])}
 
 
+def test_requests_are_numbered_in_order(spark):
+    """Full batches in slug order but for the last, whatever the ranges; a slug that a third of the lines repeat too."""
+    names = [f"o/r{i * 7919 % 1009}" for i in range(700)] + ["m/often"] * 350
+    for parts in (1, 6):
+        got = lang.numbered_requests(spark.createDataFrame([(x,) for x in names], "repo string").repartition(parts)).collect()
+        assert sorted((r["batch_id"] * 100 + int(r["alias"][1:]), r["repo"]) for r in got) == list(enumerate(sorted(names)))
+    assert lang.numbered_requests(spark.createDataFrame([], "repo string")).count() == 0
+    texts = [r["query"] for r in lang.batch_requests(lang.numbered_requests(spark.createDataFrame([(f"o/r{i:03d}",) for i in range(120)], "repo string"))).orderBy("batch_id").collect()]
+    assert len(texts) == 2 and texts[0].index("r9: ") < texts[0].index("r10: ") < texts[0].index("r99: ") and texts[1].count("repository(") == 20
+
+
+def test_ledger_of_damage(spark, tmp_path):
+    text = "".join(f"line {i * 7919 % 10_007}\n" for i in range(5000)).encode()
+    whole = gzip.compress(text)
+    files = {"whole": (whole, "ok"), "open end": (gzip.compress(text[:-1]), "ok"), "two": (whole + gzip.compress(b"x\n"), "ok"), "nothing": (gzip.compress(b""), "ok"), "empty": (b"", "empty"), "cut": (whole[: len(whole) // 2], "damaged"),
+             "tail": (whole[:-3], "damaged"), "header": (whole[:5], "damaged"), "sum": (whole[:-8] + b"abcd" + whole[-4:], "damaged"), "second cut": (whole + whole[:200], "damaged"), "no gzip": (b"plain text\n" * 9, "damaged"), "a+b %[é]": (whole, "ok")}
+    for name, (data, _) in files.items():
+        (tmp_path / f"{name}.json.gz").write_bytes(data)
+    got = {r["name"]: r for r in readers.file_ledger(spark, str(tmp_path)).collect()}
+    want = {f"{name}.json.gz": state for name, (_, state) in files.items()}
+    want["sum.json.gz"] = got["sum.json.gz"]["state"]  # told only where the reader tells
+    assert {k: r["state"] for k, r in got.items()} == want
+    assert got["whole.json.gz"]["lines"] == got["open end.json.gz"]["lines"] == got["a+b %[é].json.gz"]["lines"] == 5000 and got["two.json.gz"]["lines"] == 5001 and 0 <= got["cut.json.gz"]["lines"] < 5000
+    index = spark.createDataFrame([(1, "whole.json.gz"), (2, "cut.json.gz"), (3, "gone.json.gz"), (4, "empty.json.gz")], "idx int, name string")
+    assert rows(readers.hour_states(index, readers.file_ledger(spark, str(tmp_path)))) == [(2, "cut.json.gz", "damaged"), (3, "gone.json.gz", "absent"), (4, "empty.json.gz", "empty")]
+
+
+def test_bad_rows_are_counted_by_the_same_scan(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(CSV)
+    good, bad = readers.read_archive(spark, str(tmp_path / "a.csv"))
+    names, _ = nodes(spark, lambda: good.write.format("noop").mode("overwrite").save())
+    assert bad.get == {"n_bad": 5} and sum(x.startswith("Scan csv") for x in names) == 1
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('actor,repo,event_type,action,language,count\n"a\nb",a/b,PushEvent,,,1\nc,a/b,PushEvent,"x,\n""y""",,2\n')
+    good, bad = readers.read_archive(spark, str(tmp_path / "a.csv"), multi_line=True)
+    assert rows(good, "actor", "action", "count") == [("a\nb", "", 1), ("c", 'x,\n"y"', 2)] and bad.get == {"n_bad": 0}
+
+
 def test_packing(spark, tmp_path):
     put = lambda name, *texts: (tmp_path / name).write_text("\n".join(texts) + "\n")
     put("language-ratings-2024-03-pr-count.jsonl", '{"language":"B","percentage":60.0,"rating":6}', "", "[1]", "no", '{"language":"A","rating":4,"percentage":40.0,"more":1}')
@@ -154,6 +194,12 @@ def test_packing(spark, tmp_path):
     put("language-ratings-2024-03-pr-count-primary.jsonl", '{"language":"X","rating":1}')
     got = [tuple(r)[:4] for r in pack_ratings(spark, str(tmp_path), "pr-count").collect()]
     assert got == [("2023-11", "C", 1.0, 100.0), ("2024-03", "B", 6.0, 60.0), ("2024-03", "A", 4.0, 40.0)]
+    listed = readers.rating_files(spark, str(tmp_path), "pr-count").inputFiles()
+    assert len(listed) == 3 and all("-pr-count.jsonl" in x for x in listed)
+    (tmp_path / "month=2024-05" / "metric=push-count").mkdir(parents=True)
+    put("month=2024-05/metric=push-count/part-0.json", '{"rank":1,"language":"A","rating":1,"percentage":100.0}')
+    assert [x.rpartition("/")[2] for x in readers.rating_files(spark, str(tmp_path), "push-count").inputFiles()] == ["part-0.json"]
+    assert [r["month"] for r in pack_ratings(spark, str(tmp_path), "push-count").collect()] == ["2024-05"]
     assert '"more":1' in pack_ratings(spark, str(tmp_path), "pr-count").collect()[-1]["line"]
     with pytest.raises(FileNotFoundError):
         pack_ratings(spark, str(tmp_path), "star-count")
