@@ -62,6 +62,12 @@ def unused(name: str, *tables: DataFrame) -> str:
     return name
 
 
+def aside(docs: DataFrame, *own: str) -> tuple[DataFrame, list[Column]]:
+    """(docs with plain names for all columns but its own ones, the columns that give the result their names back): so no name of an operator's clashes, and none has to be escaped."""
+    names = [c if c in own else f"column{i}_" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), [F.col(n).alias(c) for n, c in zip(names, docs.columns)]
+
+
 def measured(df: DataFrame) -> int:
     """About the bytes of df's rows: their texts as JSON, which no value's binary form exceeds by much, and what a row costs by itself."""
     return df.agg(F.sum(F.coalesce(F.octet_length(F.to_json(F.struct("*"))), F.lit(0)) + 32)).first()[0] or 0

@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, lower_ascii, table, unused, written
+from .common import aside, broadcast_if_small, lower_ascii, table, unused, written
 
 MIN_CHARS, MIN_DOCS, BATCHES, FANOUT = 40, 5, 4, 3
 #: Keys of a store that make a bucket, and the fewest buckets.
@@ -161,8 +161,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its kept lines as the text; n_chars follows the text. A document that loses all its lines stays, with an empty text."""
-    kept = dedup_lines(docs)
-    return kept.select(*(F.col("kept_text").alias("text") if c == "text" else F.char_length("kept_text").cast(kind).alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c, kind in docs.dtypes))
+    named, columns = aside(docs, "doc_id", "text")
+    instead = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast(dict(docs.dtypes).get("n_chars", "long"))}
+    return dedup_lines(named).select(*(instead[c].alias(c) if c in instead else column for c, column in zip(docs.columns, columns)))
 
 
 ORACLE = r"""

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, broadcast_if_small, grams, lower_ascii, table, words, written
+from .common import WORD, aside, broadcast_if_small, grams, lower_ascii, table, words, written
 
 WINDOW, SHINGLE = 10, 5
 
@@ -109,7 +109,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of any benchmark item."""
-    return decontaminate(docs, table(spark, sf_dir, "benchmark")).where("NOT contaminated").select(*docs.columns)
+    docs, columns = aside(docs, "doc_id", "text")
+    return decontaminate(docs, table(spark, sf_dir, "benchmark")).where("NOT contaminated").select(*columns)
 
 
 ORACLE = r"""

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_batches, written
+from .common import aside, table, text_batches, written
 
 #: Labelled rows of the bounded training sample, letters of a lexicon word at least, and in how many of the sample's texts, in what share of the toxic ones and how precisely it has to occur.
 SAMPLE, MIN_LETTERS, MIN_TEXTS, MIN_SHARE, MIN_PRECISION = 12_000, 3, 5, 0.02, 0.95
@@ -342,5 +342,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below THRESHOLD."""
+    docs, columns = aside(docs, "doc_id", "text")
     model = train(docs, table(spark, sf_dir, "labels"))
-    return score_texts(docs, model).where(F.col("score") < THRESHOLD).select(*docs.columns)
+    return score_texts(docs, model).where(F.col("score") < THRESHOLD).select(*columns)

@@ -2,8 +2,9 @@
 
 Candidates share a bucket: a group of fingerprints that the trie links, or some MinHash values; each is then compared by the shingles themselves, so no link is below
 the threshold. Equal texts are one class from the start. A bucket of a few classes is compared pair by pair. In a
-larger one, rounds compare all classes with two leaders of other components, drawn anew each round, until a
-round adds no link: a dense group's pairs are never listed.
+larger one, rounds compare all classes with leaders of other components, until every class outside the bucket's
+largest component has been a leader: then each two classes of the bucket have been compared or are in one component, so
+no link between components is missed, and a dense group's pairs are never listed.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from .components import components
 SHINGLE, SIMILAR = 5, (4, 5)
 #: Buckets of a text and MinHash values of a bucket: a pair at 0.8 shares one but for a chance of 3 in a million.
 BANDS, ROWS = 24, 4
-#: Classes of a bucket that are compared pair by pair, and rounds at least for larger ones.
-PAIRWISE, ROUNDS = 16, 3
+#: Classes of a bucket that are compared pair by pair; leaders of a larger one in the first round, and how many times more there are in each next one.
+PAIRWISE, LEADERS, MORE = 16, 2, 4
 _RNG = np.random.default_rng(5)
 SALTS, FACTORS = _RNG.integers(0, 1 << 63, BANDS * ROWS).astype(np.uint64), _RNG.integers(0, 1 << 63, BANDS * ROWS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -104,21 +105,27 @@ def links(texts: DataFrame, members: DataFrame) -> DataFrame:
     found = verified(shared.where("n = 2").select("a", "b").unionByName(pairs), texts)
     if many.isEmpty():
         return found
-    tested, turn = None, 0
+    tested = led = None
+    leaders_each = float(LEADERS)
     while True:
         label = components(found).withColumnRenamed("node", "cls")
         placed = written(many.join(label, "cls", "left").select("key", "cls", F.coalesce("component", "cls").alias("label")))
-        drawn = F.struct(F.xxhash64("key", "cls", F.lit(turn)).alias("draw"), "cls", "label")
-        leaders = placed.groupBy("key").agg(F.min(drawn).alias("one"), F.max(drawn).alias("other"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        pairs = placed.join(leaders, "key").select("cls", "label", F.explode(F.array("one", "other")).alias("leader")).where("label <> leader.label")
-        pairs = pairs.select(F.least("cls", "leader.cls").alias("a"), F.greatest("cls", "leader.cls").alias("b")).distinct()
+        parts = placed.groupBy("key", "label").agg(F.count("*").alias("n"))
+        largest = parts.groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("largest"), F.count("*").alias("parts")).where("parts > 1").select("key", "largest")
+        waiting = placed.join(broadcast_if_small(written(largest)), "key").where("label <> largest").select("key", "cls", "label")
+        waiting = written(waiting if led is None else waiting.join(led, ["key", "cls"], "left_anti"))
+        if waiting.isEmpty():
+            return found
+        per = broadcast_if_small(written(waiting.groupBy("key").agg(F.count("*").alias("waiting"))))
+        chance = F.pmod(F.xxhash64("key", "cls", F.lit(leaders_each)), F.lit(1 << 53)) / float(1 << 53)  # a draw by hash: the first leaders are any of them
+        leaders = written(waiting.join(per, "key").where(chance < leaders_each / F.col("waiting")).select("key", F.col("cls").alias("leader"), F.col("label").alias("of")))
+        pairs = placed.join(broadcast_if_small(leaders), "key").where("label <> of").select(F.least("cls", "leader").alias("a"), F.greatest("cls", "leader").alias("b")).distinct()
         pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         tested = pairs if tested is None else tested.unionByName(pairs)
-        new = verified(pairs, texts)
-        turn += 1
-        if new.isEmpty() and (turn >= ROUNDS or pairs.isEmpty()):
-            return found
-        found = found.unionByName(new)
+        drawn = leaders.select("key", F.col("leader").alias("cls"))
+        led = drawn if led is None else led.unionByName(drawn)
+        found = found.unionByName(verified(pairs, texts))
+        leaders_each *= MORE
 
 
 def near_duplicates(docs: DataFrame, groups: Callable[[DataFrame], DataFrame], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

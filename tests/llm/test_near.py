@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from glossometer.llm import op1_embeddings as op1
 from glossometer.llm import op7_simhash as op7
+from glossometer.llm import shingles
 from glossometer.llm.components import components
 
 VECTORS = "vec_id long, embedding array<float>, label int"
@@ -202,3 +203,18 @@ def test_stage_takes_five_word_similarity(spark, documents):
     group = [(300, " ".join(words))] + [(301 + k, " ".join(f"c{k}" if n in (30 + k, 120 + k) else w for n, w in enumerate(words))) for k in range(60)]
     kept = {r["doc_id"] for r in op7.stage(spark, documents(*base, *near, *far, *group), "").collect()}
     assert kept == {i for i, _ in base} | {i for i, _ in far} | {300}
+
+
+def test_large_buckets_of_separate_pairs(spark, prose):
+    """One bucket that holds 200 separate pairs of alike texts, a dense group and 50 texts like no other: no link between components is missed."""
+    texts = {}
+    for i in range(200):
+        words = prose(i, 60).split()
+        texts[2 * i], texts[2 * i + 1] = " ".join(words), " ".join([*words[:-1], "other"])
+    group = prose(999, 80).split()
+    texts |= {1000 + i: " ".join([*group[:-1], f"end{i}"]) for i in range(60)} | {2000 + i: prose(3000 + i, 50) for i in range(50)}
+    df = spark.createDataFrame(list(texts.items()), "cls long, text string")
+    found = {(r["a"], r["b"]) for r in shingles.links(df, df.select("cls", F.lit(1).cast("long").alias("key"))).collect()}
+    assert {(2 * i, 2 * i + 1) for i in range(200)} <= found and all(a // 2 == b // 2 for a, b in found if b < 1000)
+    assert {a for a, b in found if a >= 2000} == set() and len({x for p in found for x in p if 1000 <= x < 2000}) == 60
+    assert len([p for p in found if p[0] >= 1000]) < 60 * 59 // 4  # not all pairs of the group
