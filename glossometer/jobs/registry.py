@@ -5,6 +5,7 @@ Limits are those of the test tables' size: 1000 events an actor, 100 issues a re
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -234,6 +235,15 @@ def filtered_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.filter_archive(archive(spark, sf_dir), ACTORS, ISSUES, hot_rows=20)
 
 
+@query("fc_filter_stored", f"{_CHAIN} SELECT * FROM f9")
+def filtered_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from an archive in buckets of its repositories; the table goes again, since the result is read from files of its own."""
+    stored = writers.store_archive(archive(spark, sf_dir), name := f"archive_{uuid.uuid4().hex}", 16)
+    kept = staged(filters.filter_archive(stored, ACTORS, ISSUES, placed=True))
+    spark.sql(f"DROP TABLE {name}")
+    return kept
+
+
 @query("fc_filter_archive_stepwise", f"{_CHAIN} SELECT * FROM f9")
 def filtered_stepwise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.filter_sequentially(archive(spark, sf_dir), ACTORS, ISSUES)

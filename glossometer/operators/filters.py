@@ -42,7 +42,7 @@ def _name(c: str) -> Column:
     return F.col(f"`{c}`")
 
 
-def with_facts(df: DataFrame, by: Sequence[str], hot_rows: int = HOT_ROWS, ahead: bool = True, **facts: Column) -> DataFrame:
+def with_facts(df: DataFrame, by: Sequence[str], hot_rows: int | None = HOT_ROWS, ahead: bool = True, **facts: Column) -> DataFrame:
     """df with columns of facts (aggregates) about each row's group by `by`.
 
     The aggregate is reduced before its shuffle, so it has no hot task. The join back would have one for each key that many
@@ -51,10 +51,17 @@ def with_facts(df: DataFrame, by: Sequence[str], hot_rows: int = HOT_ROWS, ahead
 
     ahead: the facts are written first, so that df occurs once in the result's plan and a chain of such steps stays
     linear. Else the plan holds df three times, but the facts are shuffled once only.
+
+    hot_rows None: a plain join by the group, without hot keys. Where df is a table in buckets of the last of `by`
+    (writers.store_archive), neither the aggregate nor the join then shuffles anything.
     """
     *keys, last = by
     found = df.groupBy(*by).agg(F.count("*").alias("rows_"), *(f.alias(name) for name, f in facts.items()))
     found = staged(found) if ahead else found
+    if hot_rows is None:
+        own = found.select(*(_name(c).alias(f"key{i}_") for i, c in enumerate(by)), *facts)
+        joined = df.join(own, reduce(and_, (_name(c) == F.col(f"key{i}_") for i, c in enumerate(by))), "left")
+        return joined.select(*map(_name, df.columns), *facts)
     sides = {"hot": found.where(F.col("rows_") > hot_rows), "cold": found.where(F.col("rows_") <= hot_rows)}
     for side, x in sides.items():
         sides[side] = x.select(*(_name(c).alias(f"{side}_key{i}_") for i, c in enumerate(by)), F.struct(*facts).alias(f"{side}_"))
@@ -130,15 +137,16 @@ class Tagged:
     are written once, with their tags; a dropped row keeps its keys and its tag only, if a report is wanted.
 
     All together, the archive is read twice and there are five shuffles; flooded repositories, found among the rows written last, are
-    broadcast if they measure small, else their join is a sixth.
+    broadcast if they measure small, else their join is a sixth. placed: df is a table in buckets of its repositories,
+    so the first phase shuffles nothing and three shuffles are left; a bucket is then one task, with all its repositories.
     """
 
-    def __init__(self, df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMIT, repo_issue_limit: int = REPO_ISSUE_LIMIT, keys: Sequence[str] = (), report: bool = True, hot_rows: int = HOT_ROWS):
+    def __init__(self, df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMIT, repo_issue_limit: int = REPO_ISSUE_LIMIT, keys: Sequence[str] = (), report: bool = True, hot_rows: int = HOT_ROWS, placed: bool = False):
         self.columns, self.keys, self.report = df.columns, list(keys), report
         actor, repo = F.col("actor"), F.col("repo")
         there = ~is_deleted_repo(repo)
         human = F.coalesce(F.sum(F.when(_human(), F.col("count"))), F.lit(0))
-        rows = with_facts(df, [*keys, "repo"], hot_rows, False, has_code_=F.bool_or(_code()), human_total_=human)
+        rows = with_facts(df, [*keys, "repo"], None if placed else hot_rows, False, has_code_=F.bool_or(_code()), human_total_=human)
         first = self._written(rows, (1, ~F.col("has_code_")), (2, is_bot(actor)), (3, is_automation(actor)), (4, F.col("human_total_") <= 1))
         rows = with_facts(self._left(first), [*keys, "actor"], hot_rows, False, total_=F.sum("count"), meaningful_=F.bool_or(there & ~_passive()), coder_=F.bool_or(there & _code()))
         second = self._written(rows, (5, F.col("total_") > actor_event_limit), (6, ~there), (7, ~F.col("meaningful_")), more=["coder_"])
@@ -186,9 +194,9 @@ class Tagged:
         return self.counts().select(*map(_name, self.keys), F.explode(F.array(*lines)).alias("line")).select(*map(_name, self.keys), "line.*")
 
 
-def filter_archive(df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMIT, repo_issue_limit: int = REPO_ISSUE_LIMIT, keys: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
+def filter_archive(df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMIT, repo_issue_limit: int = REPO_ISSUE_LIMIT, keys: Sequence[str] = (), hot_rows: int = HOT_ROWS, placed: bool = False) -> DataFrame:
     """All nine filters in order, fused: see Tagged. Its phases run when this is called."""
-    return Tagged(df, actor_event_limit, repo_issue_limit, keys, False, hot_rows).kept
+    return Tagged(df, actor_event_limit, repo_issue_limit, keys, False, hot_rows, placed).kept
 
 
 def filter_with_report(df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMIT, repo_issue_limit: int = REPO_ISSUE_LIMIT, keys: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:

@@ -13,6 +13,16 @@ def write_archive(df: DataFrame, path: str, mode: str = "errorifexists") -> None
     df.select(*ARCHIVE_COLUMNS).write.mode(mode).csv(path, header=True, escape='"', emptyValue="", lineSep="\n")
 
 
+def store_archive(df: DataFrame, table: str, buckets: int, mode: str = "errorifexists") -> DataFrame:
+    """Archive rows as a table of the session's warehouse, in buckets of their repositories, one sorted file each; returned as read from there.
+
+    What groups or joins its rows by repository doesn't shuffle them again (filter_archive with placed, repo_activity's joins). The rows of a
+    repository lie in one bucket: don't store an archive so of which one repository has a large share.
+    """
+    df.repartition(buckets, "repo").sortWithinPartitions("repo").write.mode(mode).bucketBy(buckets, "repo").sortBy("repo").saveAsTable(table, format="parquet")
+    return df.sparkSession.table(table)
+
+
 def write_languages(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Languages as JSON lines, without repositories whose list is empty."""
     df.where(F.size("languages") > 0).select("repo", "total_size", "languages").write.mode(mode).json(path)

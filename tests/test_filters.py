@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from glossometer.functions.scalars import is_deleted_repo
 from glossometer.operators import filters as f
+from glossometer.sources import writers
 
 HEX, UUID = "0123456789abcdef" * 2 + "01234567", "01234567-89ab-CDEF-0123-456789abcdef"
 
@@ -168,6 +169,13 @@ def test_scans_and_shuffles(spark, crowded, plain_session, tmp_path):
 
     assert count(f.filter_archive) == (2, 5)
     assert count(f.filter_report) == (2, 6)
+    stored = writers.store_archive(df, "stored_archive", 8)
+    names, kept = nodes(spark, lambda: f.filter_archive(stored, 10**6, 4000, placed=True))
+    more, _ = nodes(spark, lambda: kept.write.format("noop").mode("overwrite").save())
+    names += more
+    assert (sum("stored_archive" in x and x.startswith("Scan") for x in names), sum(x.startswith("Exchange ") for x in names) - 1) == (2, 3)
+    assert kept.exceptAll(f.filter_archive(df, 10**6, 4000)).isEmpty() and kept.count() == f.filter_archive(df, 10**6, 4000).count()
+    spark.sql("DROP TABLE stored_archive")
 
 
 def test_filter_and_report_from_the_same_tags(archive):
