@@ -1,6 +1,7 @@
 """Toxicity by Levenshtein automata over a lexicon trie, with scores by context.
 
-The lexicon is learned: words, and stems with many endings, that hardly occur but in labelled toxic texts, or hardly but there without being quoted or reported. A token
+The lexicon is learned: words, and stems with many endings, that hardly occur but in labelled toxic texts, or hardly but there without being quoted or reported; and
+stems that innocent texts hold too, but hardly so often in so few words: those count where they are dense. A token
 runs through the trie and all words' Levenshtein automata at once: a state is the set of trie nodes with the edits
 spent so far, and states are made deterministic as tokens need them. A hit counts more if it is aimed at somebody and
 less if it is quoted. A logistic regression turns the hits into a score.
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -20,15 +22,20 @@ from pyspark.sql import functions as F
 
 from .common import aside, table, text_batches, written
 
-#: Labelled rows of the bounded training sample, letters of a lexicon word at least, and in how many of the sample's texts, in what share of the toxic ones and how precisely it has to occur.
-SAMPLE, MIN_LETTERS, MIN_TEXTS, MIN_SHARE, MIN_PRECISION = 12_000, 3, 5, 0.02, 0.95
+#: Labelled rows of the bounded training sample, letters of a lexicon word at least, and in how many of the sample's toxic texts and how precisely it has to occur. (No share of all toxic texts is asked for: a rare language's words have none.)
+SAMPLE, MIN_LETTERS, MIN_TEXTS, MIN_PRECISION = 12_000, 3, 5, 0.95
+#: A stem is dense in a text that holds it so many times at least, and once in so many words; how precisely dense stems tell.
+TIMES, WITHIN, DENSE_PRECISION = 2, 200, 0.9
 #: Letters of a stem, and endings that make one.
 STEM, ENDINGS = range(4, 9), 8
 THRESHOLD = 0.7
 CONTEXT = 4
-#: Fixed values. Words near a hit that aim it at somebody, and that report it.
-AIMED = frozenset("you your yours yourself you're youre u ur".split())
-REPORTED = frozenset("said says say quote quoted quotes called wrote word words term phrase".split())
+#: Fixed values. Words near a hit that aim it at somebody, and that report it: in English, German, French and Spanish.
+AIMED = frozenset("you your yours yourself you're youre u ur du dich dir dein deine deinen deinem deiner ihr euch euer eure eurer tu toi ton tes vous votre vos tú ti tus usted ustedes vosotros vuestro vuestra".split())
+REPORTED = frozenset(
+    "said says say quote quoted quotes called wrote word words term phrase sagte sagt sagen zitat zitiert zitierte schrieb schreibt nannte wort wörter begriff "
+    "disait dire citation cité écrit écrivait appelé mot mots terme expression dijo dice decir cita citado escribió escribe llamó palabra palabras término expresión".split()
+)
 QUOTES = "\"'«»‘’“”„‹›"
 #: Fixed values. Characters that stand for letters.
 DISGUISE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "l"})
@@ -153,7 +160,9 @@ class Model:
     stems: list[str] = ()
     #: Tokens near a lexicon word that are in clean texts.
     innocent: frozenset = frozenset()
-    coef: tuple[float, float, float] = (-3.0, 6.0, 3.0)
+    #: Weights of the bias, of words and stems, of misspellings and of dense stems.
+    coef: tuple[float, ...] = (-3.0, 6.0, 3.0, 3.0)
+    dense: frozenset = frozenset()
     _automaton: Automaton | None = field(default=None, repr=False)
     _seen: dict = field(default_factory=dict, repr=False)
 
@@ -197,6 +206,22 @@ class Model:
                 return tuple(x for part in parts for x in self.kinds(part))
         return ()
 
+    def stem_of(self, raw: str) -> tuple[tuple[int, str], ...]:
+        """The dense stem with which a token begins."""
+        token = EDGE.sub("", raw)
+        return next((((3, token[:n]),) for n in STEM if token[:n] in self.dense), ())
+
+    @staticmethod
+    def dense_only(hot: dict[str, tuple], tokens: list[str]) -> dict[str, tuple]:
+        """The hits without stems that aren't dense in this text."""
+        times: dict[str, int] = {}
+        for raw in tokens:
+            for kind, letters in hot.get(raw, ()):
+                if kind == 3:
+                    times[letters] = times.get(letters, 0) + 1
+        there = {x for x, n in times.items() if n >= TIMES and n * WITHIN >= len(tokens)}
+        return {raw: kept for raw, kinds in hot.items() if (kept := tuple(x for x in kinds if x[0] < 3 or x[1] in there))}
+
     def hits(self, text: str) -> list[tuple[str, int, float]]:
         """(letters, kind, weight by context) of every hit in the text."""
         tokens, seen = text.lower().split(), self._seen
@@ -206,9 +231,10 @@ class Model:
         for raw in set(tokens):
             kinds = seen.get(raw)
             if kinds is None:
-                kinds = seen[raw] = self.kinds(raw)
+                kinds = seen[raw] = self.kinds(raw) or self.stem_of(raw)
             if kinds:
                 hot[raw] = kinds
+        hot = self.dense_only(hot, tokens) if self.dense and hot else hot
         out = []
         if hot:
             for at, raw in enumerate(tokens):
@@ -221,15 +247,15 @@ class Model:
                     out += [(letters, kind, weight) for kind, letters in hot[raw]]
         return out
 
-    def features(self, text: str | None) -> tuple[float, float]:
-        mass = [0.0, 0.0]
+    def features(self, text: str | None) -> tuple[float, float, float]:
+        mass = [0.0, 0.0, 0.0]
         for _, kind, weight in self.hits(text or ""):
             mass[kind - 1] += weight
-        return math.log1p(mass[0]), math.log1p(mass[1])
+        return tuple(map(math.log1p, mass))
 
     def score(self, text: str | None) -> float:
-        a, b = self.features(text)
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.coef[0] + self.coef[1] * a + self.coef[2] * b))))
+        z = self.coef[0] + sum(w * x for w, x in zip(self.coef[1:], self.features(text)))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
 def held_out(id_col: Column) -> Column:
@@ -250,6 +276,18 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     return w
 
 
+def longest(stems: dict[str, int]) -> frozenset:
+    """Of dense stems that begin with one another the shortest, unless a longer one is dense in nearly as many texts."""
+    kept = dict(stems)
+    for x in sorted(stems, key=len):
+        if longer := [y for y in kept if y != x and y.startswith(x)]:
+            if x in kept and max(stems[y] for y in longer) >= 0.95 * stems[x]:
+                del kept[x]
+            elif x in kept:
+                kept = {y: n for y, n in kept.items() if y not in longer}
+    return frozenset(kept)
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on a bounded sample: the `sample` labelled rows outside the held-out fold whose ids have the smallest hashes.
 
@@ -262,40 +300,47 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     @F.pandas_udf("array<string>")
     def parts(text: pd.Series) -> pd.Series:
-        """The text's tokens, and their beginnings with a * behind; a + before those that occur plainly, a - before others."""
+        """The text's tokens, and their beginnings with a * behind; a + before those that occur plainly, a - before others, then a # for those that are dense, a . for others."""
 
-        def named(tokens: set[str]) -> set[str]:
-            found = {t for raw in tokens if MIN_LETTERS <= len(t := EDGE.sub("", raw)) and t.isalpha()}
-            return found | {f"{t[:n]}*" for t in found for n in STEM if n <= len(t)}
+        def named(tokens: dict[str, int]) -> dict[str, int]:
+            found: dict[str, int] = {}
+            for raw, n in tokens.items():
+                if MIN_LETTERS <= len(t := EDGE.sub("", raw)) and t.isalpha():
+                    for x in (t, *(f"{t[:k]}*" for k in STEM if k <= len(t))):
+                        found[x] = found.get(x, 0) + n
+            return found
 
         def of(x: str) -> list[str]:
             tokens = x.lower().split()
-            plain = named(plainly(tokens))
-            return sorted([f"+{t}" for t in plain] + [f"-{t}" for t in named(set(tokens)) - plain])
+            plain, own = plainly(tokens), Counter(tokens)
+            there = named({t: own[t] for t in plain})
+            return sorted(f"{'+' if t in there else '-'}{'#' if n >= TIMES and n * WITHIN >= len(tokens) else '.'}{t}" for t, n in named(own).items())
 
         return text.map(of)
 
     totals = dict(texts.groupBy("toxic").count().collect())
     if not totals.get(1) or not totals.get(0):
         return Model([])
-    found = texts.select("toxic", F.explode(parts("text")).alias("part")).select("toxic", F.substring("part", 2, 1 << 30).alias("part"), F.col("part").startswith("+").cast("int").alias("plain"))
-    counted = written(found.groupBy("part").agg(F.sum("toxic").alias("n"), F.count("*").alias("m"), F.sum(F.col("toxic") * F.col("plain")).alias("plain_n"), F.sum("plain").alias("plain_m")).where(F.col("n") >= MIN_TEXTS))
+    found = written(texts.select("toxic", F.explode(parts("text")).alias("part")).select("toxic", F.substring("part", 3, 1 << 30).alias("part"), F.col("part").startswith("+").cast("int").alias("plain"), (F.substring("part", 2, 1) == "#").cast("int").alias("dense")))
+    each = {"n": F.sum("toxic"), "m": F.count("*"), "plain_n": F.sum(F.col("toxic") * F.col("plain")), "plain_m": F.sum("plain"), "dense_n": F.sum(F.col("toxic") * F.col("dense")), "dense_m": F.sum("dense")}
+    counted = written(found.groupBy("part").agg(*(x.alias(name) for name, x in each.items())).where(F.col("n") >= MIN_TEXTS))
     # more texts than a group of near copies has, and more than chance puts behind the best of so many candidates
     chance = math.log(100 * max(1, counted.count())) / math.log(1 + totals[0] / totals[1])
-    enough = max(MIN_TEXTS, MIN_SHARE * totals[1], chance)
+    enough = max(MIN_TEXTS, chance)
     counted = counted.where(F.col("n") >= enough)
     # clean texts that only quote or report a term don't speak against it: its plain occurrences tell, if there are enough
     telling = (F.col("n") >= MIN_PRECISION * F.col("m")) | ((F.col("plain_n") >= enough) & (F.col("plain_n") >= MIN_PRECISION * F.col("plain_m")))
-    begun = counted.where("part NOT LIKE '%*'").select(F.explode(F.array(*(F.concat(F.substring("part", 1, n), F.lit("*")) for n in STEM))).alias("part"), F.col("part").alias("token")).distinct().groupBy("part").agg(F.count_distinct("token").alias("endings"))
-    # as many words and stems as pass: each is in MIN_SHARE of the bounded sample's toxic texts
-    stems: set[str] = set()
-    for r in counted.where(telling & F.col("part").endswith("*")).join(begun, "part").where(F.col("endings") >= ENDINGS).select("part").collect():
-        stems.add(r["part"][:-1])
+    telling_dense = (F.col("dense_n") >= enough) & (F.col("dense_n") >= DENSE_PRECISION * F.col("dense_m"))
+    # endings of toxic texts' tokens, however rare each is
+    endings = found.where("toxic = 1 AND part NOT LIKE '%*'").select(F.explode(F.array(*(F.concat(F.substring("part", 1, n), F.lit("*")) for n in STEM))).alias("part"), F.col("part").alias("token")).distinct().groupBy("part").agg(F.count("*").alias("endings"))
+    # as many words and stems as pass: each is in several texts of the bounded sample
+    begun = counted.where(F.col("part").endswith("*") & (telling | telling_dense)).join(endings, "part").where(F.col("endings") >= ENDINGS).select("part", telling.alias("once"), "dense_n").collect()
+    stems = {r["part"][:-1] for r in begun if r["once"]}
     begins = lambda x, least: any(x[:n] in stems for n in STEM if n <= least)
     stems = {x for x in stems if not begins(x, len(x) - 1)}  # the shortest of those that begin with one another
     words = {r["part"] for r in counted.where(telling & ~F.col("part").endswith("*")).select("part").collect()}
     words = {x for x in words if not begins(x, len(x))}
-    model = Model(sorted(words), sorted(stems))
+    model = Model(sorted(words), sorted(stems), dense=longest({r["part"][:-1]: r["dense_n"] for r in begun if not r["once"]}))
 
     # innocent misspellings come from one half of the sample, the regression from the other
     half = F.xxhash64(F.lit("half"), F.col("text")) % 2 == 0
@@ -307,15 +352,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     clean = texts.where("toxic = 0").select(half.alias("half"), F.explode(near("text")).alias("token")).groupBy("token").agg(F.max("half").alias("first"))
     # at most as many tokens as the sample's texts have near a lexicon word
     seen = clean.collect()
-    first = Model(model.lexicon, model.stems, frozenset(r["token"] for r in seen if r["first"]))
+    first = Model(model.lexicon, model.stems, frozenset(r["token"] for r in seen if r["first"]), dense=model.dense)
 
-    @F.pandas_udf("a double, b double")
+    @F.pandas_udf("a double, b double, c double")
     def features(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([first.features(x) for x in text], columns=["a", "b"])
+        return pd.DataFrame([first.features(x) for x in text], columns=["a", "b", "c"])
 
     rows = texts.where(~half).select("toxic", features("text").alias("f")).select("toxic", "f.*").toPandas()
-    coef = logistic(rows[["a", "b"]].to_numpy(), rows["toxic"].to_numpy(float)) if rows["toxic"].nunique() == 2 else np.array(Model.coef)
-    return Model(model.lexicon, model.stems, frozenset(r["token"] for r in seen), tuple(map(float, coef)))
+    coef = logistic(rows[["a", "b", "c"]].to_numpy(), rows["toxic"].to_numpy(float)) if rows["toxic"].nunique() == 2 else np.array(Model.coef)
+    return Model(model.lexicon, model.stems, frozenset(r["token"] for r in seen), tuple(map(float, coef)), model.dense)
 
 
 def score_texts(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

@@ -119,10 +119,10 @@ def test_toxicity(spark):
     got = {r["doc_id"]: r for r in map(lambda r: r.asDict(), registry.QUERIES["op9_toxicity"](spark, sf).collect())}
     assert set(got) == set(texts)
     for i, t in texts.items():
-        sums = [0.0, 0.0]
+        sums = [0.0, 0.0, 0.0]
         for _, kind, weight in model.hits(t):
             sums[kind - 1] += weight
-        z = model.coef[0] + model.coef[1] * math.log1p(sums[0]) + model.coef[2] * math.log1p(sums[1])
+        z = model.coef[0] + sum(w * math.log1p(x) for w, x in zip(model.coef[1:], sums))
         score = 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
         assert got[i]["score"] == pytest.approx(score) and got[i]["predicted"] == int(score >= 0.7) and got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1)
 
