@@ -1,8 +1,8 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
-A store of runs remembers every line key (a 128-bit hash) that has come by: each run is a table bucketed and sorted
-by the key, and each key is in one run only. A batch of documents is merged against the runs: its keys that no run
-holds (an anti-join of co-located buckets, so the runs never move) become a run of level 0; its keys that are known
+A store of runs remembers every line key (a 128-bit hash) that has come by: each run is a table with one file a bucket,
+sorted by the key, and each key is in one run only. A batch of documents is merged against the runs: its keys that no run
+holds (a merge-anti-join of co-located buckets, so the runs are neither moved nor sorted again) become a run of level 0; its keys that are known
 become a small run of increments. When a level is full, its runs merge into one of the next level.
 """
 
@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from .common import aside, broadcast_if_small, lower_ascii, table, unused, written
 
 MIN_CHARS, MIN_DOCS, BATCHES, FANOUT = 40, 5, 4, 3
-#: Keys of a store that make a bucket, and the fewest buckets.
-KEYS_A_BUCKET, LEAST_BUCKETS = 1_000_000, 8
+#: Keys of a store that make a bucket, and the fewest and the most buckets: beyond these, buckets hold more keys.
+KEYS_A_BUCKET, LEAST_BUCKETS, MOST_BUCKETS = 1_000_000, 8, 50_000
+#: Makes Spark trust the order of a bucket that is one file.
+ORDERED = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 #: ASCII white space: tab, line feed, vertical tab, form feed, carriage return and space.
 STRIPPED = " \t\n\x0b\x0c\r"
 KEY = ["h1", "h2"]
@@ -46,6 +48,8 @@ class LineRuns:
     """Runs of (h1, h2, n_docs, keeper) as bucketed tables of the session's warehouse."""
 
     def __init__(self, spark: SparkSession, buckets: int = LEAST_BUCKETS, fanout: int = FANOUT):
+        if not spark.sparkContext.master.startswith("local") and not spark.sparkContext.getConf().get("spark.sql.warehouse.dir"):
+            raise ValueError("spark.sql.warehouse.dir has to name a folder that driver and executors share")
         self.spark, self.fanout, self.buckets = spark, fanout, buckets
         self.name, self.made = f"line_runs_{uuid.uuid4().hex}", 0
         self.tables: set[str] = set()
@@ -58,8 +62,8 @@ class LineRuns:
         self.made += 1
         name = f"{self.name}_{self.made}"
         self.tables.add(name)
-        # rebalanced by the key, so that a task's rows lie in few buckets and files have the size that the session advises
-        rows.select(*KEY, "n_docs", "keeper").hint("rebalance", *KEY).sortWithinPartitions(*KEY).write.bucketBy(self.buckets, *KEY).sortBy(*KEY).saveAsTable(name, format="parquet")
+        # a task is a bucket, and a bucket one file: hashing by the key is how Spark places rows in buckets too
+        rows.select(*KEY, "n_docs", "keeper").repartition(self.buckets, *KEY).sortWithinPartitions(*KEY).write.bucketBy(self.buckets, *KEY).sortBy(*KEY).saveAsTable(name, format="parquet")
         return name
 
     def _drop(self, names: list[str]) -> None:
@@ -68,20 +72,30 @@ class LineRuns:
             self.tables.discard(name)
 
     def __enter__(self) -> LineRuns:
+        self.before = self.spark.conf.get(ORDERED, None)
+        self.spark.conf.set(ORDERED, "true")
         return self
 
     def __exit__(self, *failure) -> None:
         """A job that fails leaves no tables either."""
+        if self.before is None:
+            self.spark.conf.unset(ORDERED)
+        else:
+            self.spark.conf.set(ORDERED, self.before)
         self._drop(list(self.tables))
 
     def all_runs(self) -> list[str]:
         return [name for level in self.runs.values() for name in level]
 
+    def unknown(self, batch: DataFrame) -> DataFrame:
+        """The batch's rows with keys that no run holds."""
+        for run in self.all_runs():
+            batch = batch.join(self.spark.table(run).select(*KEY).hint("merge"), KEY, "left_anti")
+        return batch
+
     def add(self, batch: DataFrame) -> None:
         """Merge one batch's distinct keys (h1, h2, n_docs, keeper): unknown ones become a run, known ones an increment."""
-        new = batch
-        for run in self.all_runs():
-            new = new.join(self.spark.table(run).select(*KEY), KEY, "left_anti")
+        new = self.unknown(batch)
         first, fresh = not self.all_runs(), self._write(new)
         if not first:
             self.increments.append(written(batch.join(self.spark.table(fresh).select(*KEY), KEY, "left_anti").select(*KEY, "n_docs", "keeper")))
@@ -136,7 +150,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     batch = F.pmod(F.xxhash64(F.col(id_col)), F.lit(batches)).cast("int") if batch is None else batch
     # sorted by batch, so that a batch's read skips the pages of others
     staged = written(document_keys(docs, batch, id_col, text_col, min_chars).sortWithinPartitions("batch"))
-    with LineRuns(spark, max(LEAST_BUCKETS, -(-staged.count() // KEYS_A_BUCKET))) as store:
+    with LineRuns(spark, min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-staged.count() // KEYS_A_BUCKET)))) as store:
         for n in range(batches):
             store.add(staged.where(F.col("batch") == n).select(*KEY, "n_docs", "keeper"))
         common = store.common(min_docs)

@@ -588,3 +588,18 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
         assert common.scratch(Session(master, "hdfs://x/y")).startswith("hdfs://x/y/")
     for master in ("local", "local[8]", "local[*]"):
         assert common.scratch(Session(master)).startswith("file:///")
+
+
+def test_runs_are_neither_moved_nor_sorted_again(spark):
+    """One file a bucket; the anti-join against two runs shuffles and sorts the batch once and the runs not at all."""
+    rows = spark.range(3000).select(F.xxhash64("id").alias("h1"), F.xxhash64("id", F.lit(1)).alias("h2"), F.lit(1).cast("long").alias("n_docs"), F.col("id").alias("keeper"))
+    with op4.LineRuns(spark, 5) as store:
+        for n in range(2):
+            store.add(rows.where(F.col("keeper") % 3 == n))
+        assert [len(spark.table(x).inputFiles()) for x in store.all_runs()] == [5, 5]
+        new = store.unknown(rows)
+        assert new.count() == 1000
+        plan = new._jdf.queryExecution().sparkPlan().toString()
+        done = new._jdf.queryExecution().executedPlan().toString()
+        assert done.count("SortMergeJoin") == 2 and len(re.findall(r"\bSort ", done)) == 1 and len(re.findall(r"Exchange hashpartitioning", done)) == 1, plan
+    assert store.tables == set()
