@@ -7,8 +7,8 @@ first; a vector is fetched for the buckets in which it meets another one, and K
 that few meet by chance. Pairs that meet are compared in double precision.
 
 Equal vectors are one class, compared once. A bucket's members are cut into blocks of bounded size; pairs of blocks
-return a spanning set of links, so pairs are never listed. All links of a vector lie in its component, so the exact
-numbers of links come from comparing each component's members, by blocks again.
+return a spanning set of links and each class's number of links, so pairs are never listed. A pair that meets in several
+buckets counts in one of them only, which the keys of both tell: numbers of links cost what the candidates cost.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ PROBES, SEED = 3, 20240229
 TABLES = (8, 8, 8, 12, 18, 28)
 #: Members of a block, rows of a cell (a task's unit: some pairs of blocks), members of a block whose pairs are listed inside a task, and pairs compared at once.
 BLOCK, CELL, FEW, PAIRS = 512, 8192, 32, 50_000
+#: Linked pairs whose first common table is looked for at once.
+OWNERS = 10_000
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -133,29 +135,40 @@ def near(group: np.ndarray, low: np.ndarray, same: np.ndarray, home: np.ndarray,
             yield a[i], b[j]
 
 
-def compare(threshold: float, counted: bool):
+def owned(low: np.ndarray, high: np.ndarray, turn: np.ndarray, low_home: np.ndarray) -> np.ndarray:
+    """Whether a bucket is the one in which a pair counts: keys of both (pairs, tables, 1 + probes), the bucket's table, and whether the smaller id is at home there.
+
+    That is in the first table in which one's own bucket is the other's or one that it visits; and of two such buckets in that table the smaller id's own.
+    """
+    visited = (low[:, :, :1] == high).any(axis=2)
+    first = (visited | (high[:, :, :1] == low).any(axis=2)).argmax(axis=1)
+    return (first == turn) & (low_home | ~visited[np.arange(len(turn)), turn])
+
+
+def compare(threshold: float, tables: int):
     def run(cell: pd.DataFrame) -> pd.DataFrame:
-        """Some pairs of blocks: the links of each class (counted), or each class with the least one that it reaches here."""
+        """Some pairs of blocks: each class with the least one that it reaches here, and its number of links that count here."""
         cell = cell.assign(width=cell["v"].map(len)).sort_values([*(key := ["key", "width", "b_low", "b_high"]), "rep", "visits"], kind="stable")
         group = (cell[key].diff() != 0).any(axis=1).cumsum().to_numpy()
         keep = ~pd.DataFrame({"g": group, "r": cell["rep"].to_numpy()}).duplicated().to_numpy()  # at home or, if it is only visiting, once
         cell, group = cell[keep], group[keep]
-        rep, home = cell["rep"].to_numpy(), ~cell["visits"].to_numpy()
+        rep, home, n, turn = cell["rep"].to_numpy(), ~cell["visits"].to_numpy(), cell["n"].to_numpy(), cell["turn"].to_numpy()
         widths = cell["width"].to_numpy()
         x = np.zeros((len(cell), int(widths.max())))
         for width in np.unique(widths):
             x[widths == width, :width] = unit(cell["v"][widths == width])
-        pairs = near(group, cell["own_low"].to_numpy(), (cell["b_low"] == cell["b_high"]).to_numpy(), home, x, threshold)
-        if counted:
-            n, links = cell["n"].to_numpy(), np.zeros(len(cell), np.int64)
-            for i, j in pairs:
-                np.add.at(links, i, n[j])
-                np.add.at(links, j, n[i])
-            return pd.DataFrame({"rep": rep, "result": links})[links > 0].groupby("rep", as_index=False).sum()
         ids, at = np.unique(rep, return_inverse=True)
-        root = np.arange(len(ids))
-        for i, j in pairs:
+        first = np.unique(at, return_index=True)[1]
+        keys = np.stack(cell["keys"].iloc[first].to_numpy()).reshape(len(ids), tables, -1)
+        root, links = np.arange(len(ids)), np.zeros(len(ids), np.int64)
+        for i, j in near(group, cell["own_low"].to_numpy(), (cell["b_low"] == cell["b_high"]).to_numpy(), home, x, threshold):
             a, b = at[i], at[j]
+            for start in range(0, len(a), OWNERS):
+                p, q = i[start : start + OWNERS], j[start : start + OWNERS]
+                p, q = np.where(at[p] < at[q], p, q), np.where(at[p] < at[q], q, p)
+                counts = owned(keys[at[p]], keys[at[q]], turn[p], home[p])
+                np.add.at(links, at[p[counts]], n[q[counts]])
+                np.add.at(links, at[q[counts]], n[p[counts]])
             while True:
                 before = root.copy()
                 np.minimum.at(root, a, root[b])
@@ -165,20 +178,21 @@ def compare(threshold: float, counted: bool):
                     break
         while (root[root] != root).any():
             root = root[root]
-        return pd.DataFrame({"rep": ids, "result": ids[root]})[ids[root] != ids]
+        told = (ids[root] != ids) | (links > 0)
+        return pd.DataFrame({"rep": ids, "root": ids[root], "links": links})[told]
 
     return run
 
 
-def compared(members: DataFrame, classes: DataFrame, block: int, threshold: float, counted: bool) -> DataFrame:
-    """(rep, result) from members (key, rep, visits, members of the key): pairs of their blocks, compared cell by cell."""
+def compared(members: DataFrame, classes: DataFrame, keys: DataFrame, tables: int, block: int, threshold: float) -> DataFrame:
+    """(rep, root, links) from members (key, turn: its table, rep, visits, members of the key): pairs of their blocks, compared cell by cell."""
     dealt = members.withColumn("blocks", F.ceil(F.col("members") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     cells = max(1, (dealt.agg(F.sum("blocks")).first()[0] or 0) // CELL)
-    dealt = dealt.join(classes.select("rep", "n", "v"), "rep")
+    dealt = dealt.join(classes.select("rep", "n", "v"), "rep").join(keys, "rep")
     pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("low"), F.greatest(o, F.col("own")).alias("high"))))
-    groups = dealt.select("*", pair.alias("p")).select("key", F.col("p.low").alias("b_low"), F.col("p.high").alias("b_high"), "rep", "n", "v", "visits", (F.col("own") == F.col("p.low")).alias("own_low"))
+    groups = dealt.select("*", pair.alias("p")).select("key", "turn", F.col("p.low").alias("b_low"), F.col("p.high").alias("b_high"), "rep", "n", "v", "keys", "visits", (F.col("own") == F.col("p.low")).alias("own_low"))
     cell = F.pmod(F.xxhash64("key", "b_low", "b_high"), F.lit(cells)).alias("cell")
-    return groups.groupBy(cell).applyInPandas(compare(threshold, counted), "rep long, result long")
+    return groups.groupBy(cell).applyInPandas(compare(threshold, tables), "rep long, root long, links long")
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD, tables: int | None = None, probes: int = PROBES, block: int = BLOCK, k: int | None = None) -> DataFrame:
@@ -201,15 +215,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     tables = tables or TABLES[min(k, len(TABLES)) - 1]
 
     keys = written(coded(classes, k, tables, probes))
-    each = keys.select("rep", F.posexplode("keys").alias("at", "key")).select("key", "rep", (F.col("at") % (1 + probes) > 0).alias("visits"))
+    each = keys.select("rep", F.posexplode("keys").alias("at", "key")).select("key", F.expr(f"CAST(at DIV {1 + probes} AS INT)").alias("turn"), "rep", (F.col("at") % (1 + probes) > 0).alias("visits"))
     # a bucket counts if somebody is at home in it and somebody else is there
     met = written(each.groupBy("key").agg(F.count("*").alias("members"), F.count(F.when(~F.col("visits"), 1)).alias("home"), F.min("rep").alias("a"), F.max("rep").alias("b")).where("home > 0 AND a < b").select("key", "members"))
-    found = written(compared(written(each.join(broadcast_if_small(met), "key")), classes, block, threshold, counted=False))
-    linked = written(components(found, "rep", "result"))
-
-    sizes = linked.groupBy(F.col("component").alias("key")).agg(F.count("*").alias("members"))
-    together = linked.select(F.col("component").alias("key"), F.col("node").alias("rep"), F.lit(False).alias("visits")).join(sizes, "key")
-    links = compared(written(together), classes, block, threshold, counted=True).groupBy("rep").agg(F.sum("result").alias("links"))
+    found = written(compared(written(each.join(broadcast_if_small(met), "key")), classes, keys, tables, block, threshold))
+    linked = written(components(found, "rep", "root"))
+    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     by_class = written(classes.select("rep", "n", "h1", "h2").join(links, "rep", "left").join(linked.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component")))
     hashed = rows.select("id", F.when(fit, F.xxhash64("v")).alias("h1"), F.when(fit, F.xxhash64(F.lit(1), "v")).alias("h2"))
     joined = hashed.join(by_class, ["h1", "h2"], "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -218,3 +219,22 @@ def test_large_buckets_of_separate_pairs(spark, prose):
     assert {(2 * i, 2 * i + 1) for i in range(200)} <= found and all(a // 2 == b // 2 for a, b in found if b < 1000)
     assert {a for a, b in found if a >= 2000} == set() and len({x for p in found for x in p if 1000 <= x < 2000}) == 60
     assert len([p for p in found if p[0] >= 1000]) < 60 * 59 // 4  # not all pairs of the group
+
+
+def test_pairs_count_in_one_bucket_only():
+    rng = np.random.default_rng(2)
+    for x, y in zip(*rng.integers(0, 5, (2, 500, 6, 3))):
+        buckets = {(t, k) for t in range(6) for k in (x[t, 0], y[t, 0]) if k in x[t] and k in y[t]}
+        owners = [b for b in buckets if op1.owned(x[None], y[None], np.array([b[0]]), np.array([x[b[0], 0] == b[1]]))[0]]
+        assert len(owners) == bool(buckets)
+
+
+def test_a_chain_of_many_classes_isnt_compared_all_with_all(spark):
+    """20,000 vectors on a closed curve: one component whose classes have some eight links each. The numbers of links are counted where pairs meet, in a fraction of its 200 million pairs."""
+    n = 20_000
+    angle = np.arange(n) * 2 * np.pi / n
+    x = np.stack([np.cos(f * angle) for f in range(101, 133)] + [np.sin(f * angle) for f in range(101, 133)], axis=1)
+    near = {d for d in range(1, 200) if np.cos(np.arange(101, 133) * d * 2 * np.pi / n).mean() >= op1.THRESHOLD}
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "embedding": x.astype(np.float32).tolist(), "label": 0}), VECTORS)
+    got = op1.near_duplicates(df).toPandas()
+    assert (got["component_id"] == 0).mean() > 0.99 and abs(got["n_links"].mean() / (2 * len(near)) - 1) < 0.02 and got["n_links"].max() <= 2 * len(near) + 2
