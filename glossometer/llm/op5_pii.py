@@ -1,8 +1,9 @@
 """Personal data, with offset-preserving deobfuscation.
 
 Three transducers rewrite a text's disguises, one after the other: glyphs (homoglyphs, full-width, mathematical and other
-compatible forms to ASCII, characters without width to nothing), digits (spelled ones to digits), and signs ("at" and
-"dot" in brackets, between words or underscores, or set apart by blanks, to a mark for each kind). Each is a regular
+compatible forms to ASCII, characters without width to nothing), digits (spelled ones of four languages to digits, letters
+inside long numbers too), and signs ("at" and "dot" and what they are called in German, French and Spanish, in brackets or
+quotes, encoded, between words or underscores, or set apart by blanks, to a mark for each kind). Each is a regular
 rewriting rule, compiled to one pattern that is run from left to right, and each keeps for every character that it writes
 the span of source characters that it stands for. Identifiers are found in the plain text and, where a disguise was
 undone, in the rewritten one, whose spans are mapped back to the source.
@@ -62,15 +63,24 @@ GLYPHS = compatible() | LOOKALIKES | dict.fromkeys(MARKS, " ") | dict.fromkeys(W
 GLYPH = re.compile("[" + "".join(map(re.escape, GLYPHS)) + "]")
 #: The same in two parts: sets of 16-bit characters are looked up in a table, larger ones one after the other.
 GLYPH_SETS = (re.compile("[" + "".join(re.escape(c) for c in GLYPHS if c <= "\uffff") + "]"), re.compile("[\U0001d400-\U0001d7ff\U0001f100-\U0001f1ff]"))
-#: Digits as words.
+#: Digits as words, in English, German, French and Spanish, and words that repeat the digit behind them.
 SPELLED = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
+    "null": "0", "eins": "1", "zwei": "2", "zwo": "2", "drei": "3", "vier": "4", "fünf": "5", "sechs": "6", "sieben": "7", "acht": "8", "neun": "9",
+    "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
+    "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
 }
-_DIGIT_WORD = "(?:" + "|".join(SPELLED) + "|[0-9])"
+REPEATS = {"double": 2, "doppel": 2, "doble": 2, "triple": 3}
+_DIGIT_WORD = "(?:(?:(?:" + "|".join(REPEATS) + ")[ -])?(?:" + "|".join(SPELLED) + "|[0-9]))"
 #: Four or more digits in a row of which some are words; a plus sign and full stops may be words too.
-SPELLED_RUN = re.compile(rf"(?i)(?<![A-Za-z0-9])(?:plus[ ]+)?{_DIGIT_WORD}(?:(?:[ .-]{{1,2}}|[ ]dot[ ]){_DIGIT_WORD}){{3,}}(?![A-Za-z0-9])")
-SPELLED_WORD = re.compile(r"(?i)plus[ ]+|[A-Za-z]+(?:[ -]{1,2}(?=[A-Za-z0-9]))?|[0-9](?:[ ](?=[A-Za-z]))?")
-LETTER, LETTERS = re.compile("[A-Za-z]"), re.compile("[A-Za-z]+")
+SPELLED_RUN = re.compile(rf"(?i)(?<![\w])(?:(?:plus|más)[ ]+)?{_DIGIT_WORD}(?:(?:[ .-]{{1,2}}|[ ](?:dot|punkt|point|punto)[ ]){_DIGIT_WORD}){{3,}}(?![\w])")
+SPELLED_WORD = re.compile(r"(?i)(?:plus|más)[ ]+|[^\W\d_]+(?:[ -]{1,2}(?=\w))?|[0-9](?:[ ](?=[^\W\d_]))?")
+LETTER, LETTERS = re.compile(r"[^\W\d_]"), re.compile(r"[^\W\d_]+")
+#: A number of eight places or more in which letters may stand for digits, and those letters.
+LETTERED = re.compile(r"(?<![A-Za-z0-9])[+(]?[0-9lIOo(][0-9lIOo ().-]{6,40}[0-9lIOo](?![A-Za-z0-9])")
+AS_DIGIT = {"l": "1", "I": "1", "O": "0", "o": "0"}
+#: Digits that such a number has at least beside its letters, of which it has no more than a third as many.
+LEAST_DIGITS = 7
 #: Endings of host names that a "dot" as a bare word may stand before: all of countries, and common generic ones.
 COUNTRIES = (
     "ac ad ae af ag ai al am ao aq ar as at au aw ax az ba bb bd be bf bg bh bi bj bm bn bo br bs bt bw by bz ca cc cd cf cg ch ci ck cl cm cn co cr cu cv cw cx cy cz de dj dk dm do dz "
@@ -87,14 +97,25 @@ GENERIC = (
 ENDINGS = frozenset((COUNTRIES + " " + GENERIC).split())
 #: Words before a "dot" that is a thing and no sign, as in "look at the dot in the middle".
 THINGS = frozenset("the a an this that each every any one no another my your his her its our their which what".split())
+#: Words before a bare "at" that is a preposition, as in "meet us at example dot com".
+PLACED = frozenset(
+    "us me him her them it you here there now meet met stay stayed staying stays arrive arrived arriving arrives look looked looking looks be been being is are was were am live lived lives living work worked works working "
+    "sit sat stand stood wait waited waiting aim aimed aiming back only even just still again found find seen bought sold laugh laughed start started starts end ended ends open opens opened read more join joined visit visited not and or but all"
+    .split()
+)
 #: What has to be there before a text's signs are looked at; begins with a set of characters, which is fast to look for.
-SIGNED = re.compile(r"(?i)[\[({<][ ]*(?:at|@|dot|\.)[ ]*[\])}>]|[ ]@|@[ ]|[ _-]dot[ _-]|@[^\s@]*[ ]+\.[ ]")
-_IN, _OUT = r"(?<![ ])[ ]*[\[({<][ ]*", r"[ ]*[\])}>][ ]*"
+SIGNED = re.compile(r"(?i)[\[({<\"'][ ]*(?:at|ät|@|dot|punkt|point|punto|\.)[ ]*[\])}>\"']|[ ]@|@[ ]|[ _-](?:dot|punkt|point|punto)[ _-]|[&%](?:#0*64;|#x0*40;|commat;|40|#0*46;|#x0*2e;|period;|2e)|@[^\s@]*[ ]+\.[ ]")
+_IN, _OUT = r"(?<![ ])[ ]*[\[({<\"'][ ]*", r"[ ]*[\])}>\"'][ ]*"
 _AFTER, _BEFORE = r"(?<=[A-Za-z0-9_%+-])", r"(?=[A-Za-z0-9_%+-])"
+#: Signs as words in the four languages, and encoded.
+_AT_WORD, _DOT_WORD = "(?:at|ät|arobase|arrobase|arroba|klammeraffe)", "(?:dot|punkt|point|punto)"
+_AT_CODE, _DOT_CODE = "&#0*64;|&#x0*40;|&commat;|%40", "&#0*46;|&#x0*2e;|&period;|%2e"
 #: The signs transducer: a group for each mark.
 SIGN = re.compile(
-    rf"(?i)({_IN}(?:at|@){_OUT}|(?<![ ])[ ]+@[ ]*|@[ ]+)|({_AFTER}(?:[ ]+at[ ]+|[_-]at[_-]){_BEFORE})|({_IN}(?:dot|\.){_OUT})|({_AFTER}(?:[ ]+dot[ ]+|[_-]dot[_-]){_BEFORE})|({_AFTER}[ ]+\.[ ]+{_BEFORE})"
+    rf"(?i)({_IN}(?:{_AT_WORD}|@){_OUT}|(?<![ ])[ ]+@[ ]*|@[ ]+|{_AT_CODE})|({_AFTER}(?:[ ]+{_AT_WORD}[ ]+|[_-]at[_-]){_BEFORE})|({_IN}(?:{_DOT_WORD}|\.){_OUT}|{_DOT_CODE})|({_AFTER}(?:[ ]+{_DOT_WORD}[ ]+|[_-]dot[_-]){_BEFORE})|({_AFTER}[ ]+\.[ ]+{_BEFORE})"
 )
+#: "point" is a word of English prose too: it is a sign only so near an at that isn't an English word.
+POINT, FOREIGN_AT, NEAR_POINT = re.compile("(?i)[ ]point[ ]"), re.compile(r"(?i)@|[ ](?:arr?obase|ät)[ ]|[\[({<\"'][ ]*(?:at|arr?obase)[ ]*[\])}>\"']|&#|%40"), 80
 SIGN_AT = re.compile(f"[@{AT}{BARE_AT}]")
 HOST = re.compile(f"[A-Za-z0-9-]+(?:[.{DOT}{BARE_DOT}{FAR_DOT}][A-Za-z0-9-]+)+")
 SEPARATOR = re.compile(f"[.{DOT}{BARE_DOT}{FAR_DOT}]")
@@ -196,17 +217,32 @@ def plain_glyphs(m: Mapped) -> Mapped:
     return m.rewrite(found)
 
 
+def lettered_numbers(m: Mapped) -> Mapped:
+    """Letters that stand for digits in long numbers, as in 0l23."""
+    edits = []
+    for x in LETTERED.finditer(m.text) if DIGIT.search(m.text) else ():
+        letters = [i for i in range(*x.span()) if m.text[i] in AS_DIGIT]
+        if letters and len(DIGIT.findall(x.group())) >= max(LEAST_DIGITS, 3 * len(letters)):
+            edits += [(i, i + 1, AS_DIGIT[m.text[i]]) for i in letters]
+    return m.rewrite(edits)
+
+
 def plain_digits(m: Mapped) -> tuple[Mapped, list[tuple[int, int]]]:
     """The rewritten text, and the source spans of wholly spelled phone numbers: 9 to 15 digits, not counting up, and no card."""
     edits, phones = [], []
     for run in SPELLED_RUN.finditer(m.text):
         if not LETTER.search(run.group()):
             continue
-        said = []
+        said, times, start = [], 1, None
         for x in SPELLED_WORD.finditer(m.text, *run.span()):
             word = x.group().strip(" -").lower()
-            said.append({"plus": "+", "dot": "."}.get(word) or SPELLED.get(word, word))
-            edits.append((x.start(), x.end(), said[-1]))
+            start = x.start() if start is None else start
+            if word in REPEATS:
+                times = REPEATS[word]
+                continue
+            said.append({"plus": "+", "más": "+", "dot": ".", "punkt": ".", "point": ".", "punto": "."}.get(word) or SPELLED.get(word, word) * times)
+            edits.append((start, x.end(), said[-1]))
+            times, start = 1, None
         number = "".join(said)
         counting = all((int(b) - int(a)) % 10 == 1 for a, b in zip(number, number[1:])) if number.isdigit() else False
         if number.isdigit() and 9 <= len(number) <= 15 and not counting and len(LETTERS.findall(run.group())) >= SPELLED_PHONE and not (len(number) >= 13 and luhn(number)):
@@ -215,7 +251,10 @@ def plain_digits(m: Mapped) -> tuple[Mapped, list[tuple[int, int]]]:
 
 
 def marked_signs(m: Mapped) -> Mapped:
-    return m.rewrite([(x.start(), x.end(), MARKS[x.lastindex - 1]) for x in SIGN.finditer(m.text)]) if SIGNED.search(m.text) else m
+    if not SIGNED.search(m.text):
+        return m
+    there = lambda x: not POINT.fullmatch(x.group()) or FOREIGN_AT.search(m.text, max(0, x.start() - NEAR_POINT), x.end() + NEAR_POINT)
+    return m.rewrite([(x.start(), x.end(), MARKS[x.lastindex - 1]) for x in SIGN.finditer(m.text) if there(x)])
 
 
 def host_end(text: str, at: int, sign: str) -> int | None:
@@ -259,6 +298,8 @@ def marked_emails(text: str) -> Iterator[tuple[int, int]]:
             start -= 1
         while start < at and text[start] in DOT + BARE_DOT:
             start += 1
+        if sign.group() == BARE_AT and text[start:at].lower() in PLACED:
+            continue
         end = host_end(text, at + 1, sign.group()) if start < at else None
         if end:
             yield start, end
@@ -270,7 +311,7 @@ def find(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     what equals or lies inside one of their kind. A span that contains base spans goes beside them."""
     text = text or ""
     base = identifiers(text)
-    m, spelled = plain_digits(plain_glyphs(Mapped(text)))
+    m, spelled = plain_digits(lettered_numbers(plain_glyphs(Mapped(text))))
     m = marked_signs(m)
     if m.text == text:
         return base, base

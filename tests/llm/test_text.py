@@ -603,3 +603,31 @@ def test_runs_are_neither_moved_nor_sorted_again(spark):
         done = new._jdf.queryExecution().executedPlan().toString()
         assert done.count("SortMergeJoin") == 2 and len(re.findall(r"\bSort ", done)) == 1 and len(re.findall(r"Exchange hashpartitioning", done)) == 1, plan
     assert store.tables == set()
+
+
+#: Disguises by language: (text, kind, the disguised identifier).
+DISGUISES = {
+    "de": [("Mail an john ät beispiel punkt de bitte", "email", "john ät beispiel punkt de"), ("hans punkt meier (at) web punkt de", "email", "hans punkt meier (at) web punkt de"), ("Ruf an: plus vier neun drei null fünf fünf fünf eins zwei drei vier", "phone", "plus vier neun drei null fünf fünf fünf eins zwei drei vier"), ("eva klammeraffe firma punkt com", "email", "eva klammeraffe firma punkt com")],
+    "fr": [("jean arobase exemple point fr", "email", "jean arobase exemple point fr"), ("écris à paul point roux arobase poste point fr demain", "email", "paul point roux arobase poste point fr"), ("plus trois trois un deux trois quatre cinq six sept huit neuf", "phone", "plus trois trois un deux trois quatre cinq six sept huit neuf")],
+    "es": [("juan arroba ejemplo punto es", "email", "juan arroba ejemplo punto es"), ("llama al más tres cuatro nueve uno cinco cinco cinco cero uno dos tres", "phone", "más tres cuatro nueve uno cinco cinco cinco cero uno dos tres"), ("ana (arroba) correo (punto) com", "email", "ana (arroba) correo (punto) com")],
+    "en": [('john "at" example "dot" com', "email", 'john "at" example "dot" com'), ("mail john&#64;example.com now", "email", "john&#64;example.com"), ("john%40example.com", "email", "john%40example.com"), ("john&commat;example&period;org", "email", "john&commat;example&period;org"), ("+1 2l2 555 0l23", "phone", "+1 2l2 555 0l23"), ("card 4111-1111-1111-111l ok", "card", "4111-1111-1111-111l"), ("+49 (O)30 5550 1234", "phone", "+49 (O)30 5550 1234"), ("plus one two one two double five five oh one double two", "phone", "plus one two one two double five five oh one double two"), ("john at example dot it", "email", "john at example dot it")],
+}
+
+
+@pytest.mark.parametrize("language", list(DISGUISES))
+def test_disguises_of_four_languages(language):
+    for text, kind, part in DISGUISES[language]:
+        at = text.index(part)
+        assert (kind, at, at + len(part)) in op5.find(text)[1], text
+
+
+def test_prose_that_is_no_disguise():
+    for text in ("Meet us at example dot com", "We stayed at paris dot com", "He arrived at noon dot org style", "look at one point it was late", "at this point in time", "at which point de facto it ended", "llegamos al punto de partida", "der Punkt ist klar", "un point de vue", "IO 5 lOOl 22", "one two three four", "uno dos tres cuatro cinco"):
+        assert op5.find(text) == ([], []), text
+
+
+def test_hostile_repeats_of_numbers_and_signs():
+    for text in ("o " * 40_000 + "X", "0l" * 40_000, "(" * 40_000, "double " * 20_000, "un " * 30_000 + "x", "a at b point " * 8000, "&#" * 40_000, "%40" * 20_000):
+        began = time.time()
+        op5.find(text)
+        assert time.time() - began < 4, text[:10]
