@@ -24,7 +24,7 @@ SHINGLE, SIMILAR = 5, (4, 5)
 #: Buckets of a text and MinHash values of a bucket: a pair at 0.8 shares one but for a chance of 3 in a million.
 BANDS, ROWS = 24, 4
 #: Classes of a bucket that are compared pair by pair; leaders of a larger one in the first round, and how many times more there are in each next one.
-PAIRWISE, LEADERS, MORE = 16, 2, 4
+PAIRWISE, LEADERS, MORE = 16, 4, 16
 _RNG = np.random.default_rng(5)
 SALTS, FACTORS = _RNG.integers(0, 1 << 63, BANDS * ROWS).astype(np.uint64), _RNG.integers(0, 1 << 63, BANDS * ROWS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
