@@ -2,9 +2,9 @@
 
 Candidates share a bucket: a group of fingerprints that the trie links, or some MinHash values; each is then compared by the shingles themselves, so no link is below
 the threshold. Equal texts are one class from the start. A bucket of a few classes is compared pair by pair. In a
-larger one, rounds compare all classes with leaders of other components, until every class outside the bucket's
-largest component has been a leader: then each two classes of the bucket have been compared or are in one component, so
-no link between components is missed, and a dense group's pairs are never listed.
+larger one, rounds compare all classes with two leaders of other components, drawn anew each round, until a
+round adds no link: so a dense group's pairs are never listed. What they leave apart is cut into buckets of those that
+share further MinHash values too, twice at most, where few classes are compared pair by pair again.
 """
 
 from __future__ import annotations
@@ -23,8 +23,10 @@ from .components import components
 SHINGLE, SIMILAR = 5, (4, 5)
 #: Buckets of a text and MinHash values of a bucket: a pair at 0.8 shares one but for a chance of 3 in a million.
 BANDS, ROWS = 24, 4
-#: Classes of a bucket that are compared pair by pair; leaders of a larger one in the first round, and how many times more there are in each next one.
-PAIRWISE, LEADERS, MORE = 16, 4, 16
+#: Classes of a bucket that are compared pair by pair, and rounds of leaders at least for larger ones.
+PAIRWISE, ROUNDS = 16, 3
+#: How often larger buckets are cut, and by how many of the buckets that follow a bucket: a pair at 0.8 shares one of these but for a chance of 1.5 in a hundred.
+CUTS, FOLLOWING = 2, 8
 _RNG = np.random.default_rng(5)
 SALTS, FACTORS = _RNG.integers(0, 1 << 63, BANDS * ROWS).astype(np.uint64), _RNG.integers(0, 1 << 63, BANDS * ROWS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -95,37 +97,60 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return written(both.where(F.pandas_udf(alike, "boolean")("left", "right")).select("a", "b"))
 
 
-def links(texts: DataFrame, members: DataFrame) -> DataFrame:
-    """(a, b): links between classes of equal texts. members: cls and key of each bucket that a class lies in."""
-    shared = written(members.groupBy("key").agg(F.count("*").alias("n"), F.min("cls").alias("a"), F.max("cls").alias("b")).where("n > 1"))
-    more = shared.where("n > 2").select("key", "n")
-    members = written(members.join(broadcast_if_small(more), "key"))
-    few, many = members.where(F.col("n") <= PAIRWISE), members.where(F.col("n") > PAIRWISE).select("key", "cls")
-    pairs = few.select("key", F.col("cls").alias("a")).join(few.select("key", F.col("cls").alias("b")), "key").where("a < b").select("a", "b")
-    found = verified(shared.where("n = 2").select("a", "b").unionByName(pairs), texts)
-    if many.isEmpty():
-        return found
-    tested = led = None
-    leaders_each = float(LEADERS)
+def labelled(members: DataFrame, found: DataFrame | None) -> DataFrame:
+    """members with label, the component of a class over the links found so far."""
+    if found is None:
+        return members.withColumn("label", F.col("cls"))
+    return members.join(components(found).withColumnRenamed("node", "cls"), "cls", "left").select(*members.columns, F.coalesce("component", "cls").alias("label"))
+
+
+def led(many: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
+    """found and the links that rounds of two leaders a bucket add to it. many: key and cls of large buckets."""
+    tested, turn = None, 0
     while True:
-        label = components(found).withColumnRenamed("node", "cls")
-        placed = written(many.join(label, "cls", "left").select("key", "cls", F.coalesce("component", "cls").alias("label")))
-        parts = placed.groupBy("key", "label").agg(F.count("*").alias("n"))
-        largest = parts.groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("largest"), F.count("*").alias("parts")).where("parts > 1").select("key", "largest")
-        waiting = placed.join(broadcast_if_small(written(largest)), "key").where("label <> largest").select("key", "cls", "label")
-        waiting = written(waiting if led is None else waiting.join(led, ["key", "cls"], "left_anti"))
-        if waiting.isEmpty():
-            return found
-        per = broadcast_if_small(written(waiting.groupBy("key").agg(F.count("*").alias("waiting"))))
-        chance = F.pmod(F.xxhash64("key", "cls", F.lit(leaders_each)), F.lit(1 << 53)) / float(1 << 53)  # a draw by hash: the first leaders are any of them
-        leaders = written(waiting.join(per, "key").where(chance < leaders_each / F.col("waiting")).select("key", F.col("cls").alias("leader"), F.col("label").alias("of")))
-        pairs = placed.join(broadcast_if_small(leaders), "key").where("label <> of").select(F.least("cls", "leader").alias("a"), F.greatest("cls", "leader").alias("b")).distinct()
+        placed = written(labelled(many, found))
+        drawn = F.struct(F.xxhash64("key", "cls", F.lit(turn)).alias("draw"), "cls", "label")
+        leaders = placed.groupBy("key").agg(F.min(drawn).alias("one"), F.max(drawn).alias("other"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        pairs = placed.join(leaders, "key").select("cls", "label", F.explode(F.array("one", "other")).alias("leader")).where("label <> leader.label")
+        pairs = pairs.select(F.least("cls", "leader.cls").alias("a"), F.greatest("cls", "leader.cls").alias("b")).distinct()
         pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         tested = pairs if tested is None else tested.unionByName(pairs)
-        drawn = leaders.select("key", F.col("leader").alias("cls"))
-        led = drawn if led is None else led.unionByName(drawn)
-        found = found.unionByName(verified(pairs, texts))
-        leaders_each *= MORE
+        new = verified(pairs, texts)
+        turn += 1
+        if new.isEmpty() and (turn >= ROUNDS or pairs.isEmpty()):
+            return found
+        found = found.unionByName(new)
+
+
+def cut_up(many: DataFrame, members: DataFrame) -> DataFrame:
+    """(cls, band, key): buckets of those that share a bucket of many and one of the FOLLOWING next ones of MinHash values."""
+    following = members.where("band >= 0").select("cls", F.col("band").alias("next"), F.col("key").alias("too"))
+    both = many.join(following, "cls").where(F.pmod(F.col("next") - F.col("band"), F.lit(BANDS)).between(1, FOLLOWING))
+    return both.select("cls", F.col("next").alias("band"), F.xxhash64("key", "too").alias("key"))
+
+
+def links(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """(a, b): links between classes of equal texts. members: cls, band and key of each bucket that a class lies in; the band of a group that isn't one of MinHash values is -1."""
+    at, found = members, None
+    for cut in range(CUTS + 1):
+        placed = labelled(at, found)
+        apart = placed.groupBy("key").agg(F.count("*").alias("n"), F.min("cls").alias("a"), F.max("cls").alias("b"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        apart = written(apart.select("key", "n", "a", "b"))
+        more = apart.where("n > 2").select("key", "n")
+        placed = written(placed.join(broadcast_if_small(more), "key"))
+        few, many = placed.where(F.col("n") <= PAIRWISE), placed.where(F.col("n") > PAIRWISE).select("key", "cls", "band")
+        one, other = (few.select("key", F.col("cls").alias(x), F.col("label").alias(f"{x}_label")) for x in "ab")
+        pairs = one.join(other, "key").where("a < b AND a_label <> b_label").select("a", "b")
+        new = verified(apart.where("n = 2").select("a", "b").unionByName(pairs), texts)
+        found = new if found is None else found.unionByName(new)
+        if many.isEmpty():
+            return found
+        found = led(many, texts, found)
+        if cut < CUTS:
+            placed = written(labelled(many, found))
+            left = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+            at = written(cut_up(placed.join(broadcast_if_small(written(left)), "key", "left_semi"), members))
+    return found
 
 
 def near_duplicates(docs: DataFrame, groups: Callable[[DataFrame], DataFrame], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -140,7 +165,7 @@ def near_duplicates(docs: DataFrame, groups: Callable[[DataFrame], DataFrame], i
     classes = written(rows.groupBy("cls").agg(F.min(id_col).alias("least"), F.first("keys").alias("keys"), F.first("fp").alias("fp")))
     # a fingerprint's hash is mixed with a number of its own, so that its group is no MinHash bucket
     grouped = groups(written(classes.where("fp IS NOT NULL").select("fp").distinct())).select("fp", F.xxhash64(F.lit(BANDS), "component").alias("key"))
-    members = written(classes.select("cls", F.explode("keys").alias("key")).unionByName(classes.join(grouped, "fp").select("cls", "key")))
+    members = written(classes.select("cls", F.posexplode("keys").alias("band", "key")).unionByName(classes.join(grouped, "fp").select("cls", F.lit(-1).alias("band"), "key")))
     linked = components(links(rows.select("cls", "text"), members)).withColumnRenamed("node", "cls")
     named = classes.select("cls", "least").join(linked, "cls", "left").select("cls", "least", F.coalesce("component", "cls").alias("component"))
     best = named.groupBy("component").agg(F.min("least").alias("component_id"))
