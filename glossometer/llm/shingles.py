@@ -1,10 +1,12 @@
 """Near-duplicate texts by exact Jaccard similarity of their word shingles.
 
 Candidates share a bucket: a group of fingerprints that the trie links, or some MinHash values; each is then compared by the shingles themselves, so no link is below
-the threshold. Equal texts are one class from the start. A bucket of a few classes is compared pair by pair. In a
-larger one, rounds compare all classes with two leaders of other components, drawn anew each round, until a
-round adds no link: so a dense group's pairs are never listed. What they leave apart is cut into buckets of those that
-share further MinHash values too, twice at most, where few classes are compared pair by pair again.
+the threshold. Equal texts are one class from the start. A bucket of a few classes is compared pair by pair. One of more
+classes, whose texts are bounded in bytes, is one group of a task, which counts the shingles that its texts share and gives as many
+links as keep the components, so that a dense group's pairs are never listed; no link of such a bucket is lost. In a
+bucket beyond that bound, rounds compare all classes with two leaders of other components, drawn anew each round, until a
+round adds no link. What they leave apart is cut into buckets of those that share further MinHash values too, twice at most,
+which are compared by the same rules.
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ from .components import components
 SHINGLE, SIMILAR = 5, (4, 5)
 #: Buckets of a text and MinHash values of a bucket: a pair at 0.8 shares one but for a chance of 3 in a million.
 BANDS, ROWS = 24, 4
-#: Classes of a bucket that are compared pair by pair, and rounds of leaders at least for larger ones.
-PAIRWISE, ROUNDS = 16, 3
+#: Classes of a bucket that are compared pair by pair, bytes of a larger bucket's texts that are compared in one group, and rounds of leaders at least beyond that.
+PAIRWISE, GROUP_BYTES, ROUNDS = 16, 4 << 20, 3
 #: How often larger buckets are cut, and by how many of the buckets that follow a bucket: a pair at 0.8 shares one of these but for a chance of 1.5 in a hundred.
 CUTS, FOLLOWING = 2, 8
 _RNG = np.random.default_rng(5)
@@ -88,11 +90,67 @@ def sketched(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([sketch(x) for x in batch], columns=["cls", "keys", "fp"]).astype({"fp": "Int64"})
 
 
+def placed_shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, shingle): each text's distinct shingles by number, sorted. Texts shorter than a shingle have none: they are like no other text than their equals."""
+    known: dict[bytes, int] = {}
+    lengths, numbers = np.zeros(len(texts), np.int64), []
+    for i, x in enumerate(texts):
+        numbers.append(np.fromiter((known.setdefault(w, len(known)) for w in tokens_of(x)), np.int64))
+        lengths[i] = len(numbers[-1])
+    words, row = np.concatenate(numbers), np.repeat(np.arange(len(texts)), lengths)
+    if len(words) < SHINGLE:
+        return words[:0], words[:0]
+    ids = words
+    for k in range(1, SHINGLE):  # numbers of runs of k words and of the next word name the runs of k + 1, exactly
+        ids = np.unique(ids[:-1] * len(known) + words[k:], return_inverse=True)[1]
+    inside = row[: len(ids)] == row[SHINGLE - 1 :]
+    both = np.unique(row[: len(ids)][inside] * len(words) + ids[inside])
+    return both // len(words), both % len(words)
+
+
+def group_links(texts: list[str | None], labels: np.ndarray) -> list[tuple[int, int]]:
+    """As many links (i, j) as join what similar texts and equal labels join.
+
+    A text is compared with all others at once. Those of the largest component needn't be: each pair of two
+    components has a text in another one.
+    """
+    row, shingle = placed_shingles(texts)
+    n, (up, down) = len(texts), SIMILAR
+    size = np.bincount(row, minlength=n)
+    of_row, holders = np.concatenate([[0], np.cumsum(size)]), row[np.argsort(shingle, kind="stable")]
+    held = np.bincount(shingle)
+    first = np.cumsum(held) - held
+    root, waiting, out = np.unique(labels, return_inverse=True)[1], size > 0, []
+    while True:
+        apart = np.flatnonzero(waiting & (root != np.bincount(root).argmax()))
+        if not len(apart):
+            return out
+        i = apart[0]
+        waiting[i] = False
+        own = shingle[of_row[i] : of_row[i + 1]]
+        each = held[own]
+        both = np.bincount(holders[np.repeat(first[own] - np.cumsum(each) + each, each) + np.arange(each.sum())], minlength=n)
+        for j in np.flatnonzero((both * down >= up * (size[i] + size - both)) & (root != root[i])):
+            if root[j] != root[i]:
+                out.append((i, j))
+                root[root == root[j]] = root[i]
+
+
+def grouped_links(bucket: pd.DataFrame) -> pd.DataFrame:
+    cls = bucket["cls"].to_numpy(np.int64)
+    found = np.array(group_links(bucket["text"].tolist(), bucket["label"].to_numpy(np.int64)), np.int64).reshape(-1, 2)
+    return pd.DataFrame({"a": cls[found].min(axis=1), "b": cls[found].max(axis=1)})
+
+
+def class_texts(texts: DataFrame, needed: DataFrame) -> DataFrame:
+    """(cls, text) of the distinct classes of needed. texts: cls and text, repeated for equal texts."""
+    return written(texts.join(broadcast_if_small(needed), "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text")))
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b): the distinct pairs whose texts are similar enough. texts: cls and text, repeated for equal texts."""
     pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    needed = written(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct())
-    one = written(texts.join(broadcast_if_small(needed), "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text")))
+    one = class_texts(texts, written(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()))
     both = pairs.join(one.select(F.col("cls").alias("a"), F.col("text").alias("left")), "a").join(one.select(F.col("cls").alias("b"), F.col("text").alias("right")), "b")
     return written(both.where(F.pandas_udf(alike, "boolean")("left", "right")).select("a", "b"))
 
@@ -138,11 +196,19 @@ def links(texts: DataFrame, members: DataFrame) -> DataFrame:
         apart = written(apart.select("key", "n", "a", "b"))
         more = apart.where("n > 2").select("key", "n")
         placed = written(placed.join(broadcast_if_small(more), "key"))
-        few, many = placed.where(F.col("n") <= PAIRWISE), placed.where(F.col("n") > PAIRWISE).select("key", "cls", "band")
+        few, more = placed.where(F.col("n") <= PAIRWISE), placed.where(F.col("n") > PAIRWISE).select("key", "cls", "band", "label")
         one, other = (few.select("key", F.col("cls").alias(x), F.col("label").alias(f"{x}_label")) for x in "ab")
         pairs = one.join(other, "key").where("a < b AND a_label <> b_label").select("a", "b")
         new = verified(apart.where("n = 2").select("a", "b").unionByName(pairs), texts)
         found = new if found is None else found.unionByName(new)
+        if more.isEmpty():
+            return found
+        one = class_texts(texts, written(more.select("cls").distinct()))
+        sized = more.join(one.select("cls", F.octet_length("text").alias("bytes")), "cls").groupBy("key").agg(F.sum("bytes").alias("bytes"))
+        large = written(sized.where(F.col("bytes") > GROUP_BYTES).select("key"))
+        many = written(more.join(broadcast_if_small(large), "key", "left_semi").select("key", "cls", "band"))
+        groups = more.join(broadcast_if_small(large), "key", "left_anti").join(one, "cls").select("key", "cls", "label", "text")
+        found = found.unionByName(written(groups.groupBy("key").applyInPandas(grouped_links, "a long, b long").distinct()))
         if many.isEmpty():
             return found
         found = led(many, texts, found)

@@ -206,8 +206,33 @@ def test_stage_takes_five_word_similarity(spark, documents):
     assert kept == {i for i, _ in base} | {i for i, _ in far} | {300}
 
 
-def test_large_buckets_of_separate_pairs(spark, prose):
+def test_links_of_a_group_keep_the_components_of_all_pairs(prose):
+    rng = np.random.default_rng(3)
+    for trial in range(20):
+        texts = [None, "a b", "a b c", "a b c d e", "a b c d e f"]
+        for i in range(6):
+            words = prose(trial * 10 + i, 60).split()
+            texts += [" ".join(w if rng.random() > p else f"x{rng.integers(9)}" for w in words) for p in (0, 0.01, 0.02, 0.05, 0.1)]
+        texts = list(dict.fromkeys(texts))  # equal texts are one class and never meet
+        sets = [shingles.shingles_of(shingles.tokens_of(x)) for x in texts]
+        labels = np.array([*range(len(texts) - 1), 3])  # two texts that are joined already
+
+        def components(links):
+            root = list(range(len(texts)))
+            for a, b in [(3, len(texts) - 1), *links]:
+                root = [root[a] if r == root[b] else r for r in root]
+            return [root.index(r) for r in root]
+
+        all_pairs = [(i, j) for i in range(len(texts)) for j in range(i) if shingles.similar(sets[i], sets[j])]
+        found = shingles.group_links(texts, labels)
+        assert components(found) == components(all_pairs) and len(found) < len(texts)
+    assert shingles.group_links(["a", "b"], np.array([1, 2])) == []
+
+
+@pytest.mark.parametrize("group_bytes", [0, shingles.GROUP_BYTES])  # by leaders and cuts, and in one group
+def test_large_buckets_of_separate_pairs(spark, prose, monkeypatch, group_bytes):
     """Texts that share a long passage, and so large buckets: 200 separate pairs of alike ones, a dense group and 50 texts like no other."""
+    monkeypatch.setattr(shingles, "GROUP_BYTES", group_bytes)
     passage, texts = prose(5000, 150), {}
     for i in range(200):
         words = f"{passage} {prose(i, 60)}".split()
