@@ -4,9 +4,10 @@ Candidates share a bucket: a group of fingerprints that the trie links, or some
 the threshold. Equal texts are one class from the start. A bucket of a few classes is compared pair by pair. One of more
 classes, whose texts are bounded in bytes, is one group of a task, which counts the shingles that its texts share and gives as many
 links as keep the components, so that a dense group's pairs are never listed; no link of such a bucket is lost. In a
-bucket beyond that bound, rounds compare all classes with two leaders of other components, drawn anew each round, until a
-round adds no link. What they leave apart is cut into buckets of those that share further MinHash values too, twice at most,
-which are compared by the same rules.
+bucket beyond that bound, a few rounds compare all classes with two leaders of other components, drawn anew each
+round. What they leave apart is cut into buckets of those that share further MinHash values too, twice at most,
+which are compared by the same rules. Rounds and cuts only save work: the classes of all buckets beyond the bound that leaders
+left apart are joined exactly in the end, by the rarest shingles of which two similar texts always share one.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, text_batches, written
@@ -25,9 +26,9 @@ from .components import components
 SHINGLE, SIMILAR = 5, (4, 5)
 #: Buckets of a text and MinHash values of a bucket: a pair at 0.8 shares one but for a chance of 3 in a million.
 BANDS, ROWS = 24, 4
-#: Classes of a bucket that are compared pair by pair, bytes of a larger bucket's texts that are compared in one group, and rounds of leaders at least beyond that.
+#: Classes of a bucket that are compared pair by pair, bytes of a larger bucket's texts that are compared in one group, and rounds of leaders beyond that, before the exact join.
 PAIRWISE, GROUP_BYTES, ROUNDS = 16, 4 << 20, 3
-#: How often larger buckets are cut, and by how many of the buckets that follow a bucket: a pair at 0.8 shares one of these but for a chance of 1.5 in a hundred.
+#: How often larger buckets are cut before the exact join, and by how many of the buckets that follow a bucket: a pair at 0.8 shares one of these but for a chance of 1.5 in a hundred.
 CUTS, FOLLOWING = 2, 8
 _RNG = np.random.default_rng(5)
 SALTS, FACTORS = _RNG.integers(0, 1 << 63, BANDS * ROWS).astype(np.uint64), _RNG.integers(0, 1 << 63, BANDS * ROWS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -90,6 +91,14 @@ def sketched(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([sketch(x) for x in batch], columns=["cls", "keys", "fp"]).astype({"fp": "Int64"})
 
 
+def hashed(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Hashes of each text's distinct shingles."""
+    import xxhash
+
+    for batch in texts:
+        yield pd.Series([np.fromiter({xxhash.xxh64_intdigest(x, 42) for x in shingles_of(tokens_of(text))}, np.uint64).view(np.int64) for text in batch], dtype=object)
+
+
 def placed_shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(row, shingle): each text's distinct shingles by number, sorted. Texts shorter than a shingle have none: they are like no other text than their equals."""
     known: dict[bytes, int] = {}
@@ -162,22 +171,28 @@ def labelled(members: DataFrame, found: DataFrame | None) -> DataFrame:
     return members.join(components(found).withColumnRenamed("node", "cls"), "cls", "left").select(*members.columns, F.coalesce("component", "cls").alias("label"))
 
 
-def led(many: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
-    """found and the links that rounds of two leaders a bucket add to it. many: key and cls of large buckets."""
+def still_apart(members: DataFrame, found: DataFrame) -> DataFrame:
+    """members with label and n, the classes of the key, for keys whose classes lie in several components. members: key and cls."""
+    placed = written(labelled(members, found))
+    keys = placed.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key", "n")
+    return written(placed.join(broadcast_if_small(written(keys)), "key"))
+
+
+def led(many: DataFrame, texts: DataFrame, found: DataFrame, by: tuple[str, ...] = ("key",)) -> DataFrame:
+    """found and the links that rounds of two leaders a bucket add to it: a dense group becomes one component at little cost, what else is alike is left to the caller. many: key and cls of large buckets. by: what a draw depends on besides class and round; nothing, and buckets of many common classes have common leaders."""
     tested, turn = None, 0
     while True:
         placed = written(labelled(many, found))
-        drawn = F.struct(F.xxhash64("key", "cls", F.lit(turn)).alias("draw"), "cls", "label")
+        drawn = F.struct(F.xxhash64(*by, "cls", F.lit(turn)).alias("draw"), "cls", "label")
         leaders = placed.groupBy("key").agg(F.min(drawn).alias("one"), F.max(drawn).alias("other"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
         pairs = placed.join(leaders, "key").select("cls", "label", F.explode(F.array("one", "other")).alias("leader")).where("label <> leader.label")
         pairs = pairs.select(F.least("cls", "leader.cls").alias("a"), F.greatest("cls", "leader.cls").alias("b")).distinct()
         pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         tested = pairs if tested is None else tested.unionByName(pairs)
         new = verified(pairs, texts)
-        turn += 1
-        if new.isEmpty() and (turn >= ROUNDS or pairs.isEmpty()):
+        found, turn = found.unionByName(new), turn + 1
+        if turn == ROUNDS or pairs.isEmpty():
             return found
-        found = found.unionByName(new)
 
 
 def cut_up(many: DataFrame, members: DataFrame) -> DataFrame:
@@ -187,9 +202,55 @@ def cut_up(many: DataFrame, members: DataFrame) -> DataFrame:
     return both.select("cls", F.col("next").alias("band"), F.xxhash64("key", "too").alias("key"))
 
 
+def rarest(one: DataFrame) -> DataFrame:
+    """(key, cls, size): each class with its rarest shingles and their number in all. one: cls and text.
+
+    Similar texts share at least ceil(SIMILAR * size) of either's shingles, and so, in any order of all shingles, one of the
+    first size - ceil(SIMILAR * size) + 1 of both. The rarest come first; those of one class only meet nothing and are left out.
+    """
+    up, down = SIMILAR
+    held = written(one.select("cls", F.pandas_udf(hashed, "array<long>")("text").alias("held")))
+    each = held.select("cls", F.size("held").alias("size"), F.explode("held").alias("key"))
+    often = written(each.groupBy("key").agg(F.count("*").alias("often")).where("often > 1"))
+    ranked = each.join(broadcast_if_small(often), "key", "left").withColumn("rank", F.row_number().over(Window.partitionBy("cls").orderBy(F.coalesce("often", F.lit(1)), "key")))
+    return written(ranked.where(f"rank <= size - ({up} * size + {down - 1}) DIV {down} + 1 AND often > 1").select("key", "cls", "size"))
+
+
+def blocks_of(groups: DataFrame) -> DataFrame:
+    """groups with one and other: a group's classes in blocks of half of GROUP_BYTES, each with each other block, so that all pairs meet. groups: key, cls and bytes of the text."""
+    sized = groups.groupBy("key").agg(F.sum("bytes").alias("all"), F.count("*").alias("n"))
+    parts = F.when(F.col("all") <= GROUP_BYTES, 1).otherwise(F.greatest(F.lit(2), F.least("n", F.ceil(2 * F.col("all") / max(1, GROUP_BYTES))))).cast("long")
+    own = groups.join(written(sized.select("key", parts.alias("parts"))), "key").withColumn("own", F.pmod(F.xxhash64("cls"), "parts"))
+    others = F.expr("filter(sequence(0L, parts - 1), x -> x <> own OR parts = 1)")
+    return own.withColumn("with", F.explode(others)).withColumn("one", F.least("own", "with")).withColumn("other", F.greatest("own", "with")).drop("own", "with", "parts")
+
+
+def joined(rest: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
+    """found and links, so that all similar classes of rest are joined, without exception. rest: key and cls of buckets.
+
+    Classes meet at their rarest shingles. A shingle of a few classes gives pairs. The classes of a more common one are compared with
+    leaders, which only saves work, and if that leaves some apart, all with all in one group or, beyond GROUP_BYTES of texts, in one group for
+    each two blocks.
+    """
+    one = class_texts(texts, written(still_apart(rest, found).select("cls").distinct()))
+    met, (up, down) = still_apart(rarest(one), found), SIMILAR
+    few, many = met.where(F.col("n") <= PAIRWISE), met.where(F.col("n") > PAIRWISE).select("key", "cls")
+    a, b = (few.select("key", *(F.col(c).alias(f"{x}_{c}") for c in ("cls", "label", "size"))) for x in "ab")
+    near = a.join(b, "key").where(f"a_cls < b_cls AND a_label <> b_label AND {down} * least(a_size, b_size) >= {up} * greatest(a_size, b_size)")
+    found = found.unionByName(verified(near.select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b")), texts))
+    if many.isEmpty():
+        return found
+    found = led(many, texts, found, by=())
+    groups = still_apart(many, found)
+    # shingles of the same classes are one group
+    keys = groups.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("cls")).alias("all")).groupBy("n", "all").agg(F.min("key").alias("key")).select("key")
+    groups = groups.join(broadcast_if_small(written(keys)), "key", "left_semi").join(one.withColumn("bytes", F.octet_length("text")), "cls").select("key", "cls", "label", "bytes", "text")
+    return found.unionByName(written(blocks_of(groups).groupBy("key", "one", "other").applyInPandas(grouped_links, "a long, b long").distinct()))
+
+
 def links(texts: DataFrame, members: DataFrame) -> DataFrame:
     """(a, b): links between classes of equal texts. members: cls, band and key of each bucket that a class lies in; the band of a group that isn't one of MinHash values is -1."""
-    at, found = members, None
+    at, found, rest = members, None, None
     for cut in range(CUTS + 1):
         placed = labelled(at, found)
         apart = placed.groupBy("key").agg(F.count("*").alias("n"), F.min("cls").alias("a"), F.max("cls").alias("b"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
@@ -202,7 +263,7 @@ def links(texts: DataFrame, members: DataFrame) -> DataFrame:
         new = verified(apart.where("n = 2").select("a", "b").unionByName(pairs), texts)
         found = new if found is None else found.unionByName(new)
         if more.isEmpty():
-            return found
+            break
         one = class_texts(texts, written(more.select("cls").distinct()))
         sized = more.join(one.select("cls", F.octet_length("text").alias("bytes")), "cls").groupBy("key").agg(F.sum("bytes").alias("bytes"))
         large = written(sized.where(F.col("bytes") > GROUP_BYTES).select("key"))
@@ -210,13 +271,13 @@ def links(texts: DataFrame, members: DataFrame) -> DataFrame:
         groups = more.join(broadcast_if_small(large), "key", "left_anti").join(one, "cls").select("key", "cls", "label", "text")
         found = found.unionByName(written(groups.groupBy("key").applyInPandas(grouped_links, "a long, b long").distinct()))
         if many.isEmpty():
-            return found
+            break
         found = led(many, texts, found)
+        left = still_apart(many, found)
+        rest = left.select("key", "cls") if rest is None else rest  # all that is cut up later lies in these buckets
         if cut < CUTS:
-            placed = written(labelled(many, found))
-            left = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-            at = written(cut_up(placed.join(broadcast_if_small(written(left)), "key", "left_semi"), members))
-    return found
+            at = written(cut_up(left, members))
+    return found if rest is None else joined(rest, texts, found)
 
 
 def near_duplicates(docs: DataFrame, groups: Callable[[DataFrame], DataFrame], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -253,6 +253,41 @@ def test_large_buckets_of_separate_pairs(spark, prose, monkeypatch, group_bytes)
     assert sum(any(p <= x for x in cut.values()) for p in map(set, pairs)) >= 0.9 * len(pairs) and max(map(len, cut.values())) < len(texts) / 2
 
 
+def test_large_buckets_lose_no_link(spark, prose, monkeypatch):
+    """One bucket of 60 separate pairs that no MinHash value cuts up: leaders meet some of them, the exact join the rest."""
+    monkeypatch.setattr(shingles, "GROUP_BYTES", 0)
+    passage, texts = prose(5000, 150), {}
+    for i in range(60):
+        words = f"{passage} {prose(i, 60)}".split()
+        texts[2 * i], texts[2 * i + 1] = " ".join(words), " ".join(w if k not in (155, 165, 175) else f"other{i}" for k, w in enumerate(words))
+    members = spark.createDataFrame([(c, -1, 1) for c in texts], "cls long, band int, key long")
+    found = {(r["a"], r["b"]) for r in shingles.links(spark.createDataFrame(list(texts.items()), "cls long, text string"), members).collect()}
+    assert found == {(2 * i, 2 * i + 1) for i in range(60)}
+
+
+@pytest.mark.parametrize("group_bytes", [2000, shingles.GROUP_BYTES])  # in pairs of blocks, and in one group
+def test_exact_join_of_texts_without_rare_shingles(spark, prose, monkeypatch, group_bytes):
+    """Texts made of common passages: even their rarest shingles are common."""
+    monkeypatch.setattr(shingles, "GROUP_BYTES", group_bytes)
+    monkeypatch.setattr(shingles, "PAIRWISE", 2)
+    monkeypatch.setattr(shingles, "ROUNDS", 1)
+    rng, passages = np.random.default_rng(8), [prose(7000 + i, 25) for i in range(9)]
+    texts = {}
+    for i in range(14):
+        words = " ".join(passages[k] for k in rng.permutation(9)[:6]).split()
+        texts[2 * i], texts[2 * i + 1] = " ".join(words), " ".join(w if k not in (5, 60, 110) else f"own{i}" for k, w in enumerate(words))
+    texts |= {100: "a b", 101: "a a a a a a", 102: "a a a a a a a", 103: "a b c d e"}
+    df = spark.createDataFrame(list(texts.items()), "cls long, text string")
+    sets = {c: shingles.shingles_of(shingles.tokens_of(x)) for c, x in texts.items()}
+    want = least_reachable(texts, [(a, b) for a in texts for b in texts if a < b and shingles.similar(sets[a], sets[b])])
+    none = spark.createDataFrame([], "a long, b long")
+    found = shingles.joined(df.select(F.lit(1).alias("key"), "cls"), df, none).collect()
+    assert all(shingles.similar(sets[r["a"]], sets[r["b"]]) for r in found)
+    assert least_reachable(texts, map(tuple, found)) == want and len(set(want.values())) < len(texts) - 14
+    met = shingles.rarest(df).groupBy("key").agg(F.count("*").alias("n"))
+    assert met.where("n > 4").count() > 0
+
+
 def test_pairs_count_in_one_bucket_only():
     rng = np.random.default_rng(2)
     for x, y in zip(*rng.integers(0, 5, (2, 500, 6, 3))):
