@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import is_automation, is_bot, is_deleted_repo
 from ..functions.values import ACTOR_EVENT_LIMIT, CODE_EVENTS, ISSUES, PASSIVE_EVENTS, REPO_ISSUE_LIMIT
-from ..sources.scratch import broadcast_if_small, staged
+from ..sources.scratch import broadcast_if_small, removed, scratch, staged
 
 
 def _code() -> Column:
@@ -206,10 +206,26 @@ def filter_with_report(df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMIT
 
 
 def filter_sequentially(df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMIT, repo_issue_limit: int = REPO_ISSUE_LIMIT, keys: Sequence[str] = ()) -> DataFrame:
-    """The same rows as filter_archive, step by step."""
-    df = drop_single_event_repos(drop_ci_actors(drop_bots(drop_empty_repos(df, keys))), keys)
-    df = drop_fork_only_actors(drop_deleted_repos(drop_high_volume_actors(df, actor_event_limit, keys)), keys)
-    return drop_issue_only_actors(drop_issue_flood(df, repo_issue_limit, keys), keys)
+    """The same rows as filter_archive, step by step. All steps but the last run when this is called.
+
+    df is computed once. Each step over groups reads the rows that the one before wrote, which are deleted when its own are
+    written: at any time the disk holds the shuffles of one step, its rows before and after, and the facts of the steps so far.
+    """
+    steps = (
+        lambda x: x,
+        lambda x: drop_ci_actors(drop_bots(drop_empty_repos(x, keys))),
+        lambda x: drop_single_event_repos(x, keys),
+        lambda x: drop_deleted_repos(drop_high_volume_actors(x, actor_event_limit, keys)),
+        lambda x: drop_fork_only_actors(x, keys),
+        lambda x: drop_issue_flood(x, repo_issue_limit, keys),
+    )
+    spark, folder = df.sparkSession, None
+    for step in steps:
+        before, folder = folder, scratch(spark)
+        df = staged(step(df), folder)
+        if before:
+            removed(spark, before)
+    return drop_issue_only_actors(df, keys)
 
 
 def filter_report(df: DataFrame, actor_event_limit: int = ACTOR_EVENT_LIMIT, repo_issue_limit: int = REPO_ISSUE_LIMIT, keys: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 #: A side may be broadcast up to so many bytes, and only after they were measured.
 BROADCAST_BYTES = 48 << 20
 
+#: With this setting an execution's shuffle files go when it ends. Else they stay until the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def scratch(spark: SparkSession) -> str:
     """A new folder where driver and executors both read and write: under spark.checkpoint.dir. Only a session that runs on this machine alone may leave that unset; it is then set to a folder of this machine."""
@@ -24,11 +27,22 @@ def scratch(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """df written to a folder of scratch() and read again: what follows doesn't compute it twice."""
-    path = scratch(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def staged(df: DataFrame, path: str | None = None) -> DataFrame:
+    """df written to a folder of scratch(), a new one or path, and read again: what follows doesn't compute it twice, and of its shuffles nothing stays on disk."""
+    spark, path = df.sparkSession, path or scratch(df.sparkSession)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of scratch() that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def measured(df: DataFrame) -> int:

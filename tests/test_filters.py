@@ -1,12 +1,15 @@
 from __future__ import annotations
 
+import time
+from pathlib import Path
+
 import pytest
 from helpers import nodes, records_by_task, rows
 from pyspark.sql import functions as F
 
 from glossometer.functions.scalars import is_deleted_repo
 from glossometer.operators import filters as f
-from glossometer.sources import writers
+from glossometer.sources import scratch, writers
 
 HEX, UUID = "0123456789abcdef" * 2 + "01234567", "01234567-89ab-CDEF-0123-456789abcdef"
 
@@ -178,6 +181,42 @@ def test_scans_and_shuffles(spark, crowded, plain_session, tmp_path):
     spark.sql("DROP TABLE stored_archive")
 
 
+def shuffle_files(spark):
+    """The names of the shuffle files that this machine holds."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {x.name() for x in (blocks.apply(i) for i in range(blocks.size())) if x.isShuffle()}
+
+
+def test_steps_keep_little_on_disk(spark, crowded, plain_session, tmp_path):
+    """Step by step, the archive is scanned once, shuffles grow with the steps only, and of rows and shuffles between them nothing stays."""
+    crowded.write.parquet(str(tmp_path / "archive"))
+    df = spark.read.parquet(str(tmp_path / "archive")).groupBy("actor", "repo", "event_type", "action", "language").agg(F.sum("count").alias("count"))
+    shared = Path(spark.sparkContext.getConf().get("spark.checkpoint.dir").removeprefix("file://"))
+    folders, files, setting = set(shared.glob("*")), shuffle_files(spark), spark.conf.get(scratch.CLEANUP)
+    names, kept = nodes(spark, lambda: f.filter_sequentially(df, 10**6, 4000))
+    for _ in range(50):  # they go in the background
+        if not (left := shuffle_files(spark) - files):
+            break
+        time.sleep(0.2)
+    assert not left and spark.conf.get(scratch.CLEANUP) == setting
+    rows_of = [x for x in set(shared.glob("*")) - folders if spark.read.parquet(str(x)).columns == df.columns]
+    assert len(rows_of) == 1
+    more, _ = nodes(spark, lambda: kept.write.format("noop").mode("overwrite").save())
+    names += more
+    scans = sum(x.startswith("Scan parquet") and str(tmp_path) in x for x in names)
+    # the archive's own; by group step: one of the facts, two of the join (rows and facts)
+    assert (scans, sum(x.startswith("Exchange ") for x in names)) == (1, 1 + 6 * 3)
+    assert kept.exceptAll(f.filter_archive(df, 10**6, 4000)).isEmpty() and kept.count() == f.filter_archive(df, 10**6, 4000).count()
+
+
+def test_staged_is_computed_once_and_its_folder_can_go(spark, archive):
+    path = scratch.scratch(spark)
+    df = scratch.staged(noisy(archive).groupBy("repo").count(), path)
+    assert rows(df) == rows(noisy(archive).groupBy("repo").count()) and Path(path.removeprefix("file://")).exists()
+    scratch.removed(spark, path)
+    assert not Path(path.removeprefix("file://")).exists()
+
+
 def test_filter_and_report_from_the_same_tags(archive):
     kept, report = f.filter_with_report(noisy(archive), 1000, 100)
     assert rows(kept) == rows(f.filter_archive(noisy(archive), 1000, 100)) and rows(report) == rows(f.filter_report(noisy(archive), 1000, 100))
