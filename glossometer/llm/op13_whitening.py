@@ -62,18 +62,18 @@ def leading(product: Callable[[np.ndarray], np.ndarray], width: int, n: int, gua
     """(eigenvalues falling, unit eigenvectors as columns, the largest relative residual) of a symmetric matrix given by its products.
 
     A step takes one product, with the new directions; the iterate's own follows from it. Where the residuals look done, a
-    product of the iterate itself certifies them.
+    product of the iterate itself certifies them; also where steps, certified or not, no longer halve the lowest ones.
     """
     m = min(width, n + guard)
     x = orthonormal(np.random.default_rng(SEED).standard_normal((width, m)))
-    ax, certified, p, best, since = product(x), True, None, None, 0
+    ax, certified, p, best, low, since = product(x), True, None, None, float("inf"), 0
     for _ in range(steps):
         theta, turn = np.linalg.eigh(x.T @ ax)
         theta, turn = theta[::-1], turn[:, ::-1]
         x, ax = x @ turn, ax @ turn
         residual = ax - x * theta
         off = float(np.linalg.norm(residual[:, :n], axis=0).max(initial=0)) / max(abs(theta[0]), np.finfo(float).tiny)
-        since = 0 if best is None or off <= 0.5 * best[2] else since + 1
+        low, since = (off, 0) if off <= 0.5 * low else (low, since + 1)
         if certified and (best is None or off < best[2]):
             best = theta[:n], x[:, :n], off
         settled = since >= PATIENCE and best[2] <= WORST  # rounding lets them fall no further

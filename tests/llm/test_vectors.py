@@ -226,3 +226,19 @@ def test_block_iterations_reach_rounding():
         assert np.abs(z.T @ z - np.eye(len(e))).max() < 1e-13
     with pytest.raises(ArithmeticError):
         op13.leading(lambda b: v @ b + rng.standard_normal(b.shape), 3, 1, 0, steps=5)
+
+
+def test_block_iterations_end_where_rounding_is_coarse():
+    """Residuals that stop falling short of what is sought are certified and returned, whatever the first ones were."""
+    for seed in range(5):
+        rng, calls = np.random.default_rng(seed), []
+        c = rng.standard_normal((700, 200))
+        v = c.T @ c / len(c)
+
+        def product(b, v=v, rng=rng, calls=calls):
+            calls.append(1)
+            return v @ b * (1 + 1e-13 * rng.standard_normal(b.shape))
+
+        e, z, residual = op13.leading(product, 200, 8)
+        assert residual <= 1e-11 and len(calls) < 200
+        assert np.abs(e / np.linalg.eigvalsh(v)[::-1][:8] - 1).max() < 1e-11
